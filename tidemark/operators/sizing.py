@@ -1,0 +1,20 @@
+"""Size checks in front of broadcasts."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest row count we broadcast on the strength of a count alone.
+BROADCAST_ROWS = 100_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when ``df`` has at most ``max_rows`` rows, else ``df``.
+
+    The check runs ``df.limit(max_rows + 1)``, so it stops early on a large
+    side; beyond the bound the join falls back to a shuffle join (which AQE
+    may still turn into a broadcast from measured sizes).
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
