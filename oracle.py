@@ -385,13 +385,20 @@ LEFT JOIN {fl} f ON {nse('b', 'f', ['cliente', 'folio_padre', 'folio_hijo'])}"""
 
 # ------------------------------------------------------ incremental (closed form)
 
+def bounded_log(q: Sql, until: str | None) -> str:
+    """The case log up to ``until`` (a timestamp literal), or all of it."""
+    if until is None:
+        return "case_log"
+    return q.add("case_log_until", f"SELECT * FROM case_log WHERE fecha_registro <= {until}")
+
+
 def seed_and_later(q: Sql, src: str = "case_log") -> tuple[str, str]:
     seed = q.add(f"{src}_seed", f"SELECT * FROM {src} WHERE fecha_registro <= {SEED}")
     later = q.add(f"{src}_later", f"SELECT * FROM {src} WHERE fecha_registro > {SEED}")
     return seed, later
 
 
-def incremental_history(q: Sql, level: str) -> str:
+def incremental_history(q: Sql, level: str, until: str | None = None) -> str:
     """History after the seed rebuild and one run per later snapshot, in closed form.
 
     Per key, the raw rows are interleaved with a marker at the seed's
@@ -403,8 +410,9 @@ def incremental_history(q: Sql, level: str) -> str:
     lv = LEVELS[level]
     keys = lv["keys"]
     k = ", ".join(keys)
-    seed, later = seed_and_later(q)
-    rows = level_rows(q, "case_log", level)
+    src = bounded_log(q, until)
+    seed, later = seed_and_later(q, src)
+    rows = level_rows(q, src, level)
     snaps = q.add("later_snaps", f"SELECT DISTINCT fecha_registro AS t FROM {later}")
     first_seen = q.add(f"{level}_first_seen", f"SELECT {k}, min(fecha_registro) AS f FROM {rows} GROUP BY {k}")
     seed_m = suppressed_batch(q, seed, level, SEED_DATE)

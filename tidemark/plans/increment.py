@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import not_blank, null_safe_join
 from ..operators.dims import child_dim, parent_dim, tenant_start
-from ..operators.history import detect_changes, suppressed_incremental
+from ..operators.history import HOT_KEY_ROWS, detect_changes, suppressed_incremental
 from ..operators.latest import latest_per_key, latest_snapshot, latest_state
 from ..operators.sizing import small_side
 from ..schemas import CHILD, CHILD_BASE, PARENT, PARENT_STATIC, SUPPRESSED, TIE, TS, Level, require_columns
@@ -79,12 +79,15 @@ def _semi(df: DataFrame, keys_df: DataFrame, keys, right_keys=None) -> DataFrame
     return null_safe_join(df, keys_df, keys, "left_semi", right_keys=right_keys)
 
 
-def _history_step(store: TableStore, batch: DataFrame, snapshot: DataFrame, newest, oldest,
+def _history_step(store: TableStore, batch: DataFrame, snapshot: DataFrame, newest, oldest, rows: int,
                   level: Level, table: str, scope: str, replay_guard: bool) -> tuple[int, DataFrame | None]:
     """Append the level's changes and markers; return (rows appended, appended rows)."""
     hist = store.read(table)
     state = latest_state(hist, level) if hist is not None else None
-    out = detect_changes(batch, state, level)
+    # A key has at most one stored row plus its batch rows: with a batch below
+    # the hot-key threshold no key can be hot, and the heavy-key pass is skipped.
+    hot = HOT_KEY_ROWS if rows + 1 > HOT_KEY_ROWS else None
+    out = detect_changes(batch, state, level, hot_key_rows=hot)
     if state is not None:
         out = out.unionByName(suppressed_incremental(state, snapshot, level, scope=scope, snapshot_ts=newest))
     if replay_guard and hist is not None:
@@ -130,7 +133,7 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
         result = RunResult(run_id, rows=stats["rows"], mark=newest)
 
         # parent level
-        n_p, written_p = _history_step(store, batch, snapshot, newest, oldest, PARENT, PARENT_HISTORY,
+        n_p, written_p = _history_step(store, batch, snapshot, newest, oldest, stats["rows"], PARENT, PARENT_HISTORY,
                                        scope, replay_guard)
         result.history_rows["parent"] = n_p
         _refresh_latest_raw(store, batch)
@@ -144,7 +147,7 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
             store.upsert(new_rows, affected, PARENT_DIM, pkeys)
 
         # child level
-        n_c, written_c = _history_step(store, batch, snapshot, newest, oldest, CHILD, CHILD_HISTORY,
+        n_c, written_c = _history_step(store, batch, snapshot, newest, oldest, stats["rows"], CHILD, CHILD_HISTORY,
                                        scope, replay_guard)
         result.history_rows["child"] = n_c
         ckeys = list(CHILD.keys)

@@ -59,13 +59,13 @@ def daily_runs(spark: SparkSession, sf_dir: str, runs: int | None = None) -> Tab
     return _done[key]
 
 
-def streamed_runs(spark: SparkSession, sf_dir: str) -> TableStore:
-    """Seed, then a stream over one parquet file per later snapshot."""
-    key = ("stream", sf_dir, id(spark._jsparkSession))
+def streamed_runs(spark: SparkSession, sf_dir: str, runs: int | None = None) -> TableStore:
+    """Seed, then a stream over one parquet file per later snapshot (all, or the first ``runs``)."""
+    key = ("stream", sf_dir, runs, id(spark._jsparkSession))
     if key not in _done:
-        store, raw, det, ben = seeded_store(spark, sf_dir, "streamed")
+        store, raw, det, ben = seeded_store(spark, sf_dir, f"streamed-{runs or 'all'}")
         incoming = scratch(spark, "incoming")
-        for t in later_snapshots(raw):
+        for t in later_snapshots(raw, runs):
             # Fixture landing step: each snapshot arrives as one file, in time order.
             raw.filter(F.col("fecha_registro") == F.lit(t)).coalesce(1).write.mode("append").parquet(incoming)
         stream = snapshot_stream(spark, incoming, raw.schema, files_per_trigger=1)
