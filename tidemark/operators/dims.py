@@ -153,24 +153,78 @@ def parent_latest_state(history: DataFrame, rules: str = "batch", tie: str = TIE
                                    "last_ts": "fecha_ultimo_estado_folio_padre"})
 
 
+def parent_history_summary(history: DataFrame, rules: str = "batch", tie: str = TIE) -> DataFrame:
+    """Everything the parent dimension needs from history, in one aggregate per key.
+
+    Acceptance inputs of both classes (C11, C12 or C13) and the latest state
+    (C16) share one shuffle of the history instead of one each.  Aggregates
+    that the single operators compute with NULL keys dropped (N4) are masked
+    to NULL for a NULL-key group, which a left join yields as well.
+    """
+    _check_rules(rules)
+    keys = ["cliente", "folio_padre"]
+    ok = ~(F.col("cliente").isNull() | F.col("folio_padre").isNull())
+    state, ts = F.col("estado_padre"), F.col(TS)
+    rank = F.struct(ts.isNull(), ts, F.col(tie).isNull(), F.col(tie))
+    flag = F.when(eq_strict(state, F.lit(ASSIGNED)), F.lit(1)).otherwise(F.lit(0))
+    aggs = [
+        F.min(F.when(ok & not_in_or_null(state, NOT_ACCEPTED), ts)).alias("_acc_current"),
+        F.max(F.when(ok, eq_strict(state, F.lit(ASSIGNED)))).alias("_assigned"),
+    ]
+    if rules == "incremental":
+        aggs += [F.min(F.when(ok & ne_or_null(state, F.lit(ASSIGNED)), ts)).alias("_first_other"),
+                 F.max_by(state, F.when(ok & state.isNotNull(), rank)).alias("ultimo_estado_folio_padre"),
+                 F.max(F.when(ok, ts)).alias("fecha_ultimo_estado_folio_padre")]
+    else:
+        aggs += [F.min(F.when(ok & ts.isNotNull(), F.struct(ts.alias("t"), flag.alias("a")))).alias("_m"),
+                 F.max_by(F.struct(state.alias("s"), ts.alias("t")), rank).alias("_l")]
+    out = history.groupBy(*keys).agg(*aggs)
+    if rules == "incremental":
+        return out
+    return (out.select(*keys, "_acc_current", "_assigned",
+                       F.when(F.coalesce(F.col("_assigned"), F.lit(False)) & (F.col("_m.a") == 0), F.col("_m.t"))
+                       .alias("_first_batch"),
+                       F.col("_l.s").alias("ultimo_estado_folio_padre"),
+                       F.col("_l.t").alias("fecha_ultimo_estado_folio_padre")))
+
+
 def parent_dim(raw: DataFrame, history: DataFrame, details: DataFrame, rules: str = "batch",
                starts: DataFrame | None = None, match_tenant: bool = True, tie: str = TIE) -> DataFrame:
     """Parent dimension (C24 / C26): static attributes, follow-up class,
     acceptance date, case details and latest state; 14 columns.
 
     ``raw`` and ``history`` may be restricted to some cases (affected-key
-    refresh); ``starts`` must then come from the whole raw log.
+    refresh); ``starts`` must then come from the whole raw log.  History is
+    aggregated once (``parent_history_summary``) and joined once.
     """
     _check_rules(rules)
     static = parent_static(raw, rules, tie)
     classified = followup_class(static, starts if starts is not None else tenant_start(raw))
+    if not match_tenant:
+        return _parent_dim_case_keys(classified, history, details, rules, tie)
+    keys = ["cliente", "folio_padre"]
+    dim = null_safe_join(classified, parent_history_summary(history, rules, tie), keys, "left")
+    assigned = F.coalesce(F.col("_assigned"), F.lit(False))
+    if rules == "incremental":
+        legacy = F.when(assigned, F.col("_first_other")).otherwise(F.col("fecha_asignacion"))
+    else:
+        legacy = F.coalesce(F.col("_first_batch"), F.col("fecha_asignacion"))
+    accepted = F.when(F.col("tipo_seguimiento") == CURRENT, F.col("_acc_current")).otherwise(legacy)
+    dim = dim.withColumn("fecha_asignacion_aceptada", accepted)
+    dim = detail_enrichment(dim, details, tie)
+    return dim.select(*PARENT_DIM)
+
+
+def _parent_dim_case_keys(classified: DataFrame, history: DataFrame, details: DataFrame, rules: str,
+                          tie: str) -> DataFrame:
+    """Parent dimension with the original's case-only history matching (Q10)."""
     current = classified.filter(F.col("tipo_seguimiento") == CURRENT)
     current = null_safe_join(current, acceptance_current(history), ["cliente", "folio_padre"], "left")
     legacy = classified.filter(F.col("tipo_seguimiento") == LEGACY)
     if rules == "batch":
-        legacy = acceptance_legacy_batch(legacy, history, match_tenant)
+        legacy = acceptance_legacy_batch(legacy, history, False)
     else:
-        legacy = acceptance_legacy_incremental(legacy, history, match_tenant)
+        legacy = acceptance_legacy_incremental(legacy, history, False)
     dim = current.unionByName(legacy).drop("fecha_primer_registro")
     dim = detail_enrichment(dim, details, tie)
     dim = null_safe_join(dim, parent_latest_state(history, rules, tie), ["cliente", "folio_padre"], "left")

@@ -101,18 +101,38 @@ def _history_step(store: TableStore, batch: DataFrame, snapshot: DataFrame, newe
 
 
 def _refresh_latest_raw(store: TableStore, batch: DataFrame) -> None:
-    """Newest raw row per parent / child and tenant start dates, with the batch folded in."""
+    """Fold the batch into the state tables: append-only deltas, no rewrite.
+
+    The newest raw row per parent / child and the tenants' first snapshot
+    time are appended as delta versions holding only the batch's rows;
+    readers deduplicate (``latest_raw``, ``tenant_starts``), and
+    ``compact_state`` folds the deltas from time to time.
+    """
     pkeys, ckeys = ["cliente", "folio_padre"], ["cliente", "folio_padre", "folio_hijo"]
-    p_new = latest_per_key(batch.select(*PARENT_STATIC, TS, TIE), pkeys)
-    c_new = latest_per_key(batch.select(*CHILD_BASE, TS, TIE), ckeys)
-    store.upsert(p_new, batch.select(*pkeys), PARENT_LATEST_RAW, pkeys)
-    store.upsert(c_new, batch.select(*ckeys), CHILD_LATEST_RAW, ckeys)
-    starts = tenant_start(batch)
-    old = store.read(TENANT_START)
-    if old is not None:
-        starts = (old.unionByName(starts).groupBy("cliente")
-                  .agg(F.min("fecha_primer_registro").alias("fecha_primer_registro")))
-    store.replace(starts, TENANT_START)
+    store.append(latest_per_key(batch.select(*PARENT_STATIC, TS, TIE), pkeys), PARENT_LATEST_RAW)
+    store.append(latest_per_key(batch.select(*CHILD_BASE, TS, TIE), ckeys), CHILD_LATEST_RAW)
+    store.append(tenant_start(batch), TENANT_START)
+
+
+def latest_raw(store: TableStore, table: str, keys, affected: DataFrame, affected_keys) -> DataFrame:
+    """Newest raw row per key for the affected keys only (semi join, then de-duplicate)."""
+    rows = _semi(store.read(table), affected, affected_keys)
+    return latest_per_key(rows, keys)
+
+
+def tenant_starts(store: TableStore) -> DataFrame:
+    return (store.read(TENANT_START).groupBy("cliente")
+            .agg(F.min("fecha_primer_registro").alias("fecha_primer_registro")))
+
+
+def compact_state(store: TableStore) -> None:
+    """Fold the state deltas into one base version each (same content)."""
+    store.replace(latest_per_key(store.read(PARENT_LATEST_RAW), ["cliente", "folio_padre"]), PARENT_LATEST_RAW)
+    store.replace(latest_per_key(store.read(CHILD_LATEST_RAW), ["cliente", "folio_padre", "folio_hijo"]),
+                  CHILD_LATEST_RAW)
+    store.replace(tenant_starts(store), TENANT_START)
+    for table in (PARENT_HISTORY, CHILD_HISTORY):
+        store.compact(table)
 
 
 def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benefits: DataFrame,
@@ -140,10 +160,10 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
         pkeys = list(PARENT.keys)
         if n_p > 0:
             affected = small_side(affected_keys(batch, _markers(written_p, PARENT), PARENT))
-            raw_aff = _semi(store.read(PARENT_LATEST_RAW), affected, pkeys)
+            raw_aff = latest_raw(store, PARENT_LATEST_RAW, pkeys, affected, pkeys)
             hist_aff = _semi(store.read(PARENT_HISTORY), affected, pkeys)
             details_aff = _semi(details, raw_aff.select("url_ficha").distinct(), ["url_ficha"])
-            new_rows = parent_dim(raw_aff, hist_aff, details_aff, "incremental", starts=store.read(TENANT_START))
+            new_rows = parent_dim(raw_aff, hist_aff, details_aff, "incremental", starts=tenant_starts(store))
             store.upsert(new_rows, affected, PARENT_DIM, pkeys)
 
         # child level
@@ -153,7 +173,7 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
         ckeys = list(CHILD.keys)
         if n_c > 0:
             affected = small_side(affected_keys(batch, _markers(written_c, CHILD), CHILD))
-            raw_aff = _semi(store.read(CHILD_LATEST_RAW), affected, ckeys)
+            raw_aff = latest_raw(store, CHILD_LATEST_RAW, ["cliente", "folio_padre", "folio_hijo"], affected, ckeys)
             hist_aff = _semi(store.read(CHILD_HISTORY), affected, ckeys)
             benefits_aff = _semi(benefits, affected, ["cliente", "folio"], right_keys=ckeys)
             new_rows = child_dim(raw_aff, hist_aff, benefits_aff, store.read(PARENT_DIM), "incremental")

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..functions.nulls import null_safe_join
+from ..operators.sizing import small_side
 
 _SUCCESS = "_SUCCESS"
 
@@ -118,5 +119,6 @@ class TableStore:
         current = self.read(table)
         if current is None:
             return self.replace(new_rows, table)
-        kept = null_safe_join(current, affected.select(*keys).distinct(), keys, "left_anti")
+        gone = small_side(affected.select(*keys).distinct())
+        kept = null_safe_join(current, gone, keys, "left_anti")
         return self.replace(kept.unionByName(new_rows.select(*current.columns)), table)
