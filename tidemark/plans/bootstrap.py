@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..operators.dims import child_dim, parent_dim, tenant_start
 from ..operators.history import compress_history, suppressed_batch
-from ..operators.latest import latest_per_key
+from ..operators.latest import latest_per_key, latest_state
 from ..schemas import CHILD, CHILD_BASE, PARENT, PARENT_STATIC, TIE, TS, require_columns, RAW_COLUMNS
 from ..sinks.store import TableStore
 
@@ -24,6 +24,11 @@ CHILD_DIM = "child_dim"
 PARENT_LATEST_RAW = "parent_latest_raw"
 CHILD_LATEST_RAW = "child_latest_raw"
 TENANT_START = "tenant_start"
+# Newest history row per key, kept beside each history so that a run reads
+# O(keys) rows instead of recomputing it over the whole history.
+PARENT_STATE = "parent_state"
+CHILD_STATE = "child_state"
+STATE_OF = {PARENT_HISTORY: PARENT_STATE, CHILD_HISTORY: CHILD_STATE}
 RUNS = "runs"
 
 
@@ -68,6 +73,8 @@ def bootstrap(store: TableStore, raw: DataFrame, details: DataFrame, benefits: D
     p_latest, c_latest = latest_raw_tables(raw)
     store.replace(p_latest, PARENT_LATEST_RAW)
     store.replace(c_latest, CHILD_LATEST_RAW)
+    store.replace(latest_state(ph, PARENT), PARENT_STATE)
+    store.replace(latest_state(ch, CHILD), CHILD_STATE)
     mark = raw.agg(F.max(TS).alias("mark"), F.count(F.lit(1)).alias("rows")).first()
     record_run(store, "bootstrap", mark["mark"], mark["rows"], replace=True)
     return {t: store.read(t).count() for t in (PARENT_HISTORY, CHILD_HISTORY, PARENT_DIM, CHILD_DIM)}

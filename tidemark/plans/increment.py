@@ -27,8 +27,8 @@ from ..operators.latest import latest_per_key, latest_snapshot, latest_state
 from ..operators.sizing import small_side
 from ..schemas import CHILD, CHILD_BASE, PARENT, PARENT_STATIC, SUPPRESSED, TIE, TS, Level, require_columns
 from ..sinks.store import TableStore
-from .bootstrap import (CHILD_DIM, CHILD_HISTORY, CHILD_LATEST_RAW, PARENT_DIM, PARENT_HISTORY,
-                        PARENT_LATEST_RAW, RUNS, TENANT_START, record_run)
+from .bootstrap import (CHILD_DIM, CHILD_HISTORY, CHILD_LATEST_RAW, CHILD_STATE, PARENT_DIM, PARENT_HISTORY,
+                        PARENT_LATEST_RAW, PARENT_STATE, RUNS, STATE_OF, TENANT_START, record_run)
 
 
 @dataclass
@@ -80,10 +80,21 @@ def _semi(df: DataFrame, keys_df: DataFrame, keys, right_keys=None) -> DataFrame
 
 
 def _history_step(store: TableStore, batch: DataFrame, snapshot: DataFrame, newest, oldest, rows: int,
-                  level: Level, table: str, scope: str, replay_guard: bool) -> tuple[int, DataFrame | None]:
+                  level: Level, table: str, scope: str, replay_guard: bool,
+                  last_mark) -> tuple[int, DataFrame | None]:
     """Append the level's changes and markers; return (rows appended, appended rows)."""
     hist = store.read(table)
-    state = latest_state(hist, level) if hist is not None else None
+    state_table = STATE_OF[table]
+    # Newest stored row per key: the state table (base + one delta per run)
+    # plus history rows newer than the last recorded run - rows a run that
+    # failed before committing may have appended - de-duplicated.  Falls back
+    # to the whole history when the store predates the state table.
+    if store.exists(state_table) and hist is not None:
+        cols = list(level.columns) + [TIE]
+        unrecorded = incremental_scan(hist, last_mark).select(*cols)
+        state = latest_state(store.read(state_table).select(*cols).unionByName(unrecorded), level)
+    else:
+        state = latest_state(hist, level) if hist is not None else None
     # A key has at most one stored row plus its batch rows: with a batch below
     # the hot-key threshold no key can be hot, and the heavy-key pass is skipped.
     hot = HOT_KEY_ROWS if rows + 1 > HOT_KEY_ROWS else None
@@ -97,6 +108,8 @@ def _history_step(store: TableStore, batch: DataFrame, snapshot: DataFrame, newe
     v = store.append(out, table)
     written = store.read_version(table, v)
     n = written.count()
+    if n:
+        store.append(written, state_table)
     return n, written
 
 
@@ -131,6 +144,8 @@ def compact_state(store: TableStore) -> None:
     store.replace(latest_per_key(store.read(CHILD_LATEST_RAW), ["cliente", "folio_padre", "folio_hijo"]),
                   CHILD_LATEST_RAW)
     store.replace(tenant_starts(store), TENANT_START)
+    store.replace(latest_state(store.read(PARENT_STATE), PARENT), PARENT_STATE)
+    store.replace(latest_state(store.read(CHILD_STATE), CHILD), CHILD_STATE)
     for table in (PARENT_HISTORY, CHILD_HISTORY):
         store.compact(table)
 
@@ -151,10 +166,11 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
         snapshot = (batch.filter(F.col(TS) == F.lit(newest)) if scope == "global"
                     else latest_snapshot(batch, "tenant"))
         result = RunResult(run_id, rows=stats["rows"], mark=newest)
+        last_mark = high_water_mark(store)
 
         # parent level
         n_p, written_p = _history_step(store, batch, snapshot, newest, oldest, stats["rows"], PARENT, PARENT_HISTORY,
-                                       scope, replay_guard)
+                                       scope, replay_guard, last_mark)
         result.history_rows["parent"] = n_p
         _refresh_latest_raw(store, batch)
         pkeys = list(PARENT.keys)
@@ -168,7 +184,7 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
 
         # child level
         n_c, written_c = _history_step(store, batch, snapshot, newest, oldest, stats["rows"], CHILD, CHILD_HISTORY,
-                                       scope, replay_guard)
+                                       scope, replay_guard, last_mark)
         result.history_rows["child"] = n_c
         ckeys = list(CHILD.keys)
         if n_c > 0:
