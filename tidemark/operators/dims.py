@@ -153,6 +153,43 @@ def parent_latest_state(history: DataFrame, rules: str = "batch", tie: str = TIE
                                    "last_ts": "fecha_ultimo_estado_folio_padre"})
 
 
+def _rank(tie: str = TIE):
+    # Ascending history order as one comparable value (see latest._rank_struct).
+    return F.struct(F.col(TS).isNull(), F.col(TS), F.col(tie).isNull(), F.col(tie))
+
+
+def parent_summary_parts(history: DataFrame, tie: str = TIE) -> DataFrame:
+    """Per-key partial aggregates of the history under the incremental rules.
+
+    Every column is a MIN or MAX, so parts computed over any split of the
+    history (base + per-run deltas, even overlapping ones) merge into the same
+    result with ``merge_parent_summary``: a run never rescans old history.
+    """
+    keys = ["cliente", "folio_padre"]
+    ok = ~(F.col("cliente").isNull() | F.col("folio_padre").isNull())
+    state, ts = F.col("estado_padre"), F.col(TS)
+    return history.groupBy(*keys).agg(
+        F.min(F.when(ok & not_in_or_null(state, NOT_ACCEPTED), ts)).alias("_acc_current"),
+        F.max(F.when(ok, eq_strict(state, F.lit(ASSIGNED)))).alias("_assigned"),
+        F.min(F.when(ok & ne_or_null(state, F.lit(ASSIGNED)), ts)).alias("_first_other"),
+        F.max(F.when(ok & state.isNotNull(), F.struct(_rank(tie).alias("r"), state.alias("s")))).alias("_last"),
+        F.max(F.when(ok, ts)).alias("_last_ts"))
+
+
+def merge_parent_summary(parts: DataFrame) -> DataFrame:
+    keys = ["cliente", "folio_padre"]
+    return parts.groupBy(*keys).agg(
+        F.min("_acc_current").alias("_acc_current"), F.max("_assigned").alias("_assigned"),
+        F.min("_first_other").alias("_first_other"), F.max("_last").alias("_last"),
+        F.max("_last_ts").alias("_last_ts"))
+
+
+def finish_parent_summary(parts: DataFrame) -> DataFrame:
+    return parts.select("cliente", "folio_padre", "_acc_current", "_assigned", "_first_other",
+                        F.col("_last.s").alias("ultimo_estado_folio_padre"),
+                        F.col("_last_ts").alias("fecha_ultimo_estado_folio_padre"))
+
+
 def parent_history_summary(history: DataFrame, rules: str = "batch", tie: str = TIE) -> DataFrame:
     """Everything the parent dimension needs from history, in one aggregate per key.
 
@@ -162,25 +199,17 @@ def parent_history_summary(history: DataFrame, rules: str = "batch", tie: str =
     to NULL for a NULL-key group, which a left join yields as well.
     """
     _check_rules(rules)
+    if rules == "incremental":
+        return finish_parent_summary(parent_summary_parts(history, tie))
     keys = ["cliente", "folio_padre"]
     ok = ~(F.col("cliente").isNull() | F.col("folio_padre").isNull())
     state, ts = F.col("estado_padre"), F.col(TS)
-    rank = F.struct(ts.isNull(), ts, F.col(tie).isNull(), F.col(tie))
     flag = F.when(eq_strict(state, F.lit(ASSIGNED)), F.lit(1)).otherwise(F.lit(0))
-    aggs = [
+    out = history.groupBy(*keys).agg(
         F.min(F.when(ok & not_in_or_null(state, NOT_ACCEPTED), ts)).alias("_acc_current"),
         F.max(F.when(ok, eq_strict(state, F.lit(ASSIGNED)))).alias("_assigned"),
-    ]
-    if rules == "incremental":
-        aggs += [F.min(F.when(ok & ne_or_null(state, F.lit(ASSIGNED)), ts)).alias("_first_other"),
-                 F.max_by(state, F.when(ok & state.isNotNull(), rank)).alias("ultimo_estado_folio_padre"),
-                 F.max(F.when(ok, ts)).alias("fecha_ultimo_estado_folio_padre")]
-    else:
-        aggs += [F.min(F.when(ok & ts.isNotNull(), F.struct(ts.alias("t"), flag.alias("a")))).alias("_m"),
-                 F.max_by(F.struct(state.alias("s"), ts.alias("t")), rank).alias("_l")]
-    out = history.groupBy(*keys).agg(*aggs)
-    if rules == "incremental":
-        return out
+        F.min(F.when(ok & ts.isNotNull(), F.struct(ts.alias("t"), flag.alias("a")))).alias("_m"),
+        F.max_by(F.struct(state.alias("s"), ts.alias("t")), _rank(tie)).alias("_l"))
     return (out.select(*keys, "_acc_current", "_assigned",
                        F.when(F.coalesce(F.col("_assigned"), F.lit(False)) & (F.col("_m.a") == 0), F.col("_m.t"))
                        .alias("_first_batch"),
@@ -188,14 +217,16 @@ def parent_history_summary(history: DataFrame, rules: str = "batch", tie: str =
                        F.col("_l.t").alias("fecha_ultimo_estado_folio_padre")))
 
 
-def parent_dim(raw: DataFrame, history: DataFrame, details: DataFrame, rules: str = "batch",
-               starts: DataFrame | None = None, match_tenant: bool = True, tie: str = TIE) -> DataFrame:
+def parent_dim(raw: DataFrame, history: DataFrame | None, details: DataFrame, rules: str = "batch",
+               starts: DataFrame | None = None, match_tenant: bool = True, tie: str = TIE,
+               summary: DataFrame | None = None) -> DataFrame:
     """Parent dimension (C24 / C26): static attributes, follow-up class,
     acceptance date, case details and latest state; 14 columns.
 
     ``raw`` and ``history`` may be restricted to some cases (affected-key
     refresh); ``starts`` must then come from the whole raw log.  History is
-    aggregated once (``parent_history_summary``) and joined once.
+    aggregated once (``parent_history_summary``) and joined once; a run
+    passes ``summary`` (merged parts, incremental rules) instead of history.
     """
     _check_rules(rules)
     static = parent_static(raw, rules, tie)
@@ -203,7 +234,9 @@ def parent_dim(raw: DataFrame, history: DataFrame, details: DataFrame, rules: st
     if not match_tenant:
         return _parent_dim_case_keys(classified, history, details, rules, tie)
     keys = ["cliente", "folio_padre"]
-    dim = null_safe_join(classified, parent_history_summary(history, rules, tie), keys, "left")
+    if summary is None:
+        summary = parent_history_summary(history, rules, tie)
+    dim = null_safe_join(classified, summary, keys, "left")
     assigned = F.coalesce(F.col("_assigned"), F.lit(False))
     if rules == "incremental":
         legacy = F.when(assigned, F.col("_first_other")).otherwise(F.col("fecha_asignacion"))
@@ -276,19 +309,48 @@ def child_first_last_state(history: DataFrame, rules: str = "batch", tie: str =
                                    "first_ts": "fecha_primer_estado_folio_hijo"})
 
 
+def child_summary_parts(history: DataFrame, tie: str = TIE) -> DataFrame:
+    """Mergeable per-key parts of the child's first/last state (incremental rules, A6/A7)."""
+    keys = ["cliente", "folio_padre", "folio_hijo"]
+    state, ts = F.col("estado_hijo"), F.col(TS)
+    ranked = F.when(state.isNotNull(), F.struct(_rank(tie).alias("r"), state.alias("s")))
+    return history.dropna(subset=keys).groupBy(*keys).agg(
+        F.min(ranked).alias("_first"), F.min(ts).alias("_first_ts"),
+        F.max(ranked).alias("_last"), F.max(ts).alias("_last_ts"))
+
+
+def merge_child_parts(parts: DataFrame) -> DataFrame:
+    keys = ["cliente", "folio_padre", "folio_hijo"]
+    return parts.groupBy(*keys).agg(F.min("_first").alias("_first"), F.min("_first_ts").alias("_first_ts"),
+                                    F.max("_last").alias("_last"), F.max("_last_ts").alias("_last_ts"))
+
+
+def merge_child_summary(parts: DataFrame) -> DataFrame:
+    """Merge parts and finish them into the four first/last columns."""
+    keys = ["cliente", "folio_padre", "folio_hijo"]
+    m = merge_child_parts(parts)
+    return m.select(*keys, F.col("_last.s").alias("ultimo_estado_folio_hijo"),
+                    F.col("_last_ts").alias("fecha_ultimo_estado_folio_hijo"),
+                    F.col("_first.s").alias("primer_estado_folio_hijo"),
+                    F.col("_first_ts").alias("fecha_primer_estado_folio_hijo"))
+
+
 def with_code(df: DataFrame) -> DataFrame:
     """``grd``: the zero-padded code of ``descripcion`` for GRD children."""
     return df.withColumn("grd", extract_code("descripcion", "ppa_grd"))
 
 
-def child_dim(raw: DataFrame, history: DataFrame, benefits: DataFrame, parents: DataFrame,
-              rules: str = "batch", match_tenant: bool = True, tie: str = TIE) -> DataFrame:
-    """Child dimension (C25 / C27); 15 columns."""
+def child_dim(raw: DataFrame, history: DataFrame | None, benefits: DataFrame, parents: DataFrame,
+              rules: str = "batch", match_tenant: bool = True, tie: str = TIE,
+              first_last: DataFrame | None = None) -> DataFrame:
+    """Child dimension (C25 / C27); 15 columns.  A run passes ``first_last``
+    (``merge_child_summary`` of stored parts) instead of history."""
     base = child_base(raw, rules, tie)
     base = benefit_enrichment(base, benefits, match_tenant, tie)
     base = child_followup(base, parents)
-    base = null_safe_join(base, child_first_last_state(history, rules, tie),
-                          ["cliente", "folio_padre", "folio_hijo"], "left")
+    if first_last is None:
+        first_last = child_first_last_state(history, rules, tie)
+    base = null_safe_join(base, first_last, ["cliente", "folio_padre", "folio_hijo"], "left")
     return with_code(base).select(*CHILD_DIM)
 
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.dims import child_dim, parent_dim, tenant_start
+from ..operators.dims import child_dim, child_summary_parts, parent_dim, parent_summary_parts, tenant_start
 from ..operators.history import compress_history, suppressed_batch
 from ..operators.latest import latest_per_key, latest_state
 from ..schemas import CHILD, CHILD_BASE, PARENT, PARENT_STATIC, TIE, TS, require_columns, RAW_COLUMNS
@@ -29,6 +29,11 @@ TENANT_START = "tenant_start"
 PARENT_STATE = "parent_state"
 CHILD_STATE = "child_state"
 STATE_OF = {PARENT_HISTORY: PARENT_STATE, CHILD_HISTORY: CHILD_STATE}
+# Mergeable per-key aggregates of each history (incremental rules): what the
+# dimension refresh needs, without rescanning history.
+PARENT_SUMMARY = "parent_summary"
+CHILD_SUMMARY = "child_summary"
+SUMMARY_OF = {PARENT_HISTORY: PARENT_SUMMARY, CHILD_HISTORY: CHILD_SUMMARY}
 RUNS = "runs"
 
 
@@ -75,6 +80,8 @@ def bootstrap(store: TableStore, raw: DataFrame, details: DataFrame, benefits: D
     store.replace(c_latest, CHILD_LATEST_RAW)
     store.replace(latest_state(ph, PARENT), PARENT_STATE)
     store.replace(latest_state(ch, CHILD), CHILD_STATE)
+    store.replace(parent_summary_parts(ph), PARENT_SUMMARY)
+    store.replace(child_summary_parts(ch), CHILD_SUMMARY)
     mark = raw.agg(F.max(TS).alias("mark"), F.count(F.lit(1)).alias("rows")).first()
     record_run(store, "bootstrap", mark["mark"], mark["rows"], replace=True)
     return {t: store.read(t).count() for t in (PARENT_HISTORY, CHILD_HISTORY, PARENT_DIM, CHILD_DIM)}

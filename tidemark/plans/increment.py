@@ -21,14 +21,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import not_blank, null_safe_join
-from ..operators.dims import child_dim, parent_dim, tenant_start
+from ..operators.dims import (child_dim, child_summary_parts, finish_parent_summary, merge_child_parts,
+                              merge_child_summary, merge_parent_summary, parent_dim, parent_summary_parts,
+                              tenant_start)
 from ..operators.history import HOT_KEY_ROWS, detect_changes, suppressed_incremental
 from ..operators.latest import latest_per_key, latest_snapshot, latest_state
 from ..operators.sizing import small_side
 from ..schemas import CHILD, CHILD_BASE, PARENT, PARENT_STATIC, SUPPRESSED, TIE, TS, Level, require_columns
 from ..sinks.store import TableStore
-from .bootstrap import (CHILD_DIM, CHILD_HISTORY, CHILD_LATEST_RAW, CHILD_STATE, PARENT_DIM, PARENT_HISTORY,
-                        PARENT_LATEST_RAW, PARENT_STATE, RUNS, STATE_OF, TENANT_START, record_run)
+from .bootstrap import (CHILD_DIM, CHILD_HISTORY, CHILD_LATEST_RAW, CHILD_STATE, CHILD_SUMMARY, PARENT_DIM,
+                        PARENT_HISTORY, PARENT_LATEST_RAW, PARENT_STATE, PARENT_SUMMARY, RUNS, STATE_OF,
+                        SUMMARY_OF, TENANT_START, record_run)
 
 
 @dataclass
@@ -81,16 +84,20 @@ def _semi(df: DataFrame, keys_df: DataFrame, keys, right_keys=None) -> DataFrame
 
 def _history_step(store: TableStore, batch: DataFrame, snapshot: DataFrame, newest, oldest, rows: int,
                   level: Level, table: str, scope: str, replay_guard: bool,
-                  last_mark) -> tuple[int, DataFrame | None]:
-    """Append the level's changes and markers; return (rows appended, appended rows)."""
+                  last_mark) -> tuple[int, DataFrame]:
+    """Append the level's changes and markers to history and fold them into
+    the state and summary tables.
+
+    Returns the rows history holds beyond the last recorded run - this run's
+    rows plus any a failed earlier attempt appended - and their count.
+    """
+    cols = list(level.columns) + [TIE]
     hist = store.read(table)
-    state_table = STATE_OF[table]
+    state_table, summary_table = STATE_OF[table], SUMMARY_OF[table]
     # Newest stored row per key: the state table (base + one delta per run)
-    # plus history rows newer than the last recorded run - rows a run that
-    # failed before committing may have appended - de-duplicated.  Falls back
-    # to the whole history when the store predates the state table.
+    # plus history rows newer than the last recorded run, de-duplicated.
+    # Falls back to the whole history when the store predates the state table.
     if store.exists(state_table) and hist is not None:
-        cols = list(level.columns) + [TIE]
         unrecorded = incremental_scan(hist, last_mark).select(*cols)
         state = latest_state(store.read(state_table).select(*cols).unionByName(unrecorded), level)
     else:
@@ -103,14 +110,18 @@ def _history_step(store: TableStore, batch: DataFrame, snapshot: DataFrame, newe
         out = out.unionByName(suppressed_incremental(state, snapshot, level, scope=scope, snapshot_ts=newest))
     if replay_guard and hist is not None:
         # Rows already stored for this time range (a batch read twice) are dropped.
-        recent = hist.filter(F.col(TS) >= F.lit(oldest)).select(*level.columns, TIE)
-        out = null_safe_join(out, recent, list(level.columns) + [TIE], "left_anti")
-    v = store.append(out, table)
-    written = store.read_version(table, v)
-    n = written.count()
+        recent = hist.filter(F.col(TS) >= F.lit(oldest)).select(*cols)
+        out = null_safe_join(out, recent, cols, "left_anti")
+    store.append(out, table)
+    fresh = incremental_scan(store.read(table), last_mark).select(*cols)
+    n = fresh.count()
     if n:
-        store.append(written, state_table)
-    return n, written
+        # Duplicates across deltas are harmless: readers de-duplicate the
+        # state and the summary parts are MIN/MAX aggregates.
+        store.append(fresh, state_table)
+        parts = parent_summary_parts if level is PARENT else child_summary_parts
+        store.append(parts(fresh), summary_table)
+    return n, fresh
 
 
 def _refresh_latest_raw(store: TableStore, batch: DataFrame) -> None:
@@ -146,6 +157,8 @@ def compact_state(store: TableStore) -> None:
     store.replace(tenant_starts(store), TENANT_START)
     store.replace(latest_state(store.read(PARENT_STATE), PARENT), PARENT_STATE)
     store.replace(latest_state(store.read(CHILD_STATE), CHILD), CHILD_STATE)
+    store.replace(merge_parent_summary(store.read(PARENT_SUMMARY)), PARENT_SUMMARY)
+    store.replace(merge_child_parts(store.read(CHILD_SUMMARY)), CHILD_SUMMARY)
     for table in (PARENT_HISTORY, CHILD_HISTORY):
         store.compact(table)
 
@@ -156,7 +169,9 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
     if _run_done(store, run_id):
         return RunResult(run_id, skipped=True)
     require_columns(batch, CHILD.columns + PARENT.columns + (TIE,), "batch")
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    last_mark = high_water_mark(store)
+    # Rows at or before the mark are late: never applied (T4).
+    batch = incremental_scan(batch, last_mark).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = batch.agg(F.max(TS).alias("newest"), F.min(TS).alias("oldest"),
                           F.count(F.lit(1)).alias("rows")).first()
@@ -166,7 +181,6 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
         snapshot = (batch.filter(F.col(TS) == F.lit(newest)) if scope == "global"
                     else latest_snapshot(batch, "tenant"))
         result = RunResult(run_id, rows=stats["rows"], mark=newest)
-        last_mark = high_water_mark(store)
 
         # parent level
         n_p, written_p = _history_step(store, batch, snapshot, newest, oldest, stats["rows"], PARENT, PARENT_HISTORY,
@@ -177,9 +191,10 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
         if n_p > 0:
             affected = small_side(affected_keys(batch, _markers(written_p, PARENT), PARENT))
             raw_aff = latest_raw(store, PARENT_LATEST_RAW, pkeys, affected, pkeys)
-            hist_aff = _semi(store.read(PARENT_HISTORY), affected, pkeys)
+            summary = finish_parent_summary(merge_parent_summary(_semi(store.read(PARENT_SUMMARY), affected, pkeys)))
             details_aff = _semi(details, raw_aff.select("url_ficha").distinct(), ["url_ficha"])
-            new_rows = parent_dim(raw_aff, hist_aff, details_aff, "incremental", starts=tenant_starts(store))
+            new_rows = parent_dim(raw_aff, None, details_aff, "incremental", starts=tenant_starts(store),
+                                  summary=summary)
             store.upsert(new_rows, affected, PARENT_DIM, pkeys)
 
         # child level
@@ -190,9 +205,10 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
         if n_c > 0:
             affected = small_side(affected_keys(batch, _markers(written_c, CHILD), CHILD))
             raw_aff = latest_raw(store, CHILD_LATEST_RAW, ["cliente", "folio_padre", "folio_hijo"], affected, ckeys)
-            hist_aff = _semi(store.read(CHILD_HISTORY), affected, ckeys)
+            first_last = merge_child_summary(_semi(store.read(CHILD_SUMMARY), affected, ckeys))
             benefits_aff = _semi(benefits, affected, ["cliente", "folio"], right_keys=ckeys)
-            new_rows = child_dim(raw_aff, hist_aff, benefits_aff, store.read(PARENT_DIM), "incremental")
+            new_rows = child_dim(raw_aff, None, benefits_aff, store.read(PARENT_DIM), "incremental",
+                                 first_last=first_last)
             store.upsert(new_rows, affected, CHILD_DIM, ckeys)
 
         record_run(store, run_id or f"run-{newest}", newest, stats["rows"])
