@@ -1,7 +1,5 @@
 """Literal edge rows (FIXTURES.md section 4), one per NULL rule / ledger entry."""
 
-import datetime as dt
-
 from pyspark.sql import functions as F
 
 from conftest import raw_df, ts

@@ -106,7 +106,6 @@ def test_affected_key_refresh_equals_restricted_rebuild(spark):
     """Dimension rows of the keys a run touched equal a rebuild under the
     incremental rules over the same inputs, restricted to those keys."""
     from tidemark.operators import dims as D
-    from tidemark.operators.latest import latest_per_key
     store = daily_runs(spark, SF001, runs=1)
     raw, det, ben = _inputs(spark, SF001)
     upto = raw.filter(F.col("fecha_registro") <= F.lit("2024-01-21").cast("timestamp_ntz"))

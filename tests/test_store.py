@@ -49,3 +49,18 @@ def test_uncommitted_version_is_invisible(spark):
     v = store.append(df(spark, [("b", 2)]), "t")
     assert v == 2
     assert rows(store.read("t")) == [("a", 1), ("b", 2)]
+
+
+def test_read_source_path_and_catalog(spark):
+    from tidemark.sources.tables import read_source
+    path = scratch(spark, "src")
+    df(spark, [("a", 1)]).write.parquet(path)
+    assert rows(read_source(spark, path)) == [("a", 1)]
+    df(spark, [("b", 2)]).createOrReplaceTempView("tm_src_view")
+    assert rows(read_source(spark, "tm_src_view")) == [("b", 2)]
+
+
+def test_work_dir_reads_session_setting(spark):
+    from tidemark.session import work_dir
+    d = work_dir(spark)
+    assert d and spark.conf.get("spark.checkpoint.dir").rstrip("/") == d

@@ -21,8 +21,9 @@ CHILD_DIM = "child_dim"
 # State kept so that an incremental run never rescans the raw log: the
 # newest raw row per parent / child (what the incremental rules read), the
 # tenants' first snapshot, and the log of processed batches (high-water mark).
-PARENT_LATEST_RAW = "parent_latest_raw"
-CHILD_LATEST_RAW = "child_latest_raw"
+# ``latest_raw`` keeps the newest raw row per (tenant, parent, child); the
+# newest row per parent is the newest of its rows there.
+LATEST_RAW = "latest_raw"
 TENANT_START = "tenant_start"
 # Newest history row per key, kept beside each history so that a run reads
 # O(keys) rows instead of recomputing it over the whole history.
@@ -50,11 +51,13 @@ def batch_histories(raw: DataFrame, as_of, literal_child: bool = False) -> Histo
     return Histories(parent, child)
 
 
-def latest_raw_tables(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Newest raw row per parent and per (tenant, parent, child)."""
-    p = latest_per_key(raw.select(*PARENT_STATIC, TS, TIE), ["cliente", "folio_padre"])
-    c = latest_per_key(raw.select(*CHILD_BASE, TS, TIE), ["cliente", "folio_padre", "folio_hijo"])
-    return p, c
+LATEST_RAW_COLUMNS = tuple(dict.fromkeys(PARENT_STATIC + CHILD_BASE + (TS, TIE)))
+LATEST_RAW_KEYS = ["cliente", "folio_padre", "folio_hijo"]
+
+
+def latest_raw_table(raw: DataFrame) -> DataFrame:
+    """Newest raw row per (tenant, parent, child), with the columns both dimensions read."""
+    return latest_per_key(raw.select(*LATEST_RAW_COLUMNS), LATEST_RAW_KEYS)
 
 
 def bootstrap(store: TableStore, raw: DataFrame, details: DataFrame, benefits: DataFrame, as_of,
@@ -75,9 +78,7 @@ def bootstrap(store: TableStore, raw: DataFrame, details: DataFrame, benefits: D
     store.replace(parent_dim(raw, ph, details, "batch", starts=starts, match_tenant=match_tenant), PARENT_DIM)
     pdim = store.read(PARENT_DIM)
     store.replace(child_dim(raw, ch, benefits, pdim, "batch", match_tenant=match_tenant), CHILD_DIM)
-    p_latest, c_latest = latest_raw_tables(raw)
-    store.replace(p_latest, PARENT_LATEST_RAW)
-    store.replace(c_latest, CHILD_LATEST_RAW)
+    store.replace(latest_raw_table(raw), LATEST_RAW)
     store.replace(latest_state(ph, PARENT), PARENT_STATE)
     store.replace(latest_state(ch, CHILD), CHILD_STATE)
     store.replace(parent_summary_parts(ph), PARENT_SUMMARY)

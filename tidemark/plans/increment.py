@@ -27,11 +27,11 @@ from ..operators.dims import (child_dim, child_summary_parts, finish_parent_summ
 from ..operators.history import HOT_KEY_ROWS, detect_changes, suppressed_incremental
 from ..operators.latest import latest_per_key, latest_snapshot, latest_state
 from ..operators.sizing import small_side
-from ..schemas import CHILD, CHILD_BASE, PARENT, PARENT_STATIC, SUPPRESSED, TIE, TS, Level, require_columns
+from ..schemas import CHILD, PARENT, SUPPRESSED, TIE, TS, Level, require_columns
 from ..sinks.store import TableStore
-from .bootstrap import (CHILD_DIM, CHILD_HISTORY, CHILD_LATEST_RAW, CHILD_STATE, CHILD_SUMMARY, PARENT_DIM,
-                        PARENT_HISTORY, PARENT_LATEST_RAW, PARENT_STATE, PARENT_SUMMARY, RUNS, STATE_OF,
-                        SUMMARY_OF, TENANT_START, record_run)
+from .bootstrap import (CHILD_DIM, CHILD_HISTORY, CHILD_STATE, CHILD_SUMMARY, LATEST_RAW, LATEST_RAW_KEYS,
+                        PARENT_DIM, PARENT_HISTORY, PARENT_STATE, PARENT_SUMMARY, RUNS, STATE_OF, SUMMARY_OF,
+                        TENANT_START, latest_raw_table, record_run)
 
 
 @dataclass
@@ -66,11 +66,21 @@ def incremental_scan(raw: DataFrame, mark) -> DataFrame:
     return raw.filter(F.col(TS) > F.lit(mark).cast(raw.schema[TS].dataType))
 
 
-def _run_done(store: TableStore, run_id: str | None) -> bool:
-    if run_id is None:
-        return False
+def _run_log(store: TableStore, run_id: str | None):
+    """(already done?, last recorded mark) from the run log, in one job."""
     runs = store.read(RUNS)
-    return runs is not None and not runs.filter(F.col("run_id") == run_id).isEmpty()
+    if runs is None:
+        return False, None
+    done = F.max(F.col("run_id") == F.lit(run_id)) if run_id is not None else F.lit(False)
+    row = runs.agg(F.coalesce(done, F.lit(False)).alias("done"), F.max("mark").alias("mark")).first()
+    return bool(row["done"]), row["mark"]
+
+
+def _checked(keys: DataFrame, cached: list) -> DataFrame:
+    """Distinct affected keys, cached once and size-checked once (broadcast if small)."""
+    keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.append(keys)
+    return small_side(keys)
 
 
 def _markers(written: DataFrame, level: Level) -> DataFrame:
@@ -127,14 +137,12 @@ def _history_step(store: TableStore, batch: DataFrame, snapshot: DataFrame, newe
 def _refresh_latest_raw(store: TableStore, batch: DataFrame) -> None:
     """Fold the batch into the state tables: append-only deltas, no rewrite.
 
-    The newest raw row per parent / child and the tenants' first snapshot
-    time are appended as delta versions holding only the batch's rows;
+    The newest raw row per (tenant, parent, child) and the tenants' first
+    snapshot time are appended as delta versions holding only the batch's rows;
     readers deduplicate (``latest_raw``, ``tenant_starts``), and
     ``compact_state`` folds the deltas from time to time.
     """
-    pkeys, ckeys = ["cliente", "folio_padre"], ["cliente", "folio_padre", "folio_hijo"]
-    store.append(latest_per_key(batch.select(*PARENT_STATIC, TS, TIE), pkeys), PARENT_LATEST_RAW)
-    store.append(latest_per_key(batch.select(*CHILD_BASE, TS, TIE), ckeys), CHILD_LATEST_RAW)
+    store.append(latest_raw_table(batch), LATEST_RAW)
     store.append(tenant_start(batch), TENANT_START)
 
 
@@ -151,9 +159,7 @@ def tenant_starts(store: TableStore) -> DataFrame:
 
 def compact_state(store: TableStore) -> None:
     """Fold the state deltas into one base version each (same content)."""
-    store.replace(latest_per_key(store.read(PARENT_LATEST_RAW), ["cliente", "folio_padre"]), PARENT_LATEST_RAW)
-    store.replace(latest_per_key(store.read(CHILD_LATEST_RAW), ["cliente", "folio_padre", "folio_hijo"]),
-                  CHILD_LATEST_RAW)
+    store.replace(latest_per_key(store.read(LATEST_RAW), LATEST_RAW_KEYS), LATEST_RAW)
     store.replace(tenant_starts(store), TENANT_START)
     store.replace(latest_state(store.read(PARENT_STATE), PARENT), PARENT_STATE)
     store.replace(latest_state(store.read(CHILD_STATE), CHILD), CHILD_STATE)
@@ -166,12 +172,13 @@ def compact_state(store: TableStore) -> None:
 def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benefits: DataFrame,
                   run_id: str | None = None, scope: str = "global", replay_guard: bool = True) -> RunResult:
     """Apply one batch of raw rows (all newer than anything stored)."""
-    if _run_done(store, run_id):
+    done, last_mark = _run_log(store, run_id)
+    if done:
         return RunResult(run_id, skipped=True)
     require_columns(batch, CHILD.columns + PARENT.columns + (TIE,), "batch")
-    last_mark = high_water_mark(store)
     # Rows at or before the mark are late: never applied (T4).
     batch = incremental_scan(batch, last_mark).persist(StorageLevel.MEMORY_AND_DISK)
+    cached = [batch]
     try:
         stats = batch.agg(F.max(TS).alias("newest"), F.min(TS).alias("oldest"),
                           F.count(F.lit(1)).alias("rows")).first()
@@ -189,13 +196,13 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
         _refresh_latest_raw(store, batch)
         pkeys = list(PARENT.keys)
         if n_p > 0:
-            affected = small_side(affected_keys(batch, _markers(written_p, PARENT), PARENT))
-            raw_aff = latest_raw(store, PARENT_LATEST_RAW, pkeys, affected, pkeys)
+            affected = _checked(affected_keys(batch, _markers(written_p, PARENT), PARENT), cached)
+            raw_aff = latest_raw(store, LATEST_RAW, pkeys, affected, pkeys)
             summary = finish_parent_summary(merge_parent_summary(_semi(store.read(PARENT_SUMMARY), affected, pkeys)))
             details_aff = _semi(details, raw_aff.select("url_ficha").distinct(), ["url_ficha"])
             new_rows = parent_dim(raw_aff, None, details_aff, "incremental", starts=tenant_starts(store),
                                   summary=summary)
-            store.upsert(new_rows, affected, PARENT_DIM, pkeys)
+            store.upsert(new_rows, affected, PARENT_DIM, pkeys, checked=True)
 
         # child level
         n_c, written_c = _history_step(store, batch, snapshot, newest, oldest, stats["rows"], CHILD, CHILD_HISTORY,
@@ -203,18 +210,19 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
         result.history_rows["child"] = n_c
         ckeys = list(CHILD.keys)
         if n_c > 0:
-            affected = small_side(affected_keys(batch, _markers(written_c, CHILD), CHILD))
-            raw_aff = latest_raw(store, CHILD_LATEST_RAW, ["cliente", "folio_padre", "folio_hijo"], affected, ckeys)
+            affected = _checked(affected_keys(batch, _markers(written_c, CHILD), CHILD), cached)
+            raw_aff = latest_raw(store, LATEST_RAW, LATEST_RAW_KEYS, affected, ckeys)
             first_last = merge_child_summary(_semi(store.read(CHILD_SUMMARY), affected, ckeys))
             benefits_aff = _semi(benefits, affected, ["cliente", "folio"], right_keys=ckeys)
             new_rows = child_dim(raw_aff, None, benefits_aff, store.read(PARENT_DIM), "incremental",
                                  first_last=first_last)
-            store.upsert(new_rows, affected, CHILD_DIM, ckeys)
+            store.upsert(new_rows, affected, CHILD_DIM, ckeys, checked=True)
 
         record_run(store, run_id or f"run-{newest}", newest, stats["rows"])
         return result
     finally:
-        batch.unpersist()
+        for df in cached:
+            df.unpersist()
 
 
 def run_from_source(store: TableStore, raw: DataFrame, details: DataFrame, benefits: DataFrame,

@@ -26,6 +26,10 @@ SEED_AS_OF = "2024-01-20"
 _done: dict = {}
 
 
+def _session_id(spark: SparkSession) -> int:
+    return id(getattr(spark, "_jsparkSession", spark))
+
+
 def _inputs(spark: SparkSession, sf_dir: str):
     return fx.case_log(spark, sf_dir), fx.case_details(spark, sf_dir), fx.benefits(spark, sf_dir)
 
@@ -48,7 +52,7 @@ def later_snapshots(raw, limit: int | None = None) -> list:
 
 def daily_runs(spark: SparkSession, sf_dir: str, runs: int | None = None) -> TableStore:
     """Seed, then one scheduled run per later snapshot (all, or the first ``runs``)."""
-    key = ("loop", sf_dir, runs, id(spark._jsparkSession))
+    key = ("loop", sf_dir, runs, _session_id(spark))
     if key not in _done:
         store, raw, det, ben = seeded_store(spark, sf_dir, f"daily-{runs or 'all'}")
         for t in later_snapshots(raw, runs):
@@ -61,7 +65,7 @@ def daily_runs(spark: SparkSession, sf_dir: str, runs: int | None = None) -> Tab
 
 def streamed_runs(spark: SparkSession, sf_dir: str, runs: int | None = None) -> TableStore:
     """Seed, then a stream over one parquet file per later snapshot (all, or the first ``runs``)."""
-    key = ("stream", sf_dir, runs, id(spark._jsparkSession))
+    key = ("stream", sf_dir, runs, _session_id(spark))
     if key not in _done:
         store, raw, det, ben = seeded_store(spark, sf_dir, f"streamed-{runs or 'all'}")
         incoming = scratch(spark, "incoming")

@@ -109,16 +109,17 @@ class TableStore:
         """Fold the deltas into one base version (same rows, fewer files)."""
         return self.replace(self.read(table), table)
 
-    def upsert(self, new_rows: DataFrame, affected: DataFrame, table: str, keys) -> int:
+    def upsert(self, new_rows: DataFrame, affected: DataFrame, table: str, keys, checked: bool = False) -> int:
         """K3/K4: delete the rows whose ``keys`` appear in ``affected``, insert ``new_rows``.
 
         The new version is computed from the current one and written to a
         new folder, so the read and the write never touch the same files.
+        ``checked=True``: ``affected`` is already distinct and size-checked.
         """
         keys = list(keys)
         current = self.read(table)
         if current is None:
             return self.replace(new_rows, table)
-        gone = small_side(affected.select(*keys).distinct())
+        gone = affected if checked else small_side(affected.select(*keys).distinct())
         kept = null_safe_join(current, gone, keys, "left_anti")
         return self.replace(kept.unionByName(new_rows.select(*current.columns)), table)
