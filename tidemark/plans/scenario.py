@@ -64,15 +64,16 @@ def daily_runs(spark: SparkSession, sf_dir: str, runs: int | None = None) -> Tab
 
 
 def streamed_runs(spark: SparkSession, sf_dir: str, runs: int | None = None) -> TableStore:
-    """Seed, then a stream over one parquet file per later snapshot (all, or the first ``runs``)."""
+    """Seed, then a stream over the later snapshots (all, or the first ``runs``), landed as files."""
     key = ("stream", sf_dir, runs, _session_id(spark))
     if key not in _done:
         store, raw, det, ben = seeded_store(spark, sf_dir, f"streamed-{runs or 'all'}")
         incoming = scratch(spark, "incoming")
-        for t in later_snapshots(raw, runs):
-            # Fixture landing step: each snapshot arrives as one file, in time order.
-            raw.filter(F.col("fecha_registro") == F.lit(t)).coalesce(1).write.mode("append").parquet(incoming)
-        stream = snapshot_stream(spark, incoming, raw.schema, files_per_trigger=1)
+        times = later_snapshots(raw, runs)
+        # Fixture landing step: the later snapshots land as parquet files.
+        raw.filter((F.col("fecha_registro") > F.lit(SEED_MARK)) & (F.col("fecha_registro") <= F.lit(times[-1]))) \
+            .write.mode("append").parquet(incoming)
+        stream = snapshot_stream(spark, incoming, raw.schema)
         run_stream(store, stream, det, ben, checkpoint=scratch(spark, "stream-checkpoint"))
         _done[key] = store
     return _done[key]

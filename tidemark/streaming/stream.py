@@ -3,8 +3,14 @@
 Snapshot files land in a folder; a file-source stream picks them up and
 ``foreachBatch`` applies each micro-batch with ``run_increment``.  The
 stream's checkpoint tracks which files were read; the run log in the store
-keys each run by the micro-batch id, so a micro-batch replayed after a
-failure is not applied twice.
+keys each run by micro-batch id and snapshot time, so a micro-batch replayed
+after a failure is not applied twice.
+
+A micro-batch may hold several snapshots (a trigger takes every file that
+has landed).  With ``per_snapshot=True`` (default) they are applied one by
+one in time order, so results do not depend on how files were grouped into
+triggers; each snapshot must land whole (write it elsewhere and move it in,
+the usual landing protocol), since absence is judged against it.
 
 Change detection needs the previous state of every key and absence detection
 needs a whole snapshot, which is why the body is a batch job per trigger
@@ -14,27 +20,50 @@ by Spark, and absence is not visible row by row).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans.increment import run_increment
+from ..schemas import TS
 from ..sinks.store import TableStore
 
 
-def snapshot_stream(spark: SparkSession, folder: str, schema, files_per_trigger: int = 1) -> DataFrame:
+def snapshot_stream(spark: SparkSession, folder: str, schema, files_per_trigger: int | None = None) -> DataFrame:
     """Stream of raw rows from parquet files in ``folder``, oldest file first."""
-    return (spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(folder))
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(folder)
+
+
+def apply_batch(store: TableStore, batch: DataFrame, batch_id: int, details: DataFrame, benefits: DataFrame,
+                scope: str = "global", per_snapshot: bool = True, name: str = "stream") -> None:
+    """Apply one micro-batch: snapshot by snapshot, or as one run."""
+    if not per_snapshot:
+        run_increment(store, batch, details, benefits, run_id=f"{name}-{batch_id}", scope=scope)
+        return
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # The snapshot times of one trigger: a short list (one per landed snapshot).
+        times = [r[0] for r in batch.select(TS).distinct().orderBy(TS).collect()]
+        for t in times:
+            snap = batch.filter(F.col(TS) == F.lit(t))
+            run_increment(store, snap, details, benefits, run_id=f"{name}-{batch_id}-{t:%Y%m%d%H%M%S}",
+                          scope=scope)
+    finally:
+        batch.unpersist()
 
 
 def run_stream(store: TableStore, stream: DataFrame, details: DataFrame, benefits: DataFrame,
-               checkpoint: str, scope: str = "global", available_now: bool = True, name: str = "stream"):
-    """Apply every available micro-batch (``availableNow``) or run continuously.
+               checkpoint: str, scope: str = "global", per_snapshot: bool = True,
+               available_now: bool = True, name: str = "stream"):
+    """Apply every available micro-batch (``availableNow``) or run hourly.
 
     Returns the finished (or running) ``StreamingQuery``.
     """
     def body(batch: DataFrame, batch_id: int) -> None:
-        run_increment(store, batch, details, benefits, run_id=f"{name}-{batch_id}", scope=scope)
+        apply_batch(store, batch, batch_id, details, benefits, scope, per_snapshot, name)
 
     writer = stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
