@@ -2,7 +2,7 @@
 
 Seed: the full rebuild over snapshots up to 2024-01-20 (as-of 2024-01-20).
 Then one incremental run per later snapshot - as a loop of scheduled runs,
-or as a stream over one file per snapshot.  Results are kept per session
+or as a stream over the snapshots landed as files.  Results are kept per session
 and input folder, so queries that read the same scenario share one run.
 """
 
