@@ -95,6 +95,20 @@ def test_full_history_within_incremental_history(spark):
     incr = collections.Counter(map(tuple, store.read(PARENT_HISTORY).filter(
         F.col("estado_padre") != SUPPRESSED).select(*PARENT.columns).collect()))
     assert not (full - incr)
+    surplus = incr - full
+    assert surplus  # the fixture has returns with unchanged state
+    # Each surplus row follows a marker and repeats the state held before it.
+    hist = sorted(store.read(PARENT_HISTORY).collect(),
+                  key=lambda r: (r["cliente"], r["folio_padre"], r["fecha_registro"],
+                                 r["load_seq"] is None, r["load_seq"] or 0))
+    by_key = collections.defaultdict(list)
+    for r in hist:
+        by_key[(r["cliente"], r["folio_padre"])].append(r)
+    for row in surplus.elements():
+        seq = by_key[(row[0], row[1])]
+        i = next(j for j, r in enumerate(seq) if tuple(r[c] for c in PARENT.columns) == row)
+        assert i >= 2 and seq[i - 1]["estado_padre"] == SUPPRESSED
+        assert seq[i - 2]["estado_padre"] == row[3]
 
 
 def test_upsert_queries_match_oracle(spark, con):

@@ -64,3 +64,12 @@ def test_work_dir_reads_session_setting(spark):
     from tidemark.session import work_dir
     d = work_dir(spark)
     assert d and spark.conf.get("spark.checkpoint.dir").rstrip("/") == d
+
+
+def test_require_columns(spark):
+    import pytest
+    from tidemark.schemas import MissingColumnsError, require_columns
+    d = df(spark, [("a", 1)])
+    assert require_columns(d, ["k"]) is d
+    with pytest.raises(MissingColumnsError):
+        require_columns(d, ["k", "estado_padre"])
