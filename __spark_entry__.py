@@ -22,6 +22,7 @@ from tidemark.plans.increment import affected_keys, incremental_scan
 from tidemark.plans.scenario import SEED_AS_OF, SEED_MARK, daily_runs, streamed_runs
 from tidemark.schemas import CHILD, PARENT, PARENT_STATIC, CHILD_BASE
 from tidemark.sources import fixtures as fx
+from tidemark.functions.time import ntz
 
 SF_SMOKE = "/root/testdata/sf0.001"
 AS_OF = "2024-01-30"
@@ -46,8 +47,8 @@ def _hist(spark, sf, level, as_of=AS_OF, raw=None):
 
 def _seed(spark, sf):
     raw = _raw(spark, sf)
-    return raw.filter(F.col("fecha_registro") <= F.lit(SEED_MARK)), raw.filter(
-        F.col("fecha_registro") > F.lit(SEED_MARK))
+    return raw.filter(F.col("fecha_registro") <= ntz(SEED_MARK)), raw.filter(
+        F.col("fecha_registro") > ntz(SEED_MARK))
 
 
 def _seed_state(spark, sf, level):
@@ -93,8 +94,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def supp_staggered(scope):
         def run(spark, sf):
             raw = staggered(spark, sf)
-            seed = raw.filter(F.col("fecha_registro") < F.lit(DAY1))
-            later = raw.filter(F.col("fecha_registro") >= F.lit(DAY1))
+            seed = raw.filter(F.col("fecha_registro") < ntz(DAY1))
+            later = raw.filter(F.col("fecha_registro") >= ntz(DAY1))
             state = latest_state(compress_history(seed, PARENT).unionByName(
                 suppressed_batch(seed, PARENT, SEED_AS_OF)), PARENT)
             snap = latest_snapshot(later, scope)
@@ -145,7 +146,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     def aff_keys(spark, sf):
         state, later = _seed_state(spark, sf, PARENT)
-        batch = later.filter(F.col("fecha_registro") <= F.lit(DAY1))
+        batch = later.filter(F.col("fecha_registro") <= ntz(DAY1))
         markers = suppressed_incremental(state, latest_snapshot(batch), PARENT)
         return affected_keys(batch, markers, PARENT)
 

@@ -33,6 +33,7 @@ from tidemark.session import local_session, scratch  # noqa: E402
 from tidemark.sinks.store import TableStore  # noqa: E402
 from tidemark.sources import fixtures as fx  # noqa: E402
 from tidemark.streaming.stream import run_stream, snapshot_stream  # noqa: E402
+from tidemark.functions.time import ntz  # noqa: E402
 
 AS_OF = "2024-01-30"
 
@@ -73,14 +74,14 @@ def main() -> None:
     q["bootstrap"] = timed(lambda: bootstrap(TableStore(spark, scratch(spark, "bench-boot")), raw, det, ben, AS_OF), 3)
 
     # Seed, then 10 daily runs.
-    seed = raw.filter(F.col("fecha_registro") <= F.lit(SEED_MARK))
+    seed = raw.filter(F.col("fecha_registro") <= ntz(SEED_MARK))
     store = TableStore(spark, scratch(spark, "bench-incr"))
     bootstrap(store, seed, det, ben, SEED_AS_OF)
-    later = [r[0] for r in raw.filter(F.col("fecha_registro") > F.lit(SEED_MARK))
+    later = [r[0] for r in raw.filter(F.col("fecha_registro") > ntz(SEED_MARK))
              .select("fecha_registro").distinct().orderBy("fecha_registro").collect()]
     per_run = []
     for t in later:
-        source = raw.filter(F.col("fecha_registro") <= F.lit(t))
+        source = raw.filter(F.col("fecha_registro") <= ntz(t))
         per_run.append(timed(lambda: run_from_source(store, source, det, ben, run_id=f"bench-{t:%Y%m%d}")))
     q["incremental_run"] = statistics.median(per_run)
     q["incremental_10_runs"] = sum(per_run)
@@ -89,7 +90,7 @@ def main() -> None:
     sstore = TableStore(spark, scratch(spark, "bench-stream"))
     bootstrap(sstore, seed, det, ben, SEED_AS_OF)
     incoming = scratch(spark, "bench-incoming")
-    raw.filter(F.col("fecha_registro") > F.lit(SEED_MARK)).write.parquet(incoming)
+    raw.filter(F.col("fecha_registro") > ntz(SEED_MARK)).write.parquet(incoming)
     q["stream_10_snapshots"] = timed(lambda: run_stream(
         sstore, snapshot_stream(spark, incoming, raw.schema), det, ben,
         checkpoint=scratch(spark, "bench-ckpt")))

@@ -15,6 +15,7 @@ from tidemark.plans.increment import run_from_source
 from tidemark.plans.scenario import daily_runs, streamed_runs, _inputs
 from tidemark.schemas import CHILD, PARENT, SUPPRESSED
 from test_oracle import TABLES, rows_of_spark, rows_of_sql
+from tidemark.functions.time import ntz
 
 RUNS = 3
 UNTIL = "TIMESTAMP '2024-01-23 00:00:00'"
@@ -55,12 +56,12 @@ def test_replay_is_harmless(spark):
     before = {t: store.read(t).count() for t in (PARENT_HISTORY, CHILD_HISTORY, PARENT_DIM, CHILD_DIM)}
     # Same run id: skipped.  Fresh id over an already processed range: nothing new.
     last = store.read("runs").orderBy(F.col("mark").desc()).first()
-    r = run_from_source(store, raw.filter(F.col("fecha_registro") <= F.lit(last["mark"])), det, ben,
+    r = run_from_source(store, raw.filter(F.col("fecha_registro") <= ntz(last["mark"])), det, ben,
                         run_id=last["run_id"])
     assert r.skipped
-    seeded_raw = raw.filter(F.col("fecha_registro") <= F.lit(last["mark"]))
+    seeded_raw = raw.filter(F.col("fecha_registro") <= ntz(last["mark"]))
     from tidemark.plans.increment import run_increment
-    replay = seeded_raw.filter(F.col("fecha_registro") == F.lit(last["mark"]))
+    replay = seeded_raw.filter(F.col("fecha_registro") == ntz(last["mark"]))
     r2 = run_increment(store, replay, det, ben, run_id="replay-test")
     assert r2.skipped  # rows at or before the mark are late (T4)
     after = {t: store.read(t).count() for t in before}
@@ -142,10 +143,10 @@ def test_retry_after_partial_run_equals_clean_run(spark):
     from tidemark.plans.scenario import seeded_store
     store, raw, det, ben = seeded_store(spark, SF001, "retry")
     day = dt.datetime(2024, 1, 21)
-    source = raw.filter(F.col("fecha_registro") <= F.lit(day))
+    source = raw.filter(F.col("fecha_registro") <= ntz(day))
     last = I.high_water_mark(store)
     b = I.incremental_scan(source, last)
-    snap = b.filter(F.col("fecha_registro") == F.lit(day))
+    snap = b.filter(F.col("fecha_registro") == ntz(day))
     I._history_step(store, b, snap, day, day, b.count(), PARENT, PARENT_HISTORY, "global", True, last)
     I.run_from_source(store, source, det, ben, run_id="retry")
     clean = daily_runs(spark, SF001, runs=1)
@@ -169,8 +170,8 @@ def test_tenant_scope_run_on_staggered_snapshots(spark):
     raw = fx.case_log(spark, SF001, staggered=True)
     det, ben = fx.case_details(spark, SF001), fx.benefits(spark, SF001)
     d1, d2 = dt.datetime(2024, 1, 21), dt.datetime(2024, 1, 22)
-    seed = raw.filter(F.col("fecha_registro") < F.lit(d1))
-    day = raw.filter((F.col("fecha_registro") >= F.lit(d1)) & (F.col("fecha_registro") < F.lit(d2)))
+    seed = raw.filter(F.col("fecha_registro") < ntz(d1))
+    day = raw.filter((F.col("fecha_registro") >= ntz(d1)) & (F.col("fecha_registro") < ntz(d2)))
     state = latest_state(compress_history(seed, PARENT).unionByName(
         suppressed_batch(seed, PARENT, "2024-01-20")), PARENT)
     want = suppressed_incremental(state, latest_snapshot(day, "tenant"), PARENT, scope="tenant")
@@ -179,7 +180,7 @@ def test_tenant_scope_run_on_staggered_snapshots(spark):
     store = TableStore(spark, scratch(spark, "tenant-scope"))
     bootstrap(store, seed, det, ben, "2024-01-20")
     run_increment(store, day, det, ben, run_id="t1", scope="tenant")
-    got = store.read(PARENT_HISTORY).filter(F.col("load_seq").isNull() & (F.col("fecha_registro") >= F.lit(d1)))
+    got = store.read(PARENT_HISTORY).filter(F.col("load_seq").isNull() & (F.col("fecha_registro") >= ntz(d1)))
     assert rows_of_spark(got.select(*PARENT.columns)) == rows_of_spark(want.select(*PARENT.columns))
     newest = store.read(PARENT_HISTORY).agg(F.max("fecha_registro")).first()[0]
     assert high_water_mark(store, "history") == newest

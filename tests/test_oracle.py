@@ -62,3 +62,14 @@ def test_entry(spark):
     df = E.entry(spark)
     assert df.columns == ["cliente", "folio_padre", "fecha_registro", "estado_padre"]
     assert df.count() == 315
+
+
+def test_results_do_not_depend_on_session_time_zone(spark, con):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Santiago")
+    try:
+        for name in ("incremental_scan", "latest_snapshot_global", "changes_vs_state_parent",
+                     "suppressed_incr_child", "suppressed_batch_parent", "suppressed_incr_staggered_tenant"):
+            assert rows_of_spark(E.queries()[name](spark, SF001)) == rows_of_sql(con, E.oracle_sql()[name]), name
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

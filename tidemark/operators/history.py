@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.nulls import any_null, ne_or_null, not_blank, null_safe_join
 from ..schemas import PARENT, SUPPRESSED, TIE, TS, Level, require_columns
+from ..functions.time import ntz
 from .sizing import small_side
 
 # A key with more rows than this is "hot": its rows are split into ordered
@@ -205,7 +206,7 @@ def suppressed_incremental(latest: DataFrame, snapshot: DataFrame, level: Level
             snapshot_ts = snapshot.agg(F.max(TS)).first()[0]
         if snapshot_ts is None:
             return _pad(gone.limit(0), level, tie)
-        gone = gone.withColumn(TS, F.lit(snapshot_ts).cast("timestamp_ntz"))
+        gone = gone.withColumn(TS, ntz(snapshot_ts))
     elif scope == "tenant":
         per_tenant = snapshot.groupBy(tenant).agg(F.max(TS).alias("_snap"))
         gone = null_safe_join(gone, small_side(per_tenant), [tenant], "inner")

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import TIE, TS, Level
+from ..functions.time import ntz
 from .sizing import small_side
 
 
@@ -109,7 +110,7 @@ def latest_snapshot(df: DataFrame, scope: str = "global", tenant: str = "cliente
         newest = newest_timestamp(df, ts)
         if newest is None:
             return df.limit(0)
-        return df.filter(F.col(ts) == F.lit(newest).cast(df.schema[ts].dataType))
+        return df.filter(F.col(ts) == ntz(newest))
     if scope != "tenant":
         raise ValueError(f"unknown scope {scope!r}")
     per_tenant = df.groupBy(tenant).agg(F.max(ts).alias("_newest"))

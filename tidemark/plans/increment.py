@@ -29,6 +29,7 @@ from ..operators.latest import latest_per_key, latest_snapshot, latest_state
 from ..operators.sizing import small_side
 from ..schemas import CHILD, PARENT, SUPPRESSED, TIE, TS, Level, require_columns
 from ..sinks.store import TableStore
+from ..functions.time import ntz
 from .bootstrap import (CHILD_DIM, CHILD_HISTORY, CHILD_STATE, CHILD_SUMMARY, LATEST_RAW, LATEST_RAW_KEYS,
                         PARENT_DIM, PARENT_HISTORY, PARENT_STATE, PARENT_SUMMARY, RUNS, STATE_OF, SUMMARY_OF,
                         TENANT_START, latest_raw_table, record_run)
@@ -63,7 +64,7 @@ def incremental_scan(raw: DataFrame, mark) -> DataFrame:
     The comparison reaches the parquet scan as a pushed filter."""
     if mark is None:
         return raw
-    return raw.filter(F.col(TS) > F.lit(mark).cast(raw.schema[TS].dataType))
+    return raw.filter(F.col(TS) > ntz(mark))
 
 
 def _run_log(store: TableStore, run_id: str | None):
@@ -120,7 +121,7 @@ def _history_step(store: TableStore, batch: DataFrame, snapshot: DataFrame, newe
         out = out.unionByName(suppressed_incremental(state, snapshot, level, scope=scope, snapshot_ts=newest))
     if replay_guard and hist is not None:
         # Rows already stored for this time range (a batch read twice) are dropped.
-        recent = hist.filter(F.col(TS) >= F.lit(oldest)).select(*cols)
+        recent = hist.filter(F.col(TS) >= ntz(oldest)).select(*cols)
         out = null_safe_join(out, recent, cols, "left_anti")
     store.append(out, table)
     fresh = incremental_scan(store.read(table), last_mark).select(*cols)
@@ -185,7 +186,7 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
         if stats["rows"] == 0:
             return RunResult(run_id, skipped=True)
         newest, oldest = stats["newest"], stats["oldest"]
-        snapshot = (batch.filter(F.col(TS) == F.lit(newest)) if scope == "global"
+        snapshot = (batch.filter(F.col(TS) == ntz(newest)) if scope == "global"
                     else latest_snapshot(batch, "tenant"))
         result = RunResult(run_id, rows=stats["rows"], mark=newest)
 

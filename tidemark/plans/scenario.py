@@ -19,6 +19,7 @@ from ..sources import fixtures as fx
 from ..streaming.stream import run_stream, snapshot_stream
 from .bootstrap import bootstrap
 from .increment import run_from_source
+from ..functions.time import ntz
 
 SEED_MARK = dt.datetime(2024, 1, 20)
 SEED_AS_OF = "2024-01-20"
@@ -37,13 +38,13 @@ def _inputs(spark: SparkSession, sf_dir: str):
 def seeded_store(spark: SparkSession, sf_dir: str, name: str):
     raw, det, ben = _inputs(spark, sf_dir)
     store = TableStore(spark, scratch(spark, name))
-    bootstrap(store, raw.filter(F.col("fecha_registro") <= F.lit(SEED_MARK)), det, ben, SEED_AS_OF)
+    bootstrap(store, raw.filter(F.col("fecha_registro") <= ntz(SEED_MARK)), det, ben, SEED_AS_OF)
     return store, raw, det, ben
 
 
 def later_snapshots(raw, limit: int | None = None) -> list:
     """Snapshot times after the seed (one scalar per day: 10 values)."""
-    rows = (raw.filter(F.col("fecha_registro") > F.lit(SEED_MARK)).select("fecha_registro").distinct()
+    rows = (raw.filter(F.col("fecha_registro") > ntz(SEED_MARK)).select("fecha_registro").distinct()
             .orderBy("fecha_registro"))
     if limit:
         rows = rows.limit(limit)
@@ -57,7 +58,7 @@ def daily_runs(spark: SparkSession, sf_dir: str, runs: int | None = None) -> Tab
         store, raw, det, ben = seeded_store(spark, sf_dir, f"daily-{runs or 'all'}")
         for t in later_snapshots(raw, runs):
             # The raw table as it stands after snapshot t has landed.
-            run_from_source(store, raw.filter(F.col("fecha_registro") <= F.lit(t)), det, ben,
+            run_from_source(store, raw.filter(F.col("fecha_registro") <= ntz(t)), det, ben,
                             run_id=f"scheduled-{t:%Y%m%d%H%M}")
         _done[key] = store
     return _done[key]
@@ -71,7 +72,7 @@ def streamed_runs(spark: SparkSession, sf_dir: str, runs: int | None = None) ->
         incoming = scratch(spark, "incoming")
         times = later_snapshots(raw, runs)
         # Fixture landing step: the later snapshots land as parquet files.
-        raw.filter((F.col("fecha_registro") > F.lit(SEED_MARK)) & (F.col("fecha_registro") <= F.lit(times[-1]))) \
+        raw.filter((F.col("fecha_registro") > ntz(SEED_MARK)) & (F.col("fecha_registro") <= ntz(times[-1]))) \
             .write.mode("append").parquet(incoming)
         stream = snapshot_stream(spark, incoming, raw.schema)
         run_stream(store, stream, det, ben, checkpoint=scratch(spark, "stream-checkpoint"))

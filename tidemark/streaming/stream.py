@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from ..plans.increment import run_increment
 from ..schemas import TS
 from ..sinks.store import TableStore
+from ..functions.time import ntz
 
 
 def snapshot_stream(spark: SparkSession, folder: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -48,7 +49,7 @@ def apply_batch(store: TableStore, batch: DataFrame, batch_id: int, details: Dat
         # The snapshot times of one trigger: a short list (one per landed snapshot).
         times = [r[0] for r in batch.select(TS).distinct().orderBy(TS).collect()]
         for t in times:
-            snap = batch.filter(F.col(TS) == F.lit(t))
+            snap = batch.filter(F.col(TS) == ntz(t))
             run_increment(store, snap, details, benefits, run_id=f"{name}-{batch_id}-{t:%Y%m%d%H%M%S}",
                           scope=scope)
     finally:
