@@ -9,6 +9,7 @@ and input folder, so queries that read the same scenario share one run.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ SEED_MARK = dt.datetime(2024, 1, 20)
 SEED_AS_OF = "2024-01-20"
 
 _done: dict = {}
+_lock = threading.Lock()  # queries sharing a scenario may run from several threads
 
 
 def _session_id(spark: SparkSession) -> int:
@@ -54,6 +56,11 @@ def later_snapshots(raw, limit: int | None = None) -> list:
 def daily_runs(spark: SparkSession, sf_dir: str, runs: int | None = None) -> TableStore:
     """Seed, then one scheduled run per later snapshot (all, or the first ``runs``)."""
     key = ("loop", sf_dir, runs, _session_id(spark))
+    with _lock:
+        return _daily_runs(spark, sf_dir, runs, key)
+
+
+def _daily_runs(spark, sf_dir, runs, key):
     if key not in _done:
         store, raw, det, ben = seeded_store(spark, sf_dir, f"daily-{runs or 'all'}")
         for t in later_snapshots(raw, runs):
@@ -67,6 +74,11 @@ def daily_runs(spark: SparkSession, sf_dir: str, runs: int | None = None) -> Tab
 def streamed_runs(spark: SparkSession, sf_dir: str, runs: int | None = None) -> TableStore:
     """Seed, then a stream over the later snapshots (all, or the first ``runs``), landed as files."""
     key = ("stream", sf_dir, runs, _session_id(spark))
+    with _lock:
+        return _streamed_runs(spark, sf_dir, runs, key)
+
+
+def _streamed_runs(spark, sf_dir, runs, key):
     if key not in _done:
         store, raw, det, ben = seeded_store(spark, sf_dir, f"streamed-{runs or 'all'}")
         incoming = scratch(spark, "incoming")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 
 from pyspark.sql import SparkSession
 
@@ -36,32 +37,42 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def work_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and tables written by the plans.
 
-    Read from ``spark.checkpoint.dir``.  Only a local-mode session without
-    that setting gets a fresh folder of its own (tests, bench); on a cluster
-    the setting is required, since a machine-local folder would not survive
-    the loss of an executor.
+    Read from ``spark.checkpoint.dir`` (or a checkpoint folder already set on
+    the context).  Only a local-mode session without either gets a fresh
+    folder of its own (tests, bench); on a cluster the setting is required,
+    since a machine-local folder would not survive the loss of an executor.
     """
-    conf = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    conf = spark.conf.get(CHECKPOINT_CONF, None)
     if conf:
-        spark.sparkContext.setCheckpointDir(conf)
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(conf)  # for DataFrame.checkpoint()
         return conf.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    current = sc.getCheckpointDir()
+    if current:
+        return current.rstrip("/")
+    if not sc.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder before running plans")
     path = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(CHECKPOINT_CONF, path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    sc.setCheckpointDir(path)
+    return sc.getCheckpointDir().rstrip("/")
+
+
+_scratch_lock = threading.Lock()
+_issued: set = set()
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the work folder."""
+    """A fresh sub-folder of the work folder (unique across threads of this process)."""
     base = work_dir(spark)
-    i = 0
-    while True:
-        path = f"{base}/{name}-{os.getpid()}-{i}"
-        if not _exists(spark, path):
-            return path
-        i += 1
+    with _scratch_lock:
+        i = 0
+        while True:
+            path = f"{base}/{name}-{os.getpid()}-{i}"
+            if path not in _issued and not _exists(spark, path):
+                _issued.add(path)
+                return path
+            i += 1
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
