@@ -75,6 +75,17 @@ def _child_dim(spark, sf):
     return D.child_dim(raw, _hist(spark, sf, CHILD, raw=raw), fx.benefits(spark, sf), _parent_dim(spark, sf), "batch")
 
 
+def _parent_dim_incr(spark, sf):
+    raw = _raw(spark, sf)
+    return D.parent_dim(raw, _hist(spark, sf, PARENT, raw=raw), fx.case_details(spark, sf), "incremental")
+
+
+def _child_dim_incr(spark, sf):
+    raw = _raw(spark, sf)
+    return D.child_dim(raw, _hist(spark, sf, CHILD, raw=raw), fx.benefits(spark, sf), _parent_dim_incr(spark, sf),
+                       "incremental")
+
+
 def _store_table(store_fn, table, level):
     def run(spark, sf):
         return store_fn(spark, sf).read(table).select(*level.columns)
@@ -199,6 +210,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "affected_keys": aff_keys,
         "parent_dim_full": _parent_dim,
         "child_dim_full": _child_dim,
+        "parent_dim_incr_rules": _parent_dim_incr,
+        "child_dim_incr_rules": _child_dim_incr,
         "parent_dim_upsert": lambda s, sf: _one_run(s, sf).read(PARENT_DIM),
         "child_dim_upsert": lambda s, sf: _one_run(s, sf).read(CHILD_DIM),
         "incremental_run_history_parent": _store_table(daily_runs, PARENT_HISTORY, PARENT),
@@ -280,6 +293,12 @@ def oracle_sql() -> dict[str, str]:
     def cdim(q):
         return O.child_dim(q, "case_log", hist(q, "child"), pdim(q), "batch")
 
+    def pdim_incr(q):
+        return O.parent_dim(q, "case_log", hist(q, "parent"), "incremental")
+
+    def cdim_incr(q):
+        return O.child_dim(q, "case_log", hist(q, "child"), pdim_incr(q), "incremental")
+
     def aff_keys(q):
         st, later = seed_state(q, "parent")
         b1 = q.add("batch1", f"SELECT * FROM case_log WHERE fecha_registro > {O.SEED} AND fecha_registro <= {O.DAY1}")
@@ -392,6 +411,8 @@ LEFT JOIN {pdim(q)} p ON {O.nse('b', 'p', ['cliente', 'folio_padre'])}"""),
         "affected_keys": aff_keys,
         "parent_dim_full": lambda q: q.select(f"SELECT * FROM {pdim(q)}"),
         "child_dim_full": lambda q: q.select(f"SELECT * FROM {cdim(q)}"),
+        "parent_dim_incr_rules": lambda q: q.select(f"SELECT * FROM {pdim_incr(q)}"),
+        "child_dim_incr_rules": lambda q: q.select(f"SELECT * FROM {cdim_incr(q)}"),
         "parent_dim_upsert": upsert("parent"),
         "child_dim_upsert": upsert("child"),
         "incremental_run_history_parent": incr_hist("parent"),
