@@ -37,8 +37,19 @@ def _inputs(spark: SparkSession, sf_dir: str):
     return fx.case_log(spark, sf_dir), fx.case_details(spark, sf_dir), fx.benefits(spark, sf_dir)
 
 
+def landed_inputs(spark: SparkSession, sf_dir: str):
+    """The inputs derived from the driver tables, landed once as parquet tables
+    in the work folder - the stored raw log a scheduled run reads."""
+    folder = scratch(spark, "landed")
+    tables = []
+    for name, df in zip(("case_log", "case_details", "benefits"), _inputs(spark, sf_dir)):
+        df.write.parquet(f"{folder}/{name}")
+        tables.append(spark.read.parquet(f"{folder}/{name}"))
+    return tuple(tables)
+
+
 def seeded_store(spark: SparkSession, sf_dir: str, name: str):
-    raw, det, ben = _inputs(spark, sf_dir)
+    raw, det, ben = landed_inputs(spark, sf_dir)
     store = TableStore(spark, scratch(spark, name))
     bootstrap(store, raw.filter(F.col("fecha_registro") <= ntz(SEED_MARK)), det, ben, SEED_AS_OF)
     return store, raw, det, ben
