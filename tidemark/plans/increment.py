@@ -171,9 +171,12 @@ def compact_state(store: TableStore) -> None:
 
 
 def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benefits: DataFrame,
-                  run_id: str | None = None, scope: str = "global", replay_guard: bool = True) -> RunResult:
-    """Apply one batch of raw rows (all newer than anything stored)."""
-    done, last_mark = _run_log(store, run_id)
+                  run_id: str | None = None, scope: str = "global", replay_guard: bool = True,
+                  run_log: tuple | None = None) -> RunResult:
+    """Apply one batch of raw rows (all newer than anything stored).
+
+    ``run_log`` is ``(done, mark)`` when the caller has just read it."""
+    done, last_mark = run_log if run_log is not None else _run_log(store, run_id)
     if done:
         return RunResult(run_id, skipped=True)
     require_columns(batch, CHILD.columns + PARENT.columns + (TIE,), "batch")
@@ -229,8 +232,11 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
 def run_from_source(store: TableStore, raw: DataFrame, details: DataFrame, benefits: DataFrame,
                     mark_source: str = "processed", **kwargs) -> RunResult:
     """Scheduled form: read the rows newer than the high-water mark, then run."""
-    mark = high_water_mark(store, mark_source)
-    return run_increment(store, incremental_scan(raw, mark), details, benefits, **kwargs)
+    if mark_source != "processed":
+        return run_increment(store, incremental_scan(raw, high_water_mark(store, mark_source)), details,
+                             benefits, **kwargs)
+    log = _run_log(store, kwargs.get("run_id"))
+    return run_increment(store, incremental_scan(raw, log[1]), details, benefits, run_log=log, **kwargs)
 
 
 def affected_keys(batch: DataFrame, markers: DataFrame, level: Level) -> DataFrame:
