@@ -198,3 +198,25 @@ def test_hot_key_split_with_tiny_tie_ranges(spark):
     a = sorted((r["load_seq"], r["_changed"]) for r in plain.collect())
     b = sorted((r["load_seq"], r["_changed"]) for r in split.collect())
     assert a == b
+
+
+def test_hot_key_split_in_detect_changes(spark):
+    seed = raw_df(spark, [dict(fecha_registro=ts(1), estado_padre="a")])
+    state = latest_state(compress_history(seed, PARENT), PARENT)
+    rows = [dict(fecha_registro=ts(1 + i // 4), estado_padre=("a", "b", None, "b")[i % 4]) for i in range(24)]
+    batch = raw_df(spark, rows)
+    plain = detect_changes(batch, state, PARENT, hot_key_rows=None)
+    split = detect_changes(batch, state, PARENT, hot_key_rows=0)
+    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, split.collect()), key=str)
+    assert plain.count() > 0
+
+
+def test_null_url_is_not_coded(spark):  # F4
+    raw = raw_df(spark, [dict(url_ficha=None)])
+    assert D.parent_static(raw, "batch").count() == 1
+    assert D.parent_static(raw, "incremental").count() == 1
+
+
+def test_tenant_start_ignores_null_tenant(spark):  # N4, C9
+    raw = raw_df(spark, [dict(cliente=None, fecha_registro=ts(1)), dict(cliente="1", fecha_registro=ts(2))])
+    assert [(r[0], r[1]) for r in D.tenant_start(raw).collect()] == [("1", ts(2))]
