@@ -8,8 +8,10 @@ NULL rules are written out explicitly: ``coalesce(a <> b, true)`` for N1,
 
 from __future__ import annotations
 
-SUPP = "'Folio suprimido'"
-NOT_ACCEPTED = "('Asignado', 'Folio suprimido', 'SIN Prestador', 'Rechazo paciente sin consulta', 'No acepta tratamiento')"
+from tidemark import schemas as V
+
+SUPP = f"'{V.SUPPRESSED}'"
+NOT_ACCEPTED = "(" + ", ".join(f"'{v}'" for v in V.NOT_ACCEPTED) + ")"
 STATIC = "cliente, folio_padre, fecha_asignacion, rut_paciente, nombre_paciente, intervencion_sanitaria, url_ficha"
 BASE = "cliente, folio_padre, folio_hijo, intervencion_sanitaria, ppa_grd, monto_total, url_ficha"
 P_COLS = "cliente, folio_padre, fecha_registro, estado_padre"
