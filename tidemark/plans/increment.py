@@ -78,7 +78,8 @@ def _run_log(store: TableStore, run_id: str | None):
 
 
 def _checked(keys: DataFrame, cached: list) -> DataFrame:
-    """Distinct affected keys, cached once and size-checked once (broadcast if small)."""
+    """A distinct key set, cached and size-checked once: broadcast when small, so
+    the large side of the semi/anti joins it drives is never shuffled."""
     keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
     cached.append(keys)
     return small_side(keys)
@@ -203,7 +204,8 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
             affected = _checked(affected_keys(batch, _markers(written_p, PARENT), PARENT), cached)
             raw_aff = latest_raw(store, LATEST_RAW, pkeys, affected, pkeys)
             summary = finish_parent_summary(merge_parent_summary(_semi(store.read(PARENT_SUMMARY), affected, pkeys)))
-            details_aff = _semi(details, raw_aff.select("url_ficha").distinct(), ["url_ficha"])
+            urls = _checked(raw_aff.select("url_ficha").distinct(), cached)
+            details_aff = _semi(details, urls, ["url_ficha"])
             new_rows = parent_dim(raw_aff, None, details_aff, "incremental", starts=tenant_starts(store),
                                   summary=summary)
             store.upsert(new_rows, affected, PARENT_DIM, pkeys, checked=True)
