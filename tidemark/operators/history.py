@@ -119,8 +119,13 @@ def detect_changes(new: DataFrame, stored_state: DataFrame | None, level: Level
     require_columns(new, cols, "batch")
     batch = level_rows(new.select(*cols), level).withColumn("_is_new", F.lit(True))
     if stored_state is not None:
-        old = stored_state.select(*cols).withColumn("_is_new", F.lit(False))
-        batch = old.unionByName(batch)
+        # Only keys of the batch need their stored state: the window then sees
+        # O(batch) rows instead of one row per stored key.  A plain equi semi
+        # join is exact - rows with a NULL key are changes anyway (N3) - and it
+        # keeps the state's existing partitioning on the keys.
+        keys = list(level.keys)
+        old = stored_state.select(*cols).join(batch.select(*keys).distinct(), keys, "left_semi")
+        batch = old.withColumn("_is_new", F.lit(False)).unionByName(batch)
     flagged = flag_changes(batch, level.keys, level.state, TS, tie, pre=("_is_new",),
                            hot_key_rows=hot_key_rows)
     return flagged.filter(F.col("_changed") & F.col("_is_new")).drop("_changed", "_is_new")
