@@ -205,7 +205,12 @@ def suppressed_incremental(latest: DataFrame, snapshot: DataFrame, level: Level
     keys = list(level.keys)
     present = level_rows(snapshot, level).select(*keys).distinct()
     active = latest.filter(ne_or_null(F.col(level.state), F.lit(SUPPRESSED)))
-    gone = null_safe_join(active, present, keys, "left_anti")
+    # Rows without a NULL key take a plain anti join, which reuses the state's
+    # partitioning on the keys; the few rows with a NULL key take a null-safe
+    # one (N5).  Together: one null-safe anti join, without reshuffling state.
+    has_null = any_null(keys)
+    gone = active.filter(~has_null).join(present.filter(~has_null), keys, "left_anti").unionByName(
+        null_safe_join(active.filter(has_null), present.filter(has_null), keys, "left_anti"))
     if scope == "global":
         if snapshot_ts is None:
             snapshot_ts = snapshot.agg(F.max(TS)).first()[0]
