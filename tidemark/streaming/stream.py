@@ -24,6 +24,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.bootstrap import RUNS
 from ..plans.increment import run_increment
 from ..schemas import TS
 from ..sinks.store import TableStore
@@ -48,14 +49,31 @@ def apply_batch(store: TableStore, batch: DataFrame, batch_id: int, details: Dat
     try:
         # The snapshot times of one trigger: a short list (one per landed snapshot).
         times = [r[0] for r in batch.select(TS).distinct().orderBy(TS).collect()]
+        prefix = f"{name}-{batch_id}-"
+        done, mark = _trigger_log(store, prefix)
         for t in times:
+            run_id = f"{prefix}{t:%Y%m%d%H%M%S}"
+            if run_id in done:  # applied before this trigger was replayed
+                continue
             snap = batch.filter(F.col(TS) == ntz(t))
-            run_increment(store, snap, details, benefits, run_id=f"{name}-{batch_id}-{t:%Y%m%d%H%M%S}",
-                          scope=scope)
+            result = run_increment(store, snap, details, benefits, run_id=run_id, scope=scope,
+                                   run_log=(False, mark))
+            if not result.skipped:
+                mark = result.mark
     finally:
         batch.unpersist()
 
 
+def _trigger_log(store: TableStore, prefix: str):
+    """Run ids already recorded for this trigger, and the high-water mark, in one job."""
+    runs = store.read(RUNS)
+    if runs is None:
+        return set(), None
+    row = runs.agg(F.collect_set(F.when(F.col("run_id").startswith(prefix), F.col("run_id"))).alias("ids"),
+                   F.max("mark").alias("mark")).first()
+    return set(row["ids"]), row["mark"]
+
+
 def run_stream(store: TableStore, stream: DataFrame, details: DataFrame, benefits: DataFrame,
                checkpoint: str, scope: str = "global", per_snapshot: bool = True,
                available_now: bool = True, name: str = "stream"):
