@@ -24,6 +24,13 @@ from tidemark.schemas import CHILD, PARENT, PARENT_STATIC, CHILD_BASE
 from tidemark.sources import fixtures as fx
 from tidemark.functions.time import ntz
 
+try:  # the training-data operators and their pipeline are a part that can be left out
+    from tidemark.llm import registry as llm
+except ModuleNotFoundError as error:
+    if not (error.name or "").startswith(("tidemark.llm", "corpus_pipeline")):
+        raise
+    llm = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 AS_OF = "2024-01-30"
 DAY1 = dt.datetime(2024, 1, 21)
@@ -99,6 +106,15 @@ def _one_run(spark, sf):
 # ------------------------------------------------------------------ queries
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return core_queries() | (llm.QUERIES if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    return core_oracle_sql() | (llm.ORACLE_SQL if llm else {})
+
+
+def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """Queries of the reference's own operators."""
     def staggered(spark, sf):
         return fx.case_log(spark, sf, staggered=True)
 
@@ -228,7 +244,7 @@ def _sql(build) -> str:
     return build(q)
 
 
-def oracle_sql() -> dict[str, str]:
+def core_oracle_sql() -> dict[str, str]:
     def hist(q, level, src="case_log"):
         return O.history_table(q, src, level, O.AS_OF)
 
