@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components
-from tidemark.llm.frames import checkpointed, named, python_map
+from tidemark.llm.frames import checkpointed, named, python_map, schema_with, spare
 from tidemark.llm.words import SPACED, Words, chain, chunks, words_of
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -93,6 +93,11 @@ def labels(first: np.ndarray, grams: np.ndarray, rows: np.ndarray, trees: int, d
     return out
 
 
+def _digest_list(first: np.ndarray, raw: bytes) -> list[bytes | None]:
+    """A digest of each row's shingle set; none for an empty one."""
+    return [hashlib.blake2b(raw[8 * a:8 * b], digest_size=16).digest() if b > a else None for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+
+
 def _sets(text: str, with_labels: int, with_set: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -101,7 +106,7 @@ def _sets(text: str, with_labels: int, with_set: bool):
                 first, grams = shingle_sets(words_of(data, offsets, SPACED))
                 size = np.diff(first)
                 raw = grams.tobytes()
-                digests = [hashlib.blake2b(raw[8 * a:8 * b], digest_size=16).digest() if b > a else None for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)]
+                digests = _digest_list(first, raw)
                 part = batch.slice(row, end - row)
                 more = {"digest": pa.array(digests, pa.binary()), "n_shingles": pa.array(size.astype(np.int64))}
                 if with_labels:
@@ -197,11 +202,10 @@ def _verify(threshold: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """(doc_id, class_id, n_shingles, n_copies, n_links): one row per row of ``docs``.
+def linked_classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, digest, n_shingles) of every row, (digest, class_id, chosen, n_copies, n_links) of every shingle set).
 
-    class_id: smallest doc_id of the near-duplicate group (links of at least ``threshold``, joined transitively);
-    n_copies: rows of the same shingle set; n_links: other rows with a similarity of at least ``threshold``, copies included."""
+    chosen: this set holds the document that its group keeps, the one of the smallest doc_id (null last), then digest."""
     depth = prefix_length(threshold=threshold)
     own = docs.select(named(doc_id).alias("doc_id"), named(text).alias("text"))
     ids = own.schema["doc_id"].dataType.simpleString()
@@ -233,14 +237,47 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     groups = components(verified.filter("other IS NOT NULL").select(F.col("digest").alias("a"), F.col("other").alias("b")))
     rooted = classes.select("digest", "n_copies", "least_id").join(groups.withColumnRenamed("node", "digest"), "digest", "left").join(links, "digest", "left")
     rooted = rooted.withColumn("root", F.coalesce("root", "digest"))
-    group_ids = rooted.groupBy("root").agg(F.min("least_id").alias("class_id"))
-    found = rooted.join(group_ids, "root").select("digest", "class_id", "n_copies", (F.col("n_copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    joined = signed.select("doc_id", "digest", "n_shingles").join(found, "digest", "left")
-    alone = F.col("digest").isNull()
+    first = F.struct(F.col("least_id").isNull().alias("n"), "least_id", "digest")
+    heads = rooted.groupBy("root").agg(F.min(first).alias("head"))
+    found = rooted.join(heads, "root").select(
+        "digest", F.col("head.least_id").alias("class_id"), (F.col("digest") == F.col("head.digest")).alias("chosen"), "n_copies",
+        (F.col("n_copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
+    return signed.select("doc_id", "digest", "n_shingles"), found
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """(doc_id, class_id, n_shingles, n_copies, n_links): one row per row of ``docs``.
+
+    class_id: smallest doc_id of the near-duplicate group (links of at least ``threshold``, joined transitively);
+    n_copies: rows of the same shingle set; n_links: other rows with a similarity of at least ``threshold``, copies included."""
+    rows, found = linked_classes(docs, doc_id, text, threshold)
+    joined = rows.join(found, "digest", "left")
     return joined.select(
-        F.col("doc_id").alias(doc_id), F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "n_shingles",
+        F.col("doc_id").alias(doc_id), F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), "n_shingles",
         F.coalesce("n_copies", F.lit(1).cast("bigint")).alias("n_copies"), F.coalesce("n_links", F.lit(0).cast("bigint")).alias("n_links"))
 
 
+def _digests(text: str, into: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, end, data, offsets in chunks(batch.column(batch.schema.get_field_index(text))):
+                first, grams = shingle_sets(words_of(data, offsets, SPACED))
+                part = batch.slice(row, end - row)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(_digest_list(first, grams.tobytes()), pa.binary())], names=[*part.schema.names, into])
+    return run
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """One row of ``docs`` for each near-duplicate group, columns as given; rows without shingles all stay."""
+    _, found = linked_classes(docs, doc_id, text, threshold)
+    digest, kept = spare(docs, "_digest"), spare(docs, "_kept")
+    keyed = python_map(docs, _digests(text, digest), schema_with(docs, digest, "binary"))
+    chosen = found.filter("chosen").select(F.col("digest").alias(kept), F.col("class_id").alias(f"{kept}_id"))
+    # by set and id: copies have ids of their own, so a mass of copies spreads
+    same = (named(digest) == F.col(kept)) & named(doc_id).eqNullSafe(F.col(f"{kept}_id"))
+    first = keyed.join(chosen, same, "left_semi").dropDuplicates([digest, doc_id])
+    return first.unionByName(keyed.filter(named(digest).isNull())).select(*map(named, docs.columns))
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
