@@ -203,7 +203,8 @@ def _matched(slices, text: str, into: str):
 
 
 def contamination(docs: DataFrame, tests: DataFrame, text: str = "text", into: str = "contamination", window: int = WINDOW) -> DataFrame:
-    """``docs`` with a struct column ``into``: words, words inside exact matches, items matched exactly and in proximity."""
+    """``docs`` with a struct column ``into`` (``spare`` of it, if there is one): words, words inside exact matches, items matched exactly and in proximity."""
+    into = spare(docs, into)
     context = docs.sparkSession.sparkContext
     slices = [context.broadcast(s) for s in test_slices(tests, window)]
     return python_map(docs, _matched(slices, text, into), schema_with(docs, into, _TYPE))

@@ -24,10 +24,15 @@ def spare(df: DataFrame, name: str) -> str:
     return name
 
 
+def prefix(df: DataFrame, start: str) -> str:
+    """``start``, with underscores added until no column of ``df`` begins so."""
+    while any(c.lower().startswith(start.lower()) for c in df.columns):
+        start += "_"
+    return start
+
+
 def schema_with(df: DataFrame, name: str, ddl: str) -> StructType:
     """The schema of ``df`` and one more column."""
-    if name.lower() in {c.lower() for c in df.columns}:
-        raise ValueError(f"column {name} exists; pass another name as into")
     return StructType([*df.schema.fields, StructField(name, DataType.fromDDL(ddl))])
 
 
@@ -46,7 +51,12 @@ def python_map(df: DataFrame, function, schema) -> DataFrame:
                 z.write(f, f"{package.parent.name}/{package.name}/{f.name}")
         context.addPyFile(str(archive))
         _SHIPPED.add(context.applicationId)
-    return df.mapInArrow(function, schema)
+    # mapInArrow takes names with dots or backticks for fields; columns that pass through are renamed around it
+    odd = {c: f"{prefix(df, '_c')}{k}" for k, c in enumerate(df.columns) if "." in c or "`" in c}
+    if not odd:
+        return df.mapInArrow(function, schema)
+    within = StructType([StructField(odd.get(f.name, f.name), f.dataType, f.nullable) for f in schema.fields])
+    return df.toDF(*(odd.get(c, c) for c in df.columns)).mapInArrow(function, within).toDF(*schema.names)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import named, spare
+from tidemark.llm.frames import named, prefix, spare
 
 #: Weights in turn, the limit on a target, hash buckets of a (source, size), the seed of the offsets.
 WEIGHTS, MOST, BUCKETS, SEED = (1, 2, 3), 3, 1024, "mix-1"
@@ -55,10 +55,9 @@ def targets(sizes: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", into: str = "mix") -> DataFrame:
-    """``docs`` with a struct column ``into``: size, source_size, target, copies."""
-    if into in docs.columns:
-        raise ValueError(f"column {into} exists; pass another name as into")
-    own = spare(docs, "_own")
+    """``docs`` with a struct column ``into`` (``spare`` of it, if there is one): size, source_size, target, copies."""
+    into, own_names = spare(docs, into), prefix(docs, "_mix_")
+    own = own_names + "own"
     row = F.xxhash64(named(text))
     key = F.coalesce(F.concat(F.lit("0"), named(source)), F.lit("1"))
     bucket = F.conv(F.substring(F.md5(F.coalesce(named(doc_id).cast("string"), row.cast("string"))), 1, 6), 16, 10).cast("int") % BUCKETS
@@ -76,7 +75,7 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     cells = cells.select(*cell, (F.col("size_start") + F.col("bucket_start")).alias("start"), "source_size", "target",
                          expected.alias("expected"), _unit(F.concat(F.lit(SEED), F.col("key"))).alias("offset"))
     cells = cells.select(F.struct(*cell).alias("cell"), F.struct("start", "source_size", "target", "expected", "offset").alias("at"))
-    at, cell_name, rank = spare(docs, "_at"), spare(docs, "_cell"), spare(docs, "_rank")
+    at, cell_name, rank = own_names + "at", own_names + "cell", own_names + "rank"
     cells = cells.select(*(F.col(f"cell.{c}").alias(f"{cell_name}_{c}") for c in cell), F.col("at").alias(at))
     ranked = docs.withColumn(own, keyed)
     for c in cell:

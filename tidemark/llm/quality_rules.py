@@ -162,7 +162,8 @@ def _measured(min_words: int, text: str, into: str):
 
 
 def repetition(docs: DataFrame, text: str = "text", min_words: int = MIN_REPEAT_WORDS, into: str = "repetition") -> DataFrame:
-    """``docs`` with a struct column ``into``: the counts, and the spans that repeats cover (word offsets)."""
+    """``docs`` with a struct column ``into`` (``spare`` of it, if there is one): the counts, and the spans that repeats cover (word offsets)."""
+    into = spare(docs, into)
     return python_map(docs, _measured(min_words, text, into), schema_with(docs, into, _TYPE))
 
 

@@ -54,9 +54,8 @@ def slot(doc_id: Column, text: Column, slots: int) -> Column:
 
 def sharded(docs: DataFrame, names: list[str], slots: int = SLOTS, doc_id: str = "doc_id", text: str = "text",
             slot_into: str = "slot", into: str = "shard") -> DataFrame:
-    """``docs`` with its slot and the name of its shard."""
-    if slot_into in docs.columns or into in docs.columns:
-        raise ValueError("columns slot and shard exist; pass other names")
+    """``docs`` with its slot and the name of its shard, in columns of these names (``spare`` of them, if there are such)."""
+    slot_into, into = spare(docs, slot_into), spare(docs, into)
     key, shards = spare(docs, "_slot"), F.array(*map(F.lit, names))
     filled = F.split(F.lit(",".join(map(str, lookup_table(names, slots)))), ",")
     table = docs.sparkSession.range(1).select(F.posexplode(filled).alias(key, "k"))
@@ -72,8 +71,9 @@ def shard_names(n: int = SHARDS) -> list[str]:
 def write_shards(docs: DataFrame, path: str, names: list[str], slots: int = SLOTS, files: int = 8, **columns) -> None:
     """Write ``docs`` as one folder per shard; a shard's rows are dealt over ``files`` tasks, so no task holds a shard."""
     placed = sharded(docs, names, slots, **columns)
-    salt = spare(placed, "_salt")
-    placed.withColumn(salt, F.pmod(F.xxhash64(*map(named, docs.columns)), F.lit(files))).repartition("shard", salt).drop(salt).write.partitionBy("shard").parquet(path)
+    salt, shard = spare(placed, "_salt"), placed.columns[-1]
+    dealt = placed.withColumn(salt, F.pmod(F.xxhash64(*map(named, docs.columns)), F.lit(files))).repartition(named(shard), named(salt))
+    dealt.drop(salt).write.partitionBy(shard).parquet(path)
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

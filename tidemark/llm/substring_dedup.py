@@ -11,8 +11,8 @@ runs the one of the smallest (doc_id, place) stays; ``without_repeats`` cuts the
 Digests are counted by a map-side combined aggregate and joined back to the runs, so a run that many texts share is
 one small row before the shuffle and a skewed join partition (which AQE splits) after it.
 
-Cases: a null, empty or short text has no run and no repeats; equal rows repeat each other; a null doc_id sorts
-last; texts are taken whole; an empty table gives no rows; other columns pass ``without_repeats`` as they are.
+Cases: a null, empty or short text has no run and no repeats; rows of equal doc_id and text repeat each other and
+are cut alike (as one document: none is later than the other); a null doc_id sorts last; texts are taken whole; an empty table gives no rows; other columns pass ``without_repeats`` as they are.
 """
 
 from __future__ import annotations

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import named, python_map, schema_with
+from tidemark.llm.frames import named, python_map, schema_with, spare
 
 #: Rules in one broadcast index.
 MAX_RULES = 100_000
@@ -112,7 +112,8 @@ _TYPE = "struct<host:string,path:string,rule:string,verdict:string,pattern:strin
 
 
 def url_verdicts(pages: DataFrame, rules: list[Rule] | None = None, url: str = "url", default: str = ALLOW, into: str = "filter") -> DataFrame:
-    """``pages`` with a struct column ``into``: host, path, site rule, verdict, pattern rule, number of candidate rules."""
+    """``pages`` with a struct column ``into`` (``spare`` of it, if there is one): host, path, site rule, verdict, pattern rule, number of candidate rules."""
+    into = spare(pages, into)
     rules = [*SITE_RULES, *PATTERN_RULES] if rules is None else rules
     counts = token_counts(pages, url, rules)
     context = pages.sparkSession.sparkContext
