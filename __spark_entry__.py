@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 
 import oracle as O
 from tidemark.operators import dims as D
-from tidemark.operators.history import compress_history, detect_changes, suppressed_batch, suppressed_incremental
+from tidemark.operators.history import apply_snapshots, compress_history, detect_changes, suppressed_batch, suppressed_incremental
 from tidemark.operators.latest import latest_snapshot, latest_state
 from tidemark.plans.bootstrap import CHILD_DIM, CHILD_HISTORY, PARENT_DIM, PARENT_HISTORY
-from tidemark.plans.increment import affected_keys, incremental_scan
-from tidemark.plans.scenario import SEED_AS_OF, SEED_MARK, daily_runs, streamed_runs
+from tidemark.plans.increment import affected_keys, high_water_mark, incremental_scan, tenant_marks
+from tidemark.plans.scenario import SEED_AS_OF, SEED_MARK, daily_runs, retried_runs, streamed_runs, tenant_run
 from tidemark.schemas import CHILD, PARENT, PARENT_STATIC, CHILD_BASE
 from tidemark.sources import fixtures as fx
 from tidemark.functions.time import ntz
@@ -99,8 +99,44 @@ def _store_table(store_fn, table, level):
     return run
 
 
-def _one_run(spark, sf):
-    return daily_runs(spark, sf, runs=1)
+def _marks(spark, sf):
+    """The marks of the daily runs, and the rows they cover."""
+    store = daily_runs(spark, sf)
+    mark, history_mark = high_water_mark(store), high_water_mark(store, "history")
+    return _raw(spark, sf).agg(F.count(F.when(F.col("fecha_registro") <= ntz(mark), 1)).alias("n_rows")).select(
+        ntz(mark).alias("mark"), ntz(history_mark).alias("history_mark"), "n_rows")
+
+
+def _tenant_marks(spark, sf):
+    marks = tenant_marks(tenant_run(spark, sf))
+    raw = fx.case_log(spark, sf, staggered=True)
+    rows = raw.groupBy("cliente").agg(F.count(F.lit(1)).alias("n_rows"))
+    table = spark.createDataFrame(list(marks.items()), "cliente string, mark timestamp_ntz")
+    return rows.join(table, "cliente").select("cliente", "mark", "n_rows")
+
+
+def _childless(spark, sf):
+    """The log with the children of every third day blanked: snapshots without children."""
+    raw = _raw(spark, sf)
+    return raw.withColumn("folio_hijo", F.when(F.dayofmonth("fecha_registro") % 3 == 0, F.lit("")).otherwise(F.col("folio_hijo")))
+
+
+def _childless_changes(level):
+    def run(spark, sf):
+        raw = _childless(spark, sf)
+        seed, later = raw.filter(F.col("fecha_registro") < ntz(DAY1)), raw.filter(F.col("fecha_registro") >= ntz(DAY1))
+        state = latest_state(_hist(spark, sf, level, SEED_AS_OF, seed), level)
+        return apply_snapshots(later, state, level).select(*level.columns)
+    return run
+
+
+def _childless_suppressed(spark, sf):
+    """The day after the seed has no children: nothing is suppressed that day; the next day counts."""
+    raw = _childless(spark, sf)
+    seed = raw.filter(F.col("fecha_registro") < ntz(DAY1))
+    state = latest_state(_hist(spark, sf, CHILD, SEED_AS_OF, seed), CHILD)
+    days = [raw.filter(F.col("fecha_registro") == ntz(DAY1 + dt.timedelta(days=k))) for k in (0, 1)]
+    return suppressed_incremental(state, days[0], CHILD).unionByName(suppressed_incremental(state, days[1], CHILD)).select(*CHILD.columns)
 
 
 # ------------------------------------------------------------------ queries
@@ -173,15 +209,14 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     def aff_keys(spark, sf):
         state, later = _seed_state(spark, sf, PARENT)
-        batch = later.filter(F.col("fecha_registro") <= ntz(DAY1))
-        markers = suppressed_incremental(state, latest_snapshot(batch), PARENT)
-        return affected_keys(batch, markers, PARENT)
+        markers = apply_snapshots(later, state, PARENT).filter(F.col("load_seq").isNull())
+        return affected_keys(later, markers, PARENT)
 
     return {
         "case_log": lambda s, sf: _raw(s, sf),
         "incremental_scan": lambda s, sf: incremental_scan(_raw(s, sf), SEED_MARK),
-        "high_water_mark": lambda s, sf: _raw(s, sf).agg(F.max("fecha_registro").alias("mark"),
-                                                          F.count(F.lit(1)).alias("n_rows")),
+        "high_water_mark": _marks,
+        "tenant_marks": _tenant_marks,
         "latest_snapshot_global": lambda s, sf: latest_snapshot(_raw(s, sf), "global"),
         "tenant_latest_snapshot": lambda s, sf: latest_snapshot(staggered(s, sf), "tenant"),
         "parent_history": lambda s, sf: compress_history(_raw(s, sf), PARENT).select(*PARENT.columns),
@@ -228,8 +263,17 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "child_dim_full": _child_dim,
         "parent_dim_incr_rules": _parent_dim_incr,
         "child_dim_incr_rules": _child_dim_incr,
-        "parent_dim_upsert": lambda s, sf: _one_run(s, sf).read(PARENT_DIM),
-        "child_dim_upsert": lambda s, sf: _one_run(s, sf).read(CHILD_DIM),
+        "changes_childless_days": _childless_changes(CHILD),
+        "changes_childless_days_parent": _childless_changes(PARENT),
+        "suppressed_childless_day": _childless_suppressed,
+        "parent_dim_upsert": lambda s, sf: daily_runs(s, sf).read(PARENT_DIM),
+        "child_dim_upsert": lambda s, sf: daily_runs(s, sf).read(CHILD_DIM),
+        "parent_dim_stream": lambda s, sf: streamed_runs(s, sf).read(PARENT_DIM),
+        "child_dim_stream": lambda s, sf: streamed_runs(s, sf).read(CHILD_DIM),
+        "retry_history_parent": _store_table(retried_runs, PARENT_HISTORY, PARENT),
+        "retry_history_child": _store_table(retried_runs, CHILD_HISTORY, CHILD),
+        "tenant_run_history_parent": _store_table(tenant_run, PARENT_HISTORY, PARENT),
+        "tenant_run_history_child": _store_table(tenant_run, CHILD_HISTORY, CHILD),
         "incremental_run_history_parent": _store_table(daily_runs, PARENT_HISTORY, PARENT),
         "incremental_run_history_child": _store_table(daily_runs, CHILD_HISTORY, CHILD),
         "stream_history_parent": _store_table(streamed_runs, PARENT_HISTORY, PARENT),
@@ -315,51 +359,27 @@ def core_oracle_sql() -> dict[str, str]:
     def cdim_incr(q):
         return O.child_dim(q, "case_log", hist(q, "child"), pdim_incr(q), "incremental")
 
-    def aff_keys(q):
-        st, later = seed_state(q, "parent")
-        b1 = q.add("batch1", f"SELECT * FROM case_log WHERE fecha_registro > {O.SEED} AND fecha_registro <= {O.DAY1}")
-        m = O.suppressed_incr(q, st, b1, "parent")
-        return q.select(f"SELECT cliente, folio_padre FROM {b1} UNION SELECT cliente, folio_padre FROM {m}")
+    def childless(q):
+        return q.add("case_log_childless", """SELECT * REPLACE (CASE WHEN day(fecha_registro) % 3 = 0 THEN '' ELSE folio_hijo END AS folio_hijo)
+                                             FROM case_log""")
+
+    def childless_changes(level):
+        def b(q):
+            t = O.incremental_history(q, level, childless(q))
+            return q.select(f"SELECT {O.LEVELS[level]['cols']} FROM {t} WHERE fecha_registro >= {O.DAY1}")
+        return b
+
+    def childless_day(q):
+        src = childless(q)
+        seed, later = O.seed_and_later(q, src)
+        st = O.latest_state(q, O.history_table(q, seed, "child", O.SEED_DATE), "child")
+        day2 = q.add("second_day", f"SELECT * FROM {later} WHERE fecha_registro = {O.DAY1} + INTERVAL 1 DAY")
+        return q.select(f"SELECT {O.C_COLS} FROM {O.suppressed_incr(q, st, day2, 'child')}")
 
-    def upsert(level):
-        # Seed rebuild (batch rules) with the rows of the affected keys replaced
-        # by the incremental rules over the history after the first run.
+    def tenant_hist(level):
         def b(q):
-            seed, _ = O.seed_and_later(q)
-            b1 = q.add("batch1", f"SELECT * FROM case_log WHERE fecha_registro > {O.SEED} AND fecha_registro <= {O.DAY1}")
-            upto = q.add("upto1", f"SELECT * FROM case_log WHERE fecha_registro <= {O.DAY1}")
-            hp0 = O.history_table(q, seed, "parent", O.SEED_DATE)
-            hc0 = O.history_table(q, seed, "child", O.SEED_DATE)
-            sp = O.latest_state(q, hp0, "parent")
-            sc = O.latest_state(q, hc0, "child")
-            hp1 = q.add("hp1", f"""SELECT * FROM {hp0} UNION ALL SELECT * FROM {O.changes_vs_state(q, sp, b1, 'parent')}
-                                   UNION ALL SELECT * FROM {O.suppressed_incr(q, sp, b1, 'parent')}""")
-            hc1 = q.add("hc1", f"""SELECT * FROM {hc0} UNION ALL SELECT * FROM {O.changes_vs_state(q, sc, b1, 'child')}
-                                   UNION ALL SELECT * FROM {O.suppressed_incr(q, sc, b1, 'child')}""")
-            pd0 = O.parent_dim(q, seed, hp0, "batch")
-            aff_p = q.add("aff_p", f"""SELECT cliente, folio_padre FROM {b1}
-                UNION SELECT cliente, folio_padre FROM {O.suppressed_incr(q, sp, b1, 'parent')}""")
-            up_aff = q.add("upto1_aff_p", f"""SELECT u.* FROM {upto} u WHERE EXISTS (
-                SELECT 1 FROM {aff_p} a WHERE {O.nse('a', 'u', ['cliente', 'folio_padre'])})""")
-            hp1_aff = q.add("hp1_aff", f"""SELECT h.* FROM {hp1} h WHERE EXISTS (
-                SELECT 1 FROM {aff_p} a WHERE {O.nse('a', 'h', ['cliente', 'folio_padre'])})""")
-            pd_new = O.parent_dim(q, up_aff, hp1_aff, "incremental", starts_src=upto)
-            pd1 = q.add("pd1", f"""SELECT * FROM {pd0} d WHERE NOT EXISTS (
-                SELECT 1 FROM {aff_p} a WHERE {O.nse('a', 'd', ['cliente', 'folio_padre'])})
-                UNION ALL SELECT * FROM {pd_new}""")
-            if level == "parent":
-                return q.select(f"SELECT * FROM {pd1}")
-            cd0 = O.child_dim(q, seed, hc0, pd0, "batch")
-            aff_c = q.add("aff_c", f"""SELECT cliente, folio_hijo FROM {b1} WHERE folio_hijo IS NOT NULL AND folio_hijo <> ''
-                UNION SELECT cliente, folio_hijo FROM {O.suppressed_incr(q, sc, b1, 'child')}""")
-            uc_aff = q.add("upto1_aff_c", f"""SELECT u.* FROM {upto} u WHERE EXISTS (
-                SELECT 1 FROM {aff_c} a WHERE {O.nse('a', 'u', ['cliente', 'folio_hijo'])})""")
-            hc1_aff = q.add("hc1_aff", f"""SELECT h.* FROM {hc1} h WHERE EXISTS (
-                SELECT 1 FROM {aff_c} a WHERE {O.nse('a', 'h', ['cliente', 'folio_hijo'])})""")
-            cd_new = O.child_dim(q, uc_aff, hc1_aff, pd1, "incremental")
-            return q.select(f"""SELECT * FROM {cd0} d WHERE NOT EXISTS (
-                SELECT 1 FROM {aff_c} a WHERE {O.nse('a', 'd', ['cliente', 'folio_hijo'])})
-                UNION ALL SELECT * FROM {cd_new}""")
+            t = O.incremental_history(q, level, "case_log_staggered", per_tenant=True)
+            return q.select(f"SELECT {O.LEVELS[level]['cols']} FROM {t}")
         return b
 
     def incr_hist(level):
@@ -373,7 +393,10 @@ def core_oracle_sql() -> dict[str, str]:
     builders = {
         "case_log": lambda q: q.select(f"SELECT {all_cols} FROM case_log"),
         "incremental_scan": lambda q: q.select(f"SELECT {all_cols} FROM case_log WHERE fecha_registro > {O.SEED}"),
-        "high_water_mark": lambda q: q.select("SELECT max(fecha_registro) AS mark, count(*) AS n_rows FROM case_log"),
+        "high_water_mark": lambda q: q.select(f"""
+SELECT max(fecha_registro) AS mark, (SELECT max(fecha_registro) FROM {O.incremental_history(q, 'parent')}) AS history_mark,
+       count(*) AS n_rows FROM case_log"""),
+        "tenant_marks": lambda q: q.select("SELECT cliente, max(fecha_registro) AS mark, count(*) AS n_rows FROM case_log_staggered GROUP BY cliente"),
         "latest_snapshot_global": lambda q: q.select(
             f"SELECT {all_cols} FROM case_log WHERE fecha_registro = (SELECT max(fecha_registro) FROM case_log)"),
         "tenant_latest_snapshot": lambda q: q.select(f"""
@@ -424,13 +447,22 @@ SELECT b.*, p.tipo_seguimiento FROM {O.child_base(q, 'case_log', 'batch')} b
 LEFT JOIN {pdim(q)} p ON {O.nse('b', 'p', ['cliente', 'folio_padre'])}"""),
         "child_first_last_state": child_fl("batch"),
         "child_first_last_state_incr": child_fl("incremental"),
-        "affected_keys": aff_keys,
+        "affected_keys": lambda q: q.select(f"SELECT * FROM {O.affected(q, 'parent')}"),
+        "changes_childless_days": childless_changes("child"),
+        "changes_childless_days_parent": childless_changes("parent"),
+        "suppressed_childless_day": childless_day,
         "parent_dim_full": lambda q: q.select(f"SELECT * FROM {pdim(q)}"),
         "child_dim_full": lambda q: q.select(f"SELECT * FROM {cdim(q)}"),
         "parent_dim_incr_rules": lambda q: q.select(f"SELECT * FROM {pdim_incr(q)}"),
         "child_dim_incr_rules": lambda q: q.select(f"SELECT * FROM {cdim_incr(q)}"),
-        "parent_dim_upsert": upsert("parent"),
-        "child_dim_upsert": upsert("child"),
+        "parent_dim_upsert": lambda q: q.select(f"SELECT * FROM {O.upserted_dim(q, 'parent')}"),
+        "child_dim_upsert": lambda q: q.select(f"SELECT * FROM {O.upserted_dim(q, 'child')}"),
+        "parent_dim_stream": lambda q: q.select(f"SELECT * FROM {O.upserted_dim(q, 'parent')}"),
+        "child_dim_stream": lambda q: q.select(f"SELECT * FROM {O.upserted_dim(q, 'child')}"),
+        "retry_history_parent": incr_hist("parent"),
+        "retry_history_child": incr_hist("child"),
+        "tenant_run_history_parent": tenant_hist("parent"),
+        "tenant_run_history_child": tenant_hist("child"),
         "incremental_run_history_parent": incr_hist("parent"),
         "incremental_run_history_child": incr_hist("child"),
         "stream_history_parent": incr_hist("parent"),

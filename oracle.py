@@ -387,35 +387,30 @@ LEFT JOIN {fl} f ON {nse('b', 'f', ['cliente', 'folio_padre', 'folio_hijo'])}"""
 
 # ------------------------------------------------------ incremental (closed form)
 
-def bounded_log(q: Sql, until: str | None) -> str:
-    """The case log up to ``until`` (a timestamp literal), or all of it."""
-    if until is None:
-        return "case_log"
-    return q.add("case_log_until", f"SELECT * FROM case_log WHERE fecha_registro <= {until}")
-
-
 def seed_and_later(q: Sql, src: str = "case_log") -> tuple[str, str]:
-    seed = q.add(f"{src}_seed", f"SELECT * FROM {src} WHERE fecha_registro <= {SEED}")
-    later = q.add(f"{src}_later", f"SELECT * FROM {src} WHERE fecha_registro > {SEED}")
+    seed = q.add(f"{src}_seed", f"SELECT * FROM {src} WHERE fecha_registro < {DAY1}")
+    later = q.add(f"{src}_later", f"SELECT * FROM {src} WHERE fecha_registro >= {DAY1}")
     return seed, later
 
 
-def incremental_history(q: Sql, level: str, until: str | None = None) -> str:
-    """History after the seed rebuild and one run per later snapshot, in closed form.
+def incremental_history(q: Sql, level: str, src: str = "case_log", per_tenant: bool = False) -> str:
+    """History (with load_seq) after the seed rebuild and one run per later snapshot, in closed form.
 
     Per key, the raw rows are interleaved with a marker at the seed's
     last-seen time (when that day is not the seed day) and a marker at each
     later snapshot the key misses after its first appearance; run-length
     compression of that sequence is the history the runs append.  A child
     marker of a run carries the parent context of the newest emitted row.
+    Snapshots are those with rows of the level; ``per_tenant``: each tenant's own.
     """
     lv = LEVELS[level]
     keys = lv["keys"]
     k = ", ".join(keys)
-    src = bounded_log(q, until)
     seed, later = seed_and_later(q, src)
     rows = level_rows(q, src, level)
-    snaps = q.add("later_snaps", f"SELECT DISTINCT fecha_registro AS t FROM {later}")
+    own = "cliente, " if per_tenant else ""
+    snaps = q.add(f"{level}_later_snaps", f"SELECT DISTINCT {own}fecha_registro AS t FROM {level_rows(q, later, level)}")
+    same = "AND s.cliente IS NOT DISTINCT FROM x.cliente" if per_tenant else ""
     first_seen = q.add(f"{level}_first_seen", f"SELECT {k}, min(fecha_registro) AS f FROM {rows} GROUP BY {k}")
     seed_m = suppressed_batch(q, seed, level, SEED_DATE)
     if level == "parent":
@@ -425,7 +420,7 @@ def incremental_history(q: Sql, level: str, until: str | None = None) -> str:
                        f"s.t AS fecha_registro, CAST(NULL AS VARCHAR) AS estado_padre, {SUPP} AS estado_hijo")
     run_m = q.add(f"{level}_run_markers", f"""
 SELECT {marker_cols}, CAST(NULL AS BIGINT) AS load_seq, 1 AS run_marker
-FROM {snaps} s JOIN {first_seen} x ON x.f < s.t
+FROM {snaps} s JOIN {first_seen} x ON x.f < s.t {same}
 WHERE NOT EXISTS (SELECT 1 FROM {rows} r WHERE r.fecha_registro = s.t AND {nse('r', 'x', keys)})""")
     v = q.add(f"{level}_virtual", f"""
 SELECT *, 0 AS run_marker FROM {rows}
@@ -438,7 +433,7 @@ SELECT *, ({null_key(keys)} OR coalesce({lv['state']} <> lag({lv['state']}) OVER
        row_number() OVER (PARTITION BY {k} ORDER BY {order}) AS pos
 FROM {v}""")
     if level == "parent":
-        return q.add(f"{level}_incr_history", f"SELECT {P_COLS} FROM {flagged} WHERE changed")
+        return q.add(f"{level}_incr_history", f"SELECT {P_COLS}, load_seq FROM {flagged} WHERE changed")
     ctx = q.add(f"{level}_virtual_ctx", f"""
 SELECT *,
   last_value(CASE WHEN changed THEN folio_padre END IGNORE NULLS) OVER w AS c_fp,
@@ -452,5 +447,38 @@ SELECT cliente,
        CASE WHEN run_marker = 1 THEN nullif(c_pg, '\x01') ELSE ppa_grd END AS ppa_grd,
        fecha_registro,
        CASE WHEN run_marker = 1 THEN nullif(c_ep, '\x01') ELSE estado_padre END AS estado_padre,
-       estado_hijo
+       estado_hijo, load_seq
 FROM {ctx} WHERE changed""")
+
+
+def affected(q: Sql, level: str) -> str:
+    """Keys that the runs after the seed touch: seen later, or given a marker."""
+    keys = ", ".join(LEVELS[level]["keys"])
+    _, later = seed_and_later(q)
+    return q.add(f"{level}_affected", f"""
+SELECT {keys} FROM {level_rows(q, later, level)}
+UNION SELECT {keys} FROM {incremental_history(q, level)} WHERE {LEVELS[level]['state']} = {SUPP} AND fecha_registro >= {DAY1}""")
+
+
+def upserted_dim(q: Sql, level: str) -> str:
+    """A dimension after all runs: seed rows (batch rules) of untouched keys, and the touched
+    keys' rows by the incremental rules over the whole log and the runs' history."""
+    def of(src, name, aff, keys):
+        return q.add(name, f"SELECT u.* FROM {src} u WHERE EXISTS (SELECT 1 FROM {aff} a WHERE {nse('a', 'u', keys)})")
+
+    def put(old, new, name, aff, keys):
+        return q.add(name, f"SELECT * FROM {old} d WHERE NOT EXISTS (SELECT 1 FROM {aff} a WHERE {nse('a', 'd', keys)}) UNION ALL SELECT * FROM {new}")
+
+    seed, _ = seed_and_later(q)
+    pk, ck = ["cliente", "folio_padre"], ["cliente", "folio_hijo"]
+    aff = affected(q, "parent")
+    pd0 = parent_dim(q, seed, history_table(q, seed, "parent", SEED_DATE), "batch")
+    new = parent_dim(q, of("case_log", "log_of_parents", aff, pk), of(incremental_history(q, "parent"), "history_of_parents", aff, pk),
+                     "incremental", starts_src="case_log")
+    pd1 = put(pd0, new, "parents_after_runs", aff, pk)
+    if level == "parent":
+        return pd1
+    aff = affected(q, "child")
+    cd0 = child_dim(q, seed, history_table(q, seed, "child", SEED_DATE), pd0, "batch")
+    new = child_dim(q, of("case_log", "log_of_children", aff, ck), of(incremental_history(q, "child"), "history_of_children", aff, ck), pd1, "incremental")
+    return put(cd0, new, "children_after_runs", aff, ck)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import raw_df, ts
 from tidemark.operators import dims as D
-from tidemark.operators.history import compress_history, detect_changes, suppressed_batch, suppressed_incremental
+from tidemark.operators.history import apply_snapshots, compress_history, detect_changes, suppressed_batch, suppressed_incremental
 from tidemark.operators.latest import first_last_state, latest_per_key, latest_snapshot, latest_state
 from tidemark.schemas import CHILD, PARENT, SUPPRESSED
 
@@ -180,35 +180,79 @@ def test_first_last_whole_rows_vs_non_null(spark):
     assert (r["first_state"], r["first_ts"], r["last_state"], r["last_ts"]) == (None, ts(1), None, ts(3))
 
 
-def test_hot_key_split_matches_plain_window(spark):
-    rows = [dict(fecha_registro=ts(1 + i // 7), estado_padre=("a", "b", None)[i % 3 if i % 5 else 0])
-            for i in range(60)]
-    raw = raw_df(spark, rows)
-    plain = compress_history(raw, PARENT, hot_key_rows=None)
-    split = compress_history(raw, PARENT, hot_key_rows=0)
-    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, split.collect()), key=str)
+def plain_changes(rows, key, state, order):
+    """Change flags by a loop over sorted rows."""
+    out, last = {}, {}
+    for r in sorted(rows, key=order):
+        k = tuple(r[c] for c in key)
+        known = None not in k and k in last
+        out[r["load_seq"]] = not known or last[k] is None or r[state] is None or r[state] != last[k]
+        if None not in k:
+            last[k] = r[state]
+    return out
 
 
-def test_hot_key_split_with_tiny_tie_ranges(spark):
+def test_one_key_with_most_rows(spark):
+    """Days, several rows a time, NULL states, unknown times and NULL keys in one path."""
     import tidemark.operators.history as H
-    rows = [dict(fecha_registro=ts(1 + i // 10), estado_hijo=("x", "y")[(i // 3) % 2]) for i in range(50)]
-    raw = raw_df(spark, rows)
-    plain = H.flag_changes(raw, ["cliente", "folio_hijo"], "estado_hijo", hot_key_rows=None)
-    split = H.flag_changes(raw, ["cliente", "folio_hijo"], "estado_hijo", hot_key_rows=0, tie_span=2)
-    a = sorted((r["load_seq"], r["_changed"]) for r in plain.collect())
-    b = sorted((r["load_seq"], r["_changed"]) for r in split.collect())
+    raw = raw_df(spark, [dict(fecha_registro=None if i % 17 == 0 else ts(1 + i // 25, (i // 5) % 24), folio_hijo=None if i % 13 == 0 else "H1",
+                              estado_hijo=("x", "y", None)[i % 3 if i % 5 else 0]) for i in range(200)])
+    got = {r["load_seq"]: r["_changed"] for r in H.flag_changes(raw, ["cliente", "folio_hijo"], "estado_hijo").collect()}
+    order = lambda r: (r["fecha_registro"] is None, r["fecha_registro"] or ts(1), r["load_seq"])
+    assert got == plain_changes([r.asDict() for r in raw.collect()], ["cliente", "folio_hijo"], "estado_hijo", order)
+
+
+def test_string_tie_breaker(spark):
+    import tidemark.operators.history as H
+    raw = raw_df(spark, [dict(fecha_registro=ts(1 + i // 20), estado_hijo=("x", "y")[(i // 3) % 2]) for i in range(50)])
+    texts = raw.withColumn("load_seq", F.lpad(F.col("load_seq").cast("string"), 8, "0"))
+    a = {int(r["load_seq"]): r["_changed"] for r in H.flag_changes(texts, ["cliente", "folio_hijo"], "estado_hijo").collect()}
+    b = {r["load_seq"]: r["_changed"] for r in H.flag_changes(raw, ["cliente", "folio_hijo"], "estado_hijo").collect()}
     assert a == b
 
 
-def test_hot_key_split_in_detect_changes(spark):
-    seed = raw_df(spark, [dict(fecha_registro=ts(1), estado_padre="a")])
-    state = latest_state(compress_history(seed, PARENT), PARENT)
-    rows = [dict(fecha_registro=ts(1 + i // 4), estado_padre=("a", "b", None, "b")[i % 4]) for i in range(24)]
+def test_snapshots_in_one_pass_equal_one_run_each(spark):
+    """apply_snapshots against a loop of detect_changes and suppressed_incremental, both levels and scopes."""
+    import itertools
+    import random
+    draw = random.Random(5)
+    rows = [dict(cliente=c, folio_padre=f"P{p}", folio_hijo=draw.choice(["", f"H{p}", f"H{p}b"]), fecha_registro=ts(d), estado_padre=draw.choice(["a", "b", None, SUPPRESSED]),
+                 estado_hijo=draw.choice(["x", "y", None]))
+            for c, p, d in itertools.product(["1", "2", None], [1, 2, None], range(2, 8)) if draw.random() < 0.6]
+    rows += [dict(fecha_registro=ts(9), folio_hijo="", folio_padre="P1"), dict(fecha_registro=ts(10), folio_padre="P9", folio_hijo="H9")]
+    seed = raw_df(spark, [dict(cliente="1", folio_padre="P1", folio_hijo="H1"), dict(cliente="2", folio_padre="P7", folio_hijo="H7"), dict(cliente="4")])
     batch = raw_df(spark, rows)
-    plain = detect_changes(batch, state, PARENT, hot_key_rows=None)
-    split = detect_changes(batch, state, PARENT, hot_key_rows=0)
-    assert sorted(map(tuple, plain.collect()), key=str) == sorted(map(tuple, split.collect()), key=str)
-    assert plain.count() > 0
+    for level, scope in itertools.product((PARENT, CHILD), ("global", "tenant")):
+        state = latest_state(compress_history(seed, level), level)
+        once = apply_snapshots(batch, state, level, scope)
+        history = compress_history(seed, level)
+        out = []
+        for d in (2, 3, 4, 5, 6, 7, 9, 10):
+            now = latest_state(history, level)
+            snap = batch.filter(F.dayofmonth("fecha_registro") == d)
+            new = detect_changes(snap, now, level).unionByName(suppressed_incremental(now, snap, level, scope)).select(*history.columns)
+            found = new.collect()
+            out += map(tuple, found)
+            history = spark.createDataFrame([*history.collect(), *found], history.schema)
+        assert once.columns == history.columns
+        assert sorted(map(tuple, once.collect()), key=str) == sorted(out, key=str), (level.name, scope)
+
+
+def test_snapshot_without_children_suppresses_no_child(spark):  # C7, section 7.5
+    seed = raw_df(spark, [dict(fecha_registro=ts(1)), dict(cliente="2", fecha_registro=ts(1))])
+    state = latest_state(compress_history(seed, CHILD), CHILD)
+    childless = raw_df(spark, [dict(fecha_registro=ts(2), folio_hijo=""), dict(cliente="2", fecha_registro=ts(2), folio_hijo=None)])
+    for scope in ("global", "tenant"):
+        assert suppressed_incremental(state, childless, CHILD, scope).count() == 0
+        assert apply_snapshots(childless, state, CHILD, scope).count() == 0
+    half = childless.unionByName(raw_df(spark, [dict(fecha_registro=ts(2), folio_hijo="H5")]))
+    assert [r["cliente"] for r in suppressed_incremental(state, half, CHILD, "tenant").collect()] == ["1"]
+
+
+def test_default_as_of_is_the_session_date(spark):  # X3
+    today, before = spark.sql("SELECT CAST(current_date() AS TIMESTAMP_NTZ) AS t, CAST(current_date() - 1 AS TIMESTAMP_NTZ) AS y").first()
+    raw = raw_df(spark, [dict(folio_padre="P1", fecha_registro=today), dict(folio_padre="P2", fecha_registro=before)])
+    assert [r["folio_padre"] for r in suppressed_batch(raw, PARENT).collect()] == ["P2"]
 
 
 def test_null_url_is_not_coded(spark):  # F4

@@ -11,15 +11,12 @@ import oracle as O
 import __spark_entry__ as E
 from tidemark.operators.history import compress_history
 from tidemark.plans.bootstrap import CHILD_DIM, CHILD_HISTORY, PARENT_DIM, PARENT_HISTORY
-from tidemark.plans.increment import run_from_source
+from tidemark.plans.increment import high_water_mark, run_from_source, run_increment, tenant_marks
 from tidemark.plans.scenario import daily_runs, streamed_runs, _inputs
 from tidemark.schemas import CHILD, PARENT, SUPPRESSED
 from test_oracle import TABLES, rows_of_spark, rows_of_sql
 from tidemark.functions.time import ntz
 
-RUNS = 3
-UNTIL = "TIMESTAMP '2024-01-23 00:00:00'"
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -35,41 +32,41 @@ def history(store, table, level):
 
 @pytest.mark.parametrize("level,table", [(PARENT, PARENT_HISTORY), (CHILD, CHILD_HISTORY)])
 def test_runs_match_closed_form(spark, con, level, table):
-    store = daily_runs(spark, SF001, runs=RUNS)
+    store = daily_runs(spark, SF001)
     q = O.base_query()
-    sql = q.select(f"SELECT {O.LEVELS[level.name]['cols']} FROM {O.incremental_history(q, level.name, UNTIL)}")
+    sql = q.select(f"SELECT {O.LEVELS[level.name]['cols']} FROM {O.incremental_history(q, level.name)}")
     assert rows_of_spark(history(store, table, level)) == rows_of_sql(con, sql)
 
 
 @pytest.mark.parametrize("level,table", [(PARENT, PARENT_HISTORY), (CHILD, CHILD_HISTORY)])
 def test_stream_equals_loop(spark, level, table):
-    loop = daily_runs(spark, SF001, runs=RUNS)
-    stream = streamed_runs(spark, SF001, runs=RUNS)
+    loop = daily_runs(spark, SF001)
+    stream = streamed_runs(spark, SF001)
     assert rows_of_spark(history(loop, table, level)) == rows_of_spark(history(stream, table, level))
     for dim in (PARENT_DIM, CHILD_DIM):
         assert rows_of_spark(loop.read(dim)) == rows_of_spark(stream.read(dim))
 
 
 def test_replay_is_harmless(spark):
-    store = daily_runs(spark, SF001, runs=RUNS)
+    store = daily_runs(spark, SF001)
     raw, det, ben = _inputs(spark, SF001)
     before = {t: store.read(t).count() for t in (PARENT_HISTORY, CHILD_HISTORY, PARENT_DIM, CHILD_DIM)}
     # Same run id: skipped.  Fresh id over an already processed range: nothing new.
-    last = store.read("runs").orderBy(F.col("mark").desc()).first()
-    r = run_from_source(store, raw.filter(F.col("fecha_registro") <= ntz(last["mark"])), det, ben,
+    last = store.manifest().runs[-1]
+    mark = high_water_mark(store)
+    r = run_from_source(store, raw.filter(F.col("fecha_registro") <= ntz(mark)), det, ben,
                         run_id=last["run_id"])
     assert r.skipped
-    seeded_raw = raw.filter(F.col("fecha_registro") <= ntz(last["mark"]))
-    from tidemark.plans.increment import run_increment
-    replay = seeded_raw.filter(F.col("fecha_registro") == ntz(last["mark"]))
+    seeded_raw = raw.filter(F.col("fecha_registro") <= ntz(mark))
+    replay = seeded_raw.filter(F.col("fecha_registro") == ntz(mark))
     r2 = run_increment(store, replay, det, ben, run_id="replay-test")
-    assert r2.skipped  # rows at or before the mark are late (T4)
+    assert r2.skipped and r2.rows == 0 and r2.late == replay.count()  # at or before the mark: late, counted (T4)
     after = {t: store.read(t).count() for t in before}
     assert before == after
 
 
 def test_dimension_keys_unique(spark):
-    store = daily_runs(spark, SF001, runs=RUNS)
+    store = daily_runs(spark, SF001)
     pd = store.read(PARENT_DIM)
     assert pd.count() == pd.select("cliente", "folio_padre").distinct().count()
     cd = store.read(CHILD_DIM)
@@ -77,7 +74,7 @@ def test_dimension_keys_unique(spark):
 
 
 def test_changes_never_repeat_previous_state(spark):
-    store = daily_runs(spark, SF001, runs=RUNS)
+    store = daily_runs(spark, SF001)
     from pyspark.sql import Window
     h = store.read(PARENT_HISTORY)
     w = Window.partitionBy("cliente", "folio_padre").orderBy(
@@ -89,10 +86,9 @@ def test_changes_never_repeat_previous_state(spark):
 def test_full_history_within_incremental_history(spark):
     """Full history is a subset of the incremental one minus markers; the surplus
     rows are returns with the state the key had before it vanished."""
-    store = daily_runs(spark, SF001, runs=RUNS)
+    store = daily_runs(spark, SF001)
     raw, _, _ = _inputs(spark, SF001)
-    upto = raw.filter(F.col("fecha_registro") <= F.lit("2024-01-23").cast("timestamp_ntz"))
-    full = collections.Counter(map(tuple, compress_history(upto, PARENT).select(*PARENT.columns).collect()))
+    full = collections.Counter(map(tuple, compress_history(raw, PARENT).select(*PARENT.columns).collect()))
     incr = collections.Counter(map(tuple, store.read(PARENT_HISTORY).filter(
         F.col("estado_padre") != SUPPRESSED).select(*PARENT.columns).collect()))
     assert not (full - incr)
@@ -117,43 +113,50 @@ def test_upsert_queries_match_oracle(spark, con):
         assert rows_of_spark(E.queries()[name](spark, SF001)) == rows_of_sql(con, E.oracle_sql()[name]), name
 
 
-def test_affected_key_refresh_equals_restricted_rebuild(spark):
-    """Dimension rows of the keys a run touched equal a rebuild under the
-    incremental rules over the same inputs, restricted to those keys."""
-    from tidemark.operators import dims as D
-    store = daily_runs(spark, SF001, runs=1)
-    raw, det, ben = _inputs(spark, SF001)
-    upto = raw.filter(F.col("fecha_registro") <= F.lit("2024-01-21").cast("timestamp_ntz"))
-    day = raw.filter(F.col("fecha_registro") == F.lit("2024-01-21").cast("timestamp_ntz"))
-    hist = store.read(PARENT_HISTORY)
-    full = D.parent_dim(upto, hist, det, "incremental")
-    keys = day.select("cliente", "folio_padre").unionByName(
-        hist.filter(F.col("load_seq").isNull() & (F.col("fecha_registro") == F.lit("2024-01-21")
-                                                  .cast("timestamp_ntz"))).select("cliente", "folio_padre")).distinct()
-    want = full.join(keys, ["cliente", "folio_padre"], "left_semi")
-    got = store.read(PARENT_DIM).join(keys, ["cliente", "folio_padre"], "left_semi")
-    assert rows_of_spark(got) == rows_of_spark(want)
-
-
-def test_retry_after_partial_run_equals_clean_run(spark):
-    """A first attempt appends parent history and dies before recording the
-    run; the retry must leave every table as one clean run would (T7)."""
+@pytest.mark.parametrize("ahead", [False, True])
+def test_retry_after_a_crash_at_any_write(spark, ahead):
+    """A batch of two snapshots dies at one write after another (or at its commit); the retry, with or
+    without a further snapshot that landed meanwhile, equals a clean run (T7)."""
     import datetime as dt
-    from tidemark.plans import increment as I
-    from tidemark.plans.scenario import seeded_store
-    store, raw, det, ben = seeded_store(spark, SF001, "retry")
-    day = dt.datetime(2024, 1, 21)
-    source = raw.filter(F.col("fecha_registro") <= ntz(day))
-    last = I.high_water_mark(store)
-    b = I.incremental_scan(source, last)
-    snap = b.filter(F.col("fecha_registro") == ntz(day))
-    I._history_step(store, b, snap, day, day, b.count(), PARENT, PARENT_HISTORY, "global", True, last)
-    I.run_from_source(store, source, det, ben, run_id="retry")
-    clean = daily_runs(spark, SF001, runs=1)
-    for t, level in ((PARENT_HISTORY, PARENT), (CHILD_HISTORY, CHILD)):
-        assert rows_of_spark(history(store, t, level)) == rows_of_spark(history(clean, t, level)), t
-    for t in (PARENT_DIM, CHILD_DIM):
-        assert rows_of_spark(store.read(t)) == rows_of_spark(clean.read(t)), t
+    from tidemark.plans.increment import incremental_scan
+    from tidemark.plans.scenario import died, seeded_store
+    until = dt.datetime(2024, 1, 23 if ahead else 22)
+    stores = []
+    for name in ("retry", "clean"):
+        store, raw, det, ben = seeded_store(spark, SF001, name)
+        if name == "retry":
+            two = incremental_scan(raw.filter(F.col("fecha_registro") <= ntz(dt.datetime(2024, 1, 22))), high_water_mark(store))
+            before = store.manifest()
+            for writes in (0, 1, 2, 4, 7, 9, 99):
+                assert died(store, two, det, ben, writes, run_id="r") is None
+                assert store.manifest() == before
+        run = run_from_source(store, raw.filter(F.col("fecha_registro") <= ntz(until)), det, ben, run_id="r", snapshots="each")
+        assert run.rows and run.history_rows["parent"] and run.dim_rows["child"]
+        stores.append(store)
+    for t in (PARENT_HISTORY, CHILD_HISTORY, PARENT_DIM, CHILD_DIM):
+        assert rows_of_spark(stores[0].read(t)) == rows_of_spark(stores[1].read(t)), t
+
+
+def test_tenant_that_arrives_later(spark):
+    """Tenant 1 at 02:00, then tenant 2's snapshot of 01:00: applied in tenant scope, late in global scope."""
+    from conftest import raw_df, ts
+    from tidemark.plans.bootstrap import bootstrap
+    from tidemark.session import scratch
+    from tidemark.sinks.store import TableStore
+    from tidemark.plans.scenario import landed_inputs
+    _, det, ben = landed_inputs(spark, SF001)
+    seed = raw_df(spark, [dict(fecha_registro=ts(1)), dict(cliente="2", fecha_registro=ts(1))])
+    first = raw_df(spark, [dict(fecha_registro=ts(2, 2), estado_padre="b")])
+    second = raw_df(spark, [dict(cliente="2", fecha_registro=ts(2, 1), estado_padre="c"), dict(cliente="1", fecha_registro=ts(2, 1), estado_padre="z")])
+    for scope, rows, late in (("tenant", 1, 1), ("global", 0, 2)):
+        store = TableStore(spark, scratch(spark, f"later-{scope}"))
+        bootstrap(store, seed, det, ben, "2024-01-01")
+        assert run_increment(store, first, det, ben, scope=scope).late == 0
+        result = run_increment(store, second, det, ben, scope=scope)
+        assert (result.rows, result.late) == (rows, late)
+        states = [r["estado_padre"] for r in store.read(PARENT_HISTORY).filter("cliente = '2'").collect()]
+        assert ("c" in states) == (scope == "tenant")
+    assert tenant_marks(store)["1"] == ts(2, 2)
 
 
 def test_tenant_scope_run_on_staggered_snapshots(spark):
@@ -186,25 +189,16 @@ def test_tenant_scope_run_on_staggered_snapshots(spark):
     assert high_water_mark(store, "history") == newest
 
 
-def test_compaction_keeps_content_and_later_runs(spark):
-    """Folding the state deltas changes no table and no later run."""
-    import datetime as dt
-    from tidemark.plans.bootstrap import CHILD_STATE, CHILD_SUMMARY, LATEST_RAW, PARENT_STATE, PARENT_SUMMARY
+def test_compaction_and_retention_keep_content(spark):
+    """Folding the deltas and deleting old versions changes no table."""
+    from tidemark.plans.bootstrap import CHILD_STATE, CHILD_SUMMARY, LATEST_CHILD, LATEST_PARENT, PARENT_STATE, PARENT_SUMMARY
     from tidemark.plans.increment import compact_state
-    from tidemark.plans.scenario import seeded_store
-    store, raw, det, ben = seeded_store(spark, SF001, "compact")
-    for day in (21, 22):
-        run_from_source(store, raw.filter(F.col("fecha_registro") <= ntz(dt.datetime(2024, 1, day))), det, ben,
-                        run_id=f"c{day}")
-    tables = (PARENT_STATE, CHILD_STATE, PARENT_SUMMARY, CHILD_SUMMARY, LATEST_RAW)
-    before = {t: store.read(t).count() for t in tables}
+    store = daily_runs(spark, SF001)
+    deltas = (PARENT_STATE, CHILD_STATE, PARENT_SUMMARY, CHILD_SUMMARY, LATEST_PARENT, LATEST_CHILD)
+    tables = (PARENT_HISTORY, CHILD_HISTORY, PARENT_DIM, CHILD_DIM)
+    before, contents = {t: store.read(t).count() for t in deltas}, {t: rows_of_spark(store.read(t)) for t in tables}
     compact_state(store)
-    after = {t: store.read(t).count() for t in tables}
-    assert all(after[t] <= before[t] for t in tables)
-    run_from_source(store, raw.filter(F.col("fecha_registro") <= ntz(dt.datetime(2024, 1, 23))), det, ben,
-                    run_id="c23")
-    clean = daily_runs(spark, SF001, runs=RUNS)
-    for t, level in ((PARENT_HISTORY, PARENT), (CHILD_HISTORY, CHILD)):
-        assert rows_of_spark(history(store, t, level)) == rows_of_spark(history(clean, t, level)), t
-    for t in (PARENT_DIM, CHILD_DIM):
-        assert rows_of_spark(store.read(t)) == rows_of_spark(clean.read(t)), t
+    assert store.retain(1) > 20
+    assert all(store.read(t).count() <= before[t] for t in deltas)
+    assert {t: rows_of_spark(store.read(t)) for t in tables} == contents
+    assert max(len(v) for t in store.manifest().tables.values() for v in t["buckets"].values()) == 1

@@ -13,8 +13,7 @@ import __spark_entry__ as E
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages "
           "benchmark labels conversations").split()
 # Queries that run whole scenarios are covered in test_incremental.py.
-SCENARIOS = {"parent_dim_upsert", "child_dim_upsert", "incremental_run_history_parent",
-             "incremental_run_history_child", "stream_history_parent", "stream_history_child"}
+SCENARIOS = {"incremental_run_history_parent", "incremental_run_history_child"}
 
 
 @pytest.fixture(scope="module")

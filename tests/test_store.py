@@ -1,9 +1,11 @@
-"""Versioned table store: append, replace, upsert, compaction, uncommitted versions."""
+"""Table store: append, replace, upsert by bucket, commits, conflicts, retention."""
 
 import os
 
+import pytest
+
 from tidemark.session import scratch
-from tidemark.sinks.store import TableStore
+from tidemark.sinks.store import BUCKET, CommitConflict, TableStore
 
 
 def df(spark, rows):
@@ -19,36 +21,81 @@ def test_append_replace_upsert(spark):
     assert not store.exists("t")
     assert store.read("t") is None
     assert store.read("t", schema="k string, v long").count() == 0
-    store.append(df(spark, [("a", 1), ("b", 2)]), "t")
-    store.append(df(spark, [("c", 3)]), "t")
+    store.append(df(spark, [("a", 1), ("b", 2)]), "t", ["k"])
+    store.append(df(spark, [("c", 3)]), "t", ["k"])
     assert rows(store.read("t")) == [("a", 1), ("b", 2), ("c", 3)]
     store.upsert(df(spark, [("b", 20), ("d", 4)]), df(spark, [("b", 0), ("d", 0)]), "t", ["k"])
     assert rows(store.read("t")) == [("a", 1), ("b", 20), ("c", 3), ("d", 4)]
-    store.append(df(spark, [("e", 5)]), "t")
-    store.compact("t")
+    store.append(df(spark, [("e", 5)]), "t", ["k"])
+    store.replace(store.read("t"), "t", ["k"])
     assert rows(store.read("t")) == [("a", 1), ("b", 20), ("c", 3), ("d", 4), ("e", 5)]
-    store.replace(df(spark, [("z", 9)]), "t")
+    store.replace(df(spark, [("z", 9)]), "t", ["k"])
     assert rows(store.read("t")) == [("z", 9)]
+    store.append(df(spark, [("a", 1)]), "plain")
+    store.append(df(spark, []), "plain")
+    assert rows(store.read("plain")) == [("a", 1)]
+    with pytest.raises(ValueError):
+        store.append(df(spark, [("a", 1)]), "plain", ["k"])
 
 
 def test_upsert_matches_null_keys(spark):
     store = TableStore(spark, scratch(spark, "store-null"))
-    store.replace(df(spark, [(None, 1), ("a", 2)]), "t")
+    store.replace(df(spark, [(None, 1), ("a", 2)]), "t", ["k"])
     store.upsert(df(spark, [(None, 10)]), df(spark, [(None, 0)]), "t", ["k"])
     assert rows(store.read("t").fillna("~")) == [("a", 2), ("~", 10)]
 
 
-def test_uncommitted_version_is_invisible(spark):
-    root = scratch(spark, "store-partial")
+def test_upsert_touches_only_its_buckets(spark):
+    store = TableStore(spark, scratch(spark, "store-buckets"))
+    store.replace(df(spark, [(f"k{i}", i) for i in range(100)]), "t", ["k"])
+    before = store.manifest().tables["t"]["buckets"]
+    files = {f: os.stat(f).st_mtime_ns for f in store.read("t").inputFiles() for f in [f.removeprefix("file://")]}
+    store.upsert(df(spark, [("k7", 70)]), df(spark, [("k7", 0)]), "t", ["k"])
+    after = store.manifest().tables["t"]["buckets"]
+    changed = [b for b in before if before[b] != after[b]]
+    assert len(changed) == 1
+    read = {f.removeprefix("file://") for f in store.read("t").inputFiles()}
+    kept = [f for f in files if f"{BUCKET}={changed[0]}/" not in f]
+    assert set(kept) <= read and all(os.stat(f).st_mtime_ns == files[f] for f in kept)
+    assert rows(store.read("t")) == sorted((f"k{i}", 70 if i == 7 else i) for i in range(100))
+    gone = df(spark, [(f"k{i}", 0) for i in range(100)])
+    store.upsert(df(spark, []), gone, "t", ["k"])  # every row deleted
+    assert rows(store.read("t")) == []
+
+
+def test_uncommitted_writes_are_invisible(spark):
+    store = TableStore(spark, scratch(spark, "store-partial"))
+    store.append(df(spark, [("a", 1)]), "t")
+    tx = store.transaction()
+    tx.append(df(spark, [("x", 9)]), "t")
+    tx.append(df(spark, [("x", 9)]), "u")
+    assert rows(tx.read("t")) == [("a", 1), ("x", 9)]
+    assert rows(store.read("t")) == [("a", 1)] and not store.exists("u")
+    store.append(df(spark, [("b", 2)]), "t")  # another writer commits first
+    with pytest.raises(CommitConflict):
+        tx.commit()
+    assert rows(store.read("t")) == [("a", 1), ("b", 2)] and not store.exists("u")
+
+
+def test_torn_manifest_is_not_committed(spark):
+    root = scratch(spark, "store-torn")
     store = TableStore(spark, root)
     store.append(df(spark, [("a", 1)]), "t")
-    # A version folder without the commit marker, as a failed job leaves it.
-    os.makedirs(f"{root}/t/v00000002-delta")
-    df(spark, [("x", 9)]).write.parquet(f"{root}/t/tmp-part")
+    folder = root.removeprefix("file:") + "/_manifest"
+    with open(f"{folder}/0000000002.json", "w") as f:
+        f.write('{"number": 2, "tab')
     assert rows(store.read("t")) == [("a", 1)]
-    v = store.append(df(spark, [("b", 2)]), "t")
-    assert v == 2
-    assert rows(store.read("t")) == [("a", 1), ("b", 2)]
+    store.append(df(spark, [("b", 2)]), "t")
+    assert rows(store.read("t")) == [("a", 1), ("b", 2)] and store.manifest().number == 3
+
+
+def test_retention_keeps_what_the_last_commits_name(spark):
+    store = TableStore(spark, scratch(spark, "store-retain"))
+    for k in range(4):
+        store.replace(df(spark, [("a", k)]), "t", ["k"])
+    assert store.retain(2) == 4  # two versions and two manifests
+    assert rows(store.read("t")) == [("a", 3)]
+    assert len(os.listdir(store.root.removeprefix("file:") + "/t")) == 2
 
 
 def test_read_source_path_and_catalog(spark):

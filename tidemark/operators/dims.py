@@ -16,7 +16,6 @@ from ..functions.text import extract_code
 from ..schemas import (ASSIGNED, BENEFIT_COLUMNS, CHILD, CHILD_BASE, CHILD_DIM, CODED_URL_MARK, CURRENT,
                        DETAIL_COLUMNS, LEGACY, NOT_ACCEPTED, PARENT, PARENT_DIM, PARENT_STATIC, TIE, TS)
 from .latest import first_last_state, first_per_key, load_order, newest_first
-from .sizing import small_side
 
 RULES = ("batch", "incremental")
 
@@ -38,9 +37,9 @@ def followup_class(static: DataFrame, starts: DataFrame) -> DataFrame:
     """``tipo_seguimiento``: ``current`` when assigned on/after the tenant's start,
     ``legacy`` when before; rows with an unknown date or tenant drop out (C10, N9).
 
-    The tenant table has one row per tenant and is broadcast after a size check.
+    The tenant table has one row per tenant; AQE broadcasts it from its measured size.
     """
-    j = static.join(small_side(starts), on="cliente", how="left")
+    j = static.join(starts, on="cliente", how="left")
     a, s = F.col("fecha_asignacion"), F.col("fecha_primer_registro")
     cls = F.when(a >= s, F.lit(CURRENT)).when(a < s, F.lit(LEGACY))
     return j.withColumn("tipo_seguimiento", cls).filter(F.col("tipo_seguimiento").isNotNull())
@@ -118,7 +117,7 @@ def acceptance_legacy_batch(legacy: DataFrame, history: DataFrame, match_tenant:
         hist = null_safe_join(hist, ident, keys, "left_semi")
     else:
         tenants = ident.select("cliente").distinct()
-        hist = null_safe_join(hist, small_side(tenants), ["cliente"], "left_semi")
+        hist = null_safe_join(hist, tenants, ["cliente"], "left_semi")
         hist = null_safe_join(hist, ident.select("folio_padre").distinct(), ["folio_padre"], "left_semi")
     # Earliest (time, is-Asignado) pair: the flag is 0 when some row at the
     # earliest time is in another state.

@@ -5,6 +5,7 @@
 * ``detect_changes``     - changes of a new batch against stored state (C1, T6)
 * ``suppressed_batch``   - keys whose last-seen day differs from ``as_of`` (C4, C5)
 * ``suppressed_incremental`` - active keys absent from a snapshot (C6, C7)
+* ``apply_snapshots``    - changes and markers of several snapshots in one pass (T2)
 """
 
 from __future__ import annotations
@@ -13,23 +14,10 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.nulls import any_null, ne_or_null, not_blank, null_safe_join
-from ..schemas import PARENT, SUPPRESSED, TIE, TS, Level, require_columns
-from ..functions.time import ntz
-from .sizing import small_side
-
-# A key with more rows than this is "hot": its rows are split into ordered
-# buckets so that no single task has to sort all of them.  The hot-key table
-# has at most total_rows / HOT_KEY_ROWS entries, which bounds its broadcast.
-HOT_KEY_ROWS = 1 << 22
-# Rows of one hot key that share a timestamp are further split into ranges of
-# this many tie-breaker values.
-TIE_SPAN = 1 << 20
-
-_INTEGRAL = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
-
+from ..schemas import PARENT, SUPPRESSED, TENANT, TIE, TS, Level, require_columns
+from .latest import first_per_key
 
 def _order(ts: str, tie: str, pre=()) -> list[Column]:
     # Timestamps ascend with NULL last (N7); rows of one timestamp keep their
@@ -37,8 +25,7 @@ def _order(ts: str, tie: str, pre=()) -> list[Column]:
     return [F.col(ts).asc_nulls_last(), *[F.col(p).asc() for p in pre], F.col(tie).asc_nulls_first()]
 
 
-def flag_changes(df: DataFrame, keys, state: str, ts: str = TS, tie: str = TIE, pre=(),
-                 hot_key_rows: int | None = HOT_KEY_ROWS, tie_span: int = TIE_SPAN) -> DataFrame:
+def flag_changes(df: DataFrame, keys, state: str, ts: str = TS, tie: str = TIE, pre=()) -> DataFrame:
     """Add ``_changed``: the row's state differs from the previous row of its key.
 
     Rows are ordered by (``ts`` NULLS LAST, ``pre``..., ``tie``) within
@@ -46,43 +33,27 @@ def flag_changes(df: DataFrame, keys, state: str, ts: str = TS, tie: str = TIE,
     state differs from the previous one with NULL counting as different (N1),
     or when a key column is NULL (N3: such rows have no predecessor).
 
-    Keys with at most ``hot_key_rows`` rows go through one window partitioned
-    by the key.  Hotter keys are split into buckets that follow the row order
-    - (ts, pre..., tie // tie_span) - each bucket is compared internally, and
-    each bucket's first row is compared with the last row of the key's
-    previous bucket through a second window over one row per bucket.
+    Every key's rows are dealt by (key, day), so a key with most of the log is
+    as many window partitions as it has days; rows with a NULL key, which no
+    window needs, are dealt by their tie-breaker instead.  The first row of a
+    day is compared with the last row of the key's previous day, through a
+    window over one row per (key, day).  Both branches below share the one
+    exchange of the log.
     """
     keys = list(keys)
-    prev = F.struct(F.col(state).alias("s"))
-    order = _order(ts, tie, pre)
-
-    def cold(x: DataFrame) -> DataFrame:
-        return x.withColumn("_prev", F.lag(prev).over(Window.partitionBy(*keys).orderBy(*order)))
-
-    def hot(x: DataFrame) -> DataFrame:
-        bcols = [ts, *pre]
-        if isinstance(x.schema[tie].dataType, _INTEGRAL):
-            x = x.withColumn("_tb", F.floor(F.col(tie) / F.lit(tie_span)))
-            bcols.append("_tb")
-        w = Window.partitionBy(*keys, *bcols).orderBy(*order)
-        whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        x = x.withColumn("_prev", F.lag(prev).over(w)).withColumn("_blast", F.last(prev).over(whole))
-        inner = x.filter(F.col("_prev").isNotNull())
-        border = Window.partitionBy(*keys).orderBy(
-            *[F.col(c).asc_nulls_last() if c == ts else F.col(c).asc_nulls_first() for c in bcols])
-        heads = x.filter(F.col("_prev").isNull()).withColumn("_prev", F.lag("_blast").over(border))
-        return inner.unionByName(heads).drop("_blast", *(["_tb"] if "_tb" in bcols else []))
-
-    if hot_key_rows is None:
-        out = cold(df)
-    else:
-        heavy = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-                 .filter(F.col("_n") > hot_key_rows).select(*keys, F.lit(True).alias("_hot")))
-        tagged = null_safe_join(df, F.broadcast(heavy), keys, "left")
-        is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-        out = cold(tagged.filter(~is_hot)).unionByName(hot(tagged.filter(is_hot))).drop("_hot")
-    changed = any_null(keys) | F.col("_prev").isNull() | ne_or_null(F.col(state), F.col("_prev.s"))
-    return out.withColumn("_changed", changed).drop("_prev")
+    free = any_null(keys)
+    day = F.to_date(F.col(ts))
+    x = df.withColumn("_day", day).withColumn("_deal", F.when(free, F.xxhash64(tie, state)))
+    w = Window.partitionBy(*keys, "_day", "_deal").orderBy(*_order(ts, tie, pre))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    value = F.struct(F.col(state).alias("s"))
+    x = x.withColumn("_prev", F.lag(value).over(w)).withColumn("_last", F.last(value).over(whole))
+    head = F.col("_prev").isNull() & ~free
+    border = Window.partitionBy(*keys).orderBy(F.col("_day").asc_nulls_last())
+    heads = x.filter(head).withColumn("_prev", F.lag("_last").over(border))
+    out = x.filter(~head).unionByName(heads)
+    changed = free | F.col("_prev").isNull() | ne_or_null(F.col(state), F.col("_prev.s"))
+    return out.withColumn("_changed", changed).drop("_prev", "_last", "_day", "_deal")
 
 
 def level_rows(raw: DataFrame, level: Level) -> DataFrame:
@@ -92,8 +63,7 @@ def level_rows(raw: DataFrame, level: Level) -> DataFrame:
     return raw
 
 
-def compress_history(raw: DataFrame, level: Level = PARENT, tie: str = TIE,
-                     hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+def compress_history(raw: DataFrame, level: Level = PARENT, tie: str = TIE) -> DataFrame:
     """Full state history of a level: one row per state transition.
 
     Returns the level's history columns plus the tie-breaker.
@@ -101,12 +71,12 @@ def compress_history(raw: DataFrame, level: Level = PARENT, tie: str = TIE,
     cols = list(level.columns) + [tie]
     require_columns(raw, cols, "raw log")
     rows = level_rows(raw.select(*cols), level)
-    flagged = flag_changes(rows, level.keys, level.state, TS, tie, hot_key_rows=hot_key_rows)
+    flagged = flag_changes(rows, level.keys, level.state, TS, tie)
     return flagged.filter("_changed").drop("_changed")
 
 
 def detect_changes(new: DataFrame, stored_state: DataFrame | None, level: Level = PARENT,
-                   tie: str = TIE, hot_key_rows: int | None = HOT_KEY_ROWS) -> DataFrame:
+                   tie: str = TIE) -> DataFrame:
     """Rows of a new batch whose state differs from the key's previous state.
 
     ``stored_state`` holds the newest stored row per key (``latest_state``)
@@ -126,9 +96,8 @@ def detect_changes(new: DataFrame, stored_state: DataFrame | None, level: Level
         keys = list(level.keys)
         old = stored_state.select(*cols).join(batch.select(*keys).distinct(), keys, "left_semi")
         batch = old.withColumn("_is_new", F.lit(False)).unionByName(batch)
-    flagged = flag_changes(batch, level.keys, level.state, TS, tie, pre=("_is_new",),
-                           hot_key_rows=hot_key_rows)
-    return flagged.filter(F.col("_changed") & F.col("_is_new")).drop("_changed", "_is_new")
+    flagged = flag_changes(batch, level.keys, level.state, TS, tie, pre=("_is_new",))
+    return flagged.filter(F.col("_changed") & F.col("_is_new")).select(*cols)
 
 
 def _as_date(as_of) -> Column:
@@ -161,33 +130,30 @@ def suppressed_batch(raw: DataFrame, level: Level = PARENT, as_of=None, literal:
         last = (raw.dropna(subset=keys).groupBy(*keys).agg(F.max(TS).alias(TS)).filter(seen))
         out = last.withColumn(level.state, F.lit(SUPPRESSED))
         return _pad(out, level, tie)
+    parent = level.context[0]
     if literal:
         gk = list(level.dim_keys)
         last = (raw.dropna(subset=gk).groupBy(*gk).agg(F.max(TS).alias(TS)).filter(seen))
         pick = (last.groupBy(*level.keys)
-                .agg(F.min(F.struct(F.col("folio_padre"), F.col(TS))).alias("_m"))
-                .select(*level.keys, "_m.folio_padre", f"_m.{TS}"))
+                .agg(F.min(F.struct(F.col(parent), F.col(TS))).alias("_m"))
+                .select(*level.keys, f"_m.{parent}", f"_m.{TS}"))
         return _pad(pick.withColumn(level.state, F.lit(SUPPRESSED)), level, tie)
     rows = level_rows(raw, level).dropna(subset=list(level.keys))
-    last = (rows.groupBy(*level.keys)
-            .agg(F.max(TS).alias(TS),
-                 F.max_by(F.col("folio_padre"), F.struct(F.col(TS), F.col(tie))).alias("folio_padre"))
-            .filter(seen))
-    return _pad(last.withColumn(level.state, F.lit(SUPPRESSED)), level, tie)
+    # the newest row by time (unknown times last) and load order
+    newest = first_per_key(rows.select(*dict.fromkeys([*level.keys, parent, TS, tie])), list(level.keys),
+                           [F.col(TS).desc_nulls_last(), F.col(tie).desc_nulls_last()])
+    return _pad(newest.filter(seen).drop(tie).withColumn(level.state, F.lit(SUPPRESSED)), level, tie)
 
 
 def _pad(df: DataFrame, level: Level, tie: str) -> DataFrame:
     """Project onto the history columns; absent ones (and the tie) are NULL."""
-    schema_types = {TS: "timestamp_ntz", tie: "bigint", "monto_total": "double"}
-    cols = []
-    for c in list(level.columns) + [tie]:
-        cols.append(F.col(c) if c in df.columns else F.lit(None).cast(schema_types.get(c, "string")).alias(c))
-    return df.select(*cols)
+    types = {TS: "timestamp_ntz", tie: "bigint"}
+    absent = {c: F.lit(None).cast(types.get(c, "string")).alias(c) for c in [*level.columns, tie] if c not in df.columns}
+    return df.select(*(absent.get(c, F.col(c)) for c in [*level.columns, tie]))
 
 
 def suppressed_incremental(latest: DataFrame, snapshot: DataFrame, level: Level = PARENT,
-                           scope: str = "global", tenant: str = "cliente",
-                           snapshot_ts=None, tie: str = TIE) -> DataFrame:
+                           scope: str = "global", tenant: str = TENANT, tie: str = TIE) -> DataFrame:
     """Suppression markers of the incremental run.
 
     ``latest`` is the newest stored row per key, ``snapshot`` the rows of the
@@ -195,33 +161,88 @@ def suppressed_incremental(latest: DataFrame, snapshot: DataFrame, level: Level
     newest state is not already ``Folio suprimido`` (a NULL state counts as
     active, N1) and that is absent from the snapshot (NULL keys match, N5)
     gets a marker at the snapshot's timestamp.  Child markers keep the parent
-    context of the newest stored row (C7).  An empty snapshot suppresses
-    nothing.
+    context of the newest stored row (C7).
 
-    ``scope="global"``: one snapshot time, ``snapshot_ts`` (taken from the
-    snapshot when not given).  ``scope="tenant"``: only tenants present in
-    the snapshot are checked, each against its own snapshot time.
+    The snapshot of a level is its own rows: a snapshot without rows of this
+    level (no rows at all, or none with a child) suppresses nothing.
+
+    ``scope="global"``: one snapshot time.  ``scope="tenant"``: only tenants
+    with rows of this level in the snapshot are checked, each against its own
+    snapshot time.
     """
     keys = list(level.keys)
-    present = level_rows(snapshot, level).select(*keys).distinct()
+    rows = level_rows(snapshot, level)
+    present = rows.select(*keys).distinct()
     active = latest.filter(ne_or_null(F.col(level.state), F.lit(SUPPRESSED)))
-    # Rows without a NULL key take a plain anti join, which reuses the state's
-    # partitioning on the keys; the few rows with a NULL key take a null-safe
-    # one (N5).  Together: one null-safe anti join, without reshuffling state.
-    has_null = any_null(keys)
-    gone = active.filter(~has_null).join(present.filter(~has_null), keys, "left_anti").unionByName(
-        null_safe_join(active.filter(has_null), present.filter(has_null), keys, "left_anti"))
+    gone = absent_keys(active, present, keys)
     if scope == "global":
-        if snapshot_ts is None:
-            snapshot_ts = snapshot.agg(F.max(TS)).first()[0]
-        if snapshot_ts is None:
-            return _pad(gone.limit(0), level, tie)
-        gone = gone.withColumn(TS, ntz(snapshot_ts))
+        newest = rows.agg(F.max(TS)).scalar()
+        gone = gone.withColumn(TS, newest).filter(F.col(TS).isNotNull())
     elif scope == "tenant":
-        per_tenant = snapshot.groupBy(tenant).agg(F.max(TS).alias("_snap"))
-        gone = null_safe_join(gone, small_side(per_tenant), [tenant], "inner")
+        per_tenant = rows.groupBy(tenant).agg(F.max(TS).alias("_snap"))
+        gone = null_safe_join(gone, per_tenant, [tenant], "inner")
         gone = gone.withColumn(TS, F.col("_snap")).drop("_snap")
     else:
         raise ValueError(f"unknown scope {scope!r}")
     gone = gone.withColumn(level.state, F.lit(SUPPRESSED)).withColumn(tie, F.lit(None).cast("bigint"))
     return gone.select(*level.columns, tie)
+
+
+def absent_keys(active: DataFrame, present: DataFrame, keys) -> DataFrame:
+    """Rows of ``active`` whose keys aren't in ``present``, NULL matching NULL."""
+    return null_safe_join(active, present, list(keys), "left_anti")
+
+
+def apply_snapshots(batch: DataFrame, stored_state: DataFrame | None, level: Level = PARENT,
+                    scope: str = "global", tenant: str = TENANT, tie: str = TIE) -> DataFrame:
+    """Changes and markers of a batch of several snapshots, as one run per snapshot would add them.
+
+    All snapshots are applied in one pass.  A key that is active at one
+    snapshot (or in the stored state, before the first) and absent from the
+    next one gets a marker there; absence is an anti join of (key, next
+    snapshot) with the keys' (key, snapshot) rows.  The markers then take part
+    in change detection, so a key that comes back is a change (T6).  Child
+    markers carry the context of the key's newest history row before them.
+    Snapshots of a level are the times of its own rows, per tenant in tenant
+    scope; a snapshot without rows of the level leaves it alone.
+    """
+    if scope not in ("global", "tenant"):
+        raise ValueError(f"unknown scope {scope!r}")
+    keys, cols = list(level.keys), [*level.columns, tie]
+    of = [tenant] if scope == "tenant" else []
+    rows = level_rows(batch.select(*cols), level)
+    # one row per key and snapshot; its last row there decides whether the key is active
+    last, gone = F.max(tie), F.max(F.when(F.col(level.state) == SUPPRESSED, F.col(tie)))
+    seen = rows.groupBy(*keys, TS).agg(F.coalesce(last == gone, F.lit(False)).alias("_gone"))
+    times = rows.select(*of, TS).distinct()
+    order = Window.partitionBy(*of).orderBy(TS)  # one row per snapshot (and tenant)
+    steps = times.withColumn("_next", F.lead(TS).over(order))
+    due = null_safe_join(seen.filter("NOT _gone"), steps, [*of, TS]).filter("_next IS NOT NULL")
+    due = due.select(*keys, F.col("_next").alias(TS))
+    if stored_state is not None:
+        active = stored_state.filter(ne_or_null(F.col(level.state), F.lit(SUPPRESSED))).select(*keys)
+        if of:
+            first = times.groupBy(*of).agg(F.min(TS).alias("_first"))
+            active = null_safe_join(active, first, of, "inner").select(*keys, F.col("_first").alias(TS))
+        else:
+            active = active.withColumn(TS, times.agg(F.min(TS)).scalar()).filter(F.col(TS).isNotNull())
+        due = due.unionByName(active)
+    missing = absent_keys(due, seen.select(*keys, TS), [*keys, TS])
+    markers = _pad(missing.withColumn(level.state, F.lit(SUPPRESSED)), level, tie).withColumn("_kind", F.lit(2))
+    every = rows.withColumn("_kind", F.lit(1)).unionByName(markers)
+    old = None
+    if stored_state is not None:
+        # stored rows of the keys at hand; NULL keys count for the markers' context only
+        old = null_safe_join(stored_state.select(*cols), every.select(*keys).distinct(), keys, "left_semi").withColumn("_kind", F.lit(0))
+        every = old.unionByName(every)
+    out = flag_changes(every, keys, level.state, TS, tie, pre=("_kind",)).filter("_changed AND _kind > 0").drop("_changed")
+    if not level.context:
+        return out.select(*cols)
+    context = [c for c in level.context if c not in keys]
+    line = (old.unionByName(out) if old is not None else out)
+    before = Window.partitionBy(*keys).orderBy(*_order(TS, tie, ("_kind",))).rowsBetween(Window.unboundedPreceding, -1)
+    kept = F.last(F.when(F.col("_kind") < 2, F.struct(*context)), ignorenulls=True).over(before)
+    line = line.withColumn("_context", kept)
+    for c in context:
+        line = line.withColumn(c, F.when(F.col("_kind") == 2, F.col(f"_context.{c}")).otherwise(F.col(c)))
+    return line.filter("_kind > 0").select(*cols)

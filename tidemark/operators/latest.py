@@ -13,8 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import TIE, TS, Level
-from ..functions.time import ntz
-from .sizing import small_side
 
 
 def newest_first(ts: str = TS, tie: str = TIE) -> list[Column]:
@@ -92,27 +90,18 @@ def first_last_state(history: DataFrame, keys, state: str, ts: str = TS, tie: st
     return out
 
 
-def newest_timestamp(df: DataFrame, ts: str = TS):
-    """The newest timestamp (A1): one scalar for the driver, or None when empty."""
-    return df.agg(F.max(ts)).first()[0]
-
-
 def latest_snapshot(df: DataFrame, scope: str = "global", tenant: str = "cliente",
                     ts: str = TS) -> DataFrame:
-    """Rows of the newest snapshot (C23, F8) or of each tenant's newest.
+    """Rows of the newest snapshot (C23, F8, A1) or of each tenant's newest.
 
-    ``global``: the newest timestamp is one scalar, applied as a literal
-    filter that reaches the parquet scan.  ``tenant``: each tenant's newest
-    timestamp, joined back; the per-tenant table is broadcast only after a
-    row-count check.
+    ``global``: the newest timestamp is a scalar subquery, evaluated once.
+    ``tenant``: each tenant's newest timestamp, joined back; the aggregate has one
+    row per tenant, which AQE broadcasts from its measured size.
     """
     if scope == "global":
-        newest = newest_timestamp(df, ts)
-        if newest is None:
-            return df.limit(0)
-        return df.filter(F.col(ts) == ntz(newest))
+        return df.filter(F.col(ts) == df.agg(F.max(ts)).scalar())
     if scope != "tenant":
         raise ValueError(f"unknown scope {scope!r}")
     per_tenant = df.groupBy(tenant).agg(F.max(ts).alias("_newest"))
-    joined = df.join(small_side(per_tenant), on=tenant, how="inner")
+    joined = df.join(per_tenant, on=tenant, how="inner")
     return joined.filter(F.col(ts) == F.col("_newest")).drop("_newest")

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.dims import child_dim, child_summary_parts, parent_dim, parent_summary_parts, tenant_start
-from ..operators.history import compress_history, suppressed_batch
+from ..operators.history import compress_history, level_rows, suppressed_batch
 from ..operators.latest import latest_per_key, latest_state
-from ..schemas import CHILD, CHILD_BASE, PARENT, PARENT_STATIC, TIE, TS, require_columns, RAW_COLUMNS
+from ..schemas import CHILD, CHILD_BASE, PARENT, PARENT_STATIC, RAW_COLUMNS, TENANT, TIE, TS, require_columns
 from ..sinks.store import TableStore
 
 # Table names in the store.
@@ -18,24 +19,24 @@ PARENT_HISTORY = "parent_history"
 CHILD_HISTORY = "child_history"
 PARENT_DIM = "parent_dim"
 CHILD_DIM = "child_dim"
-# State kept so that an incremental run never rescans the raw log: the
-# newest raw row per parent / child (what the incremental rules read), the
-# tenants' first snapshot, and the log of processed batches (high-water mark).
-# ``latest_raw`` keeps the newest raw row per (tenant, parent, child); the
-# newest row per parent is the newest of its rows there.
-LATEST_RAW = "latest_raw"
+# State kept so that an incremental run never rescans the raw log: the newest
+# raw row per parent and per child (what the incremental rules read) and the
+# tenants' first snapshot.
+LATEST_PARENT = "latest_parent"
+LATEST_CHILD = "latest_child"
 TENANT_START = "tenant_start"
 # Newest history row per key, kept beside each history so that a run reads
 # O(keys) rows instead of recomputing it over the whole history.
 PARENT_STATE = "parent_state"
 CHILD_STATE = "child_state"
-STATE_OF = {PARENT_HISTORY: PARENT_STATE, CHILD_HISTORY: CHILD_STATE}
 # Mergeable per-key aggregates of each history (incremental rules): what the
 # dimension refresh needs, without rescanning history.
 PARENT_SUMMARY = "parent_summary"
 CHILD_SUMMARY = "child_summary"
-SUMMARY_OF = {PARENT_HISTORY: PARENT_SUMMARY, CHILD_HISTORY: CHILD_SUMMARY}
-RUNS = "runs"
+
+# Keyed tables are bucketed by these keys; the child's are (tenant, child), by
+# which a batch's affected children are known.
+P_KEYS, C_KEYS = list(PARENT.keys), list(CHILD.keys)
 
 
 @dataclass
@@ -51,44 +52,53 @@ def batch_histories(raw: DataFrame, as_of, literal_child: bool = False) -> Histo
     return Histories(parent, child)
 
 
-LATEST_RAW_COLUMNS = tuple(dict.fromkeys(PARENT_STATIC + CHILD_BASE + (TS, TIE)))
-LATEST_RAW_KEYS = ["cliente", "folio_padre", "folio_hijo"]
+def latest_parent_rows(raw: DataFrame) -> DataFrame:
+    """Newest raw row per (tenant, parent), with the columns the parent dimension reads."""
+    return latest_per_key(raw.select(*PARENT_STATIC, TS, TIE), P_KEYS)
 
 
-def latest_raw_table(raw: DataFrame) -> DataFrame:
-    """Newest raw row per (tenant, parent, child), with the columns both dimensions read."""
-    return latest_per_key(raw.select(*LATEST_RAW_COLUMNS), LATEST_RAW_KEYS)
+def latest_child_rows(raw: DataFrame) -> DataFrame:
+    """Newest raw row per (tenant, parent, child), with the columns the child dimension reads."""
+    return latest_per_key(level_rows(raw.select(*CHILD_BASE, TS, TIE), CHILD), list(CHILD.dim_keys))
 
 
 def bootstrap(store: TableStore, raw: DataFrame, details: DataFrame, benefits: DataFrame, as_of,
               literal_child: bool = False, match_tenant: bool = True) -> dict:
-    """Rebuild every table from ``raw`` (replace, K2) and record the mark.
+    """Rebuild every table from ``raw`` (replace, K2) and record the mark, in one commit.
 
-    Each table is read back from the store before the next one uses it, so
-    later stages start from committed files rather than from a long lineage.
+    The raw log is scanned once; the passes below read that scan's columns from
+    the executors' disks (a lost executor's share is scanned again).  Derived
+    tables are read back as written before the next one uses them.
     Returns row counts per table.
     """
     require_columns(raw, RAW_COLUMNS, "raw log")
-    h = batch_histories(raw, as_of, literal_child)
-    store.replace(h.parent, PARENT_HISTORY)
-    store.replace(h.child, CHILD_HISTORY)
-    ph, ch = store.read(PARENT_HISTORY), store.read(CHILD_HISTORY)
-    store.replace(tenant_start(raw), TENANT_START)
-    starts = store.read(TENANT_START)
-    store.replace(parent_dim(raw, ph, details, "batch", starts=starts, match_tenant=match_tenant), PARENT_DIM)
-    pdim = store.read(PARENT_DIM)
-    store.replace(child_dim(raw, ch, benefits, pdim, "batch", match_tenant=match_tenant), CHILD_DIM)
-    store.replace(latest_raw_table(raw), LATEST_RAW)
-    store.replace(latest_state(ph, PARENT), PARENT_STATE)
-    store.replace(latest_state(ch, CHILD), CHILD_STATE)
-    store.replace(parent_summary_parts(ph), PARENT_SUMMARY)
-    store.replace(child_summary_parts(ch), CHILD_SUMMARY)
-    mark = raw.agg(F.max(TS).alias("mark"), F.count(F.lit(1)).alias("rows")).first()
-    record_run(store, "bootstrap", mark["mark"], mark["rows"], replace=True)
-    return {t: store.read(t).count() for t in (PARENT_HISTORY, CHILD_HISTORY, PARENT_DIM, CHILD_DIM)}
-
-
-def record_run(store: TableStore, run_id: str, mark, rows: int, replace: bool = False) -> None:
-    spark = store.spark
-    df = spark.createDataFrame([(run_id, mark, int(rows))], "run_id string, mark timestamp_ntz, rows long")
-    (store.replace if replace else store.append)(df, RUNS)
+    raw = raw.select(*RAW_COLUMNS).persist(StorageLevel.DISK_ONLY)
+    try:
+        tx = store.transaction()
+        h = batch_histories(raw, as_of, literal_child)
+        ph = tx.replace(h.parent, PARENT_HISTORY)
+        ch = tx.replace(h.child, CHILD_HISTORY)
+        starts = tx.replace(tenant_start(raw), TENANT_START)
+        pdim = tx.replace(parent_dim(raw, ph, details, "batch", starts=starts, match_tenant=match_tenant),
+                          PARENT_DIM, P_KEYS)
+        cdim = tx.replace(child_dim(raw, ch, benefits, pdim, "batch", match_tenant=match_tenant), CHILD_DIM, C_KEYS)
+        tx.replace(latest_parent_rows(raw), LATEST_PARENT, P_KEYS)
+        tx.replace(latest_child_rows(raw), LATEST_CHILD, C_KEYS)
+        tx.replace(latest_state(ph, PARENT), PARENT_STATE, P_KEYS)
+        tx.replace(latest_state(ch, CHILD), CHILD_STATE, C_KEYS)
+        tx.replace(parent_summary_parts(ph), PARENT_SUMMARY, P_KEYS)
+        tx.replace(child_summary_parts(ch), CHILD_SUMMARY, C_KEYS)
+        seen = raw.groupBy(TENANT).agg(F.max(TS).alias("mark"), F.count(F.lit(1)).alias("rows")).collect()
+        marks = marks_of((r[TENANT], r["mark"]) for r in seen)
+        tx.state.runs, tx.state.marks = [], {}
+        tx.commit({"run_id": "bootstrap", "mark": marks.get(""), "rows": sum(r["rows"] for r in seen), "late": 0}, marks)
+        return {t: d.count() for t, d in ((PARENT_HISTORY, ph), (CHILD_HISTORY, ch), (PARENT_DIM, pdim), (CHILD_DIM, cdim))}
+    finally:
+        raw.unpersist()
+
+
+def marks_of(newest) -> dict[str, str]:
+    """High-water marks for a manifest from (tenant, newest time): one for all rows (``""``), one per tenant (``"t" + tenant``)."""
+    known = [(t, m) for t, m in newest if m is not None]
+    marks = {"n" if t is None else f"t{t}": m.isoformat(sep=" ") for t, m in known}
+    return marks | ({"": max(m for _, m in known).isoformat(sep=" ")} if known else {})

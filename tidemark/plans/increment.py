@@ -1,88 +1,101 @@
 """Incremental run (C28): one batch of new snapshot rows against the stored tables.
 
 Per level: newest stored state -> changes of the batch (C1) + suppression
-markers for active keys absent from the batch's newest snapshot (C6, C7) ->
-append to history (K1) -> refresh the dimension rows of the affected keys
-(C22, C26, C27, K3, K4).
-
-The run reads only the batch, the stored history and small state tables
-(newest raw row per key, tenant start dates), never the whole raw log.
-Affected keys are joined, never collected.  A run is keyed by ``run_id``
-(e.g. the streaming batch id): a run that already committed is skipped, and
-rows already in history are not appended again (T7).
+markers for active keys absent from a snapshot (C6, C7) -> append to history
+(K1) -> refresh the dimension rows of the affected keys (C22, C26, C27, K3, K4).
+
+The run reads only the batch, small state tables and the buckets of keyed
+tables that the batch's keys fall into, never the raw log or the history.
+Everything it writes becomes visible by one commit (``sinks.store``): a run
+that dies midway leaves no trace, and its retry starts from the state before
+it (T7).  A run is keyed by ``run_id`` (e.g. the streaming batch id): a run that
+already committed is skipped.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.nulls import not_blank, null_safe_join
+from ..functions.time import ntz
 from ..operators.dims import (child_dim, child_summary_parts, finish_parent_summary, merge_child_parts,
                               merge_child_summary, merge_parent_summary, parent_dim, parent_summary_parts,
                               tenant_start)
-from ..operators.history import HOT_KEY_ROWS, detect_changes, suppressed_incremental
+from ..operators.history import apply_snapshots, detect_changes, level_rows, suppressed_incremental
 from ..operators.latest import latest_per_key, latest_snapshot, latest_state
-from ..operators.sizing import small_side
-from ..schemas import CHILD, PARENT, SUPPRESSED, TIE, TS, Level, require_columns
-from ..sinks.store import TableStore
-from ..functions.time import ntz
-from .bootstrap import (CHILD_DIM, CHILD_HISTORY, CHILD_STATE, CHILD_SUMMARY, LATEST_RAW, LATEST_RAW_KEYS,
-                        PARENT_DIM, PARENT_HISTORY, PARENT_STATE, PARENT_SUMMARY, RUNS, STATE_OF, SUMMARY_OF,
-                        TENANT_START, latest_raw_table, record_run)
+from ..schemas import CHILD, PARENT, SUPPRESSED, TENANT, TIE, TS, Level, require_columns
+from ..sinks.store import TableStore, Transaction
+from .bootstrap import (C_KEYS, CHILD_DIM, CHILD_HISTORY, CHILD_STATE, CHILD_SUMMARY, LATEST_CHILD, LATEST_PARENT,
+                        P_KEYS, PARENT_DIM, PARENT_HISTORY, PARENT_STATE, PARENT_SUMMARY, TENANT_START,
+                        latest_child_rows, latest_parent_rows, marks_of)
+
+#: A bucket with so many delta versions is folded after the run.
+COMPACT_AFTER = 24
 
 
 @dataclass
 class RunResult:
+    """What a run did.  ``rows``: applied; ``late``: given but at or before the mark, not applied (T4)."""
+
     run_id: str | None
     rows: int = 0
-    mark: object = None
+    late: int = 0
+    mark: dt.datetime | None = None
     history_rows: dict = field(default_factory=dict)
+    dim_rows: dict = field(default_factory=dict)
     skipped: bool = False
 
 
-def high_water_mark(store: TableStore, source: str = "processed"):
+def _time(text: str | None) -> dt.datetime | None:
+    return None if text is None else dt.datetime.fromisoformat(text)
+
+
+def high_water_mark(store: TableStore, source: str = "processed") -> dt.datetime | None:
     """Newest timestamp already processed.
 
-    ``processed``: the mark recorded with each committed run (Q1).
-    ``history``: the newest timestamp in the parent history, as the original
-    does; snapshots that change no parent are then read again.
+    ``processed``: the mark recorded with each committed run (Q1), which
+    scheduled runs read.  ``history``: the newest timestamp in the parent
+    history, as the original takes it; snapshots that change no parent come
+    after it, so it is for reports only.
     """
     if source == "history":
         ph = store.read(PARENT_HISTORY)
         return None if ph is None else ph.agg(F.max(TS)).first()[0]
-    runs = store.read(RUNS)
-    return None if runs is None else runs.agg(F.max("mark")).first()[0]
+    return _time(store.manifest().marks.get(""))
+
+
+def tenant_marks(store: TableStore) -> dict:
+    """The mark of each tenant (T1, tenant scope)."""
+    return {None if k == "n" else k[1:]: _time(v) for k, v in store.manifest().marks.items() if k}
 
 
 def incremental_scan(raw: DataFrame, mark) -> DataFrame:
     """Rows strictly newer than ``mark``, all rows without one.
 
-    The comparison reaches the parquet scan as a pushed filter."""
-    if mark is None:
+    The comparison reaches the parquet scan as a pushed filter.  ``mark`` may be
+    a dict of tenants' marks: each tenant's rows are compared with its own
+    (a tenant without one is new), after the pushed filter on the oldest.
+    """
+    if mark is None or mark == {}:
         return raw
-    return raw.filter(F.col(TS) > ntz(mark))
+    if not isinstance(mark, dict):
+        return raw.filter(F.col(TS) > ntz(mark))
+    return _with_mark(raw, mark).filter(F.col("_mark").isNull() | (F.col(TS) > F.col("_mark"))).drop("_mark")
 
 
-def _run_log(store: TableStore, run_id: str | None):
-    """(already done?, last recorded mark) from the run log, in one job."""
-    runs = store.read(RUNS)
-    if runs is None:
-        return False, None
-    done = F.max(F.col("run_id") == F.lit(run_id)) if run_id is not None else F.lit(False)
-    row = runs.agg(F.coalesce(done, F.lit(False)).alias("done"), F.max("mark").alias("mark")).first()
-    return bool(row["done"]), row["mark"]
+def _with_mark(rows: DataFrame, mark: dict) -> DataFrame:
+    kind = rows.schema[TENANT].dataType.simpleString()
+    table = rows.sparkSession.createDataFrame(list(mark.items()), f"{TENANT} string, _mark timestamp_ntz")
+    return null_safe_join(rows, table.withColumn(TENANT, F.col(TENANT).cast(kind)), [TENANT], "left")
 
 
-def _checked(keys: DataFrame, cached: list) -> DataFrame:
-    """A distinct key set, cached and size-checked once: broadcast when small, so
-    the large side of the semi/anti joins it drives is never shuffled."""
-    keys = keys.persist(StorageLevel.MEMORY_AND_DISK)
-    cached.append(keys)
-    return small_side(keys)
+def _semi(df: DataFrame, keys_df: DataFrame, keys, right_keys=None) -> DataFrame:
+    return null_safe_join(df, keys_df, keys, "left_semi", right_keys=right_keys)
 
 
 def _markers(written: DataFrame, level: Level) -> DataFrame:
@@ -90,155 +103,149 @@ def _markers(written: DataFrame, level: Level) -> DataFrame:
     return written.filter((F.col(level.state) == SUPPRESSED) & F.col(TIE).isNull())
 
 
-def _semi(df: DataFrame, keys_df: DataFrame, keys, right_keys=None) -> DataFrame:
-    return null_safe_join(df, keys_df, keys, "left_semi", right_keys=right_keys)
-
-
-def _history_step(store: TableStore, batch: DataFrame, snapshot: DataFrame, newest, oldest, rows: int,
-                  level: Level, table: str, scope: str, replay_guard: bool,
-                  last_mark) -> tuple[int, DataFrame]:
-    """Append the level's changes and markers to history and fold them into
-    the state and summary tables.
-
-    Returns the rows history holds beyond the last recorded run - this run's
-    rows plus any a failed earlier attempt appended - and their count.
-    """
-    cols = list(level.columns) + [TIE]
-    hist = store.read(table)
-    state_table, summary_table = STATE_OF[table], SUMMARY_OF[table]
-    # Newest stored row per key: the state table (base + one delta per run)
-    # plus history rows newer than the last recorded run, de-duplicated.
-    # Falls back to the whole history when the store predates the state table.
-    if store.exists(state_table) and hist is not None:
-        unrecorded = incremental_scan(hist, last_mark).select(*cols)
-        state = latest_state(store.read(state_table).select(*cols).unionByName(unrecorded), level)
-    else:
-        state = latest_state(hist, level) if hist is not None else None
-    # A key has at most one stored row plus its batch rows: with a batch below
-    # the hot-key threshold no key can be hot, and the heavy-key pass is skipped.
-    hot = HOT_KEY_ROWS if rows + 1 > HOT_KEY_ROWS else None
-    out = detect_changes(batch, state, level, hot_key_rows=hot)
-    if state is not None:
-        out = out.unionByName(suppressed_incremental(state, snapshot, level, scope=scope, snapshot_ts=newest))
-    if replay_guard and hist is not None:
-        # Rows already stored for this time range (a batch read twice) are dropped.
-        recent = hist.filter(F.col(TS) >= ntz(oldest)).select(*cols)
-        out = null_safe_join(out, recent, cols, "left_anti")
-    store.append(out, table)
-    fresh = incremental_scan(store.read(table), last_mark).select(*cols)
-    n = fresh.count()
-    if n:
-        # Duplicates across deltas are harmless: readers de-duplicate the
-        # state and the summary parts are MIN/MAX aggregates.
-        store.append(fresh, state_table)
-        parts = parent_summary_parts if level is PARENT else child_summary_parts
-        store.append(parts(fresh), summary_table)
-    return n, fresh
-
-
-def _refresh_latest_raw(store: TableStore, batch: DataFrame) -> None:
-    """Fold the batch into the state tables: append-only deltas, no rewrite.
-
-    The newest raw row per (tenant, parent, child) and the tenants' first
-    snapshot time are appended as delta versions holding only the batch's rows;
-    readers deduplicate (``latest_raw``, ``tenant_starts``), and
-    ``compact_state`` folds the deltas from time to time.
-    """
-    store.append(latest_raw_table(batch), LATEST_RAW)
-    store.append(tenant_start(batch), TENANT_START)
-
-
-def latest_raw(store: TableStore, table: str, keys, affected: DataFrame, affected_keys) -> DataFrame:
-    """Newest raw row per key for the affected keys only (semi join, then de-duplicate)."""
-    rows = _semi(store.read(table), affected, affected_keys)
-    return latest_per_key(rows, keys)
+def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` that counts its rows as they are written, without a job of its own."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
 
-def tenant_starts(store: TableStore) -> DataFrame:
-    return (store.read(TENANT_START).groupBy("cliente")
-            .agg(F.min("fecha_primer_registro").alias("fecha_primer_registro")))
+def _level_rows_out(state: DataFrame | None, batch: DataFrame, level: Level, scope: str, snapshots: str) -> DataFrame:
+    if snapshots == "each":
+        return apply_snapshots(batch, state, level, scope)
+    out = detect_changes(batch, state, level)
+    if state is None:
+        return out
+    newest = latest_snapshot(level_rows(batch, level), scope)
+    return out.unionByName(suppressed_incremental(state, newest, level, scope=scope))
 
 
-def compact_state(store: TableStore) -> None:
-    """Fold the state deltas into one base version each (same content)."""
-    store.replace(latest_per_key(store.read(LATEST_RAW), LATEST_RAW_KEYS), LATEST_RAW)
-    store.replace(tenant_starts(store), TENANT_START)
-    store.replace(latest_state(store.read(PARENT_STATE), PARENT), PARENT_STATE)
-    store.replace(latest_state(store.read(CHILD_STATE), CHILD), CHILD_STATE)
-    store.replace(merge_parent_summary(store.read(PARENT_SUMMARY)), PARENT_SUMMARY)
-    store.replace(merge_child_parts(store.read(CHILD_SUMMARY)), CHILD_SUMMARY)
-    for table in (PARENT_HISTORY, CHILD_HISTORY):
-        store.compact(table)
+def _history_step(tx: Transaction, batch: DataFrame, level: Level, scope: str, snapshots: str) -> tuple[int, DataFrame]:
+    """Append the level's changes and markers to history, state and summary; returns them and their number."""
+    history, state_table, summary_table, parts = (
+        (PARENT_HISTORY, PARENT_STATE, PARENT_SUMMARY, parent_summary_parts) if level is PARENT else
+        (CHILD_HISTORY, CHILD_STATE, CHILD_SUMMARY, child_summary_parts))
+    keys = list(level.keys)
+    state = latest_state(tx.read(state_table), level) if tx.exists(state_table) else None
+    out, seen = _counted(_level_rows_out(state, batch, level, scope, snapshots).select(*level.columns, TIE))
+    written = tx.append(out, history)
+    n = seen.get["n"]
+    if n:
+        # Readers de-duplicate the state, and the summary parts are MIN/MAX aggregates.
+        tx.append(written, state_table, keys)
+        tx.append(parts(written), summary_table, keys)
+    return n, written
 
 
 def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benefits: DataFrame,
-                  run_id: str | None = None, scope: str = "global", replay_guard: bool = True,
-                  run_log: tuple | None = None) -> RunResult:
-    """Apply one batch of raw rows (all newer than anything stored).
-
-    ``run_log`` is ``(done, mark)`` when the caller has just read it."""
-    done, last_mark = run_log if run_log is not None else _run_log(store, run_id)
-    if done:
+                  run_id: str | None = None, scope: str = "global", snapshots: str = "newest") -> RunResult:
+    """Apply one batch of raw rows.
+
+    ``snapshots="newest"``: absence is judged against the batch's newest
+    snapshot only, as the original run does.  ``"each"``: against every
+    snapshot of the batch, in one pass, as one run per snapshot would.
+    ``scope="tenant"``: marks and snapshots are each tenant's own.
+    Rows at or before the mark are late: counted, never applied (T4).
+    """
+    tx = store.transaction()
+    if run_id is not None and any(r["run_id"] == run_id for r in tx.state.runs):
         return RunResult(run_id, skipped=True)
     require_columns(batch, CHILD.columns + PARENT.columns + (TIE,), "batch")
-    # Rows at or before the mark are late: never applied (T4).
-    batch = incremental_scan(batch, last_mark).persist(StorageLevel.MEMORY_AND_DISK)
-    cached = [batch]
+    own = {None if k == "n" else k[1:]: _time(v) for k, v in tx.state.marks.items() if k}
+    mark = _time(tx.state.marks.get(""))
+    if scope == "tenant" and own:
+        flagged = _with_mark(batch, own).withColumn("_fresh", F.col("_mark").isNull() | F.coalesce(F.col(TS) > F.col("_mark"), F.lit(False))).drop("_mark")
+    else:
+        flagged = batch.withColumn("_fresh", F.lit(True) if mark is None else F.coalesce(F.col(TS) > ntz(mark), F.lit(False)))
+    flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
+    cached = [flagged]
     try:
-        stats = batch.agg(F.max(TS).alias("newest"), F.min(TS).alias("oldest"),
-                          F.count(F.lit(1)).alias("rows")).first()
-        if stats["rows"] == 0:
-            return RunResult(run_id, skipped=True)
-        newest, oldest = stats["newest"], stats["oldest"]
-        snapshot = (batch.filter(F.col(TS) == ntz(newest)) if scope == "global"
-                    else latest_snapshot(batch, "tenant"))
-        result = RunResult(run_id, rows=stats["rows"], mark=newest)
-
-        # parent level
-        n_p, written_p = _history_step(store, batch, snapshot, newest, oldest, stats["rows"], PARENT, PARENT_HISTORY,
-                                       scope, replay_guard, last_mark)
-        result.history_rows["parent"] = n_p
-        _refresh_latest_raw(store, batch)
-        pkeys = list(PARENT.keys)
-        if n_p > 0:
-            affected = _checked(affected_keys(batch, _markers(written_p, PARENT), PARENT), cached)
-            raw_aff = latest_raw(store, LATEST_RAW, pkeys, affected, pkeys)
-            summary = finish_parent_summary(merge_parent_summary(_semi(store.read(PARENT_SUMMARY), affected, pkeys)))
-            urls = _checked(raw_aff.select("url_ficha").distinct(), cached)
-            details_aff = _semi(details, urls, ["url_ficha"])
-            new_rows = parent_dim(raw_aff, None, details_aff, "incremental", starts=tenant_starts(store),
-                                  summary=summary)
-            store.upsert(new_rows, affected, PARENT_DIM, pkeys, checked=True)
-
-        # child level
-        n_c, written_c = _history_step(store, batch, snapshot, newest, oldest, stats["rows"], CHILD, CHILD_HISTORY,
-                                       scope, replay_guard, last_mark)
-        result.history_rows["child"] = n_c
-        ckeys = list(CHILD.keys)
-        if n_c > 0:
-            affected = _checked(affected_keys(batch, _markers(written_c, CHILD), CHILD), cached)
-            raw_aff = latest_raw(store, LATEST_RAW, LATEST_RAW_KEYS, affected, ckeys)
-            first_last = merge_child_summary(_semi(store.read(CHILD_SUMMARY), affected, ckeys))
-            benefits_aff = _semi(benefits, affected, ["cliente", "folio"], right_keys=ckeys)
-            new_rows = child_dim(raw_aff, None, benefits_aff, store.read(PARENT_DIM), "incremental",
-                                 first_last=first_last)
-            store.upsert(new_rows, affected, CHILD_DIM, ckeys, checked=True)
-
-        record_run(store, run_id or f"run-{newest}", newest, stats["rows"])
-        return result
+        fresh = F.col("_fresh")
+        stats = flagged.groupBy(TENANT).agg(F.max(F.when(fresh, F.col(TS))).alias("newest"), F.count(F.when(fresh, 1)).alias("rows"),
+                                            F.count(F.when(~fresh, 1)).alias("late")).collect()  # a row per tenant
+        rows, late = sum(r["rows"] for r in stats), sum(r["late"] for r in stats)
+        if rows == 0:
+            return RunResult(run_id, late=late, skipped=True)
+        marks = marks_of((r[TENANT], r["newest"]) for r in stats)
+        if mark is not None and marks.get("") is not None:
+            marks[""] = max(marks[""], mark.isoformat(sep=" "))  # a tenant may trail the others
+        result = RunResult(run_id, rows=rows, late=late, mark=_time(marks.get("")))
+        batch = flagged.filter(fresh).drop("_fresh")
+
+        n, written = _history_step(tx, batch, PARENT, scope, snapshots)
+        result.history_rows["parent"] = n
+        tx.append(latest_parent_rows(batch), LATEST_PARENT, P_KEYS)
+        starts = tenant_start(batch)
+        if tx.exists(TENANT_START):
+            starts = tx.read(TENANT_START).unionByName(starts).groupBy(TENANT).agg(F.min("fecha_primer_registro").alias("fecha_primer_registro"))
+        starts = tx.replace(starts, TENANT_START)
+        if n:
+            result.dim_rows["parent"] = _refresh_parents(tx, batch, _markers(written, PARENT), details, starts, cached)
+
+        n, written = _history_step(tx, batch, CHILD, scope, snapshots)
+        result.history_rows["child"] = n
+        tx.append(latest_child_rows(batch), LATEST_CHILD, C_KEYS)
+        if n:
+            result.dim_rows["child"] = _refresh_children(tx, batch, _markers(written, CHILD), benefits, cached)
+
+        tx.commit({"run_id": run_id or f"run-{marks.get('')}", "mark": marks.get(""), "rows": rows, "late": late}, marks)
     finally:
         for df in cached:
             df.unpersist()
+    if any(len(v) >= COMPACT_AFTER for t in tx.state.tables.values() for v in [t["versions"], *t["buckets"].values()]):
+        compact_state(store)
+    return result
+
+
+def _affected(tx: Transaction, batch: DataFrame, markers: DataFrame, level: Level, cached: list):
+    keys = affected_keys(batch, markers, level).persist(StorageLevel.MEMORY_AND_DISK)
+    cached.append(keys)
+    return keys, tx.buckets_of(keys, list(level.keys))
+
+
+def _refresh_parents(tx, batch, markers, details, starts, cached) -> int:
+    affected, buckets = _affected(tx, batch, markers, PARENT, cached)
+    raw = latest_per_key(_semi(tx.read(LATEST_PARENT, buckets=buckets), affected, P_KEYS), P_KEYS)
+    summary = finish_parent_summary(merge_parent_summary(_semi(tx.read(PARENT_SUMMARY, buckets=buckets), affected, P_KEYS)))
+    own_details = _semi(details, raw.select("url_ficha").distinct(), ["url_ficha"])
+    new_rows, seen = _counted(parent_dim(raw, None, own_details, "incremental", starts=starts, summary=summary))
+    tx.upsert(new_rows, affected, PARENT_DIM, P_KEYS, buckets)
+    return seen.get["n"]
+
+
+def _refresh_children(tx, batch, markers, benefits, cached) -> int:
+    affected, buckets = _affected(tx, batch, markers, CHILD, cached)
+    raw = latest_per_key(_semi(tx.read(LATEST_CHILD, buckets=buckets), affected, C_KEYS), list(CHILD.dim_keys))
+    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.append(raw)
+    first_last = merge_child_summary(_semi(tx.read(CHILD_SUMMARY, buckets=buckets), affected, C_KEYS))
+    own_benefits = _semi(benefits, affected, ["cliente", "folio"], right_keys=C_KEYS)
+    # the parents of these children only
+    parent_keys = raw.select(*P_KEYS).distinct()
+    parents = _semi(tx.read(PARENT_DIM, buckets=tx.buckets_of(parent_keys, P_KEYS)), parent_keys, P_KEYS)
+    new_rows, seen = _counted(child_dim(raw, None, own_benefits, parents, "incremental", first_last=first_last))
+    tx.upsert(new_rows, affected, CHILD_DIM, C_KEYS, buckets)
+    return seen.get["n"]
+
+
+def compact_state(store: TableStore) -> None:
+    """Fold the deltas into one version per bucket (same content), in one commit."""
+    tx = store.transaction()
+    tx.replace(latest_per_key(tx.read(LATEST_PARENT), P_KEYS), LATEST_PARENT, P_KEYS)
+    tx.replace(latest_per_key(tx.read(LATEST_CHILD), list(CHILD.dim_keys)), LATEST_CHILD, C_KEYS)
+    tx.replace(latest_state(tx.read(PARENT_STATE), PARENT), PARENT_STATE, P_KEYS)
+    tx.replace(latest_state(tx.read(CHILD_STATE), CHILD), CHILD_STATE, C_KEYS)
+    tx.replace(merge_parent_summary(tx.read(PARENT_SUMMARY)), PARENT_SUMMARY, P_KEYS)
+    tx.replace(merge_child_parts(tx.read(CHILD_SUMMARY)), CHILD_SUMMARY, C_KEYS)
+    for table in (PARENT_HISTORY, CHILD_HISTORY):
+        tx.replace(tx.read(table), table)
+    tx.commit()
 
 
 def run_from_source(store: TableStore, raw: DataFrame, details: DataFrame, benefits: DataFrame,
-                    mark_source: str = "processed", **kwargs) -> RunResult:
+                    scope: str = "global", **kwargs) -> RunResult:
     """Scheduled form: read the rows newer than the high-water mark, then run."""
-    if mark_source != "processed":
-        return run_increment(store, incremental_scan(raw, high_water_mark(store, mark_source)), details,
-                             benefits, **kwargs)
-    log = _run_log(store, kwargs.get("run_id"))
-    return run_increment(store, incremental_scan(raw, log[1]), details, benefits, run_log=log, **kwargs)
+    mark = tenant_marks(store) if scope == "tenant" else high_water_mark(store)
+    return run_increment(store, incremental_scan(raw, mark), details, benefits, scope=scope, **kwargs)
 
 
 def affected_keys(batch: DataFrame, markers: DataFrame, level: Level) -> DataFrame:

@@ -1,9 +1,10 @@
 """The seed-then-daily-runs scenario of FIXTURES.md, on a store in the work folder.
 
 Seed: the full rebuild over snapshots up to 2024-01-20 (as-of 2024-01-20).
-Then one incremental run per later snapshot - as a loop of scheduled runs,
-or as a stream over the snapshots landed as files.  Results are kept per session
-and input folder, so queries that read the same scenario share one run.
+Then one incremental run per later snapshot - as a loop of scheduled runs, as
+a loop whose runs are each preceded by an attempt that dies, or as a stream
+over the snapshots landed as files.  Results are kept per application and input
+folder, so queries that read the same scenario share one run.
 """
 
 from __future__ import annotations
@@ -11,16 +12,16 @@ from __future__ import annotations
 import datetime as dt
 import threading
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.time import ntz
 from ..session import scratch
-from ..sinks.store import TableStore
+from ..sinks.store import TableStore, Transaction
 from ..sources import fixtures as fx
 from ..streaming.stream import run_stream, snapshot_stream
 from .bootstrap import bootstrap
-from .increment import run_from_source
-from ..functions.time import ntz
+from .increment import RunResult, incremental_scan, high_water_mark, run_from_source, run_increment
 
 SEED_MARK = dt.datetime(2024, 1, 20)
 SEED_AS_OF = "2024-01-20"
@@ -29,8 +30,12 @@ _done: dict = {}
 _lock = threading.Lock()  # queries sharing a scenario may run from several threads
 
 
-def _session_id(spark: SparkSession) -> int:
-    return id(getattr(spark, "_jsparkSession", spark))
+def _once(spark: SparkSession, sf_dir: str, name: str, build):
+    key = (name, sf_dir, spark.sparkContext.applicationId)
+    with _lock:
+        if key not in _done:
+            _done[key] = build()
+        return _done[key]
 
 
 def _inputs(spark: SparkSession, sf_dir: str):
@@ -40,12 +45,17 @@ def _inputs(spark: SparkSession, sf_dir: str):
 def landed_inputs(spark: SparkSession, sf_dir: str):
     """The inputs derived from the driver tables, landed once as parquet tables
     in the work folder - the stored raw log a scheduled run reads."""
-    folder = scratch(spark, "landed")
-    tables = []
-    for name, df in zip(("case_log", "case_details", "benefits"), _inputs(spark, sf_dir)):
-        df.write.parquet(f"{folder}/{name}")
-        tables.append(spark.read.parquet(f"{folder}/{name}"))
-    return tuple(tables)
+    def build():
+        folder = scratch(spark, "landed")
+        tables = []
+        for name, df in zip(("case_log", "case_details", "benefits"), _inputs(spark, sf_dir)):
+            df.write.parquet(f"{folder}/{name}")
+            tables.append(spark.read.parquet(f"{folder}/{name}"))
+        return tuple(tables)
+    key = ("landed", sf_dir, spark.sparkContext.applicationId)
+    if key not in _done:
+        _done[key] = build()
+    return _done[key]
 
 
 def seeded_store(spark: SparkSession, sf_dir: str, name: str):
@@ -55,49 +65,93 @@ def seeded_store(spark: SparkSession, sf_dir: str, name: str):
     return store, raw, det, ben
 
 
-def later_snapshots(raw, limit: int | None = None) -> list:
+def later_snapshots(raw: DataFrame) -> list:
     """Snapshot times after the seed (one scalar per day: 10 values)."""
-    rows = (raw.filter(F.col("fecha_registro") > ntz(SEED_MARK)).select("fecha_registro").distinct()
-            .orderBy("fecha_registro"))
-    if limit:
-        rows = rows.limit(limit)
-    return [r[0] for r in rows.collect()]
-
+    later = raw.filter(F.col("fecha_registro") > ntz(SEED_MARK)).select("fecha_registro").distinct()
+    return sorted(r[0] for r in later.collect())
 
-def daily_runs(spark: SparkSession, sf_dir: str, runs: int | None = None) -> TableStore:
-    """Seed, then one scheduled run per later snapshot (all, or the first ``runs``)."""
-    key = ("loop", sf_dir, runs, _session_id(spark))
-    with _lock:
-        return _daily_runs(spark, sf_dir, runs, key)
 
-
-def _daily_runs(spark, sf_dir, runs, key):
-    if key not in _done:
-        store, raw, det, ben = seeded_store(spark, sf_dir, f"daily-{runs or 'all'}")
-        for t in later_snapshots(raw, runs):
+def daily_runs(spark: SparkSession, sf_dir: str) -> TableStore:
+    """Seed, then one scheduled run per later snapshot."""
+    def build():
+        store, raw, det, ben = seeded_store(spark, sf_dir, "daily")
+        for t in later_snapshots(raw):
             # The raw table as it stands after snapshot t has landed.
             run_from_source(store, raw.filter(F.col("fecha_registro") <= ntz(t)), det, ben,
                             run_id=f"scheduled-{t:%Y%m%d%H%M}")
-        _done[key] = store
-    return _done[key]
+        return store
+    return _once(spark, sf_dir, "daily", build)
 
 
-def streamed_runs(spark: SparkSession, sf_dir: str, runs: int | None = None) -> TableStore:
-    """Seed, then a stream over the later snapshots (all, or the first ``runs``), landed as files."""
-    key = ("stream", sf_dir, runs, _session_id(spark))
-    with _lock:
-        return _streamed_runs(spark, sf_dir, runs, key)
+class Died(RuntimeError):
+    """Stands for the loss of the driver."""
 
 
-def _streamed_runs(spark, sf_dir, runs, key):
-    if key not in _done:
-        store, raw, det, ben = seeded_store(spark, sf_dir, f"streamed-{runs or 'all'}")
+class DyingStore(TableStore):
+    """A store whose runs die at their ``writes``-th write, or at the commit if there are fewer."""
+
+    writes = 10 ** 6
+
+    def transaction(self) -> Transaction:
+        store, left = self, [self.writes]
+
+        class Dying(Transaction):
+            def _put(self, *args):
+                if not left[0]:
+                    raise Died("before a write")
+                left[0] -= 1
+                return super()._put(*args)
+
+            def commit(self, *args, **kwargs):
+                raise Died("before the commit")
+
+        return Dying(store, store.manifest().copy())
+
+
+def died(store: TableStore, batch: DataFrame, det: DataFrame, ben: DataFrame, writes: int, **kwargs) -> RunResult | None:
+    """An attempt at a run that dies at a write or at its commit."""
+    dying = DyingStore(store.spark, store.root, store.buckets)
+    dying.writes = writes
+    try:
+        return run_increment(dying, batch, det, ben, **kwargs)
+    except Died:
+        return None
+
+
+def retried_runs(spark: SparkSession, sf_dir: str) -> TableStore:
+    """As ``daily_runs``, but before each run an attempt at that snapshot and the one after it dies at another write."""
+    def build():
+        store, raw, det, ben = seeded_store(spark, sf_dir, "retried")
+        times = later_snapshots(raw)
+        for k, t in enumerate(times):
+            ahead = raw.filter(F.col("fecha_registro") <= ntz(times[min(k + 1, len(times) - 1)]))
+            run_id = f"scheduled-{t:%Y%m%d%H%M}"
+            died(store, incremental_scan(ahead, high_water_mark(store)), det, ben, k + 1, run_id=run_id)
+            run_from_source(store, raw.filter(F.col("fecha_registro") <= ntz(t)), det, ben, run_id=run_id)
+        return store
+    return _once(spark, sf_dir, "retried", build)
+
+
+def tenant_run(spark: SparkSession, sf_dir: str) -> TableStore:
+    """Tenants recorded at times of their own: seed, then one tenant-scope run over all later snapshots."""
+    def build():
+        raw = fx.case_log(spark, sf_dir, staggered=True)
+        day1 = SEED_MARK + dt.timedelta(days=1)
+        store = TableStore(spark, scratch(spark, "tenants"))
+        det, ben = fx.case_details(spark, sf_dir), fx.benefits(spark, sf_dir)
+        bootstrap(store, raw.filter(F.col("fecha_registro") < ntz(day1)), det, ben, SEED_AS_OF)
+        run_from_source(store, raw, det, ben, scope="tenant", run_id="tenants", snapshots="each")
+        return store
+    return _once(spark, sf_dir, "tenants", build)
+
+
+def streamed_runs(spark: SparkSession, sf_dir: str) -> TableStore:
+    """Seed, then a stream over the later snapshots, landed as files."""
+    def build():
+        store, raw, det, ben = seeded_store(spark, sf_dir, "streamed")
         incoming = scratch(spark, "incoming")
-        times = later_snapshots(raw, runs)
         # Fixture landing step: the later snapshots land as parquet files.
-        raw.filter((F.col("fecha_registro") > ntz(SEED_MARK)) & (F.col("fecha_registro") <= ntz(times[-1]))) \
-            .write.mode("append").parquet(incoming)
-        stream = snapshot_stream(spark, incoming, raw.schema)
-        run_stream(store, stream, det, ben, checkpoint=scratch(spark, "stream-checkpoint"))
-        _done[key] = store
-    return _done[key]
+        raw.filter(F.col("fecha_registro") > ntz(SEED_MARK)).write.parquet(incoming)
+        run_stream(store, snapshot_stream(spark, incoming, raw.schema), det, ben, checkpoint=scratch(spark, "stream-checkpoint"))
+        return store
+    return _once(spark, sf_dir, "streamed", build)

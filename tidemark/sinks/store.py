@@ -1,42 +1,77 @@
 """Table sinks on a shared folder: append (K1), replace (K2), keyed upsert (K3, K4).
 
-Plain parquet has no MERGE or DELETE, and overwriting a path that the plan
-is reading is unsafe.  Every table is therefore a folder of immutable
-versions ``v00000001/ ...``: a write goes to the next version and becomes
-visible when its job commits (Spark's ``_SUCCESS`` marker).  Readers take the
-newest committed version, so a failed or lost job never leaves a table half
-written, and a re-run simply writes the version again.
-
-* ``append`` adds the rows as a new version that holds only those rows
-  (``read`` unions all versions since the last replace), so appending never
-  rewrites history.
-* ``replace`` writes a full version that hides the older ones.
-* ``upsert`` removes the rows of the affected keys (anti join) and adds the
-  new rows, written as a full version.
-
-On a table format with MERGE (Delta, Iceberg) the same three calls map to
-``INSERT``, ``INSERT OVERWRITE`` and ``MERGE``.
+Plain parquet has no MERGE and no transaction over several tables.  A store
+therefore keeps immutable version folders and a manifest: one small file that
+names, for every table, the versions that make up its rows, together with the
+run log and the high-water marks.  All writes of a run go into a
+:class:`Transaction`; they become visible together when its manifest is
+written, and not at all if the run dies before.  Readers take what the newest
+manifest lists, so a retry starts from the state before the failed run.
+
+Manifest ``n`` is created exclusively: of two writers that started from
+``n - 1`` one commits, the other raises :class:`CommitConflict` and can retry.
+Version folders have random names, so writers never touch each other's files.
+
+* ``append`` adds the rows as one more version of the table (K1).
+* ``replace`` makes one version the whole table (K2).
+* ``upsert`` deletes the rows of the affected keys and inserts new ones (K3,
+  K4).  Keyed tables are split into ``buckets`` folders by a hash of their
+  keys, and only the buckets of the affected keys are read and rewritten.
+
+``retain`` deletes versions that the last manifests no longer name.  On a table
+format with MERGE (Delta, Iceberg) the calls map to ``INSERT``, ``INSERT
+OVERWRITE``, ``MERGE`` and ``VACUUM``.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import json
+import uuid
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.nulls import null_safe_join
-from ..operators.sizing import small_side
 
-_SUCCESS = "_SUCCESS"
+_MANIFESTS = "_manifest"
+BUCKET = "_b"
+#: Buckets of a keyed table; size it so that one bucket fits a task at the target scale.
+BUCKETS = 8
+#: Runs that a manifest remembers by id (a replayed trigger is among the last ones).
+RUNS_KEPT = 1000
+
+
+class CommitConflict(RuntimeError):
+    """Another writer committed first."""
+
+
+@dataclass
+class Manifest:
+    """What one commit made visible."""
+
+    number: int = 0
+    tables: dict = field(default_factory=dict)  # name -> {"schema", "keys", "versions", "buckets": {bucket: [version, ...]}, "wrote": {version: buckets}}
+    runs: list = field(default_factory=list)  # [{"run_id", "mark", "rows", "late"}], newest last
+    marks: dict = field(default_factory=dict)  # "" for all rows, and one for each tenant: newest processed timestamp (text)
+
+    def copy(self) -> Manifest:
+        return Manifest(self.number, json.loads(json.dumps(self.tables)), list(self.runs), dict(self.marks))
+
+
+def bucket_of(keys, buckets: int) -> Column:
+    """Bucket number of a row of a keyed table (NULL keys hash like any other)."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
 
 
 @dataclass
 class TableStore:
-    """Versioned tables under ``root`` (a folder every executor can reach)."""
+    """Tables under ``root`` (a folder every executor can reach)."""
 
     spark: SparkSession
     root: str
+    buckets: int = BUCKETS
 
     # ------------------------------------------------------------ file system
     def _fs(self, path: str):
@@ -44,82 +79,190 @@ class TableStore:
         p = jvm.org.apache.hadoop.fs.Path(path)
         return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _versions(self, table: str) -> list[tuple[int, str]]:
-        """Committed versions as (number, kind) with kind ``base`` or ``delta``.
-
-        The kind is part of the folder name, so it is committed together with
-        the data: a version is visible once its ``_SUCCESS`` marker exists.
-        """
-        p, fs = self._fs(f"{self.root}/{table}")
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            num, _, kind = name[1:].partition("-")
-            if name.startswith("v") and num.isdigit() and kind in ("base", "delta"):
-                if fs.exists(self._fs(f"{self.root}/{table}/{name}/{_SUCCESS}")[0]):
-                    out.append((int(num), kind))
-        return sorted(out)
-
-    def _path(self, table: str, version: int, kind: str) -> str:
-        return f"{self.root}/{table}/v{version:08d}-{kind}"
+    def _names(self, folder: str) -> list[str]:
+        p, fs = self._fs(folder)
+        return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+    def _load(self, name: str) -> Manifest | None:
+        p, fs = self._fs(f"{self.root}/{_MANIFESTS}/{name}")
+        stream = fs.open(p)
+        try:
+            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        try:
+            return Manifest(**json.loads(text))
+        except ValueError:  # its writer died while writing it: never committed
+            return None
+
+    def manifest(self) -> Manifest:
+        """The newest committed manifest (an empty one for a new store)."""
+        for name in sorted(self._manifest_names(), reverse=True):
+            if (found := self._load(name)) is not None:
+                return found
+        return Manifest()
+
+    def _manifest_names(self) -> list[str]:
+        return [n for n in self._names(f"{self.root}/{_MANIFESTS}") if n.endswith(".json") and not n.startswith(".")]
 
     # ---------------------------------------------------------------- reading
     def exists(self, table: str) -> bool:
-        """Existence probe (S3): a table with no committed version does not exist."""
-        return bool(self._versions(table))
+        """Existence probe (S3): a table that no commit named does not exist."""
+        return table in self.manifest().tables
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame | None:
-        """Current rows: the newest base version plus the deltas after it.
+        """Committed rows; an empty frame of ``schema`` (or None) when the table is absent."""
+        return Transaction(self, self.manifest()).read(table, schema)
+
+    # ---------------------------------------------------------------- writing
+    def transaction(self) -> Transaction:
+        return Transaction(self, self.manifest().copy())
+
+    def append(self, df: DataFrame, table: str, keys=()) -> None:
+        tx = self.transaction()
+        tx.append(df, table, keys)
+        tx.commit()
 
-        Returns an empty frame of ``schema`` (or None) when the table is absent.
-        """
-        versions = self._versions(table)
-        if not versions:
+    def replace(self, df: DataFrame, table: str, keys=()) -> None:
+        tx = self.transaction()
+        tx.replace(df, table, keys)
+        tx.commit()
+
+    def upsert(self, new_rows: DataFrame, affected: DataFrame, table: str, keys) -> None:
+        tx = self.transaction()
+        tx.upsert(new_rows, affected, table, keys)
+        tx.commit()
+
+    def retain(self, manifests: int = 10) -> int:
+        """Delete versions and manifests that the newest ``manifests`` commits don't name; returns how many.
+
+        Call it while no run is open (a run's own versions are not named yet)."""
+        names = sorted(self._manifest_names())
+        kept = [m for m in map(self._load, names[-manifests:]) if m is not None]
+        live = {v for m in kept for t in m.tables.values() for v in _versions(t)}
+        removed = 0
+        for table in self._names(self.root):
+            folder = f"{self.root}/{table}"
+            stale = names[:-manifests] if table == _MANIFESTS else [n for n in self._names(folder) if f"{table}/{n}" not in live]
+            for n in stale:
+                p, fs = self._fs(f"{folder}/{n}")
+                removed += bool(fs.delete(p, True))
+        return removed
+
+
+def _versions(entry: dict) -> list[str]:
+    return [*entry["versions"], *dict.fromkeys(v for vs in entry["buckets"].values() for v in vs)]
+
+
+class Transaction:
+    """Writes of one run, visible to it at once and to others when it commits."""
+
+    def __init__(self, store: TableStore, state: Manifest):
+        self.store, self.state = store, state
+        self.spark = store.spark
+
+    # ---------------------------------------------------------------- reading
+    def exists(self, table: str) -> bool:
+        return table in self.state.tables
+
+    def read(self, table: str, schema: T.StructType | None = None, buckets=None) -> DataFrame | None:
+        """Current rows; with ``buckets``, those of some buckets of a keyed table (other folders aren't listed)."""
+        entry = self.state.tables.get(table)
+        if entry is None:
             return self.spark.createDataFrame([], schema) if schema is not None else None
-        start = max(i for i, (_, kind) in enumerate(versions) if kind == "base") \
-            if any(k == "base" for _, k in versions) else 0
-        paths = [self._path(table, v, k) for v, k in versions[start:]]
-        return self.spark.read.parquet(*paths)
-
-    def read_version(self, table: str, version: int) -> DataFrame:
-        """The rows written by one version (e.g. what one run appended)."""
-        for v, kind in self._versions(table):
-            if v == version:
-                return self.spark.read.parquet(self._path(table, v, kind))
-        raise KeyError(f"{table} has no committed version {version}")
+        own = T.StructType.fromJson(entry["schema"])
+        root = self.store.root
+        if not entry["keys"]:
+            return self._of([f"{root}/{v}" for v in entry["versions"]], own)
+        wanted = entry["buckets"] if buckets is None else {str(b): entry["buckets"].get(str(b), []) for b in buckets}
+        held: dict[str, list[str]] = {}
+        for b, versions in wanted.items():
+            for v in versions:
+                held.setdefault(v, []).append(b)
+        # a version that is wanted whole is one folder to list, else each of its buckets is
+        whole = [f"{root}/{v}" for v, bs in held.items() if len(bs) == entry["wrote"][v]]
+        parts = [f"{root}/{v}/{BUCKET}={b}" for v, bs in held.items() if len(bs) < entry["wrote"][v] for b in bs]
+        return self._of(whole + parts, own)
+
+    def _of(self, paths: list[str], schema: T.StructType) -> DataFrame:
+        if not paths:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths)
+
+    def buckets_of(self, affected: DataFrame, keys) -> list[int]:
+        """The buckets that some keys fall into (at most ``buckets`` numbers)."""
+        found = affected.select(bucket_of(keys, self.store.buckets).alias(BUCKET)).distinct().collect()
+        return sorted(r[0] for r in found)
 
     # ---------------------------------------------------------------- writing
-    def _write(self, df: DataFrame, table: str, kind: str) -> int:
-        versions = self._versions(table)
-        v = (versions[-1][0] + 1) if versions else 1
-        df.write.mode("overwrite").parquet(self._path(table, v, kind))
-        return v
+    def _write(self, df: DataFrame, table: str, keys) -> tuple[str, list[str]]:
+        version = f"{table}/{uuid.uuid4().hex}"
+        path = f"{self.store.root}/{version}"
+        if not keys:
+            df.write.parquet(path)
+            return version, []
+        df = df.withColumn(BUCKET, bucket_of(keys, self.store.buckets))
+        df.repartition(self.store.buckets, BUCKET).write.partitionBy(BUCKET).parquet(path)
+        return version, [n.partition("=")[2] for n in self.store._names(path) if n.startswith(BUCKET + "=")]
 
-    def append(self, df: DataFrame, table: str) -> int:
-        """K1: add rows as a delta version; earlier versions stay as they are."""
-        return self._write(df, table, "delta" if self.exists(table) else "base")
+    def _entry(self, df: DataFrame, table: str, keys) -> dict:
+        old = self.state.tables.get(table)
+        if old is not None and old["keys"] != list(keys):
+            raise ValueError(f"{table} is keyed by {old['keys']}")
+        return old or {"schema": df.schema.jsonValue(), "keys": list(keys), "versions": [], "buckets": {}, "wrote": {}}
 
-    def replace(self, df: DataFrame, table: str) -> int:
-        """K2: the rows of ``df`` become the whole table."""
-        return self._write(df, table, "base")
+    def _put(self, df: DataFrame, table: str, keys, entry: dict) -> DataFrame:
+        version, buckets = self._write(df, table, keys)
+        if not keys:
+            entry["versions"] = [*entry["versions"], version]
+        for b in buckets:
+            entry["buckets"][b] = [*entry["buckets"].get(b, []), version]
+        live = {v for vs in entry["buckets"].values() for v in vs}
+        entry["wrote"] = {v: n for v, n in (entry["wrote"] | {version: len(buckets)}).items() if v in live}
+        self.state.tables[table] = entry
+        return self._of([f"{self.store.root}/{version}"] if buckets or not keys else [], T.StructType.fromJson(entry["schema"]))
+
+    def append(self, df: DataFrame, table: str, keys=()) -> DataFrame:
+        """K1: add rows; earlier versions stay as they are.  Returns the rows as written."""
+        return self._put(df, table, keys, self._entry(df, table, keys))
 
-    def compact(self, table: str) -> int:
-        """Fold the deltas into one base version (same rows, fewer files)."""
-        return self.replace(self.read(table), table)
+    def replace(self, df: DataFrame, table: str, keys=()) -> DataFrame:
+        """K2: the rows of ``df`` become the whole table."""
+        entry = {"schema": df.schema.jsonValue(), "keys": list(keys), "versions": [], "buckets": {}, "wrote": {}}
+        return self._put(df, table, keys, entry)
 
-    def upsert(self, new_rows: DataFrame, affected: DataFrame, table: str, keys, checked: bool = False) -> int:
-        """K3/K4: delete the rows whose ``keys`` appear in ``affected``, insert ``new_rows``.
+    def upsert(self, new_rows: DataFrame, affected: DataFrame, table: str, keys, buckets=None) -> None:
+        """K3/K4: delete the rows whose ``keys`` appear in ``affected``, insert ``new_rows`` (rows of such keys only).
 
-        The new version is computed from the current one and written to a
-        new folder, so the read and the write never touch the same files.
-        ``checked=True``: ``affected`` is already distinct and size-checked.
-        """
+        ``buckets``: those of ``affected``, when the caller knows them."""
         keys = list(keys)
-        current = self.read(table)
-        if current is None:
-            return self.replace(new_rows, table)
-        gone = affected if checked else small_side(affected.select(*keys).distinct())
-        kept = null_safe_join(current, gone, keys, "left_anti")
-        return self.replace(kept.unionByName(new_rows.select(*current.columns)), table)
+        if not self.exists(table):
+            self.replace(new_rows, table, keys)
+            return
+        touched = self.buckets_of(affected, keys) if buckets is None else buckets
+        current = self.read(table, buckets=touched)
+        kept = null_safe_join(current, affected.select(*keys), keys, "left_anti")
+        entry = self.state.tables[table]
+        entry["buckets"] = {b: v for b, v in entry["buckets"].items() if int(b) not in set(touched)}
+        self._put(kept.unionByName(new_rows.select(*current.columns)), table, keys, entry)
+
+    def commit(self, run: dict | None = None, marks: dict | None = None) -> int:
+        """Make everything written here visible, or raise if another writer committed since this one began."""
+        if run is not None:
+            self.state.runs = [*self.state.runs, run][-RUNS_KEPT:]
+        self.state.marks.update(marks or {})
+        base = self.state.number
+        if self.store.manifest().number != base:
+            raise CommitConflict(f"{self.store.root}: a commit came after number {base}")
+        # a torn manifest of a dead writer keeps its number
+        number = max([base, *(int(n.partition(".")[0]) for n in self.store._manifest_names())]) + 1
+        self.state.number = number
+        p, fs = self.store._fs(f"{self.store.root}/{_MANIFESTS}/{number:010d}.json")
+        text = json.dumps(self.state.__dict__)
+        try:
+            out = fs.create(p, False)
+        except Exception as error:
+            raise CommitConflict(f"{p}: {error}") from error
+        out.write(bytearray(text.encode()))
+        out.close()
+        return number

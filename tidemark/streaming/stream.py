@@ -2,15 +2,15 @@
 
 Snapshot files land in a folder; a file-source stream picks them up and
 ``foreachBatch`` applies each micro-batch with ``run_increment``.  The
-stream's checkpoint tracks which files were read; the run log in the store
-keys each run by micro-batch id and snapshot time, so a micro-batch replayed
-after a failure is not applied twice.
+stream's checkpoint tracks which files were read; the run log in the store's
+manifest holds the micro-batch's id, so a micro-batch replayed after a failure
+is not applied twice.
 
 A micro-batch may hold several snapshots (a trigger takes every file that
-has landed).  With ``per_snapshot=True`` (default) they are applied one by
-one in time order, so results do not depend on how files were grouped into
-triggers; each snapshot must land whole (write it elsewhere and move it in,
-the usual landing protocol), since absence is judged against it.
+has landed).  They are applied in one pass, each judged on its own
+(``apply_snapshots``), so the history does not depend on how files were grouped
+into triggers; each snapshot must land whole (write it elsewhere and move it
+in, the usual landing protocol), since absence is judged against it.
 
 Change detection needs the previous state of every key and absence detection
 needs a whole snapshot, which is why the body is a batch job per trigger
@@ -20,15 +20,10 @@ by Spark, and absence is not visible row by row).
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from ..plans.bootstrap import RUNS
-from ..plans.increment import run_increment
-from ..schemas import TS
+from ..plans.increment import RunResult, run_increment
 from ..sinks.store import TableStore
-from ..functions.time import ntz
 
 
 def snapshot_stream(spark: SparkSession, folder: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -40,49 +35,19 @@ def snapshot_stream(spark: SparkSession, folder: str, schema, files_per_trigger:
 
 
 def apply_batch(store: TableStore, batch: DataFrame, batch_id: int, details: DataFrame, benefits: DataFrame,
-                scope: str = "global", per_snapshot: bool = True, name: str = "stream") -> None:
-    """Apply one micro-batch: snapshot by snapshot, or as one run."""
-    if not per_snapshot:
-        run_increment(store, batch, details, benefits, run_id=f"{name}-{batch_id}", scope=scope)
-        return
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        # The snapshot times of one trigger: a short list (one per landed snapshot).
-        times = [r[0] for r in batch.select(TS).distinct().orderBy(TS).collect()]
-        prefix = f"{name}-{batch_id}-"
-        done, mark = _trigger_log(store, prefix)
-        for t in times:
-            run_id = f"{prefix}{t:%Y%m%d%H%M%S}"
-            if run_id in done:  # applied before this trigger was replayed
-                continue
-            snap = batch.filter(F.col(TS) == ntz(t))
-            result = run_increment(store, snap, details, benefits, run_id=run_id, scope=scope,
-                                   run_log=(False, mark))
-            if not result.skipped:
-                mark = result.mark
-    finally:
-        batch.unpersist()
-
-
-def _trigger_log(store: TableStore, prefix: str):
-    """Run ids already recorded for this trigger, and the high-water mark, in one job."""
-    runs = store.read(RUNS)
-    if runs is None:
-        return set(), None
-    row = runs.agg(F.collect_set(F.when(F.col("run_id").startswith(prefix), F.col("run_id"))).alias("ids"),
-                   F.max("mark").alias("mark")).first()
-    return set(row["ids"]), row["mark"]
+                scope: str = "global", name: str = "stream") -> RunResult:
+    """Apply one micro-batch, all its snapshots in one pass."""
+    return run_increment(store, batch, details, benefits, run_id=f"{name}-{batch_id}", scope=scope, snapshots="each")
 
 
 def run_stream(store: TableStore, stream: DataFrame, details: DataFrame, benefits: DataFrame,
-               checkpoint: str, scope: str = "global", per_snapshot: bool = True,
-               available_now: bool = True, name: str = "stream"):
+               checkpoint: str, scope: str = "global", available_now: bool = True, name: str = "stream"):
     """Apply every available micro-batch (``availableNow``) or run hourly.
 
     Returns the finished (or running) ``StreamingQuery``.
     """
     def body(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(store, batch, batch_id, details, benefits, scope, per_snapshot, name)
+        apply_batch(store, batch, batch_id, details, benefits, scope, name)
 
     writer = stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
