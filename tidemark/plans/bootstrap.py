@@ -12,7 +12,7 @@ from ..operators.dims import child_dim, child_summary_parts, parent_dim, parent_
 from ..operators.history import compress_history, level_rows, suppressed_batch
 from ..operators.latest import latest_per_key, latest_state
 from ..schemas import CHILD, CHILD_BASE, PARENT, PARENT_STATIC, RAW_COLUMNS, TENANT, TIE, TS, require_columns
-from ..sinks.store import TableStore
+from ..sinks.store import TableStore, together
 
 # Table names in the store.
 PARENT_HISTORY = "parent_history"
@@ -76,18 +76,19 @@ def bootstrap(store: TableStore, raw: DataFrame, details: DataFrame, benefits: D
     try:
         tx = store.transaction()
         h = batch_histories(raw, as_of, literal_child)
-        ph = tx.replace(h.parent, PARENT_HISTORY)
-        ch = tx.replace(h.child, CHILD_HISTORY)
-        starts = tx.replace(tenant_start(raw), TENANT_START)
-        pdim = tx.replace(parent_dim(raw, ph, details, "batch", starts=starts, match_tenant=match_tenant),
-                          PARENT_DIM, P_KEYS)
+        ph, ch, starts, _, _ = together(
+            lambda: tx.replace(h.parent, PARENT_HISTORY),
+            lambda: tx.replace(h.child, CHILD_HISTORY),
+            lambda: tx.replace(tenant_start(raw), TENANT_START),
+            lambda: tx.replace(latest_parent_rows(raw), LATEST_PARENT, P_KEYS),
+            lambda: tx.replace(latest_child_rows(raw), LATEST_CHILD, C_KEYS))
+        pdim, *_ = together(
+            lambda: tx.replace(parent_dim(raw, ph, details, "batch", starts=starts, match_tenant=match_tenant), PARENT_DIM, P_KEYS),
+            lambda: tx.replace(latest_state(ph, PARENT), PARENT_STATE, P_KEYS),
+            lambda: tx.replace(latest_state(ch, CHILD), CHILD_STATE, C_KEYS),
+            lambda: tx.replace(parent_summary_parts(ph), PARENT_SUMMARY, P_KEYS),
+            lambda: tx.replace(child_summary_parts(ch), CHILD_SUMMARY, C_KEYS))
         cdim = tx.replace(child_dim(raw, ch, benefits, pdim, "batch", match_tenant=match_tenant), CHILD_DIM, C_KEYS)
-        tx.replace(latest_parent_rows(raw), LATEST_PARENT, P_KEYS)
-        tx.replace(latest_child_rows(raw), LATEST_CHILD, C_KEYS)
-        tx.replace(latest_state(ph, PARENT), PARENT_STATE, P_KEYS)
-        tx.replace(latest_state(ch, CHILD), CHILD_STATE, C_KEYS)
-        tx.replace(parent_summary_parts(ph), PARENT_SUMMARY, P_KEYS)
-        tx.replace(child_summary_parts(ch), CHILD_SUMMARY, C_KEYS)
         seen = raw.groupBy(TENANT).agg(F.max(TS).alias("mark"), F.count(F.lit(1)).alias("rows")).collect()
         marks = marks_of((r[TENANT], r["mark"]) for r in seen)
         tx.state.runs, tx.state.marks = [], {}

@@ -29,7 +29,7 @@ from ..operators.dims import (child_dim, child_summary_parts, finish_parent_summ
 from ..operators.history import apply_snapshots, detect_changes, level_rows, suppressed_incremental
 from ..operators.latest import latest_per_key, latest_snapshot, latest_state
 from ..schemas import CHILD, PARENT, SUPPRESSED, TENANT, TIE, TS, Level, require_columns
-from ..sinks.store import TableStore, Transaction
+from ..sinks.store import TableStore, Transaction, together
 from .bootstrap import (C_KEYS, CHILD_DIM, CHILD_HISTORY, CHILD_STATE, CHILD_SUMMARY, LATEST_CHILD, LATEST_PARENT,
                         P_KEYS, PARENT_DIM, PARENT_HISTORY, PARENT_STATE, PARENT_SUMMARY, TENANT_START,
                         latest_child_rows, latest_parent_rows, marks_of)
@@ -131,8 +131,7 @@ def _history_step(tx: Transaction, batch: DataFrame, level: Level, scope: str, s
     n = seen.get["n"]
     if n:
         # Readers de-duplicate the state, and the summary parts are MIN/MAX aggregates.
-        tx.append(written, state_table, keys)
-        tx.append(parts(written), summary_table, keys)
+        together(lambda: tx.append(written, state_table, keys), lambda: tx.append(parts(written), summary_table, keys))
     return n, written
 
 
@@ -171,21 +170,20 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
         result = RunResult(run_id, rows=rows, late=late, mark=_time(marks.get("")))
         batch = flagged.filter(fresh).drop("_fresh")
 
-        n, written = _history_step(tx, batch, PARENT, scope, snapshots)
-        result.history_rows["parent"] = n
-        tx.append(latest_parent_rows(batch), LATEST_PARENT, P_KEYS)
         starts = tenant_start(batch)
         if tx.exists(TENANT_START):
             starts = tx.read(TENANT_START).unionByName(starts).groupBy(TENANT).agg(F.min("fecha_primer_registro").alias("fecha_primer_registro"))
-        starts = tx.replace(starts, TENANT_START)
-        if n:
-            result.dim_rows["parent"] = _refresh_parents(tx, batch, _markers(written, PARENT), details, starts, cached)
-
-        n, written = _history_step(tx, batch, CHILD, scope, snapshots)
-        result.history_rows["child"] = n
-        tx.append(latest_child_rows(batch), LATEST_CHILD, C_KEYS)
-        if n:
-            result.dim_rows["child"] = _refresh_children(tx, batch, _markers(written, CHILD), benefits, cached)
+        (n_p, parents), (n_c, children), starts, _, _ = together(
+            lambda: _history_step(tx, batch, PARENT, scope, snapshots),
+            lambda: _history_step(tx, batch, CHILD, scope, snapshots),
+            lambda: tx.replace(starts, TENANT_START),
+            lambda: tx.append(latest_parent_rows(batch), LATEST_PARENT, P_KEYS),
+            lambda: tx.append(latest_child_rows(batch), LATEST_CHILD, C_KEYS))
+        result.history_rows.update(parent=n_p, child=n_c)
+        if n_p:
+            result.dim_rows["parent"] = _refresh_parents(tx, batch, _markers(parents, PARENT), details, starts, cached)
+        if n_c:
+            result.dim_rows["child"] = _refresh_children(tx, batch, _markers(children, CHILD), benefits, cached)
 
         tx.commit({"run_id": run_id or f"run-{marks.get('')}", "mark": marks.get(""), "rows": rows, "late": late}, marks)
     finally:
@@ -230,14 +228,12 @@ def _refresh_children(tx, batch, markers, benefits, cached) -> int:
 def compact_state(store: TableStore) -> None:
     """Fold the deltas into one version per bucket (same content), in one commit."""
     tx = store.transaction()
-    tx.replace(latest_per_key(tx.read(LATEST_PARENT), P_KEYS), LATEST_PARENT, P_KEYS)
-    tx.replace(latest_per_key(tx.read(LATEST_CHILD), list(CHILD.dim_keys)), LATEST_CHILD, C_KEYS)
-    tx.replace(latest_state(tx.read(PARENT_STATE), PARENT), PARENT_STATE, P_KEYS)
-    tx.replace(latest_state(tx.read(CHILD_STATE), CHILD), CHILD_STATE, C_KEYS)
-    tx.replace(merge_parent_summary(tx.read(PARENT_SUMMARY)), PARENT_SUMMARY, P_KEYS)
-    tx.replace(merge_child_parts(tx.read(CHILD_SUMMARY)), CHILD_SUMMARY, C_KEYS)
-    for table in (PARENT_HISTORY, CHILD_HISTORY):
-        tx.replace(tx.read(table), table)
+    folded = [(LATEST_PARENT, lambda d: latest_per_key(d, P_KEYS), P_KEYS),
+              (LATEST_CHILD, lambda d: latest_per_key(d, list(CHILD.dim_keys)), C_KEYS),
+              (PARENT_STATE, lambda d: latest_state(d, PARENT), P_KEYS), (CHILD_STATE, lambda d: latest_state(d, CHILD), C_KEYS),
+              (PARENT_SUMMARY, merge_parent_summary, P_KEYS), (CHILD_SUMMARY, merge_child_parts, C_KEYS),
+              (PARENT_HISTORY, lambda d: d, ()), (CHILD_HISTORY, lambda d: d, ())]
+    together(*(lambda t=t, fold=fold, keys=keys: tx.replace(fold(tx.read(t)), t, keys) for t, fold, keys in folded))
     tx.commit()
 
 

@@ -26,7 +26,9 @@ OVERWRITE``, ``MERGE`` and ``VACUUM``.
 from __future__ import annotations
 
 import json
+import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +45,14 @@ BUCKETS = 8
 RUNS_KEPT = 1000
 
 
+def together(*steps):
+    """Results of steps that don't depend on each other, their jobs submitted at the same time.
+
+    A run is many small jobs; side by side they fill the cluster.  If a step fails, its error is raised when all have ended."""
+    with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+        return [f.result() for f in [pool.submit(s) for s in steps]]
+
+
 class CommitConflict(RuntimeError):
     """Another writer committed first."""
 
@@ -155,11 +165,14 @@ def _versions(entry: dict) -> list[str]:
 
 
 class Transaction:
-    """Writes of one run, visible to it at once and to others when it commits."""
+    """Writes of one run, visible to it at once and to others when it commits.
+
+    Different tables may be written from several threads (``together``)."""
 
     def __init__(self, store: TableStore, state: Manifest):
         self.store, self.state = store, state
         self.spark = store.spark
+        self._lock = threading.Lock()
 
     # ---------------------------------------------------------------- reading
     def exists(self, table: str) -> bool:
@@ -219,7 +232,8 @@ class Transaction:
             entry["buckets"][b] = [*entry["buckets"].get(b, []), version]
         live = {v for vs in entry["buckets"].values() for v in vs}
         entry["wrote"] = {v: n for v, n in (entry["wrote"] | {version: len(buckets)}).items() if v in live}
-        self.state.tables[table] = entry
+        with self._lock:
+            self.state.tables[table] = entry
         return self._of([f"{self.store.root}/{version}"] if buckets or not keys else [], T.StructType.fromJson(entry["schema"]))
 
     def append(self, df: DataFrame, table: str, keys=()) -> DataFrame:
