@@ -26,8 +26,8 @@ from tidemark.functions.time import ntz
 
 try:  # the training-data operators and their pipeline are a part that can be left out
     from tidemark.llm import registry as llm
-except ModuleNotFoundError as error:
-    if not (error.name or "").startswith(("tidemark.llm", "corpus_pipeline")):
+except ImportError as error:
+    if error.name not in ("tidemark.llm", "tidemark.llm.registry", "corpus_pipeline"):
         raise
     llm = None
 
