@@ -39,13 +39,15 @@ from tidemark.llm.frames import named, python_map
 from tidemark.llm.words import SPACED_LOWER, chain, chunks, words_of
 
 ORDER, ALPHA = 3, 0.4
-BLOCK_BYTES, PART_BYTES = 16 << 20, 8 << 20
+BLOCK_BYTES, PART_BYTES = 8 << 20, 8 << 20
+#: Bits of an n-gram's hash: of 1e13 distinct n-grams, one in 7,000 unseen ones would meet another's count.
+HASH_BITS = 56
 _U = np.uint64
 
 
 def part_of(hashes: np.ndarray, parts: int) -> np.ndarray:
     """Part of the count table that a hash belongs to; equal hash ranges, ascending."""
-    return ((hashes >> _U(32)) * _U(parts) >> _U(32)).astype(np.int64)
+    return ((hashes >> _U(HASH_BITS - 32)) * _U(parts) >> _U(32)).astype(np.int64)
 
 
 def _pack(array: np.ndarray) -> bytes:
@@ -72,7 +74,7 @@ def ngrams(word: np.ndarray, doc: np.ndarray, order: int) -> tuple[np.ndarray, n
     for k in range(order):
         h = chain(h, word[k:k + n])
     at = np.flatnonzero(doc[:n] == doc[order - 1:])
-    return h[at], at + order - 1
+    return h[at] >> _U(64 - HASH_BITS), at + order - 1
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]):
