@@ -55,6 +55,7 @@ def python_map(df: DataFrame, function, schema) -> DataFrame:
     odd = {c: f"{prefix(df, '_c')}{k}" for k, c in enumerate(df.columns) if "." in c or "`" in c}
     if not odd:
         return df.mapInArrow(function, schema)
+    schema = StructType.fromDDL(schema) if isinstance(schema, str) else schema
     within = StructType([StructField(odd.get(f.name, f.name), f.dataType, f.nullable) for f in schema.fields])
     return df.toDF(*(odd.get(c, c) for c in df.columns)).mapInArrow(function, within).toDF(*schema.names)
 

@@ -9,7 +9,7 @@ is repeated; the union of the repeated runs of a text are its repeated spans.  O
 runs the one of the smallest (doc_id, place) stays; ``without_repeats`` cuts the others.
 
 Digests are counted by a map-side combined aggregate and joined back to the runs, so a run that many texts share is
-one small row before the shuffle and a skewed join partition (which AQE splits) after it.
+one small row before the shuffle; a run that one text holds many times is one row of that text throughout.
 
 Cases: a null, empty or short text has no run and no repeats; rows of equal doc_id and text repeat each other and
 are cut alike (as one document: none is later than the other); a null doc_id sorts last; texts are taken whole; an empty table gives no rows; other columns pass ``without_repeats`` as they are.
@@ -17,7 +17,6 @@ are cut alike (as one document: none is later than the other); a null doc_id sor
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,13 +25,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import named, python_map, spare
+from tidemark.llm.frames import named, prefix, python_map, schema_with
 from tidemark.llm.words import SPACED, chunks
 
 #: Bytes: the gear hash's window, limits of a chunk, the mean distance of hash places, what a compared run reaches at least.
 WINDOW, MIN_CHUNK, MAX_CHUNK, SPACING_BITS, MIN_RUN = 16, 16, 96, 4, 96
 #: A repeated span of so many words is a repeated passage.
 PASSAGE_WORDS = 25
+_COUNTS = ["n_repeated_runs", "repeated_words", "longest_repeat", "later_words"]
 
 
 def gear(data: np.ndarray) -> np.ndarray:
@@ -64,8 +64,9 @@ def boundaries(marks: list[int], begin: int, end: int) -> list[int]:
     return cuts
 
 
-def _row_key(doc_id, raw: bytes) -> bytes:
-    return hashlib.blake2b(raw, digest_size=16, key=str(doc_id).encode()[:64]).digest()
+def _tag(raw: bytes) -> int:
+    """Tells rows of one doc_id and different texts apart."""
+    return int(np.uint32(xxhash.xxh32_intdigest(raw)).astype(np.int32))
 
 
 def chunk_runs(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, list[int], np.ndarray, np.ndarray]]:
@@ -84,77 +85,87 @@ def chunk_runs(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, lis
 
 
 def _runs(doc_id: str, text: str):
+    """Texts -> (own_id, tag, high, low, n, b0, places): a row for each different run of a text; places are n times four 32-bit integers."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(batch.schema.get_field_index(doc_id))
-            for row0, row1, data, offsets in chunks(batch.column(batch.schema.get_field_index(text))):
+            for row0, _, data, offsets in chunks(batch.column(batch.schema.get_field_index(text))):
                 raw = data.tobytes()
                 in_word = SPACED.is_word[data]
                 opens = in_word.copy()
                 opens[1:] &= ~in_word[:-1]
                 words = np.concatenate([[0], np.cumsum(opens)])  # words that begin before a place
-                key, own, high, low, place = [], [], [], [], []
+                tags, own, digests, counts, first, places = [], [], [], [], [], []
                 for row, _, starts, ends in chunk_runs(data, offsets):
                     if not len(starts):
                         continue
-                    begin = int(offsets[row])
-                    end = int(offsets[row + 1])
-                    digests = b"".join([xxhash.xxh3_128_digest(raw[begin + a:begin + b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
-                    both = np.frombuffer(digests, np.int64).reshape(-1, 2)
-                    doc = ids[row0 + row].as_py()
-                    key += [_row_key(doc, raw[begin:end])] * len(starts)
-                    own += [doc] * len(starts)
-                    high.append(both[:, 0])
-                    low.append(both[:, 1])
+                    begin, end = int(offsets[row]), int(offsets[row + 1])
+                    found: dict[bytes, list[bytes]] = {}
                     # words that begin inside; one that was begun before counts where it was begun
-                    place.append(np.stack([starts, ends, words[begin + starts] - words[begin], words[begin + ends] - words[begin]]))
-                if key:
-                    places = np.concatenate(place, axis=1).astype(np.int32)
+                    at = np.stack([starts, ends, words[begin + starts] - words[begin], words[begin + ends] - words[begin]], axis=1).astype(np.int32).tobytes()
+                    for k, (a, b) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
+                        found.setdefault(xxhash.xxh3_128_digest(raw[begin + a:begin + b]), []).append(at[16 * k:16 * k + 16])
+                    digests += found
+                    counts += map(len, found.values())
+                    packed = [b"".join(v) for v in found.values()]
+                    first += [int.from_bytes(p[:4], "little") for p in packed]
+                    places += packed
+                    tags += [_tag(raw[begin:end])] * len(found)
+                    own += [ids[row0 + row].as_py()] * len(found)
+                if tags:
+                    both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(key, pa.binary()), pa.array(own, ids.type), pa.array(np.concatenate(high)), pa.array(np.concatenate(low)), *map(pa.array, places)],
-                        names=["row_key", "own_id", "high", "low", "b0", "b1", "w0", "w1"])
+                        [pa.array(own, ids.type), pa.array(tags, pa.int32()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(counts, pa.int32()),
+                         pa.array(first, pa.int32()), pa.array(places, pa.binary())],
+                        names=["own_id", "tag", "high", "low", "n", "b0", "places"])
     return run
 
 
-def _keys(doc_id: str, text: str, into: str):
+def _tagged(text: str, into: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(batch.schema.get_field_index(doc_id))
             for row0, row1, data, offsets in chunks(batch.column(batch.schema.get_field_index(text))):
                 raw = data.tobytes()
-                keys = [_row_key(ids[row0 + k].as_py(), raw[offsets[k]:offsets[k + 1]]) for k in range(row1 - row0)]
+                tags = [_tag(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 part = batch.slice(row0, row1 - row0)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(keys, pa.binary())], names=[*part.schema.names, into])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(tags, pa.int32())], names=[*part.schema.names, into])
     return run
 
 
-def repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row_key, n_repeated, spans): for each text with a repeated run, the runs as array<struct<b0,b1,w0,w1,later>>, sorted.
+def _found(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(own_id, tag, runs): for each text with a repeated run, these runs; home says whether their first occurrence is in this text, at b0."""
+    own = docs.select(named(doc_id).alias("doc_id"), named(text).alias("text"))
+    ids = own.schema["doc_id"].dataType.simpleString()
+    runs = python_map(own, _runs("doc_id", "text"), f"own_id {ids}, tag int, high bigint, low bigint, n int, b0 int, places binary")
+    first = F.struct(F.col("own_id").isNull().alias("null"), "own_id", "b0")
+    counted = runs.groupBy("high", "low").agg(F.sum("n").alias("total"), F.min(first).alias("first"))
+    again = runs.drop("n", "b0").join(counted.filter("total > 1"), ["high", "low"])
+    home = F.when(F.col("own_id").eqNullSafe(F.col("first.own_id")), F.col("first.b0")).otherwise(F.lit(-1))
+    # equal rows give equal runs: a set
+    return again.groupBy("own_id", "tag").agg(F.collect_set(F.struct("places", home.alias("home"))).alias("runs"))
 
-    b0, b1: bytes; w0, w1: words; later: an equal run comes before this one."""
-    ids = docs.schema[doc_id].dataType.simpleString()
-    runs = python_map(docs.select(named(doc_id).alias("doc_id"), named(text).alias("text")), _runs("doc_id", "text"),
-                      f"row_key binary, own_id {ids}, high bigint, low bigint, b0 int, b1 int, w0 int, w1 int")
-    counted = runs.groupBy("high", "low").agg(F.count("*").alias("n"), F.min(F.struct(F.col("own_id").isNull().alias("n"), "own_id", "b0")).alias("first"))
-    again = runs.join(counted.filter("n > 1").drop("n"), ["high", "low"])
-    later = ~(F.col("own_id").eqNullSafe(F.col("first.own_id")) & (F.col("b0") == F.col("first.b0")))
-    return again.groupBy("row_key").agg(F.sort_array(F.collect_set(F.struct("b0", "b1", "w0", "w1", later.alias("later")))).alias("spans"))
+
+def _places(runs) -> tuple[np.ndarray, np.ndarray]:
+    """All places of a text's repeated runs as rows (b0, b1, w0, w1), sorted, and whether each is a later occurrence."""
+    at = [np.frombuffer(r["places"], np.int32).reshape(-1, 4) for r in runs]
+    later = np.concatenate([a[:, 0] != r["home"] for a, r in zip(at, runs, strict=True)])
+    every = np.concatenate(at)
+    order = np.lexsort((every[:, 1], every[:, 0]))
+    return every[order], later[order]
 
 
 def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of each text -> words in the union of all and of the later ones, longest span of the union in words."""
     for batch in batches:
-        spans = batch.column(1)
-        flat = spans.flatten()
-        w0, w1, later = (flat.field(k).to_numpy(zero_copy_only=False) for k in (2, 3, 4))
-        ends = spans.offsets.to_numpy() - spans.offsets[0].as_py()
         out = []
-        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-            total, longest = _length(w0[a:b], w1[a:b])
-            cut, _ = _length(w0[a:b][later[a:b]], w1[a:b][later[a:b]])
-            out.append((b - a, total, longest, cut))
-        yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([r[k] for r in out], pa.int64()) for k in range(4))],
-                                         names=["row_key", "n_repeated_runs", "repeated_words", "longest_repeat", "later_words"])
+        for runs in batch.column(2).to_pylist():
+            at, later = _places(runs)
+            total, longest = _length(at[:, 2], at[:, 3])
+            cut, _ = _length(at[later][:, 2], at[later][:, 3])
+            out.append((len(at), total, longest, cut))
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array([r[k] for r in out], pa.int64()) for k in range(4))],
+                                         names=["own_id", "tag", *_COUNTS])
 
 
 def _length(lo: np.ndarray, hi: np.ndarray) -> tuple[int, int]:
@@ -167,46 +178,49 @@ def _length(lo: np.ndarray, hi: np.ndarray) -> tuple[int, int]:
     return int(size.sum()), int(size.max())
 
 
+def _with_tag(docs: DataFrame, text: str, into: str) -> DataFrame:
+    return python_map(docs, _tagged(text, into), schema_with(docs, into, "int"))
+
+
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: (doc_id, n_repeated_runs, repeated_words, longest_repeat, later_words, has_passage)."""
     own = docs.select(named(doc_id).alias("doc_id"), named(text).alias("text"))
     ids = own.schema["doc_id"].dataType.simpleString()
-    found = python_map(repeats(own), _summed, "row_key binary, n_repeated_runs bigint, repeated_words bigint, longest_repeat bigint, later_words bigint")
-    keyed = python_map(own, _keys("doc_id", "text", "row_key"), f"doc_id {ids}, text string, row_key binary").drop("text")
-    counts = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("n_repeated_runs", "repeated_words", "longest_repeat", "later_words")]
-    return keyed.join(found, "row_key", "left").select(
-        F.col("doc_id").alias(doc_id), *counts, (F.coalesce("longest_repeat", F.lit(0)) >= PASSAGE_WORDS).alias("has_passage"))
+    found = python_map(_found(own, "doc_id", "text"), _summed, f"own_id {ids}, tag int, " + ", ".join(f"{c} bigint" for c in _COUNTS))
+    keyed = _with_tag(own, "text", "row_tag").drop("text")
+    joined = keyed.join(found, (F.col("row_tag") == F.col("tag")) & F.col("doc_id").eqNullSafe(F.col("own_id")), "left")
+    counts = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in _COUNTS]
+    return joined.select(F.col("doc_id").alias(doc_id), *counts, (F.coalesce("longest_repeat", F.lit(0)) >= PASSAGE_WORDS).alias("has_passage"))
 
 
-def _cut(text: str, spans: str):
+def _cut(text: str, runs: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text)
             out = []
-            for t, found in zip(batch.column(at).to_pylist(), batch.column(batch.schema.get_field_index(spans)).to_pylist(), strict=True):
+            for t, found in zip(batch.column(at).to_pylist(), batch.column(batch.schema.get_field_index(runs)).to_pylist(), strict=True):
                 if t is not None and found:
                     raw, kept, last = t.encode(), [], 0
-                    for s in found:
-                        if s["later"]:
-                            kept.append(raw[last:max(last, s["b0"])])
-                            last = max(last, s["b1"])
+                    places, later = _places(found)
+                    for b0, b1 in places[later][:, :2].tolist():
+                        kept.append(raw[last:max(last, b0)])
+                        last = max(last, b1)
                     # a cut inside a character takes the rest of it along
                     t = b"".join([*kept, raw[last:]]).decode(errors="ignore")
                 out.append(t)
             columns = [pa.array(out, pa.string()) if k == at else batch.column(k) for k in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).drop_columns([spans])
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).drop_columns([runs])
     return run
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with later occurrences of repeated runs cut out of the texts; the first occurrence stays."""
-    from pyspark.sql.types import StructType
-
-    key, spans = spare(docs, "_row_key"), spare(docs, "_spans")
-    with_key = StructType.fromDDL(f"`{key}` binary")
-    keyed = python_map(docs, _keys(doc_id, text, key), StructType([*docs.schema.fields, *with_key.fields]))
-    found = repeats(docs, doc_id, text).select(F.col("row_key").alias(key), F.col("spans").alias(spans))
-    return python_map(keyed.join(found, key, "left").select(*map(named, docs.columns), named(spans)), _cut(text, spans), docs.schema)
+    start = prefix(docs, "_found")
+    tag, runs, own = f"{start}_row", f"{start}_runs", f"{start}_id"
+    found = _found(docs, doc_id, text).select(F.col("own_id").alias(own), F.col("tag").alias(f"{start}_tag"), F.col("runs").alias(runs))
+    keyed = _with_tag(docs, text, tag)
+    joined = keyed.join(found, (F.col(tag) == F.col(f"{start}_tag")) & named(doc_id).eqNullSafe(F.col(own)), "left")
+    return python_map(joined.select(*map(named, docs.columns), F.col(runs)), _cut(text, runs), docs.schema)
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
