@@ -99,7 +99,10 @@ def _digest_list(first: np.ndarray, raw: bytes) -> list[bytes | None]:
 
 
 def _sets(text: str, with_labels: int, with_set: bool):
+    """Texts -> digest and size of each row's shingle set; with the labels of each row, or with the sets themselves (once a task)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[bytes] = set()
         for batch in batches:
             column = batch.schema.get_field_index(text)
             for row, end, data, offsets in chunks(batch.column(column)):
@@ -117,7 +120,11 @@ def _sets(text: str, with_labels: int, with_set: bool):
                 if with_set:
                     more["shingles"] = pa.array([raw[8 * a:8 * b] for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True)], pa.binary())
                 keep = [k for k in range(part.num_columns) if k != column]
-                yield pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), *more.values()], names=[*(part.schema.names[k] for k in keep), *more])
+                out = pa.RecordBatch.from_arrays([*(part.column(k) for k in keep), *more.values()], names=[*(part.schema.names[k] for k in keep), *more])
+                if with_set:  # a task sends a set that many texts share once
+                    new = [d is not None and d not in sent and not sent.add(d) for d in digests]
+                    out = out.filter(pa.array(new, pa.bool_()))
+                yield out
     return run
 
 
