@@ -68,8 +68,8 @@ FAMILIES = [NONE, UNKNOWN, *TEMPLATES]
 
 
 def words(text: Column) -> Column:
-    """Lower-case words of letters, digits and inner dots."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}]+(?:\.[\p{L}\p{N}]+)*)"), 1)
+    """Lower-case words ``[a-z0-9]+``; other letters separate them (licence notices are in ASCII)."""
+    return F.split(F.lower(text), "[^a-z0-9]+")
 
 
 def grams(w: Column) -> Column:
@@ -79,8 +79,9 @@ def grams(w: Column) -> Column:
 
 
 def featured(paragraphs: DataFrame, text: str) -> DataFrame:
-    tokens = grams(words(F.col(text)))
-    return HashingTF(numFeatures=FEATURES, inputCol="grams", outputCol="features").transform(paragraphs.withColumn("grams", tokens)).drop("grams")
+    # words in a column of their own: each use below would else split the text again
+    tokens = paragraphs.withColumn("w", words(F.col(text))).withColumn("grams", grams(F.col("w")))
+    return HashingTF(numFeatures=FEATURES, inputCol="grams", outputCol="features").transform(tokens).drop("grams", "w")
 
 
 def paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -122,7 +123,12 @@ def fit(examples: DataFrame) -> tuple[LogisticRegressionModel, float]:
 
 
 def _judged(model: LogisticRegressionModel, rows: DataFrame) -> DataFrame:
-    scored = model.transform(rows).withColumn("ps", vector_to_array("probability"))
+    """``rows`` with p and guess, the largest probability and its family.
+
+    The probabilities go through an ``explode`` of one: a filter on them then stays above, where it would else be
+    pushed below the features and have them computed twice."""
+    scorer = model.copy().setRawPredictionCol("").setPredictionCol("")
+    scored = scorer.transform(rows).withColumn("ps", F.explode(F.array(vector_to_array("probability")))).drop("features", "probability")
     return scored.withColumn("p", F.array_max("ps")).withColumn("guess", (F.array_position("ps", F.col("p")) - 1).cast("int"))
 
 
