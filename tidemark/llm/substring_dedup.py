@@ -30,6 +30,8 @@ from tidemark.llm.words import SPACED, chunks
 
 #: Bytes: the gear hash's window, limits of a chunk, the mean distance of hash places, what a compared run reaches at least.
 WINDOW, MIN_CHUNK, MAX_CHUNK, SPACING_BITS, MIN_RUN = 16, 16, 96, 4, 96
+#: Of 1e13 different runs, two share a digest of 96 bits with a probability below one in a thousand.
+DIGEST_BYTES = 12
 #: A repeated span of so many words is a repeated passage.
 PASSAGE_WORDS = 25
 _COUNTS = ["n_repeated_runs", "repeated_words", "longest_repeat", "later_words"]
@@ -105,7 +107,7 @@ def _runs(doc_id: str, text: str):
                     # words that begin inside; one that was begun before counts where it was begun
                     at = np.stack([starts, ends, words[begin + starts] - words[begin], words[begin + ends] - words[begin]], axis=1).astype(np.int32).tobytes()
                     for k, (a, b) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
-                        found.setdefault(xxhash.xxh3_128_digest(raw[begin + a:begin + b]), []).append(at[16 * k:16 * k + 16])
+                        found.setdefault(xxhash.xxh3_128_digest(raw[begin + a:begin + b])[:DIGEST_BYTES], []).append(at[16 * k:16 * k + 16])
                     digests += found
                     counts += map(len, found.values())
                     packed = [b"".join(v) for v in found.values()]
@@ -114,9 +116,9 @@ def _runs(doc_id: str, text: str):
                     tags += [_tag(raw[begin:end])] * len(found)
                     own += [ids[row0 + row].as_py()] * len(found)
                 if tags:
-                    both = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+                    both = np.frombuffer(b"".join(digests), np.int32).reshape(-1, 3)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(own, ids.type), pa.array(tags, pa.int32()), pa.array(both[:, 0]), pa.array(both[:, 1]), pa.array(counts, pa.int32()),
+                        [pa.array(own, ids.type), pa.array(tags, pa.int32()), pa.array(np.ascontiguousarray(both[:, :2]).view(np.int64).ravel()), pa.array(both[:, 2]), pa.array(counts, pa.int32()),
                          pa.array(first, pa.int32()), pa.array(places, pa.binary())],
                         names=["own_id", "tag", "high", "low", "n", "b0", "places"])
     return run
@@ -137,7 +139,7 @@ def _found(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(own_id, tag, runs): for each text with a repeated run, these runs; home says whether their first occurrence is in this text, at b0."""
     own = docs.select(named(doc_id).alias("doc_id"), named(text).alias("text"))
     ids = own.schema["doc_id"].dataType.simpleString()
-    runs = python_map(own, _runs("doc_id", "text"), f"own_id {ids}, tag int, high bigint, low bigint, n int, b0 int, places binary")
+    runs = python_map(own, _runs("doc_id", "text"), f"own_id {ids}, tag int, high bigint, low int, n int, b0 int, places binary")
     first = F.struct(F.col("own_id").isNull().alias("null"), "own_id", "b0")
     counted = runs.groupBy("high", "low").agg(F.sum("n").alias("total"), F.min(first).alias("first"))
     again = runs.drop("n", "b0").join(counted.filter("total > 1"), ["high", "low"])
