@@ -77,6 +77,20 @@ def test_quality_rules(docs, empty):
     assert quality_rules.quality_filter(empty).count() == 0
 
 
+def test_repetition_limits_reject_what_the_base_rules_keep(spark):
+    pasted = " ".join([sentence("q1", 60), sentence("p", 45), sentence("q2", 60), sentence("p", 45), sentence("q3", 60)])
+    periodic = " ".join([sentence("q4", 40), *["again"] * 29, sentence("q5", 40)])  # a repeat that overlaps itself: 28 of 109 words long, 29 covered
+    little = " ".join([sentence("q6", 70), sentence("p", 25), sentence("q7", 70), sentence("p", 25)])
+    texts = spark.createDataFrame([(1, pasted), (2, periodic), (3, little)], "doc_id int, text string")
+    measured = quality_rules.repetition(texts)
+    got = {r.doc_id: r for r in measured.select("doc_id", "repetition", *(c.alias(n) for c, n in zip(quality_rules.verdict(measured["repetition"]), ("base", "kept"), strict=True))).collect()}
+    assert not any(r.base for r in got.values()) and [got[k].kept for k in (1, 2, 3)] == [False, False, True]
+    share = {k: (r.repetition.covered_words / r.repetition.n_words, r.repetition.longest_repeat / r.repetition.n_words) for k, r in got.items()}
+    assert share[1][0] > quality_rules.MAX_COVERED and share[1][1] <= quality_rules.MAX_LONGEST  # by the covered part alone
+    assert share[2][0] <= quality_rules.MAX_COVERED and share[2][1] > quality_rules.MAX_LONGEST  # by the longest repeat alone
+    assert [r.doc_id for r in quality_rules.quality_filter(texts).collect()] == [3]
+
+
 def test_ngram_join(docs, empty):
     data = rows()
     sets = [sets_of(r[1]) for r in data]

@@ -27,7 +27,8 @@ from tidemark.llm.words import SPACED, Words, chain, chunks, covered, mix, per_r
 #: Base rules of the contract.
 MIN_TEXT_WORDS, MAX_REPEAT_PERCENT, SYMBOLS = 50, 50, "#*$%&|<>"
 #: A repeat counts from so many words on; limits on what repeats cover and on the longest one, both as shares of the text's words.
-MIN_REPEAT_WORDS, MAX_COVERED, MAX_LONGEST = 8, 0.5, 0.4
+#: Covered words lie in 3-word windows found twice as well, so limits at or above the base rule's would reject nothing more.
+MIN_REPEAT_WORDS, MAX_COVERED, MAX_LONGEST = 8, 0.3, 0.2
 
 _COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_words", "longest_repeat"]
 _TYPE = "struct<" + ",".join(f"{c}:bigint" for c in _COLUMNS) + ",spans:array<struct<first:int,words:int>>>"
