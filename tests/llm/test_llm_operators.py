@@ -361,6 +361,18 @@ def test_license_scan(spark, corpus, docs, empty):
     license_scan.fit(license_scan.labelled(empty))
 
 
+def test_license_scan_without_licence_words(spark, corpus):
+    lines = ["All rights reserved.", "GPLv3 or later", "CC0 1.0", "Some rights are reserved by the authors.", "All rights reserved by the publisher",  # the last two are wordings that the fit never saw
+             "He reserved two rooms.", "mit", "one", sentence("y", 20)]
+    data = spark.createDataFrame(list(enumerate(lines)), "doc_id int, text string")
+    drawn = license_scan.labelled(corpus)
+    assert not drawn.filter("label = 0 AND body ILIKE '%rights reserved%'").count()
+    model, least = license_scan.fit(drawn)
+    assert {r.doc_id: r.licence for r in license_scan.scan(data, model, least).collect()} == dict.fromkeys(range(5), "unknown")
+    said = corpus.filter("text LIKE '%All rights reserved.%'").count()
+    assert said and license_scan.scan(corpus, model, least).filter("body = 'All rights reserved.'").count() >= said
+
+
 def test_secret_scan(spark, corpus, docs, empty):
     drawn = secret_scan.sample(corpus)
     words_ = secret_scan.dictionary_of(drawn)

@@ -1,24 +1,27 @@
 """License scans with a trained paragraph classifier (operator 9).
 
-A paragraph is a line of a text.  Its features are hashed word 1- and 2-grams (``FEATURES`` sparse counts); a multinomial logistic
+A paragraph is a line of a text.  Its features are hashed word 1- and 2-grams (``FEATURES`` places, set or not: a word said many times tells no more); a multinomial logistic
 regression gives the probability of each licence family and of no licence.  It is trained on labelled paragraphs: cuts of
-the families' templates, phrases that name other licences, and lines of the corpus without licence words (at most
-``TRAIN_LINES``, drawn by hash).
+the families' templates, phrases that name other licences or none by name, plain sentences, and lines of the corpus without licence words
+(at most ``TRAIN_LINES``, drawn by hash).
 
 Unknown class, calibrated on labelled paragraphs that the fit did not see: a family is accepted from the lowest probability on
 that keeps ``RECALL`` of the held-out family paragraphs and lies above those of all held-out other paragraphs if it can.  Then the template
-comparison: the paragraph must hold ``OVERLAP`` of the words of a template of that family.  A paragraph that
-speaks of a licence but fails either test is ``unknown``; one that the model takes for no licence is no finding.
+comparison: the paragraph must hold ``OVERLAP`` of the words of a template of that family.  A paragraph is a
+finding if the probability of all licences together reaches a limit calibrated in the same way, on all held-out notices and the held-out lines
+without one; if it fails either test of its family it is ``unknown``.  No word list takes part in that.
 
-All of it is DataFrame functions and spark.ml (JVM) stages; what the driver gets is the model and one threshold.
+All of it is DataFrame functions and spark.ml (JVM) stages; what the driver gets is the model and two thresholds.
 
 Cases: a null or empty text has no paragraphs; empty lines are none; equal rows are found alike; a null doc_id is reported as
-null; a long line is one paragraph, read whole; an empty table gives no rows (the model is then fitted on templates alone);
+null; a long line is one paragraph, read whole; an empty table gives no rows (the model is then fitted on the fixed texts alone);
 other columns are not read.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -61,10 +64,29 @@ TEMPLATES = {
 OTHERS = [
     "Licensed under the Example Community License.", "Released under a proprietary license.", "All rights reserved, see the license agreement.",
     "Licensed under the terms of the Mozilla Public License.", "Use of this text is subject to a separate license.", "Copyright by the authors, license on request.",
+    "All rights reserved.", "Some rights reserved.", "No rights reserved.", "Copyright 2019 by the authors. All rights reserved.", "Copyright (c) the contributors.", "Copyright 2021",
+    "GPL version 2 or later", "GPLv2 or later", "GPLv2", "GPLv3", "LGPLv3 or any later version", "AGPLv3", "LGPL 2.1", "AGPL 3.0 or later", "MPL 2.0", "EPL 2.0", "CC0 1.0", "CC0", "CC0 1.0 Universal", "CC BY-SA 4.0", "CC BY-ND 4.0", "CC BY-SA 3.0",
+    "Public domain.", "This work is in the public domain.", "Dedicated to the public domain under CC0 1.0 Universal.", "SPDX-License-Identifier: ISC", "Redistribution is prohibited without written permission.",
+    "Reproduction without prior written permission is forbidden.", "May not be reproduced or distributed without the consent of the publisher.", "Free for personal and non-commercial use only.",
+]
+#: Sentences that are no notices, some with words of one; they stand beside the lines of the corpus.
+PLAIN = [
+    "He reserved a table for two.", "All seats in the hall were taken.", "They later spoke about human rights.", "The right answer comes later.", "She asked for more time and a free copy of the book.",
+    "Version 2 of the program runs on a public server.", "Free coffee for all visitors", "Chapter 1.0", "2.0", "4.0 or 3.0", "2021", "one or two", "sooner or later", "all", "or", "by", "the work of others",
+    "This program was written by the authors of the book.", "The general public came to the international meeting.", "Use the following conditions as a source.", "the", "in the", "under the", "of this", "x",
 ]
-#: Words of a licence notice; lines with one aren't drawn as lines without licence.
-_LICENCE_WORDS = r"(?i)licen[sc]|copyright|permission|redistribut|public domain"
+#: Words of a licence notice; lines with one aren't drawn as lines without licence (nothing else is asked of them).
+_LICENCE_WORDS = r"(?i)licen[sc]|copyright|\xa9|permission|redistribut|public domain|rights\s+reserved|reproduc|creative commons|\b[al]?gpl|\bcc[ -]?(0|by|zero)\b|\bspdx|\b[me]pl\b"
 FAMILIES = [NONE, UNKNOWN, *TEMPLATES]
+#: The examples without licence weigh so many times as much as the notices, all together.
+NONE_WEIGHT = 4.0
+
+
+class Limits(NamedTuple):
+    """The least probability with which a family is accepted, and that of all licences together with which a paragraph is a finding."""
+
+    family: float
+    licence: float
 
 
 def words(text: Column) -> Column:
@@ -81,7 +103,7 @@ def grams(w: Column) -> Column:
 def featured(paragraphs: DataFrame, text: str) -> DataFrame:
     # words in a column of their own: each use below would else split the text again
     tokens = paragraphs.withColumn("w", words(F.col(text))).withColumn("grams", grams(F.col("w")))
-    return HashingTF(numFeatures=FEATURES, inputCol="grams", outputCol="features").transform(tokens).drop("grams", "w")
+    return HashingTF(numFeatures=FEATURES, binary=True, inputCol="grams", outputCol="features").transform(tokens).drop("grams", "w")
 
 
 def paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -98,38 +120,49 @@ def labelled(docs: DataFrame, text: str = "text") -> DataFrame:
     whole = spark.range(1).select(F.inline(rows)).withColumn("w", F.split("notice", " "))
     n = F.size("w")
     cuts = whole.withColumn("from", F.explode(F.sequence(F.lit(0), F.ceil(n * 0.25).cast("int")))).withColumn("to", F.explode(F.sequence(F.ceil(n * 0.75).cast("int"), n)))
-    cuts = cuts.filter(F.col("to") - F.col("from") >= F.greatest(F.lit(3), F.ceil(n * 0.7)))
+    cuts = cuts.filter(F.col("to") - F.col("from") >= F.least(n, F.greatest(F.lit(3), F.ceil(n * 0.7))))
     cuts = cuts.withColumn("body", F.concat_ws(" ", F.expr("slice(w, `from` + 1, `to` - `from`)")))
     share = F.lit(TRAIN_LINES) / F.greatest(F.lit(docs.count()), F.lit(1))
     # one line of a document drawn by hash: about TRAIN_LINES documents, then one line each
     drawn = docs.select(named(text).alias("t")).filter((F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < share * 1_000_000))
     lines = drawn.select(F.filter(F.split("t", "\n"), lambda x: (F.trim(x) != "") & ~x.rlike(_LICENCE_WORDS)).alias("lines")).filter(F.size("lines") > 0)
     plain = lines.select(F.element_at("lines", (F.pmod(F.xxhash64("lines"), F.size("lines")) + 1).cast("int")).alias("body"), F.lit(float(FAMILIES.index(NONE))).alias("label"))
-    # a notice that follows other words on its line is still a notice
-    both = cuts.select("body", "label").unionByName(plain)
-    return both.distinct().withColumn("held_out", F.pmod(F.xxhash64("body", F.lit(5)), F.lit(4)) == 0)
+    fixed = spark.range(1).select(F.explode(F.array(*map(F.lit, PLAIN))).alias("body"), F.lit(float(FAMILIES.index(NONE))).alias("label"))
+    both = cuts.select("body", "label").unionByName(plain).unionByName(fixed).distinct()
+    # a short notice has no cuts besides itself: whole ones are always fitted
+    always = F.col("body").isin([*OTHERS, *PLAIN])
+    return both.withColumn("held_out", ~always & (F.pmod(F.xxhash64("body", F.lit(5)), F.lit(4)) == 0))
 
 
-def fit(examples: DataFrame) -> tuple[LogisticRegressionModel, float]:
-    """The model, and the least probability with which a family is accepted."""
+def fit(examples: DataFrame) -> tuple[LogisticRegressionModel, Limits]:
+    """The model, and its limits."""
     rows = featured(examples.repartition(1).sortWithinPartitions("label", "body"), "body")  # bounded; one order, so reruns agree
-    weight = F.when(F.col("label") == FAMILIES.index(NONE), F.lit(0.25)).otherwise(F.lit(1.0))
+    is_none = F.col("label") == FAMILIES.index(NONE)
+    notices, plain = examples.filter("NOT held_out").agg(F.count_if(~is_none), F.count_if(is_none)).first()
+    weight = F.when(is_none, F.lit(NONE_WEIGHT * notices / max(plain, 1))).otherwise(F.lit(1.0))
     learner = LogisticRegression(maxIter=60, regParam=1e-3, elasticNetParam=0.0, weightCol="weight", family="multinomial", standardization=False)
     model = learner.fit(rows.filter("NOT held_out").withColumn("weight", weight))
     tested = _judged(model, rows.filter("held_out"))
     wrong = (F.col("guess") > 1) & (F.col("guess") != F.col("label"))
-    low, high = tested.agg(F.expr(f"percentile(CASE WHEN guess = label AND label > 1 THEN p END, {1 - RECALL})"), F.max(F.when(wrong, F.col("p")))).first()
-    return model, min(low if low is not None else 0.5, max(0.5, high or 0.0))
+    low, high, notice, line = tested.agg(
+        F.expr(f"percentile(CASE WHEN guess = label AND label > 1 THEN p END, {1 - RECALL})"), F.max(F.when(wrong, F.col("p"))),
+        F.expr(f"percentile(CASE WHEN label > 0 THEN any END, {1 - RECALL})"), F.max(F.when(F.col("label") == 0, F.col("any")))).first()
+    return model, Limits(_limit(low, high), _limit(notice, line))
+
+
+def _limit(low: float | None, high: float | None) -> float:
+    """Above ``high``, the largest probability of a wrong one, unless that loses more than ``low``, the quantile of the right ones, allows."""
+    return min(low if low is not None else 0.5, max(0.5, high or 0.0))
 
 
 def _judged(model: LogisticRegressionModel, rows: DataFrame) -> DataFrame:
-    """``rows`` with p and guess, the largest probability and its family.
+    """``rows`` with p and guess, the largest probability and its family, and any, the probability of all but no licence.
 
     The probabilities go through an ``explode`` of one: a filter on them then stays above, where it would else be
     pushed below the features and have them computed twice."""
     scorer = model.copy().setRawPredictionCol("").setPredictionCol("")
     scored = scorer.transform(rows).withColumn("ps", F.explode(F.array(vector_to_array("probability")))).drop("features", "probability")
-    return scored.withColumn("p", F.array_max("ps")).withColumn("guess", (F.array_position("ps", F.col("p")) - 1).cast("int"))
+    return scored.withColumn("p", F.array_max("ps")).withColumn("any", 1 - F.col("ps")[0]).withColumn("guess", (F.array_position("ps", F.col("p")) - 1).cast("int"))
 
 
 def overlap(body: Column, family: Column) -> Column:
@@ -145,15 +178,15 @@ def overlap(body: Column, family: Column) -> Column:
     return out
 
 
-def scan(docs: DataFrame, model: LogisticRegressionModel, least: float, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, model: LogisticRegressionModel, least: Limits, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, paragraph, body, licence, probability, overlap): the paragraphs that are licence notices."""
-    judged = _judged(model, featured(paragraphs(docs, doc_id, text), "body")).filter(F.col("guess") > 0)
+    judged = _judged(model, featured(paragraphs(docs, doc_id, text), "body")).filter(F.col("any") >= least.licence)
     family = F.element_at(F.array(*map(F.lit, FAMILIES)), F.col("guess") + 1)
     judged = judged.withColumn("family", family).withColumn("overlap", overlap(F.col("body"), F.col("family")))
-    sure = (F.col("guess") > 1) & (F.col("p") >= least) & (F.col("overlap") >= OVERLAP)
-    # not confirmed: a licence, but none that is known, if the line speaks of one
-    judged = judged.withColumn("licence", F.when(sure, F.col("family")).when(F.col("body").rlike(_LICENCE_WORDS), F.lit(UNKNOWN)))
-    return judged.filter("licence IS NOT NULL").select(F.col("doc_id").alias(doc_id), "paragraph", "body", "licence", F.col("p").alias("probability"), "overlap")
+    sure = (F.col("guess") > 1) & (F.col("p") >= least.family) & (F.col("overlap") >= OVERLAP)
+    # not confirmed: a licence, but none that is known
+    licence, probability = F.when(sure, F.col("family")).otherwise(F.lit(UNKNOWN)), F.when(sure, F.col("p")).otherwise(F.col("any"))
+    return judged.select(F.col("doc_id").alias(doc_id), "paragraph", "body", licence.alias("licence"), probability.alias("probability"), "overlap")
 
 
 def op9_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
