@@ -319,6 +319,24 @@ def test_substring_dedup(docs, empty):
     assert substring_dedup.repeated_passages(empty).count() == 0 and substring_dedup.without_repeats(empty).columns == empty.columns
 
 
+def test_substring_dedup_without_ids(spark):
+    head = sentence("header", 60)
+    texts = [head + " " + sentence(f"tail{k}", 60) for k in range(3)]
+    data = spark.createDataFrame([(None, t, k) for k, t in enumerate([*texts, BASE, BASE, BASE])] + [(7, sentence("own", 60), 6), (8, texts[0][:300], 7), (8, texts[0][:300] + PASSAGE, 8)], "doc_id bigint, text string, row int").coalesce(2)
+    some = data.filter("row < 7")
+    cut = {r.row: r.text for r in substring_dedup.without_repeats(some).collect()}
+    original = {r.row: r.text for r in some.collect()}
+    # the shared header stays in one of three texts, of three equal texts one stays whole
+    assert sum(cut[k] == original[k] for k in (0, 1, 2)) == 1 and sum(cut[k] == BASE for k in (3, 4, 5)) == 1 and cut[6] == original[6]
+    assert all(len(cut[k]) < 120 for k in (3, 4, 5) if cut[k] != BASE)
+    later = sorted(r.later_words for r in substring_dedup.repeated_passages(some.filter("row > 2")).collect())
+    assert later[:2] == [0, 0] and later[2] == later[3] > 60
+    # two texts of one id are told apart as well
+    same = {r.row: r.text for r in substring_dedup.without_repeats(data.filter("row > 6")).collect()}
+    assert sum(same[k] == r for k, r in ((7, texts[0][:300]), (8, texts[0][:300] + PASSAGE))) == 1
+    assert substring_dedup._tag(b"a") != substring_dedup._tag(b"b") and max(abs(substring_dedup._tag(b"%d" % k)) for k in range(20)) > 1 << 40
+
+
 def test_chunks_resist_insertions():
     import numpy as np
 

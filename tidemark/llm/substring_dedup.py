@@ -6,13 +6,15 @@ before them only, so an insertion moves boundaries nearby and no others.  Chunks
 are short, that a passage holds several; what is compared by digest is the run of whole
 chunks, from each chunk on, that first reaches ``MIN_RUN`` bytes.  A run that occurs again (here or in another text)
 is repeated; the union of the repeated runs of a text are its repeated spans.  Of equal
-runs the one of the smallest (doc_id, place) stays; ``without_repeats`` cuts the others.
+runs the one of the smallest (doc_id, text digest, place) stays; ``without_repeats`` cuts the others.
 
 Digests are counted by a map-side combined aggregate and joined back to the runs, so a run that many texts share is
 one small row before the shuffle; a run that one text holds many times is one row of that text throughout.
 
 Cases: a null, empty or short text has no run and no repeats; rows of equal doc_id and text repeat each other and
-are cut alike (as one document: none is later than the other); a null doc_id sorts last; texts are taken whole; an empty table gives no rows; other columns pass ``without_repeats`` as they are.
+are cut alike (as one document: none is later than the other); a null doc_id sorts last, and each row with one is a document of its own: of
+equal texts without an id one row, the least by a hash of all columns, is the first, and all runs of the others are later ones (copies of one text
+without an id are numbered in one task); texts are taken whole; an empty table gives no rows; other columns pass ``without_repeats`` as they are.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.frames import named, prefix, python_map, schema_with
@@ -67,8 +69,8 @@ def boundaries(marks: list[int], begin: int, end: int) -> list[int]:
 
 
 def _tag(raw: bytes) -> int:
-    """Tells rows of one doc_id and different texts apart."""
-    return int(np.uint32(xxhash.xxh32_intdigest(raw)).astype(np.int32))
+    """Tells rows of one doc_id (or of none) and different texts apart: of 1e7 texts, two share it with a probability of 3e-6."""
+    return int(np.uint64(xxhash.xxh3_64_intdigest(raw)).astype(np.int64))
 
 
 def chunk_runs(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, list[int], np.ndarray, np.ndarray]]:
@@ -118,7 +120,7 @@ def _runs(doc_id: str, text: str):
                 if tags:
                     both = np.frombuffer(b"".join(digests), np.int32).reshape(-1, 3)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(own, ids.type), pa.array(tags, pa.int32()), pa.array(np.ascontiguousarray(both[:, :2]).view(np.int64).ravel()), pa.array(both[:, 2]), pa.array(counts, pa.int32()),
+                        [pa.array(own, ids.type), pa.array(tags, pa.int64()), pa.array(np.ascontiguousarray(both[:, :2]).view(np.int64).ravel()), pa.array(both[:, 2]), pa.array(counts, pa.int32()),
                          pa.array(first, pa.int32()), pa.array(places, pa.binary())],
                         names=["own_id", "tag", "high", "low", "n", "b0", "places"])
     return run
@@ -131,7 +133,7 @@ def _tagged(text: str, into: str):
                 raw = data.tobytes()
                 tags = [_tag(raw[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
                 part = batch.slice(row0, row1 - row0)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(tags, pa.int32())], names=[*part.schema.names, into])
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(tags, pa.int64())], names=[*part.schema.names, into])
     return run
 
 
@@ -139,11 +141,11 @@ def _found(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(own_id, tag, runs): for each text with a repeated run, these runs; home says whether their first occurrence is in this text, at b0."""
     own = docs.select(named(doc_id).alias("doc_id"), named(text).alias("text"))
     ids = own.schema["doc_id"].dataType.simpleString()
-    runs = python_map(own, _runs("doc_id", "text"), f"own_id {ids}, tag int, high bigint, low int, n int, b0 int, places binary")
-    first = F.struct(F.col("own_id").isNull().alias("null"), "own_id", "b0")
+    runs = python_map(own, _runs("doc_id", "text"), f"own_id {ids}, tag bigint, high bigint, low int, n int, b0 int, places binary")
+    first = F.struct(F.col("own_id").isNull().alias("null"), "own_id", "tag", "b0")
     counted = runs.groupBy("high", "low").agg(F.sum("n").alias("total"), F.min(first).alias("first"))
     again = runs.drop("n", "b0").join(counted.filter("total > 1"), ["high", "low"])
-    home = F.when(F.col("own_id").eqNullSafe(F.col("first.own_id")), F.col("first.b0")).otherwise(F.lit(-1))
+    home = F.when(F.col("own_id").eqNullSafe(F.col("first.own_id")) & (F.col("tag") == F.col("first.tag")), F.col("first.b0")).otherwise(F.lit(-1))
     # equal rows give equal runs: a set
     return again.groupBy("own_id", "tag").agg(F.collect_set(F.struct("places", home.alias("home"))).alias("runs"))
 
@@ -181,48 +183,58 @@ def _length(lo: np.ndarray, hi: np.ndarray) -> tuple[int, int]:
 
 
 def _with_tag(docs: DataFrame, text: str, into: str) -> DataFrame:
-    return python_map(docs, _tagged(text, into), schema_with(docs, into, "int"))
+    return python_map(docs, _tagged(text, into), schema_with(docs, into, "bigint"))
+
+
+def _numbered(docs: DataFrame, doc_id: str, text: str, tag: str, copy: str) -> DataFrame:
+    """``docs`` with the text's tag and, of rows without an id, the number of the row among those of equal text (else 1)."""
+    known = _with_tag(docs.filter(named(doc_id).isNotNull()), text, tag).withColumn(copy, F.lit(1))
+    hashed = [named(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]  # Spark hashes no maps
+    order = Window.partitionBy(tag).orderBy(F.xxhash64(*hashed))
+    unknown = _with_tag(docs.filter(named(doc_id).isNull()), text, tag).withColumn(copy, F.row_number().over(order))
+    return known.union(unknown)
 
 
 def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per row of ``docs``: (doc_id, n_repeated_runs, repeated_words, longest_repeat, later_words, has_passage)."""
     own = docs.select(named(doc_id).alias("doc_id"), named(text).alias("text"))
     ids = own.schema["doc_id"].dataType.simpleString()
-    found = python_map(_found(own, "doc_id", "text"), _summed, f"own_id {ids}, tag int, " + ", ".join(f"{c} bigint" for c in _COUNTS))
-    keyed = _with_tag(own, "text", "row_tag").drop("text")
+    found = python_map(_found(own, "doc_id", "text"), _summed, f"own_id {ids}, tag bigint, " + ", ".join(f"{c} bigint" for c in _COUNTS))
+    keyed = _numbered(own, "doc_id", "text", "row_tag", "copy").drop("text")
     joined = keyed.join(found, (F.col("row_tag") == F.col("tag")) & F.col("doc_id").eqNullSafe(F.col("own_id")), "left")
+    joined = joined.withColumn("later_words", F.when(F.col("copy") > 1, F.col("repeated_words")).otherwise(F.col("later_words")))
     counts = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in _COUNTS]
     return joined.select(F.col("doc_id").alias(doc_id), *counts, (F.coalesce("longest_repeat", F.lit(0)) >= PASSAGE_WORDS).alias("has_passage"))
 
 
-def _cut(text: str, runs: str):
+def _cut(text: str, runs: str, copy: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text)
             out = []
-            for t, found in zip(batch.column(at).to_pylist(), batch.column(batch.schema.get_field_index(runs)).to_pylist(), strict=True):
+            for t, found, number in zip(*(batch.column(k).to_pylist() for k in (at, *map(batch.schema.get_field_index, (runs, copy)))), strict=True):
                 if t is not None and found:
                     raw, kept, last = t.encode(), [], 0
                     places, later = _places(found)
-                    for b0, b1 in places[later][:, :2].tolist():
+                    for b0, b1 in (places if number > 1 else places[later])[:, :2].tolist():
                         kept.append(raw[last:max(last, b0)])
                         last = max(last, b1)
                     # a cut inside a character takes the rest of it along
                     t = b"".join([*kept, raw[last:]]).decode(errors="ignore")
                 out.append(t)
             columns = [pa.array(out, pa.string()) if k == at else batch.column(k) for k in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).drop_columns([runs])
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names).drop_columns([runs, copy])
     return run
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with later occurrences of repeated runs cut out of the texts; the first occurrence stays."""
     start = prefix(docs, "_found")
-    tag, runs, own = f"{start}_row", f"{start}_runs", f"{start}_id"
+    tag, runs, own, copy = f"{start}_row", f"{start}_runs", f"{start}_id", f"{start}_copy"
     found = _found(docs, doc_id, text).select(F.col("own_id").alias(own), F.col("tag").alias(f"{start}_tag"), F.col("runs").alias(runs))
-    keyed = _with_tag(docs, text, tag)
+    keyed = _numbered(docs, doc_id, text, tag, copy)
     joined = keyed.join(found, (F.col(tag) == F.col(f"{start}_tag")) & named(doc_id).eqNullSafe(F.col(own)), "left")
-    return python_map(joined.select(*map(named, docs.columns), F.col(runs)), _cut(text, runs), docs.schema)
+    return python_map(joined.select(*map(named, docs.columns), F.col(runs), F.col(copy)), _cut(text, runs, copy), docs.schema)
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
