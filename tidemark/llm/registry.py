@@ -3,6 +3,9 @@
 import corpus_pipeline
 from tidemark.llm import (
     decontamination,
+    hard_negatives,
+    html_extraction,
+    lexical_search,
     license_scan,
     lm_scoring,
     mixing,
@@ -25,6 +28,9 @@ QUERIES = {
     "op8_benchmark_decontamination": decontamination.op8_benchmark_decontamination,
     "op9_license_scans": license_scan.op9_license_scans,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "op11_hard_negatives": hard_negatives.op11_hard_negatives,
+    "op12_html_extraction": html_extraction.op12_html_extraction,
+    "op13_lexical_search": lexical_search.op13_lexical_search,
     "pipeline": corpus_pipeline.run,
 }
 
@@ -34,6 +40,8 @@ ORACLE_SQL = {
     "op5_url_filters": url_filters.OP5_SQL,
     "op6_mixing": mixing.OP6_SQL,
     "op8_benchmark_decontamination": decontamination.OP8_SQL,
+    "op11_hard_negatives": hard_negatives.OP11_SQL,
+    "op13_lexical_search": lexical_search.OP13_SQL,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
