@@ -69,7 +69,7 @@ _TOKEN = re.compile(rf"""(?is)<!--(?:-?>|.*?(?:--!?>|\Z))            # comments
     |<(?P<close>/?)(?P<name>[a-z][^\s/>]*+)(?P<attrs>(?:[^>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=)*+)(?:>|\Z)
     |<[!?/][^>]*+(?:>|\Z)""", re.X)
 _MARK = re.compile(r"""(?is)\b(?P<name>class|id|role)\s*=\s*(?:"(?P<a>[^"]*)"|'(?P<b>[^']*)'|(?P<c>[^\s>]+))""")
-_SPLIT = re.compile(r"[^a-z]+|(?<=[a-z])(?=[A-Z])")
+_MARK_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -82,11 +82,8 @@ class Block:
     container: int = 0
     parts: list = field(default_factory=list)
     linked: list = field(default_factory=list)
-
-    def done(self) -> Block:
-        self.text = " ".join(html.unescape("".join(self.parts)).split())
-        self.links = len(" ".join(html.unescape("".join(self.linked)).split()))
-        return self
+    text: str = ""
+    links: int = 0  # characters of link text
 
 
 def _marked(attrs: str) -> bool:
@@ -95,7 +92,7 @@ def _marked(attrs: str) -> bool:
         if m["name"].lower() == "role":
             if value.strip().lower() in ROLES:
                 return True
-        elif not MARKS.isdisjoint(w.lower() for w in re.findall(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])", value)):
+        elif not MARKS.isdisjoint(w.lower() for w in _MARK_WORD.findall(value)):
             return True
     return False
 
@@ -115,10 +112,12 @@ def blocks(page: str) -> list[Block]:
 
     def end_block() -> None:
         nonlocal now
-        if now.parts:
-            now.done()
-            if now.text:
-                out.append(now)
+        if not now.parts:
+            return
+        now.text = " ".join(html.unescape("".join(now.parts)).split())
+        if now.text:
+            now.links = len(" ".join(html.unescape("".join(now.linked)).split())) if now.linked else 0
+            out.append(now)
         now = Block()
 
     def add(text: str) -> None:
@@ -199,7 +198,7 @@ def _first_pass(block: Block) -> bool | None:
     if block.heading or len(block.text) < LONG:
         return None
     words = _WORD.findall(block.text.lower())
-    density = sum(w in STOP_WORDS for w in words) / max(1, len(words))
+    density = sum(map(STOP_WORDS.__contains__, words)) / max(1, len(words))
     if density >= TEXT_DENSITY:
         return True
     return False if density < LEAST_DENSITY and not block.container else None
