@@ -7,7 +7,7 @@ goes if not; a short block, a heading, and a long one of middling density are le
 the label of the nearest decided neighbours - both alike: theirs; differing: the nearer one's, a tie stays; a heading goes with
 what follows it.  What lies beyond the first and the last block counts as boilerplate, or as text inside an
 ``article`` or ``main`` element, which tells a page's text already: there long blocks of low stop-word density (other languages, noise)
-are left open too, and blocks outside such elements go if one of them holds text that stays.
+are left open too, an advert or form amid the text is no neighbour, and blocks outside such elements go if one of them holds text that stays.
 
 Text is whole: character references decoded, white space inside a block one space, blocks joined in page order by one
 space; scripts, styles, templates and markup comments hold no text.  Unclosed elements end with the element around them, a
@@ -219,7 +219,7 @@ def labels(page: list[Block]) -> list[bool]:
                 container, label, distance = page[k].container, bool(page[k].container), 0
             distance += 1
             found[k] = (label, distance)
-            if first[k] is not None:
+            if first[k] is not None and not (container and page[k].dropped):
                 label, distance = first[k], 0
         if not before:
             before = found
