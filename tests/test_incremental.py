@@ -198,7 +198,30 @@ def test_compaction_and_retention_keep_content(spark):
     tables = (PARENT_HISTORY, CHILD_HISTORY, PARENT_DIM, CHILD_DIM)
     before, contents = {t: store.read(t).count() for t in deltas}, {t: rows_of_spark(store.read(t)) for t in tables}
     compact_state(store)
-    assert store.retain(1) > 20
+    assert store.retain(1, hours=0) > 20
     assert all(store.read(t).count() <= before[t] for t in deltas)
     assert {t: rows_of_spark(store.read(t)) for t in tables} == contents
     assert max(len(v) for t in store.manifest().tables.values() for v in t["buckets"].values()) == 1
+    assert compact_state(store) == []
+
+
+def test_compaction_of_a_store_that_never_saw_a_child(spark, monkeypatch):
+    """Tables that no run has made are left out, and a fold that fails doesn't fail the committed run."""
+    from conftest import raw_df, ts
+    from tidemark.plans import increment
+    from tidemark.plans.scenario import landed_inputs
+    from tidemark.session import scratch
+    from tidemark.sinks.store import TableStore
+    _, det, ben = landed_inputs(spark, SF001)
+    store = TableStore(spark, scratch(spark, "childless-store"))
+    monkeypatch.setattr(increment, "COMPACT_AFTER", 2)
+    for day in (1, 2):
+        run_increment(store, raw_df(spark, [dict(fecha_registro=ts(day), folio_hijo="", estado_padre=str(day))]), det, ben)
+    assert store.read(PARENT_HISTORY).count() == 2 and max(len(v) for v in store.manifest().tables[PARENT_DIM]["buckets"].values()) == 1
+    assert len(store.manifest().tables[PARENT_HISTORY]["versions"]) == 1
+
+    def broken(*args):
+        raise OSError("disk")
+    monkeypatch.setattr(increment, "compact_state", broken)
+    result = run_increment(store, raw_df(spark, [dict(fecha_registro=ts(3), folio_hijo="", estado_padre="x")]), det, ben)
+    assert result.rows == 1 and store.read(PARENT_HISTORY).count() == 3

@@ -77,24 +77,80 @@ def test_uncommitted_writes_are_invisible(spark):
     assert rows(store.read("t")) == [("a", 1), ("b", 2)] and not store.exists("u")
 
 
-def test_torn_manifest_is_not_committed(spark):
+def test_a_writer_that_is_slow_to_commit_loses_nothing(spark, monkeypatch):
+    """Writer B commits while writer A stands between writing its manifest and publishing it: A conflicts, B's rows stay."""
+    store = TableStore(spark, scratch(spark, "store-two"))
+    store.append(df(spark, [("a", 1)]), "t")
+    a, publish = store.transaction(), TableStore._publish
+    a.append(df(spark, [("x", 9)]), "t")
+
+    def late(self, state):
+        monkeypatch.setattr(TableStore, "_publish", publish)
+        store.append(df(spark, [("b", 2)]), "t")  # B, whole
+        publish(self, state)
+    monkeypatch.setattr(TableStore, "_publish", late)
+    with pytest.raises(CommitConflict):
+        a.commit()
+    assert rows(store.read("t")) == [("a", 1), ("b", 2)] and store.manifest().number == 2
+    store.append(df(spark, [("c", 3)]), "t")
+    assert rows(store.read("t")) == [("a", 1), ("b", 2), ("c", 3)]
+
+
+def test_a_manifest_being_written_is_not_seen(spark):
     root = scratch(spark, "store-torn")
     store = TableStore(spark, root)
     store.append(df(spark, [("a", 1)]), "t")
     folder = root.removeprefix("file:") + "/_manifest"
-    with open(f"{folder}/0000000002.json", "w") as f:
+    with open(f"{folder}/.0123.new", "w") as f:  # its writer died
         f.write('{"number": 2, "tab')
     assert rows(store.read("t")) == [("a", 1)]
     store.append(df(spark, [("b", 2)]), "t")
-    assert rows(store.read("t")) == [("a", 1), ("b", 2)] and store.manifest().number == 3
+    assert rows(store.read("t")) == [("a", 1), ("b", 2)] and store.manifest().number == 2
+
+
+def test_buckets_stay_those_of_the_table(spark):
+    root = scratch(spark, "store-recount")
+    many = [(f"k{i}", i) for i in range(40)]
+    TableStore(spark, root, buckets=8).replace(df(spark, many), "t", ["k"])
+    other = TableStore(spark, root, buckets=5)
+    other.upsert(df(spark, [(k, v + 100) for k, v in many]), df(spark, many), "t", ["k"])
+    assert rows(other.read("t")) == sorted((k, v + 100) for k, v in many)
+    other.append(df(spark, [("k1", 7)]), "t", ["k"])
+    other.upsert(df(spark, []), df(spark, [("k1", 0)]), "t", ["k"])
+    assert rows(other.read("t")) == sorted((k, v + 100) for k, v in many if k != "k1")
+    other.replace(df(spark, many), "t", ["k"])  # a new version of the whole table takes the new number
+    assert other.manifest().tables["t"]["n"] == 5 and rows(other.read("t")) == sorted(many)
+
+
+def test_fold_merges_small_versions_only(spark, monkeypatch):
+    from tidemark.sinks import store as S
+    store = TableStore(spark, scratch(spark, "store-fold"))
+    store.replace(df(spark, [(f"k{i}", i) for i in range(3000)]), "plain")
+    store.replace(df(spark, [(f"k{i}", i) for i in range(3000)]), "keyed", ["k"])
+    base = {t: set(S._versions(store.manifest().tables[t])) for t in ("plain", "keyed")}
+    for k in range(3):
+        store.append(df(spark, [("k1", -k)]), "plain")
+        store.append(df(spark, [("k1", -k)]), "keyed", ["k"])
+    monkeypatch.setattr(S, "SMALL_BYTES", 2000)
+    assert store.fold({"plain": lambda d: d, "keyed": lambda d: d, "unknown": lambda d: d}, versions=4) == []
+    before = rows(store.read("plain"))
+    assert store.fold({"plain": lambda d: d, "keyed": lambda d: d, "unknown": lambda d: d}, versions=3) == ["keyed", "plain"]
+    assert rows(store.read("plain")) == rows(store.read("keyed")) == before
+    after = {t: S._versions(store.manifest().tables[t]) for t in base}
+    assert all(base[t] <= set(after[t]) and len(after[t]) == 2 for t in base)
 
 
 def test_retention_keeps_what_the_last_commits_name(spark):
     store = TableStore(spark, scratch(spark, "store-retain"))
     for k in range(4):
         store.replace(df(spark, [("a", k)]), "t", ["k"])
-    assert store.retain(2) == 4  # two versions and two manifests
-    assert rows(store.read("t")) == [("a", 3)]
+    open_run = store.transaction()
+    open_run.append(df(spark, [("b", 9)]), "t", ["k"])
+    assert store.retain(2) == 2  # two manifests; young versions may be an open run's
+    open_run.commit()
+    assert rows(store.read("t")) == [("a", 3), ("b", 9)]
+    assert store.retain(2, hours=0) == 4  # a manifest and three versions
+    assert rows(store.read("t")) == [("a", 3), ("b", 9)]
     assert len(os.listdir(store.root.removeprefix("file:") + "/t")) == 2
 
 

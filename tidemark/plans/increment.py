@@ -15,6 +15,7 @@ already committed is skipped.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -189,52 +190,55 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
     finally:
         for df in cached:
             df.unpersist()
-    if any(len(v) >= COMPACT_AFTER for t in tx.state.tables.values() for v in [t["versions"], *t["buckets"].values()]):
-        compact_state(store)
+    try:
+        compact_state(store, COMPACT_AFTER)
+    except Exception as error:  # the run is committed; a later one folds
+        logging.getLogger(__name__).warning("deltas were not folded: %s", error)
     return result
 
 
 def _affected(tx: Transaction, batch: DataFrame, markers: DataFrame, level: Level, cached: list):
     keys = affected_keys(batch, markers, level).persist(StorageLevel.MEMORY_AND_DISK)
     cached.append(keys)
-    return keys, tx.buckets_of(keys, list(level.keys))
+    return keys, tx.touched(keys, list(level.keys))
 
 
 def _refresh_parents(tx, batch, markers, details, starts, cached) -> int:
-    affected, buckets = _affected(tx, batch, markers, PARENT, cached)
-    raw = latest_per_key(_semi(tx.read(LATEST_PARENT, buckets=buckets), affected, P_KEYS), P_KEYS)
-    summary = finish_parent_summary(merge_parent_summary(_semi(tx.read(PARENT_SUMMARY, buckets=buckets), affected, P_KEYS)))
+    affected, touched = _affected(tx, batch, markers, PARENT, cached)
+    raw = latest_per_key(_semi(tx.read(LATEST_PARENT, buckets=touched.of(LATEST_PARENT)), affected, P_KEYS), P_KEYS)
+    parts = _semi(tx.read(PARENT_SUMMARY, buckets=touched.of(PARENT_SUMMARY)), affected, P_KEYS)
+    summary = finish_parent_summary(merge_parent_summary(parts))
     own_details = _semi(details, raw.select("url_ficha").distinct(), ["url_ficha"])
     new_rows, seen = _counted(parent_dim(raw, None, own_details, "incremental", starts=starts, summary=summary))
-    tx.upsert(new_rows, affected, PARENT_DIM, P_KEYS, buckets)
+    tx.upsert(new_rows, affected, PARENT_DIM, P_KEYS, touched)
     return seen.get["n"]
 
 
 def _refresh_children(tx, batch, markers, benefits, cached) -> int:
-    affected, buckets = _affected(tx, batch, markers, CHILD, cached)
-    raw = latest_per_key(_semi(tx.read(LATEST_CHILD, buckets=buckets), affected, C_KEYS), list(CHILD.dim_keys))
+    affected, touched = _affected(tx, batch, markers, CHILD, cached)
+    raw = latest_per_key(_semi(tx.read(LATEST_CHILD, buckets=touched.of(LATEST_CHILD)), affected, C_KEYS), list(CHILD.dim_keys))
     raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     cached.append(raw)
-    first_last = merge_child_summary(_semi(tx.read(CHILD_SUMMARY, buckets=buckets), affected, C_KEYS))
+    first_last = merge_child_summary(_semi(tx.read(CHILD_SUMMARY, buckets=touched.of(CHILD_SUMMARY)), affected, C_KEYS))
     own_benefits = _semi(benefits, affected, ["cliente", "folio"], right_keys=C_KEYS)
     # the parents of these children only
     parent_keys = raw.select(*P_KEYS).distinct()
-    parents = _semi(tx.read(PARENT_DIM, buckets=tx.buckets_of(parent_keys, P_KEYS)), parent_keys, P_KEYS)
+    own_parents = tx.touched(parent_keys, P_KEYS).of(PARENT_DIM)
+    parents = _semi(tx.read(PARENT_DIM, buckets=own_parents), parent_keys, P_KEYS)
     new_rows, seen = _counted(child_dim(raw, None, own_benefits, parents, "incremental", first_last=first_last))
-    tx.upsert(new_rows, affected, CHILD_DIM, C_KEYS, buckets)
+    tx.upsert(new_rows, affected, CHILD_DIM, C_KEYS, touched)
     return seen.get["n"]
 
 
-def compact_state(store: TableStore) -> None:
-    """Fold the deltas into one version per bucket (same content), in one commit."""
-    tx = store.transaction()
-    folded = [(LATEST_PARENT, lambda d: latest_per_key(d, P_KEYS), P_KEYS),
-              (LATEST_CHILD, lambda d: latest_per_key(d, list(CHILD.dim_keys)), C_KEYS),
-              (PARENT_STATE, lambda d: latest_state(d, PARENT), P_KEYS), (CHILD_STATE, lambda d: latest_state(d, CHILD), C_KEYS),
-              (PARENT_SUMMARY, merge_parent_summary, P_KEYS), (CHILD_SUMMARY, merge_child_parts, C_KEYS),
-              (PARENT_HISTORY, lambda d: d, ()), (CHILD_HISTORY, lambda d: d, ())]
-    together(*(lambda t=t, fold=fold, keys=keys: tx.replace(fold(tx.read(t)), t, keys) for t, fold, keys in folded))
-    tx.commit()
+def compact_state(store: TableStore, versions: int = 2) -> list[str]:
+    """Fold the small versions of each table that has at least ``versions`` of them in a bucket (same content), in one commit.
+
+    Large versions and tables that no run has made yet stay as they are; returns the tables folded."""
+    return store.fold({
+        LATEST_PARENT: lambda d: latest_per_key(d, P_KEYS), LATEST_CHILD: lambda d: latest_per_key(d, list(CHILD.dim_keys)),
+        PARENT_STATE: lambda d: latest_state(d, PARENT), CHILD_STATE: lambda d: latest_state(d, CHILD),
+        PARENT_SUMMARY: merge_parent_summary, CHILD_SUMMARY: merge_child_parts,
+        PARENT_HISTORY: lambda d: d, CHILD_HISTORY: lambda d: d}, versions)
 
 
 def run_from_source(store: TableStore, raw: DataFrame, details: DataFrame, benefits: DataFrame,

@@ -8,9 +8,12 @@ run log and the high-water marks.  All writes of a run go into a
 written, and not at all if the run dies before.  Readers take what the newest
 manifest lists, so a retry starts from the state before the failed run.
 
-Manifest ``n`` is created exclusively: of two writers that started from
-``n - 1`` one commits, the other raises :class:`CommitConflict` and can retry.
-Version folders have random names, so writers never touch each other's files.
+A manifest is written whole under a name of its own and then published as
+number ``n`` by a step that fails if ``n`` exists (a hard link on local disks, a
+rename without overwrite elsewhere; the file system must offer one of them).  Of two writers
+that started from ``n - 1`` one commits, the other raises :class:`CommitConflict`
+and can retry; a reader sees a manifest whole or not at all.  Version folders have
+random names, so writers never touch each other's files.
 
 * ``append`` adds the rows as one more version of the table (K1).
 * ``replace`` makes one version the whole table (K2).
@@ -18,7 +21,8 @@ Version folders have random names, so writers never touch each other's files.
   K4).  Keyed tables are split into ``buckets`` folders by a hash of their
   keys, and only the buckets of the affected keys are read and rewritten.
 
-``retain`` deletes versions that the last manifests no longer name.  On a table
+A keyed table keeps the number of buckets it was made with, whatever the setting of a later store.
+``fold`` merges small versions into one; ``retain`` deletes old versions that the last manifests no longer name.  On a table
 format with MERGE (Delta, Iceberg) the calls map to ``INSERT``, ``INSERT
 OVERWRITE``, ``MERGE`` and ``VACUUM``.
 """
@@ -27,6 +31,7 @@ from __future__ import annotations
 
 import json
 import threading
+import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -39,8 +44,12 @@ from ..functions.nulls import null_safe_join
 
 _MANIFESTS = "_manifest"
 BUCKET = "_b"
-#: Buckets of a keyed table; size it so that one bucket fits a task at the target scale.
+#: Buckets of a new keyed table; a large bucket is written by several tasks.
 BUCKETS = 8
+#: Bytes up to which a version (of a keyed table: its share of a bucket) counts as small.
+SMALL_BYTES = 128 << 20
+#: Age from which ``retain`` takes a version for no run's that is still open.
+OPEN_HOURS = 24.0
 #: Runs that a manifest remembers by id (a replayed trigger is among the last ones).
 RUNS_KEPT = 1000
 
@@ -62,7 +71,8 @@ class Manifest:
     """What one commit made visible."""
 
     number: int = 0
-    tables: dict = field(default_factory=dict)  # name -> {"schema", "keys", "versions", "buckets": {bucket: [version, ...]}, "wrote": {version: buckets}}
+    # name -> {"schema", "keys", "n": number of buckets, "versions", "buckets": {bucket: [version, ...]}, "wrote": {version: buckets}, "bytes": {version: bytes}}
+    tables: dict = field(default_factory=dict)
     runs: list = field(default_factory=list)  # [{"run_id", "mark", "rows", "late"}], newest last
     marks: dict = field(default_factory=dict)  # "" for all rows, and one for each tenant: newest processed timestamp (text)
 
@@ -93,24 +103,42 @@ class TableStore:
         p, fs = self._fs(folder)
         return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
 
-    def _load(self, name: str) -> Manifest | None:
+    def _load(self, name: str) -> Manifest:
         p, fs = self._fs(f"{self.root}/{_MANIFESTS}/{name}")
         stream = fs.open(p)
         try:
-            text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+            return Manifest(**json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")))
         finally:
             stream.close()
+
+    def _publish(self, state: Manifest) -> None:
+        """Write the manifest beside the others and give it its number, which must be free."""
+        jvm, folder = self.spark.sparkContext._jvm, f"{self.root}/{_MANIFESTS}"
+        own, fs = self._fs(f"{folder}/.{uuid.uuid4().hex}.new")
+        out = fs.create(own, False)
+        out.write(bytearray(json.dumps(state.__dict__).encode()))
+        out.close()
+        target, _ = self._fs(f"{folder}/{state.number:010d}.json")
         try:
-            return Manifest(**json.loads(text))
-        except ValueError:  # its writer died while writing it: never committed
-            return None
+            if fs.getScheme() == "file":
+                as_path = lambda p: jvm.java.nio.file.Paths.get(p.toUri().getPath(), self.spark.sparkContext._gateway.new_array(jvm.java.lang.String, 0))
+                jvm.java.nio.file.Files.createLink(as_path(target), as_path(own))
+            else:
+                context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(own.toUri(), self.spark.sparkContext._jsc.hadoopConfiguration())
+                none = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+                context.rename(own, target, none)
+        except Exception as error:
+            if fs.exists(target):
+                raise CommitConflict(f"{target} was committed by another writer") from error
+            raise
+        finally:
+            if fs.exists(own):
+                fs.delete(own, False)
 
     def manifest(self) -> Manifest:
         """The newest committed manifest (an empty one for a new store)."""
-        for name in sorted(self._manifest_names(), reverse=True):
-            if (found := self._load(name)) is not None:
-                return found
-        return Manifest()
+        names = self._manifest_names()
+        return self._load(max(names)) if names else Manifest()
 
     def _manifest_names(self) -> list[str]:
         return [n for n in self._names(f"{self.root}/{_MANIFESTS}") if n.endswith(".json") and not n.startswith(".")]
@@ -143,22 +171,36 @@ class TableStore:
         tx.upsert(new_rows, affected, table, keys)
         tx.commit()
 
-    def retain(self, manifests: int = 10) -> int:
+    def retain(self, manifests: int = 10, hours: float = OPEN_HOURS) -> int:
         """Delete versions and manifests that the newest ``manifests`` commits don't name; returns how many.
 
-        Call it while no run is open (a run's own versions are not named yet)."""
+        Versions younger than ``hours`` stay: they may be those of a run that hasn't committed yet."""
         names = sorted(self._manifest_names())
-        kept = [m for m in map(self._load, names[-manifests:]) if m is not None]
+        kept = [self._load(n) for n in names[-manifests:]]
         live = {v for m in kept for t in m.tables.values() for v in _versions(t)}
+        before = (time.time() - hours * 3600) * 1000
         removed = 0
         for table in self._names(self.root):
             folder = f"{self.root}/{table}"
             stale = names[:-manifests] if table == _MANIFESTS else [n for n in self._names(folder) if f"{table}/{n}" not in live]
             for n in stale:
                 p, fs = self._fs(f"{folder}/{n}")
-                removed += bool(fs.delete(p, True))
+                if table == _MANIFESTS or fs.getFileStatus(p).getModificationTime() <= before:
+                    removed += bool(fs.delete(p, True))
         return removed
 
+    def fold(self, tables: dict, versions: int = 2) -> list[str]:
+        """Merge the small versions of each table that has at least ``versions`` of them; returns the tables folded.
+
+        ``tables``: name -> function that folds the rows of any of its versions (identity for plain rows).  Of a keyed
+        table only the buckets with so many small versions are rewritten.  Large versions, and tables that don't exist, stay as they are."""
+        tx = self.transaction()
+        due = {t: parts for t in tables if (parts := tx.small_versions(t, versions))}
+        if due:
+            together(*(lambda t=t, parts=parts: tx.fold(t, parts, tables[t]) for t, parts in due.items()))
+            tx.commit()
+        return sorted(due)
+
 
 def _versions(entry: dict) -> list[str]:
     return [*entry["versions"], *dict.fromkeys(v for vs in entry["buckets"].values() for v in vs)]
@@ -202,63 +244,91 @@ class Transaction:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths)
 
-    def buckets_of(self, affected: DataFrame, keys) -> list[int]:
-        """The buckets that some keys fall into (at most ``buckets`` numbers)."""
-        found = affected.select(bucket_of(keys, self.store.buckets).alias(BUCKET)).distinct().collect()
-        return sorted(r[0] for r in found)
+    def _buckets(self, table: str) -> int:
+        entry = self.state.tables.get(table)
+        return entry["n"] if entry else self.store.buckets
+
+    def touched(self, affected: DataFrame, keys) -> Touched:
+        """The buckets that some keys fall into, for any table with these keys."""
+        return Touched(self, affected, list(keys))
 
     # ---------------------------------------------------------------- writing
-    def _write(self, df: DataFrame, table: str, keys) -> tuple[str, list[str]]:
-        version = f"{table}/{uuid.uuid4().hex}"
-        path = f"{self.store.root}/{version}"
-        if not keys:
-            df.write.parquet(path)
-            return version, []
-        df = df.withColumn(BUCKET, bucket_of(keys, self.store.buckets))
-        df.repartition(self.store.buckets, BUCKET).write.partitionBy(BUCKET).parquet(path)
-        return version, [n.partition("=")[2] for n in self.store._names(path) if n.startswith(BUCKET + "=")]
+    def _new_entry(self, df: DataFrame, keys) -> dict:
+        return {"schema": df.schema.jsonValue(), "keys": list(keys), "n": self.store.buckets, "versions": [], "buckets": {}, "wrote": {}, "bytes": {}}
 
     def _entry(self, df: DataFrame, table: str, keys) -> dict:
         old = self.state.tables.get(table)
         if old is not None and old["keys"] != list(keys):
             raise ValueError(f"{table} is keyed by {old['keys']}")
-        return old or {"schema": df.schema.jsonValue(), "keys": list(keys), "versions": [], "buckets": {}, "wrote": {}}
+        return old or self._new_entry(df, keys)
 
-    def _put(self, df: DataFrame, table: str, keys, entry: dict) -> DataFrame:
-        version, buckets = self._write(df, table, keys)
-        if not keys:
+    def _write(self, df: DataFrame, table: str, entry: dict) -> tuple[str, list[str], int]:
+        version = f"{table}/{uuid.uuid4().hex}"
+        path = f"{self.store.root}/{version}"
+        if entry["keys"]:
+            # rows of a bucket go together; a bucket beyond Spark's advisory size is dealt to several tasks, small ones share one
+            df.withColumn(BUCKET, bucket_of(entry["keys"], entry["n"])).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
+        else:
+            df.write.parquet(path)
+        p, fs = self.store._fs(path)
+        return version, [n.partition("=")[2] for n in self.store._names(path) if n.startswith(BUCKET + "=")], fs.getContentSummary(p).getLength()
+
+    def _put(self, df: DataFrame, table: str, entry: dict) -> DataFrame:
+        version, buckets, size = self._write(df, table, entry)
+        if not entry["keys"]:
             entry["versions"] = [*entry["versions"], version]
         for b in buckets:
             entry["buckets"][b] = [*entry["buckets"].get(b, []), version]
-        live = {v for vs in entry["buckets"].values() for v in vs}
+        live = set(_versions(entry))
         entry["wrote"] = {v: n for v, n in (entry["wrote"] | {version: len(buckets)}).items() if v in live}
+        entry["bytes"] = {v: n for v, n in (entry["bytes"] | {version: size}).items() if v in live}
         with self._lock:
             self.state.tables[table] = entry
-        return self._of([f"{self.store.root}/{version}"] if buckets or not keys else [], T.StructType.fromJson(entry["schema"]))
+        return self._of([f"{self.store.root}/{version}"] if version in live else [], T.StructType.fromJson(entry["schema"]))
 
     def append(self, df: DataFrame, table: str, keys=()) -> DataFrame:
         """K1: add rows; earlier versions stay as they are.  Returns the rows as written."""
-        return self._put(df, table, keys, self._entry(df, table, keys))
+        return self._put(df, table, self._entry(df, table, keys))
 
     def replace(self, df: DataFrame, table: str, keys=()) -> DataFrame:
         """K2: the rows of ``df`` become the whole table."""
-        entry = {"schema": df.schema.jsonValue(), "keys": list(keys), "versions": [], "buckets": {}, "wrote": {}}
-        return self._put(df, table, keys, entry)
+        return self._put(df, table, self._new_entry(df, keys))
 
-    def upsert(self, new_rows: DataFrame, affected: DataFrame, table: str, keys, buckets=None) -> None:
+    def upsert(self, new_rows: DataFrame, affected: DataFrame, table: str, keys, touched: Touched | None = None) -> None:
         """K3/K4: delete the rows whose ``keys`` appear in ``affected``, insert ``new_rows`` (rows of such keys only).
 
-        ``buckets``: those of ``affected``, when the caller knows them."""
+        ``touched``: the buckets of ``affected``, when the caller knows them."""
         keys = list(keys)
         if not self.exists(table):
             self.replace(new_rows, table, keys)
             return
-        touched = self.buckets_of(affected, keys) if buckets is None else buckets
-        current = self.read(table, buckets=touched)
+        buckets = (touched or self.touched(affected, keys)).of(table)
+        current = self.read(table, buckets=buckets)
         kept = null_safe_join(current, affected.select(*keys), keys, "left_anti")
         entry = self.state.tables[table]
-        entry["buckets"] = {b: v for b, v in entry["buckets"].items() if int(b) not in set(touched)}
-        self._put(kept.unionByName(new_rows.select(*current.columns)), table, keys, entry)
+        entry["buckets"] = {b: v for b, v in entry["buckets"].items() if int(b) not in set(buckets)}
+        self._put(kept.unionByName(new_rows.select(*current.columns)), table, entry)
+
+    # ---------------------------------------------------------------- folding
+    def small_versions(self, table: str, fewest: int) -> dict[str, list[str]]:
+        """bucket ("" for a table without keys) -> its small versions, where there are at least ``fewest``."""
+        entry = self.state.tables.get(table)
+        if entry is None:
+            return {}
+        small = {v for v, n in entry["bytes"].items() if n <= SMALL_BYTES * max(1, entry["wrote"].get(v, 1))}
+        held = entry["buckets"] if entry["keys"] else {"": entry["versions"]}
+        return {b: own for b, vs in held.items() if len(own := [v for v in vs if v in small]) >= fewest}
+
+    def fold(self, table: str, parts: dict[str, list[str]], folded) -> None:
+        """Put one version in place of the ``parts`` of each bucket."""
+        entry, root = self.state.tables[table], self.store.root
+        paths = [f"{root}/{v}/{BUCKET}={b}" if entry["keys"] else f"{root}/{v}" for b, vs in parts.items() for v in vs]
+        rows = folded(self._of(paths, T.StructType.fromJson(entry["schema"])))
+        if entry["keys"]:
+            entry["buckets"] = {b: [v for v in vs if v not in parts.get(b, ())] for b, vs in entry["buckets"].items()}
+        else:
+            entry["versions"] = [v for v in entry["versions"] if v not in parts[""]]
+        self._put(rows, table, entry)
 
     def commit(self, run: dict | None = None, marks: dict | None = None) -> int:
         """Make everything written here visible, or raise if another writer committed since this one began."""
@@ -268,15 +338,21 @@ class Transaction:
         base = self.state.number
         if self.store.manifest().number != base:
             raise CommitConflict(f"{self.store.root}: a commit came after number {base}")
-        # a torn manifest of a dead writer keeps its number
-        number = max([base, *(int(n.partition(".")[0]) for n in self.store._manifest_names())]) + 1
-        self.state.number = number
-        p, fs = self.store._fs(f"{self.store.root}/{_MANIFESTS}/{number:010d}.json")
-        text = json.dumps(self.state.__dict__)
-        try:
-            out = fs.create(p, False)
-        except Exception as error:
-            raise CommitConflict(f"{p}: {error}") from error
-        out.write(bytearray(text.encode()))
-        out.close()
-        return number
+        self.state.number = base + 1
+        self.store._publish(self.state)
+        return self.state.number
+
+
+class Touched:
+    """Bucket numbers of some keys; tables with another number of buckets have their own (at most as many numbers reach the driver)."""
+
+    def __init__(self, tx: Transaction, affected: DataFrame, keys: list[str]):
+        self.tx, self.affected, self.keys = tx, affected, keys
+        self._found: dict[int, list[int]] = {}
+
+    def of(self, table: str) -> list[int]:
+        n = self.tx._buckets(table)
+        if n not in self._found:
+            numbers = self.affected.select(bucket_of(self.keys, n).alias(BUCKET)).distinct().collect()
+            self._found[n] = sorted(r[0] for r in numbers)
+        return self._found[n]
