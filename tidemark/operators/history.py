@@ -1,6 +1,6 @@
 """State-history operators: change detection and suppression markers.
 
-* ``flag_changes``       - lag-and-compare over (keys, order), skew-safe (W1, W2)
+* ``flag_changes``       - lag-and-compare over (keys, order) as a segmented scan, skew-safe (W1, W2)
 * ``compress_history``   - full history of one level from the raw log (C2, C3)
 * ``detect_changes``     - changes of a new batch against stored state (C1, T6)
 * ``suppressed_batch``   - keys whose last-seen day differs from ``as_of`` (C4, C5)
@@ -11,9 +11,11 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from ..functions.nulls import any_null, ne_or_null, not_blank, null_safe_join
 from ..schemas import PARENT, SUPPRESSED, TENANT, TIE, TS, Level, require_columns
@@ -25,7 +27,7 @@ def _order(ts: str, tie: str, pre=()) -> list[Column]:
     return [F.col(ts).asc_nulls_last(), *[F.col(p).asc() for p in pre], F.col(tie).asc_nulls_first()]
 
 
-def flag_changes(df: DataFrame, keys, state: str, ts: str = TS, tie: str = TIE, pre=()) -> DataFrame:
+def flag_changes(df: DataFrame, keys, state: str, ts: str = TS, tie: str = TIE, pre=(), ranges: int | None = None) -> DataFrame:
     """Add ``_changed``: the row's state differs from the previous row of its key.
 
     Rows are ordered by (``ts`` NULLS LAST, ``pre``..., ``tie``) within
@@ -33,27 +35,54 @@ def flag_changes(df: DataFrame, keys, state: str, ts: str = TS, tie: str = TIE,
     state differs from the previous one with NULL counting as different (N1),
     or when a key column is NULL (N3: such rows have no predecessor).
 
-    Every key's rows are dealt by (key, day), so a key with most of the log is
-    as many window partitions as it has days; rows with a NULL key, which no
-    window needs, are dealt by their tie-breaker instead.  The first row of a
-    day is compared with the last row of the key's previous day, through a
-    window over one row per (key, day).  Both branches below share the one
-    exchange of the log.
+    A segmented scan: the log is shuffled once into ``ranges`` (default:
+    ``spark.sql.shuffle.partitions``) even ranges of (keys, order), so neither a hot key
+    nor one of its days is one task's.  Each range is sorted and compared row by row, a batch
+    of columns at a time; only a range's first row has its predecessor elsewhere.
+    That one is the last row of the ranges before: one row per range, taken from
+    the same shuffle as a maximum; ``ranges`` entries in a scalar subquery.
     """
     keys = list(keys)
-    free = any_null(keys)
-    day = F.to_date(F.col(ts))
-    x = df.withColumn("_day", day).withColumn("_deal", F.when(free, F.xxhash64(tie, state)))
-    w = Window.partitionBy(*keys, "_day", "_deal").orderBy(*_order(ts, tie, pre))
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    value = F.struct(F.col(state).alias("s"))
-    x = x.withColumn("_prev", F.lag(value).over(w)).withColumn("_last", F.last(value).over(whole))
-    head = F.col("_prev").isNull() & ~free
-    border = Window.partitionBy(*keys).orderBy(F.col("_day").asc_nulls_last())
-    heads = x.filter(head).withColumn("_prev", F.lag("_last").over(border))
-    out = x.filter(~head).unionByName(heads)
-    changed = free | F.col("_prev").isNull() | ne_or_null(F.col(state), F.col("_prev.s"))
-    return out.withColumn("_changed", changed).drop("_prev", "_last", "_day", "_deal")
+    order = [*keys, F.col(ts).isNull(), ts, *pre, tie]
+    names = [f"_o{k}" for k in range(len(order))]
+    x = df.withColumns({n: F.col(c) if isinstance(c, str) else c for n, c in zip(names, order)})
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    x = x.repartitionByRange(ranges, *names).withColumn("_range", F.spark_partition_id())
+    # the maximum carries the whole row, so that both uses of the shuffle read the same columns and share it
+    last = x.groupBy("_range").agg(F.max(F.struct(*names, F.struct(*df.columns).alias("row"))).alias("_last"))
+    # range -> last row of the non-empty range before it
+    ends = last.agg(F.sort_array(F.collect_list(F.struct("_range", "_last.row"))).alias("e"))
+    rows = F.concat(F.array(F.lit(None).cast(StructType(df.schema.fields))), F.col("e.row"))
+    ends = ends.select(F.map_from_arrays(F.col("e._range"), F.slice(rows, 1, F.size("e")))).scalar()
+    compared = x.sortWithinPartitions(*names).drop(*names)
+    schema = StructType([*compared.schema.fields, StructField("_changed", BooleanType())])
+    out = compared.mapInArrow(_compared(keys, state), schema)
+    # _changed is NULL for the first row of a range that might continue the key before it
+    border = F.when(F.col("_changed").isNull(), F.try_element_at(ends, F.col("_range")))
+    same = reduce(lambda p, q: p & q, [F.col(c) == border[c] for c in (*keys, state)])
+    return out.withColumn("_changed", F.coalesce(F.col("_changed"), ~F.coalesce(same, F.lit(False)))).drop("_range")
+
+
+def _compared(keys: list[str], state: str):
+    """Row against the row before it, over the sorted batches of a range; NULL where that row is in another range."""
+    def run(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        carried = None  # the key and state columns of the row before the batch
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in (*keys, state)]
+            past = carried or [pa.nulls(1, c.type) for c in columns]
+            # NULL on either side counts as different
+            differs = [pc.fill_null(pc.not_equal(c, pa.concat_arrays([p, c.slice(0, n - 1)])), True) for p, c in zip(past, columns)]
+            changed = reduce(pc.or_, differs)
+            if carried is None:
+                changed = pa.concat_arrays([pa.nulls(1, pa.bool_()), changed.slice(1)])
+            carried = [c.slice(n - 1, 1) for c in columns]
+            yield pa.RecordBatch.from_arrays([*batch.columns, changed], names=[*batch.schema.names, "_changed"])
+    return run
 
 
 def level_rows(raw: DataFrame, level: Level) -> DataFrame:
