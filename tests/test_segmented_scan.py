@@ -5,7 +5,7 @@ import random
 import pytest
 
 from conftest import raw_df, ts
-from tidemark.operators.history import compress_history, flag_changes
+from tidemark.operators.history import compress_history, changed_rows
 from tidemark.schemas import PARENT, TIE, TS
 from tidemark.session import scratch
 
@@ -33,21 +33,21 @@ def expected(rows):
     return out
 
 
-@pytest.mark.parametrize("ranges", [1, 7, 90])
-def test_flags_do_not_depend_on_the_ranges(spark, ranges):
+@pytest.mark.parametrize("ranges,batch", [(1, 10_000), (1, 1), (7, 3), (90, 10_000)])
+def test_changes_do_not_depend_on_ranges_and_batches(spark, ranges, batch):
+    old = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled", "spark.sql.execution.arrow.maxRecordsPerBatch")}
     df = log(spark)
-    got = flag_changes(df, KEYS, "estado_padre", ranges=ranges)
-    assert got.columns == [*df.columns, "_changed"]
-    rows = got.collect()
-    assert len(rows) == df.count() and all(r["_changed"] is not None for r in rows)
-    assert {r[TIE] for r in rows if r["_changed"]} == expected(df.collect())
-    assert flag_changes(df.limit(0), KEYS, "estado_padre", ranges=ranges).count() == 0
-
-
-def test_a_hot_day_is_spread_over_ranges(spark):
-    from pyspark.sql import functions as F
-    x = flag_changes(log(spark), KEYS, "estado_padre", ranges=8).filter("cliente = 'hot'")
-    assert max(r["count"] for r in x.groupBy(F.spark_partition_id()).count().collect()) < 200
+    try:
+        for c, v in zip(old, (ranges, "false", batch)):
+            spark.conf.set(c, v)
+        got = changed_rows(df, KEYS, "estado_padre")
+        assert got.columns == df.columns
+        rows = got.collect()
+        assert len(rows) == len({r[TIE] for r in rows}) and {r[TIE] for r in rows} == expected(df.collect())
+        assert changed_rows(df.limit(0), KEYS, "estado_padre").count() == 0
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
 
 
 def test_one_scan_and_one_shuffle_of_the_log(spark):
@@ -62,4 +62,5 @@ def test_one_scan_and_one_shuffle_of_the_log(spark):
             initial = at if "== Initial Plan ==" in line else None
             lines.append(line)
     final = "\n".join(lines)
-    assert final.count("FileScan") == 1 and final.count("Exchange rangepartitioning") == 2 and final.count("ReusedExchange") == 1
+    assert final.count("FileScan") == 1 and final.count("rangepartitioning") == 1 and final.count("Exchange hashpartitioning") == 1
+    assert "_deal" in final.split("Exchange hashpartitioning")[1].split("\n")[0]

@@ -1,6 +1,6 @@
 """State-history operators: change detection and suppression markers.
 
-* ``flag_changes``       - lag-and-compare over (keys, order) as a segmented scan, skew-safe (W1, W2)
+* ``changed_rows``       - lag-and-compare over (keys, order) as a segmented scan, skew-safe (W1, W2)
 * ``compress_history``   - full history of one level from the raw log (C2, C3)
 * ``detect_changes``     - changes of a new batch against stored state (C1, T6)
 * ``suppressed_batch``   - keys whose last-seen day differs from ``as_of`` (C4, C5)
@@ -27,61 +27,74 @@ def _order(ts: str, tie: str, pre=()) -> list[Column]:
     return [F.col(ts).asc_nulls_last(), *[F.col(p).asc() for p in pre], F.col(tie).asc_nulls_first()]
 
 
-def flag_changes(df: DataFrame, keys, state: str, ts: str = TS, tie: str = TIE, pre=(), ranges: int | None = None) -> DataFrame:
-    """Add ``_changed``: the row's state differs from the previous row of its key.
+def changed_rows(df: DataFrame, keys, state: str, ts: str = TS, tie: str = TIE, pre=()) -> DataFrame:
+    """The rows whose state differs from the previous row of their key.
 
     Rows are ordered by (``ts`` NULLS LAST, ``pre``..., ``tie``) within
     ``keys``.  A row is a change when it is the first of its key, when its
     state differs from the previous one with NULL counting as different (N1),
     or when a key column is NULL (N3: such rows have no predecessor).
 
-    A segmented scan: the log is shuffled once into ``ranges`` (default:
-    ``spark.sql.shuffle.partitions``) even ranges of (keys, order), so neither a hot key
-    nor one of its days is one task's.  Each range is sorted and compared row by row, a batch
-    of columns at a time; only a range's first row has its predecessor elsewhere.
-    That one is the last row of the ranges before: one row per range, taken from
-    the same shuffle as a maximum; ``ranges`` entries in a scalar subquery.
+    A segmented scan: the log is read once and shuffled once, into even ranges of
+    (keys, order), so neither a hot key nor one of its days is one task's.  Each range is sorted and
+    compared row by row, a batch of columns at a time; unchanged rows go no further.  Only a range's
+    first row has its predecessor elsewhere: the last row of an earlier range, if that is of its key.  So the
+    first and last row of every range, and no others, meet by key in a window; the changes pass it spread by a hash.
     """
     keys = list(keys)
     order = [*keys, F.col(ts).isNull(), ts, *pre, tie]
     names = [f"_o{k}" for k in range(len(order))]
     x = df.withColumns({n: F.col(c) if isinstance(c, str) else c for n, c in zip(names, order)})
-    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    x = x.repartitionByRange(ranges, *names).withColumn("_range", F.spark_partition_id())
-    # the maximum carries the whole row, so that both uses of the shuffle read the same columns and share it
-    last = x.groupBy("_range").agg(F.max(F.struct(*names, F.struct(*df.columns).alias("row"))).alias("_last"))
-    # range -> last row of the non-empty range before it
-    ends = last.agg(F.sort_array(F.collect_list(F.struct("_range", "_last.row"))).alias("e"))
-    rows = F.concat(F.array(F.lit(None).cast(StructType(df.schema.fields))), F.col("e.row"))
-    ends = ends.select(F.map_from_arrays(F.col("e._range"), F.slice(rows, 1, F.size("e")))).scalar()
-    compared = x.sortWithinPartitions(*names).drop(*names)
-    schema = StructType([*compared.schema.fields, StructField("_changed", BooleanType())])
-    out = compared.mapInArrow(_compared(keys, state), schema)
-    # _changed is NULL for the first row of a range that might continue the key before it
-    border = F.when(F.col("_changed").isNull(), F.try_element_at(ends, F.col("_range")))
-    same = reduce(lambda p, q: p & q, [F.col(c) == border[c] for c in (*keys, state)])
-    return out.withColumn("_changed", F.coalesce(F.col("_changed"), ~F.coalesce(same, F.lit(False)))).drop("_range")
+    x = x.repartitionByRange(*names).sortWithinPartitions(*names)
+    schema = StructType([*x.schema.fields, StructField("_changed", BooleanType()), StructField("_edge", BooleanType())])
+    x = x.mapInArrow(_compared(keys, state), schema)
+    x = x.withColumn("_deal", F.when(~F.col("_edge"), F.xxhash64(*names)))
+    edges = Window.partitionBy(*keys, "_deal").orderBy(*names)
+    x = x.withColumn("_prev", F.lag(F.struct(F.col(state).alias("s"))).over(edges))
+    differs = any_null(keys) | F.col("_prev").isNull() | ne_or_null(F.col(state), F.col("_prev.s"))
+    return x.filter(F.coalesce(F.col("_changed"), differs)).select(*df.columns)
 
 
 def _compared(keys: list[str], state: str):
-    """Row against the row before it, over the sorted batches of a range; NULL where that row is in another range."""
+    """The changes among the sorted rows of a range, and its first row (``_changed`` is NULL, as the row before isn't here) and last row."""
     def run(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
-        carried = None  # the key and state columns of the row before the batch
+
+        def marked(rows, changed, edge):
+            edges = pa.repeat(pa.scalar(edge), len(rows))
+            return pa.RecordBatch.from_arrays([*rows.columns, changed, edges], names=[*rows.schema.names, "_changed", "_edge"])
+
+        last = last_changed = None  # the row before the batch, and whether it is a change
         for batch in batches:
             n = batch.num_rows
             if not n:
                 continue
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in (*keys, state)]
-            past = carried or [pa.nulls(1, c.type) for c in columns]
-            # NULL on either side counts as different
-            differs = [pc.fill_null(pc.not_equal(c, pa.concat_arrays([p, c.slice(0, n - 1)])), True) for p, c in zip(past, columns)]
-            changed = reduce(pc.or_, differs)
-            if carried is None:
+            parts = []
+            for name in (*keys, state):
+                column = batch.column(batch.schema.get_field_index(name))
+                before = pa.nulls(1, column.type) if last is None else last.column(last.schema.get_field_index(name))
+                # NULL on either side counts as different
+                parts.append(pc.fill_null(pc.not_equal(column, pa.concat_arrays([before, column.slice(0, n - 1)])), True))
+            changed = reduce(pc.or_, parts)
+            start = 0
+            if last is None:
                 changed = pa.concat_arrays([pa.nulls(1, pa.bool_()), changed.slice(1)])
-            carried = [c.slice(n - 1, 1) for c in columns]
-            yield pa.RecordBatch.from_arrays([*batch.columns, changed], names=[*batch.schema.names, "_changed"])
+                if n > 1:
+                    yield marked(batch.slice(0, 1), changed.slice(0, 1), True)
+                start = 1
+            elif not last_changed[0].is_valid:
+                yield marked(last, last_changed, True)  # a first row alone in its batch
+            elif last_changed[0].as_py():
+                yield marked(last, last_changed, False)
+            inner = batch.slice(start, max(0, n - 1 - start))
+            kept = changed.slice(start, len(inner))
+            inner = inner.filter(kept)
+            if inner.num_rows:
+                yield marked(inner, pa.repeat(pa.scalar(True), inner.num_rows), False)
+            last, last_changed = batch.slice(n - 1, 1), changed.slice(n - 1, 1)
+        if last is not None:
+            yield marked(last, last_changed, True)
     return run
 
 
@@ -100,8 +113,7 @@ def compress_history(raw: DataFrame, level: Level = PARENT, tie: str = TIE) -> D
     cols = list(level.columns) + [tie]
     require_columns(raw, cols, "raw log")
     rows = level_rows(raw.select(*cols), level)
-    flagged = flag_changes(rows, level.keys, level.state, TS, tie)
-    return flagged.filter("_changed").drop("_changed")
+    return changed_rows(rows, level.keys, level.state, TS, tie)
 
 
 def detect_changes(new: DataFrame, stored_state: DataFrame | None, level: Level = PARENT,
@@ -125,8 +137,7 @@ def detect_changes(new: DataFrame, stored_state: DataFrame | None, level: Level
         keys = list(level.keys)
         old = stored_state.select(*cols).join(batch.select(*keys).distinct(), keys, "left_semi")
         batch = old.withColumn("_is_new", F.lit(False)).unionByName(batch)
-    flagged = flag_changes(batch, level.keys, level.state, TS, tie, pre=("_is_new",))
-    return flagged.filter(F.col("_changed") & F.col("_is_new")).select(*cols)
+    return changed_rows(batch, level.keys, level.state, TS, tie, pre=("_is_new",)).filter("_is_new").select(*cols)
 
 
 def _as_date(as_of) -> Column:
@@ -264,7 +275,7 @@ def apply_snapshots(batch: DataFrame, stored_state: DataFrame | None, level: Lev
         # stored rows of the keys at hand; NULL keys count for the markers' context only
         old = null_safe_join(stored_state.select(*cols), every.select(*keys).distinct(), keys, "left_semi").withColumn("_kind", F.lit(0))
         every = old.unionByName(every)
-    out = flag_changes(every, keys, level.state, TS, tie, pre=("_kind",)).filter("_changed AND _kind > 0").drop("_changed")
+    out = changed_rows(every, keys, level.state, TS, tie, pre=("_kind",)).filter("_kind > 0")
     if not level.context:
         return out.select(*cols)
     context = [c for c in level.context if c not in keys]

@@ -29,23 +29,27 @@ from ..operators.dims import (child_dim, child_summary_parts, finish_parent_summ
                               tenant_start)
 from ..operators.history import apply_snapshots, detect_changes, level_rows, suppressed_incremental
 from ..operators.latest import latest_per_key, latest_snapshot, latest_state
-from ..schemas import CHILD, PARENT, SUPPRESSED, TENANT, TIE, TS, Level, require_columns
+from ..schemas import CHILD, DAY, PARENT, RAW_COLUMNS, SUPPRESSED, TENANT, TIE, TS, Level, require_columns
 from ..sinks.store import TableStore, Transaction, together
 from .bootstrap import (C_KEYS, CHILD_DIM, CHILD_HISTORY, CHILD_STATE, CHILD_SUMMARY, LATEST_CHILD, LATEST_PARENT,
                         P_KEYS, PARENT_DIM, PARENT_HISTORY, PARENT_STATE, PARENT_SUMMARY, TENANT_START,
                         latest_child_rows, latest_parent_rows, marks_of)
 
+#: Rows of snapshots that haven't landed whole, and rows that came after their time was processed.
+STAGED, LATE = "staged_rows", "late_rows"
 #: A bucket with so many delta versions is folded after the run.
 COMPACT_AFTER = 24
 
 
 @dataclass
 class RunResult:
-    """What a run did.  ``rows``: applied; ``late``: given but at or before the mark, not applied (T4)."""
+    """What a run did.  ``rows``: applied; ``late``: given but at or before the mark, not applied (T4);
+    ``held``: rows of snapshots that aren't whole yet; ``skipped``: nothing was applied."""
 
     run_id: str | None
     rows: int = 0
     late: int = 0
+    held: int = 0
     mark: dt.datetime | None = None
     history_rows: dict = field(default_factory=dict)
     dim_rows: dict = field(default_factory=dict)
@@ -78,13 +82,16 @@ def tenant_marks(store: TableStore) -> dict:
 def incremental_scan(raw: DataFrame, mark) -> DataFrame:
     """Rows strictly newer than ``mark``, all rows without one.
 
-    The comparison reaches the parquet scan as a pushed filter.  ``mark`` may be
-    a dict of tenants' marks: each tenant's rows are compared with its own
-    (a tenant without one is new), after the pushed filter on the oldest.
+    The comparison reaches the parquet scan as a pushed filter; on a log partitioned by the
+    day of its rows (a column ``dia``) it is a partition filter too, so a run lists
+    only the days from the mark on.  ``mark`` may be a dict of tenants' marks: each tenant's
+    rows are compared with its own (a tenant without one is new).
     """
     if mark is None or mark == {}:
         return raw
     if not isinstance(mark, dict):
+        if DAY in raw.columns:  # rows without a time are late; their partition isn't read
+            raw = raw.filter(F.col(DAY) >= F.lit(mark.date()))
         return raw.filter(F.col(TS) > ntz(mark))
     return _with_mark(raw, mark).filter(F.col("_mark").isNull() | (F.col(TS) > F.col("_mark"))).drop("_mark")
 
@@ -136,6 +143,21 @@ def _history_step(tx: Transaction, batch: DataFrame, level: Level, scope: str, s
     return n, written
 
 
+def _open(store: TableStore, run_id: str | None) -> Transaction | None:
+    """A transaction for the run, or None if the run has committed already."""
+    tx = store.transaction()
+    return None if run_id is not None and any(r["run_id"] == run_id for r in tx.state.runs) else tx
+
+
+def _fresh(tx: Transaction, rows: DataFrame, scope: str, into: str = "_fresh") -> DataFrame:
+    """``rows`` with a flag: after the mark (in tenant scope the tenant's own), so not yet processed (T4)."""
+    own = {None if k == "n" else k[1:]: _time(v) for k, v in tx.state.marks.items() if k}
+    mark = _time(tx.state.marks.get(""))
+    if scope == "tenant" and own:
+        return _with_mark(rows, own).withColumn(into, F.col("_mark").isNull() | F.coalesce(F.col(TS) > F.col("_mark"), F.lit(False))).drop("_mark")
+    return rows.withColumn(into, F.lit(True) if mark is None else F.coalesce(F.col(TS) > ntz(mark), F.lit(False)))
+
+
 def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benefits: DataFrame,
                   run_id: str | None = None, scope: str = "global", snapshots: str = "newest") -> RunResult:
     """Apply one batch of raw rows.
@@ -144,49 +166,85 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
     snapshot only, as the original run does.  ``"each"``: against every
     snapshot of the batch, in one pass, as one run per snapshot would.
     ``scope="tenant"``: marks and snapshots are each tenant's own.
-    Rows at or before the mark are late: counted, never applied (T4).
+    Rows at or before the mark are late (T4): never applied, but kept in the table
+    ``late_rows`` with the run that brought them; a run of late rows only is recorded as well.
     """
-    tx = store.transaction()
-    if run_id is not None and any(r["run_id"] == run_id for r in tx.state.runs):
+    tx = _open(store, run_id)
+    if tx is None:
         return RunResult(run_id, skipped=True)
     require_columns(batch, CHILD.columns + PARENT.columns + (TIE,), "batch")
-    own = {None if k == "n" else k[1:]: _time(v) for k, v in tx.state.marks.items() if k}
-    mark = _time(tx.state.marks.get(""))
-    if scope == "tenant" and own:
-        flagged = _with_mark(batch, own).withColumn("_fresh", F.col("_mark").isNull() | F.coalesce(F.col(TS) > F.col("_mark"), F.lit(False))).drop("_mark")
-    else:
-        flagged = batch.withColumn("_fresh", F.lit(True) if mark is None else F.coalesce(F.col(TS) > ntz(mark), F.lit(False)))
-    flagged = flagged.persist(StorageLevel.MEMORY_AND_DISK)
+    flagged = _fresh(tx, batch, scope).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _apply(store, tx, flagged, details, benefits, run_id, scope, snapshots)
+    finally:
+        flagged.unpersist()
+
+
+def run_assembled(store: TableStore, batch: DataFrame, markers: DataFrame, details: DataFrame, benefits: DataFrame,
+                  run_id: str | None = None, scope: str = "global") -> RunResult:
+    """Apply the snapshots that are whole, hold the rows of the others.
+
+    ``markers`` says how many rows each snapshot has (``fecha_registro``, ``n_rows``, in tenant scope ``cliente`` too); its
+    writer lands a marker beside a snapshot's files.  The rows of the batch join those held from earlier
+    batches in the table ``staged_rows``.  A snapshot is whole once all its rows are there; snapshots are applied in order, so a
+    whole one waits for an earlier one that isn't, and one without a marker waits for it.  What is applied and what stays held
+    changes in the run's one commit, so a run that dies leaves the rows where they were.
+    """
+    tx = _open(store, run_id)
+    if tx is None:
+        return RunResult(run_id, skipped=True)
+    require_columns(batch, RAW_COLUMNS, "batch")
+    rows = batch.select(*RAW_COLUMNS)
+    if tx.exists(STAGED):
+        rows = rows.unionByName(tx.read(STAGED))
+    of = [TENANT] if scope == "tenant" else []
+    flagged = _fresh(tx, rows, scope).persist(StorageLevel.MEMORY_AND_DISK)
     cached = [flagged]
     try:
-        fresh = F.col("_fresh")
+        landed = flagged.filter(F.col("_fresh") & F.col(TS).isNotNull()).groupBy(*of, TS).agg(F.count(F.lit(1)).alias("_have"))
+        told = markers.groupBy(*of, TS).agg(F.max("n_rows").alias("_told"))
+        partial = null_safe_join(landed, told, [*of, TS], "left").filter(F.col("_told").isNull() | (F.col("_have") < F.col("_told")))
+        first = partial.groupBy(*of).agg(F.min(TS).alias("_first"))  # a row, or one per tenant
+        waits = F.col("_fresh") & F.coalesce(F.col(TS) >= F.col("_first"), F.lit(False))
+        if of:
+            split = null_safe_join(flagged, first, of, "left")
+        else:
+            split = flagged.withColumn("_first", first.select("_first").scalar())
+        split = split.withColumn("_waits", waits).drop("_first").persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(split)
+        held, seen = _counted(split.filter("_waits").select(*RAW_COLUMNS))
+        tx.replace(held, STAGED)
+        result = _apply(store, tx, split.filter("NOT _waits").drop("_waits"), details, benefits, run_id, scope, "each", seen.get["n"])
+        return result
+    finally:
+        for df in cached:
+            df.unpersist()
+
+
+def _apply(store: TableStore, tx: Transaction, flagged: DataFrame, details: DataFrame, benefits: DataFrame, run_id: str | None,
+           scope: str, snapshots: str, held: int = 0) -> RunResult:
+    """Apply the fresh rows of ``flagged``, keep the others as late, commit."""
+    cached: list[DataFrame] = []
+    mark = _time(tx.state.marks.get(""))
+    fresh = F.col("_fresh")
+    try:
         stats = flagged.groupBy(TENANT).agg(F.max(F.when(fresh, F.col(TS))).alias("newest"), F.count(F.when(fresh, 1)).alias("rows"),
                                             F.count(F.when(~fresh, 1)).alias("late")).collect()  # a row per tenant
         rows, late = sum(r["rows"] for r in stats), sum(r["late"] for r in stats)
-        if rows == 0:
-            return RunResult(run_id, late=late, skipped=True)
+        result = RunResult(run_id, rows=rows, late=late, held=held, skipped=rows == 0)
+        if rows == 0 and late == 0 and held == 0:
+            return result
+        if late:
+            missed = flagged.filter(~fresh).select(*(c for c in RAW_COLUMNS if c in flagged.columns), F.lit(run_id).cast("string").alias("run_id"))
+            tx.append(missed, LATE)
         marks = marks_of((r[TENANT], r["newest"]) for r in stats)
         if mark is not None and marks.get("") is not None:
             marks[""] = max(marks[""], mark.isoformat(sep=" "))  # a tenant may trail the others
-        result = RunResult(run_id, rows=rows, late=late, mark=_time(marks.get("")))
-        batch = flagged.filter(fresh).drop("_fresh")
-
-        starts = tenant_start(batch)
-        if tx.exists(TENANT_START):
-            starts = tx.read(TENANT_START).unionByName(starts).groupBy(TENANT).agg(F.min("fecha_primer_registro").alias("fecha_primer_registro"))
-        (n_p, parents), (n_c, children), starts, _, _ = together(
-            lambda: _history_step(tx, batch, PARENT, scope, snapshots),
-            lambda: _history_step(tx, batch, CHILD, scope, snapshots),
-            lambda: tx.replace(starts, TENANT_START),
-            lambda: tx.append(latest_parent_rows(batch), LATEST_PARENT, P_KEYS),
-            lambda: tx.append(latest_child_rows(batch), LATEST_CHILD, C_KEYS))
-        result.history_rows.update(parent=n_p, child=n_c)
-        if n_p:
-            result.dim_rows["parent"] = _refresh_parents(tx, batch, _markers(parents, PARENT), details, starts, cached)
-        if n_c:
-            result.dim_rows["child"] = _refresh_children(tx, batch, _markers(children, CHILD), benefits, cached)
-
-        tx.commit({"run_id": run_id or f"run-{marks.get('')}", "mark": marks.get(""), "rows": rows, "late": late}, marks)
+        result.mark = _time(marks.get(""))
+        if rows:
+            _apply_rows(tx, flagged.filter(fresh).drop("_fresh"), details, benefits, scope, snapshots, result, cached)
+        record = {"run_id": run_id or f"run-{marks.get('')}", "mark": marks.get(""), "rows": rows, "late": late, "held": held}
+        tx.commit(record, marks)
     finally:
         for df in cached:
             df.unpersist()
@@ -197,6 +255,24 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
     return result
 
 
+def _apply_rows(tx: Transaction, batch: DataFrame, details: DataFrame, benefits: DataFrame, scope: str, snapshots: str,
+                result: RunResult, cached: list) -> None:
+    starts = tenant_start(batch)
+    if tx.exists(TENANT_START):
+        starts = tx.read(TENANT_START).unionByName(starts).groupBy(TENANT).agg(F.min("fecha_primer_registro").alias("fecha_primer_registro"))
+    (n_p, parents), (n_c, children), starts, _, _ = together(
+        lambda: _history_step(tx, batch, PARENT, scope, snapshots),
+        lambda: _history_step(tx, batch, CHILD, scope, snapshots),
+        lambda: tx.replace(starts, TENANT_START),
+        lambda: tx.append(latest_parent_rows(batch), LATEST_PARENT, P_KEYS),
+        lambda: tx.append(latest_child_rows(batch), LATEST_CHILD, C_KEYS))
+    result.history_rows.update(parent=n_p, child=n_c)
+    if n_p:
+        result.dim_rows["parent"] = _refresh_parents(tx, batch, _markers(parents, PARENT), details, starts, cached)
+    if n_c:
+        result.dim_rows["child"] = _refresh_children(tx, batch, _markers(children, CHILD), benefits, cached)
+
+
 def _affected(tx: Transaction, batch: DataFrame, markers: DataFrame, level: Level, cached: list):
     keys = affected_keys(batch, markers, level).persist(StorageLevel.MEMORY_AND_DISK)
     cached.append(keys)

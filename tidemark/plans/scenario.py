@@ -19,9 +19,9 @@ from ..functions.time import ntz
 from ..session import scratch
 from ..sinks.store import TableStore, Transaction
 from ..sources import fixtures as fx
-from ..streaming.stream import run_stream, snapshot_stream
+from ..streaming.stream import landing_markers, run_stream, snapshot_stream, write_markers
 from .bootstrap import bootstrap
-from .increment import RunResult, incremental_scan, high_water_mark, run_from_source, run_increment
+from .increment import LATE, RunResult, incremental_scan, high_water_mark, run_from_source, run_increment
 
 SEED_MARK = dt.datetime(2024, 1, 20)
 SEED_AS_OF = "2024-01-20"
@@ -155,3 +155,29 @@ def streamed_runs(spark: SparkSession, sf_dir: str) -> TableStore:
         run_stream(store, snapshot_stream(spark, incoming, raw.schema), det, ben, checkpoint=scratch(spark, "stream-checkpoint"))
         return store
     return _once(spark, sf_dir, "streamed", build)
+
+
+def assembled_runs(spark: SparkSession, sf_dir: str) -> TableStore:
+    """Seed, then a stream whose snapshots each land as three files and whose triggers take thirteen:
+    some snapshots come in two triggers.  Then a second run of the stream finds a file of old rows only."""
+    def build():
+        store, raw, det, ben = seeded_store(spark, sf_dir, "assembled")
+        incoming, markers, checkpoint = (scratch(spark, n) for n in ("pieces", "markers", "assembled-checkpoint"))
+        later = raw.filter(F.col("fecha_registro") > ntz(SEED_MARK))
+        write_markers(later, markers)
+        for t in later_snapshots(raw):
+            later.filter(F.col("fecha_registro") == ntz(t)).repartition(3, "load_seq").write.mode("append").parquet(incoming)
+
+        def stream():
+            run_stream(store, snapshot_stream(spark, incoming, raw.schema, files_per_trigger=13, watermark="1 day"), det, ben,
+                       checkpoint=checkpoint, name="assembled", markers=landing_markers(spark, markers))
+        stream()
+        raw.filter(F.dayofmonth("fecha_registro") % 7 == 3).coalesce(1).write.mode("append").parquet(incoming)
+        stream()
+        return store
+    return _once(spark, sf_dir, "assembled", build)
+
+
+def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows that came after their time was processed."""
+    return assembled_runs(spark, sf_dir).read(LATE).drop("run_id")

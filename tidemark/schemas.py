@@ -57,6 +57,10 @@ CHILD_DIM = CHILD_BASE + (
 # --- end of fixed values
 
 
+#: Partition column of a log or history that is stored by day.
+DAY = "dia"
+
+
 @dataclass(frozen=True)
 class Level:
     """One level of the case hierarchy.
