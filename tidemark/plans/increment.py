@@ -102,6 +102,28 @@ def _with_mark(rows: DataFrame, mark: dict) -> DataFrame:
     return null_safe_join(rows, table.withColumn(TENANT, F.col(TENANT).cast(kind)), [TENANT], "left")
 
 
+#: Lookup tables that a store can keep, and their keys.
+DETAILS, BENEFITS = "case_details", "benefits"
+LOOKUP_KEYS = {DETAILS: ["url_ficha"], BENEFITS: ["cliente", "folio"]}
+
+
+def keep_lookups(store: TableStore, details: DataFrame, benefits: DataFrame) -> tuple[str, str]:
+    """Keep details and benefits as keyed tables of the store (S4): a run that is given their names reads the buckets of its
+    keys instead of the whole tables.  New rows are added with ``store.append(rows, name, LOOKUP_KEYS[name])``."""
+    tx = store.transaction()
+    together(lambda: tx.replace(details, DETAILS, LOOKUP_KEYS[DETAILS]), lambda: tx.replace(benefits, BENEFITS, LOOKUP_KEYS[BENEFITS]))
+    tx.commit()
+    return DETAILS, BENEFITS
+
+
+def _looked_up(tx: Transaction, table: DataFrame | str, wanted: DataFrame, keys) -> DataFrame:
+    """The rows of a lookup table that the keys ``wanted`` (columns in the order of ``keys``) ask for."""
+    wanted = wanted.toDF(*keys).distinct()
+    if isinstance(table, str):
+        table = tx.read(table, buckets=tx.touched(wanted, keys).of(table))
+    return _semi(table, wanted, keys)
+
+
 def _semi(df: DataFrame, keys_df: DataFrame, keys, right_keys=None) -> DataFrame:
     return null_safe_join(df, keys_df, keys, "left_semi", right_keys=right_keys)
 
@@ -158,10 +180,12 @@ def _fresh(tx: Transaction, rows: DataFrame, scope: str, into: str = "_fresh") -
     return rows.withColumn(into, F.lit(True) if mark is None else F.coalesce(F.col(TS) > ntz(mark), F.lit(False)))
 
 
-def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benefits: DataFrame,
+def run_increment(store: TableStore, batch: DataFrame, details: DataFrame | str, benefits: DataFrame | str,
                   run_id: str | None = None, scope: str = "global", snapshots: str = "newest") -> RunResult:
     """Apply one batch of raw rows.
 
+    ``details`` and ``benefits`` are frames, or names of tables of the store (``keep_lookups``).
+
     ``snapshots="newest"``: absence is judged against the batch's newest
     snapshot only, as the original run does.  ``"each"``: against every
     snapshot of the batch, in one pass, as one run per snapshot would.
@@ -180,7 +204,7 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame, benef
         flagged.unpersist()
 
 
-def run_assembled(store: TableStore, batch: DataFrame, markers: DataFrame, details: DataFrame, benefits: DataFrame,
+def run_assembled(store: TableStore, batch: DataFrame, markers: DataFrame, details: DataFrame | str, benefits: DataFrame | str,
                   run_id: str | None = None, scope: str = "global") -> RunResult:
     """Apply the snapshots that are whole, hold the rows of the others.
 
@@ -221,7 +245,7 @@ def run_assembled(store: TableStore, batch: DataFrame, markers: DataFrame, detai
             df.unpersist()
 
 
-def _apply(store: TableStore, tx: Transaction, flagged: DataFrame, details: DataFrame, benefits: DataFrame, run_id: str | None,
+def _apply(store: TableStore, tx: Transaction, flagged: DataFrame, details: DataFrame | str, benefits: DataFrame | str, run_id: str | None,
            scope: str, snapshots: str, held: int = 0) -> RunResult:
     """Apply the fresh rows of ``flagged``, keep the others as late, commit."""
     cached: list[DataFrame] = []
@@ -255,7 +279,7 @@ def _apply(store: TableStore, tx: Transaction, flagged: DataFrame, details: Data
     return result
 
 
-def _apply_rows(tx: Transaction, batch: DataFrame, details: DataFrame, benefits: DataFrame, scope: str, snapshots: str,
+def _apply_rows(tx: Transaction, batch: DataFrame, details: DataFrame | str, benefits: DataFrame | str, scope: str, snapshots: str,
                 result: RunResult, cached: list) -> None:
     starts = tenant_start(batch)
     if tx.exists(TENANT_START):
@@ -284,7 +308,7 @@ def _refresh_parents(tx, batch, markers, details, starts, cached) -> int:
     raw = latest_per_key(_semi(tx.read(LATEST_PARENT, buckets=touched.of(LATEST_PARENT)), affected, P_KEYS), P_KEYS)
     parts = _semi(tx.read(PARENT_SUMMARY, buckets=touched.of(PARENT_SUMMARY)), affected, P_KEYS)
     summary = finish_parent_summary(merge_parent_summary(parts))
-    own_details = _semi(details, raw.select("url_ficha").distinct(), ["url_ficha"])
+    own_details = _looked_up(tx, details, raw.select("url_ficha"), LOOKUP_KEYS[DETAILS])
     new_rows, seen = _counted(parent_dim(raw, None, own_details, "incremental", starts=starts, summary=summary))
     tx.upsert(new_rows, affected, PARENT_DIM, P_KEYS, touched)
     return seen.get["n"]
@@ -296,7 +320,7 @@ def _refresh_children(tx, batch, markers, benefits, cached) -> int:
     raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     cached.append(raw)
     first_last = merge_child_summary(_semi(tx.read(CHILD_SUMMARY, buckets=touched.of(CHILD_SUMMARY)), affected, C_KEYS))
-    own_benefits = _semi(benefits, affected, ["cliente", "folio"], right_keys=C_KEYS)
+    own_benefits = _looked_up(tx, benefits, affected.select(*C_KEYS), LOOKUP_KEYS[BENEFITS])
     # the parents of these children only
     parent_keys = raw.select(*P_KEYS).distinct()
     own_parents = tx.touched(parent_keys, P_KEYS).of(PARENT_DIM)
@@ -317,7 +341,7 @@ def compact_state(store: TableStore, versions: int = 2) -> list[str]:
         PARENT_HISTORY: lambda d: d, CHILD_HISTORY: lambda d: d}, versions)
 
 
-def run_from_source(store: TableStore, raw: DataFrame, details: DataFrame, benefits: DataFrame,
+def run_from_source(store: TableStore, raw: DataFrame, details: DataFrame | str, benefits: DataFrame | str,
                     scope: str = "global", **kwargs) -> RunResult:
     """Scheduled form: read the rows newer than the high-water mark, then run."""
     mark = tenant_marks(store) if scope == "tenant" else high_water_mark(store)

@@ -16,12 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import ntz
+from ..schemas import DAY, TS
 from ..session import scratch
 from ..sinks.store import TableStore, Transaction
 from ..sources import fixtures as fx
 from ..streaming.stream import landing_markers, run_stream, snapshot_stream, write_markers
 from .bootstrap import bootstrap
-from .increment import LATE, RunResult, incremental_scan, high_water_mark, run_from_source, run_increment
+from .increment import LATE, RunResult, high_water_mark, incremental_scan, keep_lookups, run_from_source, run_increment
 
 SEED_MARK = dt.datetime(2024, 1, 20)
 SEED_AS_OF = "2024-01-20"
@@ -44,14 +45,14 @@ def _inputs(spark: SparkSession, sf_dir: str):
 
 def landed_inputs(spark: SparkSession, sf_dir: str):
     """The inputs derived from the driver tables, landed once as parquet tables
-    in the work folder - the stored raw log a scheduled run reads."""
+    in the work folder - the stored raw log a scheduled run reads, partitioned by day."""
     def build():
         folder = scratch(spark, "landed")
-        tables = []
-        for name, df in zip(("case_log", "case_details", "benefits"), _inputs(spark, sf_dir)):
+        log, *others = _inputs(spark, sf_dir)
+        log.withColumn(DAY, F.to_date(TS)).repartition(DAY).write.partitionBy(DAY).parquet(f"{folder}/case_log")
+        for name, df in zip(("case_details", "benefits"), others):
             df.write.parquet(f"{folder}/{name}")
-            tables.append(spark.read.parquet(f"{folder}/{name}"))
-        return tuple(tables)
+        return tuple(spark.read.parquet(f"{folder}/{name}") for name in ("case_log", "case_details", "benefits"))
     key = ("landed", sf_dir, spark.sparkContext.applicationId)
     if key not in _done:
         _done[key] = build()
@@ -59,10 +60,11 @@ def landed_inputs(spark: SparkSession, sf_dir: str):
 
 
 def seeded_store(spark: SparkSession, sf_dir: str, name: str):
+    """A store after the rebuild up to the seed day; details and benefits are tables of the store, of which runs read the buckets at hand."""
     raw, det, ben = landed_inputs(spark, sf_dir)
     store = TableStore(spark, scratch(spark, name))
     bootstrap(store, raw.filter(F.col("fecha_registro") <= ntz(SEED_MARK)), det, ben, SEED_AS_OF)
-    return store, raw, det, ben
+    return store, raw, *keep_lookups(store, det, ben)
 
 
 def later_snapshots(raw: DataFrame) -> list:
