@@ -28,7 +28,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import named
+from tidemark.llm.frames import named, stored
 
 FEATURES, TRAIN_LINES, RECALL, OVERLAP = 1 << 14, 4000, 0.98, 0.75
 NONE, UNKNOWN = "none", "unknown"
@@ -124,7 +124,7 @@ def labelled(docs: DataFrame, text: str = "text") -> DataFrame:
     cuts = cuts.withColumn("body", F.concat_ws(" ", F.expr("slice(w, `from` + 1, `to` - `from`)")))
     share = F.lit(TRAIN_LINES) / F.greatest(F.lit(docs.count()), F.lit(1))
     # one line of a document drawn by hash: about TRAIN_LINES documents, then one line each
-    drawn = docs.select(named(text).alias("t")).filter((F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < share * 1_000_000))
+    drawn = stored(docs.select(named(text).alias("t")).filter((F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < share * 1_000_000)))
     lines = drawn.select(F.filter(F.split("t", "\n"), lambda x: (F.trim(x) != "") & ~x.rlike(_LICENCE_WORDS)).alias("lines")).filter(F.size("lines") > 0)
     plain = lines.select(F.element_at("lines", (F.pmod(F.xxhash64("lines"), F.size("lines")) + 1).cast("int")).alias("body"), F.lit(float(FAMILIES.index(NONE))).alias("label"))
     fixed = spark.range(1).select(F.explode(F.array(*map(F.lit, PLAIN))).alias("body"), F.lit(float(FAMILIES.index(NONE))).alias("label"))
@@ -136,6 +136,7 @@ def labelled(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def fit(examples: DataFrame) -> tuple[LogisticRegressionModel, Limits]:
     """The model, and its limits."""
+    examples = stored(examples)  # bounded; read by several jobs below
     rows = featured(examples.repartition(1).sortWithinPartitions("label", "body"), "body")  # bounded; one order, so reruns agree
     is_none = F.col("label") == FAMILIES.index(NONE)
     notices, plain = examples.filter("NOT held_out").agg(F.count_if(~is_none), F.count_if(is_none)).first()

@@ -9,7 +9,8 @@ is repeated; the union of the repeated runs of a text are its repeated spans.  O
 runs the one of the smallest (doc_id, text digest, place) stays; ``without_repeats`` cuts the others.
 
 Digests are counted by a map-side combined aggregate and joined back to the runs, so a run that many texts share is
-one small row before the shuffle; a run that one text holds many times is one row of that text throughout.
+one small row before the shuffle; a run that one text holds many times is one row of that text throughout.  The runs that occur
+again are kept as a table, of which the first occurrences are an aggregate.
 
 Cases: a null, empty or short text has no run and no repeats; rows of equal doc_id and text repeat each other and
 are cut alike (as one document: none is later than the other); a null doc_id sorts last, and each row with one is a document of its own: of
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.frames import named, prefix, python_map, schema_with
+from tidemark.llm.frames import named, prefix, python_map, schema_with, stored
 from tidemark.llm.words import SPACED, chunks
 
 #: Bytes: the gear hash's window, limits of a chunk, the mean distance of hash places, what a compared run reaches at least.
@@ -142,9 +143,11 @@ def _found(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     own = docs.select(named(doc_id).alias("doc_id"), named(text).alias("text"))
     ids = own.schema["doc_id"].dataType.simpleString()
     runs = python_map(own, _runs("doc_id", "text"), f"own_id {ids}, tag bigint, high bigint, low int, n int, b0 int, places binary")
+    # digests are counted alone; only runs that occur again are compared by their first occurrence
+    repeated = runs.groupBy("high", "low").agg(F.sum("n").alias("total")).filter("total > 1").drop("total")
+    again = stored(runs.drop("n").join(repeated, ["high", "low"], "left_semi"))
     first = F.struct(F.col("own_id").isNull().alias("null"), "own_id", "tag", "b0")
-    counted = runs.groupBy("high", "low").agg(F.sum("n").alias("total"), F.min(first).alias("first"))
-    again = runs.drop("n", "b0").join(counted.filter("total > 1"), ["high", "low"])
+    again = again.drop("b0").join(again.groupBy("high", "low").agg(F.min(first).alias("first")), ["high", "low"])
     home = F.when(F.col("own_id").eqNullSafe(F.col("first.own_id")) & (F.col("tag") == F.col("first.tag")), F.col("first.b0")).otherwise(F.lit(-1))
     # equal rows give equal runs: a set
     return again.groupBy("own_id", "tag").agg(F.collect_set(F.struct("places", home.alias("home"))).alias("runs"))
