@@ -100,6 +100,8 @@ def _runs(doc_id: str, text: str):
                 in_word = SPACED.is_word[data]
                 opens = in_word.copy()
                 opens[1:] &= ~in_word[:-1]
+                begins = offsets[:-1][np.diff(offsets) > 0]
+                opens[begins] = in_word[begins]  # whatever ends the text before
                 words = np.concatenate([[0], np.cumsum(opens)])  # words that begin before a place
                 tags, own, digests, counts, first, places = [], [], [], [], [], []
                 for row, _, starts, ends in chunk_runs(data, offsets):
