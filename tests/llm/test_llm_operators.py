@@ -305,6 +305,40 @@ def test_url_index_asks_only_candidates(spark, monkeypatch):
     assert max(got[k].n_candidates for k in range(60)) == 1
 
 
+def test_substring_dedup_counts_against_brute_force(spark):
+    """All four counts, from the chunk runs of each text alone, without Spark's aggregates and joins."""
+    import numpy as np
+    shared, other = sentence("shared", 60), sentence("other", 40)
+    texts = {1: sentence("q1", 30) + " " + shared, 2: shared + " " + sentence("q2", 25), 3: other + " " + sentence("q3", 20) + " " + other, 4: sentence("q4", 50), 5: shared + " " + other, 6: None, 7: "short"}
+    runs, first, total = {}, {}, collections.Counter()
+    for i, t in texts.items():
+        raw = (t or "").encode()
+        data = np.frombuffer(raw, np.uint8)
+        starts = [m.start() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+        _, _, a, b = next(substring_dedup.chunk_runs(data, np.array([0, len(data)])), (0, [], np.array([]), np.array([])))
+        runs[i] = [(raw[x:y], x, {k for k, s in enumerate(starts) if x <= s < y}) for x, y in zip(a.tolist(), b.tolist())]
+        for content, x, _ in runs[i]:
+            total[content] += 1
+            first.setdefault(content, (i, x)) if content not in first else None
+    # the first occurrence is that of the smallest (doc_id, place)
+    for i in sorted(runs):
+        for content, x, _ in runs[i]:
+            first[content] = min(first[content], (i, x))
+    got = {r.doc_id: r for r in substring_dedup.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id int, text string")).collect()}
+    assert set(got) == set(texts)
+    for i, r in got.items():
+        again = [(x, w) for content, x, w in runs[i] if total[content] > 1]
+        later = [w for content, x, w in runs[i] if total[content] > 1 and first[content] != (i, x)]
+        covered = sorted(set().union(*(w for _, w in again)))
+        assert (r.n_repeated_runs, r.repeated_words, r.later_words) == (len(again), len(covered), len(set().union(*later)))
+        parts, reach = [], -1
+        for x, w in again:
+            if w:
+                parts = [*parts[:-1], parts[-1] | w] if parts and min(w) <= reach + 0 else [*parts, set(w)]
+                reach = max(reach, max(w) + 1)
+        assert r.longest_repeat == max(map(len, parts), default=0) and r.has_passage == (r.longest_repeat >= substring_dedup.PASSAGE_WORDS)
+
+
 def test_substring_dedup(docs, empty):
     got = substring_dedup.repeated_passages(docs).collect()
     data = rows()
@@ -379,6 +413,17 @@ def test_license_scan(spark, corpus, docs, empty):
     license_scan.fit(license_scan.labelled(empty))
 
 
+def test_wrapped_notices_keep_their_family(spark, corpus):
+    import textwrap
+    model, least = license_scan.fit(license_scan.labelled(corpus))
+    notices = {k: max(v, key=len) for k, v in license_scan.TEMPLATES.items() if k in ("MIT", "GPL-3.0", "BSD")}
+    rows = [(k, sentence("z", 30) + ".\n\n" + "\n".join(textwrap.wrap(v, width)) + "\n\n" + sentence("zz", 30)) for k, v in notices.items() for width in (72, 80)]
+    rows += [(None, None), (None, ""), ("equal", "\n".join(textwrap.wrap(notices["MIT"], 72)))] + [("equal", "\n".join(textwrap.wrap(notices["MIT"], 72)))]
+    found = license_scan.scan(spark.createDataFrame(rows, "doc_id string, text string"), model, least).collect()
+    named = [(r.doc_id, r.licence) for r in found if r.licence != "unknown"]
+    assert {x for x in named if x[0] != "equal"} == {(k, k) for k in notices} and named.count(("equal", "MIT")) % 2 == 0 and ("equal", "MIT") in named
+
+
 def test_license_scan_without_licence_words(spark, corpus):
     lines = ["All rights reserved.", "GPLv3 or later", "CC0 1.0", "Some rights are reserved by the authors.", "All rights reserved by the publisher",  # the last two are wordings that the fit never saw
              "He reserved two rooms.", "mit", "one", sentence("y", 20)]
@@ -401,8 +446,12 @@ def test_secret_scan(spark, corpus, docs, empty):
     assert sum(r.prediction for r in tested if r.label) >= 0.95 * sum(r.label for r in tested)
     texts = [(1, 'the key is token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff" of'), (2, "then password=10be3b9c09a8828af3 and"), (3, "see ththeringthenerand of the"), (4, None), (5, ""),
              (6, "call 4785380592391139 for"), (7, "ththerinand@mail2.example.com")]
-    found = {r.doc_id for r in secret_scan.scan(spark.createDataFrame(texts, "doc_id int, text string"), model, words_).collect()}
-    assert found >= {1, 2} and not found & {3, 4, 5, 7}
+    texts += [(10, "password=Tr0ub4dor&3"), (11, 'set api_key: "a8F3k9Qz" there'), (12, 'pwd = "c0rrect!horse#battery9"'), (13, 'title="Introduction" and'), (14, "note: something else"),
+              (15, "password: required"), (16, "x" * 100_000 + " password=Tr0ub4dor&3."), (2, "then password=10be3b9c09a8828af3 and"), (None, "password=Tr0ub4dor&3")]
+    hits = secret_scan.scan(spark.createDataFrame(texts, "doc_id int, text string"), model, words_).collect()
+    found = {r.doc_id for r in hits}
+    assert found >= {1, 2, 10, 11, 12, 16, None} and not found & {3, 4, 5, 7, 13, 14, 15}
+    assert [r.candidate for r in hits if r.doc_id in (10, 16, None)] == ["Tr0ub4dor&3"] * 3 and sum(r.doc_id == 2 for r in hits) == 2  # equal rows alike
     assert 18 in {r.doc_id for r in secret_scan.scan(docs, model, words_).collect()}
     assert secret_scan.scan(empty, model, words_).count() == 0
     nothing = secret_scan.sample(empty)

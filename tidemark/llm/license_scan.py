@@ -7,7 +7,8 @@ the families' templates, phrases that name other licences or none by name, plain
 
 Unknown class, calibrated on labelled paragraphs that the fit did not see: a family is accepted from the lowest probability on
 that keeps ``RECALL`` of the held-out family paragraphs and lies above those of all held-out other paragraphs if it can.  Then the template
-comparison: the paragraph must hold ``OVERLAP`` of the words of a template of that family.  A paragraph is a
+comparison: the paragraph must hold ``OVERLAP`` of the words of a template of that family - or, of a notice wrapped over several lines, at least
+``PARTIAL`` of them while the lines around it hold the rest (``BEFORE`` and ``AFTER`` lines at most, up to an empty line).  A paragraph is a
 finding if the probability of all licences together reaches a limit calibrated in the same way, on all held-out notices and the held-out lines
 without one; if it fails either test of its family it is ``unknown``.  No word list takes part in that.
 
@@ -30,7 +31,8 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.frames import named, stored
 
-FEATURES, TRAIN_LINES, RECALL, OVERLAP = 1 << 14, 4000, 0.98, 0.75
+FEATURES, TRAIN_LINES, RECALL, OVERLAP, PARTIAL = 1 << 14, 4000, 0.98, 0.75, 0.3
+BEFORE, AFTER = 2, 4
 NONE, UNKNOWN = "none", "unknown"
 
 #: Public licence notices by family.
@@ -107,9 +109,15 @@ def featured(paragraphs: DataFrame, text: str) -> DataFrame:
 
 
 def paragraphs(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, paragraph, body): the lines with a word, numbered from 0."""
-    lines = docs.select(named(doc_id).alias("doc_id"), F.posexplode(F.split(named(text), "\n")).alias("paragraph", "body"))
-    return lines.filter(F.trim("body") != "")
+    """(doc_id, paragraph, body, around): the lines with a word, numbered from 0, and the lines around each, itself among them."""
+    lines = F.split(named(text), "\n")
+
+    def placed(line: Column, i: Column) -> Column:
+        near = F.slice(lines, F.greatest(i - BEFORE, F.lit(0)) + 1, F.least(i, F.lit(BEFORE)) + 1 + AFTER)
+        return F.struct(i.alias("paragraph"), line.alias("body"), F.concat_ws("\n", near).alias("around"))
+
+    split = docs.select(named(doc_id).alias("doc_id"), F.explode(F.filter(F.transform(lines, placed), lambda x: F.trim(x["body"]) != "")).alias("line"))
+    return split.select("doc_id", "line.*")
 
 
 def labelled(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -183,7 +191,11 @@ def scan(docs: DataFrame, model: LogisticRegressionModel, least: Limits, doc_id:
     """(doc_id, paragraph, body, licence, probability, overlap): the paragraphs that are licence notices."""
     judged = _judged(model, featured(paragraphs(docs, doc_id, text), "body")).filter(F.col("any") >= least.licence)
     family = F.element_at(F.array(*map(F.lit, FAMILIES)), F.col("guess") + 1)
-    judged = judged.withColumn("family", family).withColumn("overlap", overlap(F.col("body"), F.col("family")))
+    # the block of lines that the paragraph stands in
+    block = F.filter(F.split("around", "\n[ \t\r]*\n"), lambda x: F.contains(x, F.col("body")))
+    judged = judged.withColumn("family", family).withColumn("own", overlap(F.col("body"), F.col("family")))
+    wrapped = (F.col("own") >= PARTIAL) & (F.col("own") < OVERLAP)
+    judged = judged.withColumn("overlap", F.when(wrapped, F.coalesce(overlap(F.get(block, F.lit(0)), F.col("family")), F.col("own"))).otherwise(F.col("own")))
     sure = (F.col("guess") > 1) & (F.col("p") >= least.family) & (F.col("overlap") >= OVERLAP)
     # not confirmed: a licence, but none that is known
     licence, probability = F.when(sure, F.col("family")).otherwise(F.lit(UNKNOWN)), F.when(sure, F.col("p")).otherwise(F.col("any"))
