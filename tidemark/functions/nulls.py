@@ -67,3 +67,18 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "left",
     if how in ("left_semi", "left_anti", "semi", "anti", "leftsemi", "leftanti"):
         return out
     return out.drop(*tmp)
+
+
+def keyed_filter(left: DataFrame, keys_df: DataFrame, keys, how: str, buckets: int | None = None) -> DataFrame:
+    """Rows of ``left`` whose keys are (``left_semi``) or aren't (``left_anti``) in ``keys_df``, NULL matching NULL.
+
+    ``buckets``: ``left`` is clustered by ``keys`` into so many buckets.  Then the distinct ``keys_df`` alone is dealt
+    to them and ``left`` stays where it is.  Spark knows clusters by the plain columns, which ``<=>`` hides, so rows
+    with a NULL key, which its scan can skip by the files' statistics, are matched apart.
+    """
+    keys = list(keys)
+    if buckets is None:
+        return null_safe_join(left, keys_df, keys, how)
+    odd = any_null(keys)
+    known = left.filter(~odd).join(keys_df.filter(~odd).repartition(buckets, *keys), keys, how)
+    return known.unionByName(null_safe_join(left.filter(odd), keys_df.filter(odd), keys, how))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from ..functions.nulls import any_null, ne_or_null, not_blank, null_safe_join
+from ..functions.nulls import any_null, keyed_filter, ne_or_null, not_blank, null_safe_join
 from ..schemas import PARENT, SUPPRESSED, TENANT, TIE, TS, Level, require_columns
 from .latest import first_per_key
 
@@ -117,7 +117,7 @@ def compress_history(raw: DataFrame, level: Level = PARENT, tie: str = TIE) -> D
 
 
 def detect_changes(new: DataFrame, stored_state: DataFrame | None, level: Level = PARENT,
-                   tie: str = TIE) -> DataFrame:
+                   tie: str = TIE, buckets: int | None = None) -> DataFrame:
     """Rows of a new batch whose state differs from the key's previous state.
 
     ``stored_state`` holds the newest stored row per key (``latest_state``)
@@ -125,6 +125,7 @@ def detect_changes(new: DataFrame, stored_state: DataFrame | None, level: Level
     same timestamp; only rows of ``new`` are returned (``is_new`` origin flag,
     Q2), so a stored row is never emitted again.  A key whose stored state is
     ``Folio suprimido`` and that reappears yields a change row (T6).
+    ``buckets``: the state is clustered by its keys into so many (``keyed_filter``).
     """
     cols = list(level.columns) + [tie]
     require_columns(new, cols, "batch")
@@ -135,7 +136,10 @@ def detect_changes(new: DataFrame, stored_state: DataFrame | None, level: Level
         # join is exact - rows with a NULL key are changes anyway (N3) - and it
         # keeps the state's existing partitioning on the keys.
         keys = list(level.keys)
-        old = stored_state.select(*cols).join(batch.select(*keys).distinct(), keys, "left_semi")
+        wanted = batch.select(*keys).distinct()
+        if buckets is not None:
+            wanted = wanted.repartition(buckets, *keys)
+        old = stored_state.select(*cols).join(wanted, keys, "left_semi")
         batch = old.withColumn("_is_new", F.lit(False)).unionByName(batch)
     return changed_rows(batch, level.keys, level.state, TS, tie, pre=("_is_new",)).filter("_is_new").select(*cols)
 
@@ -193,7 +197,7 @@ def _pad(df: DataFrame, level: Level, tie: str) -> DataFrame:
 
 
 def suppressed_incremental(latest: DataFrame, snapshot: DataFrame, level: Level = PARENT,
-                           scope: str = "global", tenant: str = TENANT, tie: str = TIE) -> DataFrame:
+                           scope: str = "global", tenant: str = TENANT, tie: str = TIE, buckets: int | None = None) -> DataFrame:
     """Suppression markers of the incremental run.
 
     ``latest`` is the newest stored row per key, ``snapshot`` the rows of the
@@ -209,12 +213,15 @@ def suppressed_incremental(latest: DataFrame, snapshot: DataFrame, level: Level
     ``scope="global"``: one snapshot time.  ``scope="tenant"``: only tenants
     with rows of this level in the snapshot are checked, each against its own
     snapshot time.
+
+    ``buckets``: ``latest`` is clustered by its keys into so many; absence then moves the
+    snapshot's keys only, not the state.
     """
     keys = list(level.keys)
     rows = level_rows(snapshot, level)
     present = rows.select(*keys).distinct()
     active = latest.filter(ne_or_null(F.col(level.state), F.lit(SUPPRESSED)))
-    gone = absent_keys(active, present, keys)
+    gone = keyed_filter(active, present, keys, "left_anti", buckets)
     if scope == "global":
         newest = rows.agg(F.max(TS)).scalar()
         gone = gone.withColumn(TS, newest).filter(F.col(TS).isNotNull())
@@ -228,13 +235,8 @@ def suppressed_incremental(latest: DataFrame, snapshot: DataFrame, level: Level
     return gone.select(*level.columns, tie)
 
 
-def absent_keys(active: DataFrame, present: DataFrame, keys) -> DataFrame:
-    """Rows of ``active`` whose keys aren't in ``present``, NULL matching NULL."""
-    return null_safe_join(active, present, list(keys), "left_anti")
-
-
 def apply_snapshots(batch: DataFrame, stored_state: DataFrame | None, level: Level = PARENT,
-                    scope: str = "global", tenant: str = TENANT, tie: str = TIE) -> DataFrame:
+                    scope: str = "global", tenant: str = TENANT, tie: str = TIE, buckets: int | None = None) -> DataFrame:
     """Changes and markers of a batch of several snapshots, as one run per snapshot would add them.
 
     All snapshots are applied in one pass.  A key that is active at one
@@ -245,6 +247,7 @@ def apply_snapshots(batch: DataFrame, stored_state: DataFrame | None, level: Lev
     markers carry the context of the key's newest history row before them.
     Snapshots of a level are the times of its own rows, per tenant in tenant
     scope; a snapshot without rows of the level leaves it alone.
+    ``buckets``: the stored state is clustered by its keys into so many and isn't moved.
     """
     if scope not in ("global", "tenant"):
         raise ValueError(f"unknown scope {scope!r}")
@@ -259,21 +262,25 @@ def apply_snapshots(batch: DataFrame, stored_state: DataFrame | None, level: Lev
     steps = times.withColumn("_next", F.lead(TS).over(order))
     due = null_safe_join(seen.filter("NOT _gone"), steps, [*of, TS]).filter("_next IS NOT NULL")
     due = due.select(*keys, F.col("_next").alias(TS))
+    missing = null_safe_join(due, seen.select(*keys, TS), [*keys, TS], "left_anti")
     if stored_state is not None:
+        # the stored keys are due at the first snapshot
         active = stored_state.filter(ne_or_null(F.col(level.state), F.lit(SUPPRESSED))).select(*keys)
         if of:
             first = times.groupBy(*of).agg(F.min(TS).alias("_first"))
             active = null_safe_join(active, first, of, "inner").select(*keys, F.col("_first").alias(TS))
+            there = null_safe_join(seen, first, of, "inner").filter(F.col(TS).eqNullSafe(F.col("_first")))
         else:
-            active = active.withColumn(TS, times.agg(F.min(TS)).scalar()).filter(F.col(TS).isNotNull())
-        due = due.unionByName(active)
-    missing = absent_keys(due, seen.select(*keys, TS), [*keys, TS])
+            first = times.agg(F.min(TS)).scalar()
+            active = active.withColumn(TS, first).filter(F.col(TS).isNotNull())
+            there = seen.filter(F.col(TS) == first)
+        missing = missing.unionByName(keyed_filter(active, there.select(*keys), keys, "left_anti", buckets))
     markers = _pad(missing.withColumn(level.state, F.lit(SUPPRESSED)), level, tie).withColumn("_kind", F.lit(2))
     every = rows.withColumn("_kind", F.lit(1)).unionByName(markers)
     old = None
     if stored_state is not None:
         # stored rows of the keys at hand; NULL keys count for the markers' context only
-        old = null_safe_join(stored_state.select(*cols), every.select(*keys).distinct(), keys, "left_semi").withColumn("_kind", F.lit(0))
+        old = keyed_filter(stored_state.select(*cols), every.select(*keys).distinct(), keys, "left_semi", buckets).withColumn("_kind", F.lit(0))
         every = old.unionByName(every)
     out = changed_rows(every, keys, level.state, TS, tie, pre=("_kind",)).filter("_kind > 0")
     if not level.context:

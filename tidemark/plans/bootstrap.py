@@ -84,8 +84,8 @@ def bootstrap(store: TableStore, raw: DataFrame, details: DataFrame, benefits: D
             lambda: tx.replace(latest_child_rows(raw), LATEST_CHILD, C_KEYS))
         pdim, *_ = together(
             lambda: tx.replace(parent_dim(raw, ph, details, "batch", starts=starts, match_tenant=match_tenant), PARENT_DIM, P_KEYS),
-            lambda: tx.replace(latest_state(ph, PARENT), PARENT_STATE, P_KEYS),
-            lambda: tx.replace(latest_state(ch, CHILD), CHILD_STATE, C_KEYS),
+            lambda: tx.replace(latest_state(ph, PARENT), PARENT_STATE, cluster=P_KEYS),
+            lambda: tx.replace(latest_state(ch, CHILD), CHILD_STATE, cluster=C_KEYS),
             lambda: tx.replace(parent_summary_parts(ph), PARENT_SUMMARY, P_KEYS),
             lambda: tx.replace(child_summary_parts(ch), CHILD_SUMMARY, C_KEYS))
         cdim = tx.replace(child_dim(raw, ch, benefits, pdim, "batch", match_tenant=match_tenant), CHILD_DIM, C_KEYS)

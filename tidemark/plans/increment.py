@@ -139,14 +139,14 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
 
-def _level_rows_out(state: DataFrame | None, batch: DataFrame, level: Level, scope: str, snapshots: str) -> DataFrame:
+def _level_rows_out(state: DataFrame | None, buckets: int | None, batch: DataFrame, level: Level, scope: str, snapshots: str) -> DataFrame:
     if snapshots == "each":
-        return apply_snapshots(batch, state, level, scope)
-    out = detect_changes(batch, state, level)
+        return apply_snapshots(batch, state, level, scope, buckets=buckets)
+    out = detect_changes(batch, state, level, buckets=buckets)
     if state is None:
         return out
     newest = latest_snapshot(level_rows(batch, level), scope)
-    return out.unionByName(suppressed_incremental(state, newest, level, scope=scope))
+    return out.unionByName(suppressed_incremental(state, newest, level, scope=scope, buckets=buckets))
 
 
 def _history_step(tx: Transaction, batch: DataFrame, level: Level, scope: str, snapshots: str) -> tuple[int, DataFrame]:
@@ -156,12 +156,12 @@ def _history_step(tx: Transaction, batch: DataFrame, level: Level, scope: str, s
         (CHILD_HISTORY, CHILD_STATE, CHILD_SUMMARY, child_summary_parts))
     keys = list(level.keys)
     state = latest_state(tx.read(state_table), level) if tx.exists(state_table) else None
-    out, seen = _counted(_level_rows_out(state, batch, level, scope, snapshots).select(*level.columns, TIE))
+    out, seen = _counted(_level_rows_out(state, tx.buckets_of(state_table), batch, level, scope, snapshots).select(*level.columns, TIE))
     written = tx.append(out, history)
     n = seen.get["n"]
     if n:
-        # Readers de-duplicate the state, and the summary parts are MIN/MAX aggregates.
-        together(lambda: tx.append(written, state_table, keys), lambda: tx.append(parts(written), summary_table, keys))
+        # Readers de-duplicate the state over its versions, and the summary parts are MIN/MAX aggregates.
+        together(lambda: tx.append(latest_state(written, level), state_table, cluster=keys), lambda: tx.append(parts(written), summary_table, keys))
     return n, written
 
 

@@ -21,7 +21,11 @@ random names, so writers never touch each other's files.
   K4).  Keyed tables are split into ``buckets`` folders by a hash of their
   keys, and only the buckets of the affected keys are read and rewritten.
 
-A keyed table keeps the number of buckets it was made with, whatever the setting of a later store.
+* ``cluster`` makes a table without ``keys`` a bucketed Spark table: its versions are dealt by Spark's own hash of
+  the cluster columns, and reading it tells Spark so.  A window or join on these columns takes the rows where they
+  are, with no exchange.  The state tables, which every run compares whole with a snapshot, are such tables.
+
+A keyed or clustered table keeps the number of buckets it was made with, whatever the setting of a later store.
 ``fold`` merges small versions into one; ``retain`` deletes old versions that the last manifests no longer name.  On a table
 format with MERGE (Delta, Iceberg) the calls map to ``INSERT``, ``INSERT
 OVERWRITE``, ``MERGE`` and ``VACUUM``.
@@ -71,7 +75,7 @@ class Manifest:
     """What one commit made visible."""
 
     number: int = 0
-    # name -> {"schema", "keys", "n": number of buckets, "versions", "buckets": {bucket: [version, ...]}, "wrote": {version: buckets}, "bytes": {version: bytes}}
+    # name -> {"schema", "keys", "cluster", "n": number of buckets, "versions", "buckets": {bucket: [version, ...]}, "wrote": {version: buckets}, "bytes": {version: bytes}}
     tables: dict = field(default_factory=dict)
     runs: list = field(default_factory=list)  # [{"run_id", "mark", "rows", "late"}], newest last
     marks: dict = field(default_factory=dict)  # "" for all rows, and one for each tenant: newest processed timestamp (text)
@@ -156,14 +160,14 @@ class TableStore:
     def transaction(self) -> Transaction:
         return Transaction(self, self.manifest().copy())
 
-    def append(self, df: DataFrame, table: str, keys=()) -> None:
+    def append(self, df: DataFrame, table: str, keys=(), cluster=()) -> None:
         tx = self.transaction()
-        tx.append(df, table, keys)
+        tx.append(df, table, keys, cluster)
         tx.commit()
 
-    def replace(self, df: DataFrame, table: str, keys=()) -> None:
+    def replace(self, df: DataFrame, table: str, keys=(), cluster=()) -> None:
         tx = self.transaction()
-        tx.replace(df, table, keys)
+        tx.replace(df, table, keys, cluster)
         tx.commit()
 
     def upsert(self, new_rows: DataFrame, affected: DataFrame, table: str, keys) -> None:
@@ -202,6 +206,15 @@ class TableStore:
         return sorted(due)
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _passing_name() -> str:
+    """A catalog name for the moment in which a bucketed table is written or read."""
+    return f"tidemark_{uuid.uuid4().hex}"
+
+
 def _versions(entry: dict) -> list[str]:
     return [*entry["versions"], *dict.fromkeys(v for vs in entry["buckets"].values() for v in vs)]
 
@@ -227,6 +240,8 @@ class Transaction:
             return self.spark.createDataFrame([], schema) if schema is not None else None
         own = T.StructType.fromJson(entry["schema"])
         root = self.store.root
+        if entry["cluster"] and entry["versions"]:
+            return self._clustered(table, entry, own)
         if not entry["keys"]:
             return self._of([f"{root}/{v}" for v in entry["versions"]], own)
         wanted = entry["buckets"] if buckets is None else {str(b): entry["buckets"].get(str(b), []) for b in buckets}
@@ -244,6 +259,25 @@ class Transaction:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths)
 
+    def _clustered(self, table: str, entry: dict, schema: T.StructType) -> DataFrame:
+        """The versions as one bucketed table.  Only a catalog entry tells Spark of buckets, so there is one while the frame is made."""
+        names = [v.partition("/")[2] for v in entry["versions"]]
+        folder = f"{self.store.root}/{table}/" + (names[0] if len(names) == 1 else "{" + ",".join(names) + "}")
+        columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+        by = ", ".join(map(_quoted, entry["cluster"]))
+        location = folder.replace("\\", "\\\\").replace("'", "\\'")
+        name = _passing_name()
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({by}) SORTED BY ({by}) INTO {entry['n']} BUCKETS LOCATION '{location}'")
+        try:
+            return self.spark.table(name)
+        finally:
+            self.spark.sql(f"DROP TABLE {name}")  # external: its files stay
+
+    def buckets_of(self, table: str) -> int | None:
+        """The number of buckets that a clustered table is read in; None for other tables."""
+        entry = self.state.tables.get(table)
+        return entry["n"] if entry and entry["cluster"] and entry["versions"] else None
+
     def _buckets(self, table: str) -> int:
         entry = self.state.tables.get(table)
         return entry["n"] if entry else self.store.buckets
@@ -253,14 +287,16 @@ class Transaction:
         return Touched(self, affected, list(keys))
 
     # ---------------------------------------------------------------- writing
-    def _new_entry(self, df: DataFrame, keys) -> dict:
-        return {"schema": df.schema.jsonValue(), "keys": list(keys), "n": self.store.buckets, "versions": [], "buckets": {}, "wrote": {}, "bytes": {}}
+    def _new_entry(self, df: DataFrame, keys, cluster=()) -> dict:
+        if keys and cluster:
+            raise ValueError("a table is keyed or clustered")
+        return {"schema": df.schema.jsonValue(), "keys": list(keys), "cluster": list(cluster), "n": self.store.buckets, "versions": [], "buckets": {}, "wrote": {}, "bytes": {}}
 
-    def _entry(self, df: DataFrame, table: str, keys) -> dict:
+    def _entry(self, df: DataFrame, table: str, keys, cluster) -> dict:
         old = self.state.tables.get(table)
-        if old is not None and old["keys"] != list(keys):
-            raise ValueError(f"{table} is keyed by {old['keys']}")
-        return old or self._new_entry(df, keys)
+        if old is not None and (old["keys"], old["cluster"]) != (list(keys), list(cluster)):
+            raise ValueError(f"{table} is keyed by {old['keys']}, clustered by {old['cluster']}")
+        return old or self._new_entry(df, keys, cluster)
 
     def _write(self, df: DataFrame, table: str, entry: dict) -> tuple[str, list[str], int]:
         version = f"{table}/{uuid.uuid4().hex}"
@@ -268,6 +304,10 @@ class Transaction:
         if entry["keys"]:
             # rows of a bucket go together; a bucket beyond Spark's advisory size is dealt to several tasks, small ones share one
             df.withColumn(BUCKET, bucket_of(entry["keys"], entry["n"])).hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(path)
+        elif entry["cluster"]:
+            by, name = entry["cluster"], _passing_name()
+            df.repartition(entry["n"], *by).write.bucketBy(entry["n"], *by).sortBy(*by).option("path", path).saveAsTable(name, format="parquet")
+            self.spark.sql(f"DROP TABLE {name}")
         else:
             df.write.parquet(path)
         p, fs = self.store._fs(path)
@@ -286,13 +326,13 @@ class Transaction:
             self.state.tables[table] = entry
         return self._of([f"{self.store.root}/{version}"] if version in live else [], T.StructType.fromJson(entry["schema"]))
 
-    def append(self, df: DataFrame, table: str, keys=()) -> DataFrame:
+    def append(self, df: DataFrame, table: str, keys=(), cluster=()) -> DataFrame:
         """K1: add rows; earlier versions stay as they are.  Returns the rows as written."""
-        return self._put(df, table, self._entry(df, table, keys))
+        return self._put(df, table, self._entry(df, table, keys, cluster))
 
-    def replace(self, df: DataFrame, table: str, keys=()) -> DataFrame:
+    def replace(self, df: DataFrame, table: str, keys=(), cluster=()) -> DataFrame:
         """K2: the rows of ``df`` become the whole table."""
-        return self._put(df, table, self._new_entry(df, keys))
+        return self._put(df, table, self._new_entry(df, keys, cluster))
 
     def upsert(self, new_rows: DataFrame, affected: DataFrame, table: str, keys, touched: Touched | None = None) -> None:
         """K3/K4: delete the rows whose ``keys`` appear in ``affected``, insert ``new_rows`` (rows of such keys only).
