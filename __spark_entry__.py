@@ -20,7 +20,7 @@ from tidemark.operators.history import apply_snapshots, compress_history, detect
 from tidemark.operators.latest import latest_snapshot, latest_state
 from tidemark.plans.bootstrap import CHILD_DIM, CHILD_HISTORY, PARENT_DIM, PARENT_HISTORY
 from tidemark.plans.increment import affected_keys, high_water_mark, incremental_scan, tenant_marks
-from tidemark.plans.scenario import SEED_AS_OF, SEED_MARK, assembled_runs, daily_runs, late_rows, retried_runs, streamed_runs, tenant_run
+from tidemark.plans.scenario import SEED_AS_OF, SEED_MARK, assembled_runs, daily_runs, keyed_stream, late_rows, retried_runs, streamed_runs, tenant_run
 from tidemark.schemas import CHILD, PARENT, PARENT_STATIC, CHILD_BASE
 from tidemark.sources import fixtures as fx
 from tidemark.functions.time import ntz
@@ -282,6 +282,8 @@ def core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "assembled_history_parent": _store_table(assembled_runs, PARENT_HISTORY, PARENT),
         "assembled_history_child": _store_table(assembled_runs, CHILD_HISTORY, CHILD),
         "stream_late_rows": late_rows,
+        "keyed_history_parent": lambda s, sf: keyed_stream(s, sf, PARENT),
+        "keyed_history_child": lambda s, sf: keyed_stream(s, sf, CHILD),
     }
 
 
@@ -474,5 +476,7 @@ LEFT JOIN {pdim(q)} p ON {O.nse('b', 'p', ['cliente', 'folio_padre'])}"""),
         "assembled_history_parent": incr_hist("parent"),
         "assembled_history_child": incr_hist("child"),
         "stream_late_rows": lambda q: q.select(f"SELECT {all_cols} FROM case_log WHERE day(fecha_registro) % 7 = 3"),
+        "keyed_history_parent": lambda q: q.select(f"SELECT {O.P_COLS} FROM {O.compress(q, 'case_log', 'parent')}"),
+        "keyed_history_child": lambda q: q.select(f"SELECT {O.C_COLS} FROM {O.compress(q, 'case_log', 'child')}"),
     }
     return {name: _sql(b) for name, b in builders.items()}

@@ -16,10 +16,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.time import ntz
-from ..schemas import DAY, TS
+from ..operators.history import compress_history
+from ..schemas import DAY, TS, Level
 from ..session import scratch
 from ..sinks.store import TableStore, Transaction
 from ..sources import fixtures as fx
+from ..streaming.keyed import land_changes, last_seen, run_keyed
 from ..streaming.stream import landing_markers, run_stream, snapshot_stream, write_markers
 from .bootstrap import bootstrap
 from .increment import LATE, RunResult, high_water_mark, incremental_scan, keep_lookups, run_from_source, run_increment
@@ -183,3 +185,18 @@ def assembled_runs(spark: SparkSession, sf_dir: str) -> TableStore:
 def late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows that came after their time was processed."""
     return assembled_runs(spark, sf_dir).read(LATE).drop("run_id")
+
+
+def keyed_stream(spark: SparkSession, sf_dir: str, level: Level) -> DataFrame:
+    """The level's changes: those up to the seed day from the log, the later ones by the keyed state operator, which
+    starts from the state of that day and finds each later snapshot's changes and borders landed."""
+    def build():
+        raw, _, _ = landed_inputs(spark, sf_dir)
+        seed = raw.filter(F.col(TS) <= ntz(SEED_MARK))
+        folder, into, checkpoint = (scratch(spark, f"keyed-{level.name}-{n}") for n in ("in", "out", "checkpoint"))
+        for t in later_snapshots(raw):
+            schema = land_changes(raw.filter(F.col(TS) == ntz(t)), level, folder)
+        run_keyed(spark, folder, schema, level, into, checkpoint, last_seen(seed, level), files_per_trigger=16)
+        later = spark.read.parquet(into).filter("NOT late").select(*level.columns)
+        return compress_history(seed, level).select(*level.columns).unionByName(later)
+    return _once(spark, sf_dir, f"keyed-{level.name}", build)
