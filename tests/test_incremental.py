@@ -6,16 +6,18 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF001
+from conftest import SF001, raw_df, ts
 import oracle as O
 import __spark_entry__ as E
 from tidemark.operators.history import compress_history
-from tidemark.plans.bootstrap import CHILD_DIM, CHILD_HISTORY, PARENT_DIM, PARENT_HISTORY
+from tidemark.plans.bootstrap import CHILD_DIM, CHILD_HISTORY, PARENT_DIM, PARENT_HISTORY, bootstrap
 from tidemark.plans.increment import high_water_mark, run_from_source, run_increment, tenant_marks
-from tidemark.plans.scenario import daily_runs, streamed_runs, _inputs
+from tidemark.plans.scenario import daily_runs, landed_inputs, streamed_runs, _inputs
 from tidemark.schemas import CHILD, PARENT, SUPPRESSED
 from test_oracle import TABLES, rows_of_spark, rows_of_sql
 from tidemark.functions.time import ntz
+from tidemark.session import scratch
+from tidemark.sinks.store import TableStore
 
 
 @pytest.fixture(scope="module")
@@ -225,3 +227,27 @@ def test_compaction_of_a_store_that_never_saw_a_child(spark, monkeypatch):
     monkeypatch.setattr(increment, "compact_state", broken)
     result = run_increment(store, raw_df(spark, [dict(fecha_registro=ts(3), folio_hijo="", estado_padre="x")]), det, ben)
     assert result.rows == 1 and store.read(PARENT_HISTORY).count() == 3
+
+
+def test_runs_from_the_history_mark(spark):
+    """Snapshots 2 and 3 change children only, so each run from the history's newest time reads them again."""
+    def day(d, parent, child, gone=()):
+        return [dict(folio_padre=f"P{k}", folio_hijo=f"H{k}", fecha_registro=ts(d), estado_padre=parent, estado_hijo=child[k % len(child)])
+                for k in range(6) if k not in gone] + [dict(folio_padre=None, fecha_registro=ts(d), estado_padre=parent, estado_hijo=child[0])] * (d > 4)
+    days = [raw_df(spark, r).cache() for r in (day(1, "a", "x"), day(2, "a", "xy"), day(3, "a", "yx"), day(5, "b", "xz", gone=(2,)))]
+    _, det, ben = landed_inputs(spark, SF001)
+    stores = {}
+    for mark in ("processed", "history"):
+        store = stores[mark] = TableStore(spark, scratch(spark, f"mark-{mark}"), buckets=2)
+        bootstrap(store, days[0], det, ben, "2024-01-01")
+        log, read = days[0], []
+        for d in days[1:]:
+            log = log.unionByName(d)
+            read.append(run_from_source(store, log, det, ben, mark=mark).rows)
+        assert read == ([6, 6, 6] if mark == "processed" else [6, 12, 18])
+        assert high_water_mark(store) == ts(5) and run_from_source(store, log, det, ben, mark=mark).rows == 0
+    for table, columns in ((PARENT_HISTORY, PARENT.columns), (CHILD_HISTORY, CHILD.columns), (PARENT_DIM, None), (CHILD_DIM, None)):
+        one, other = (s.read(table) if columns is None else s.read(table).select(*columns) for s in stores.values())
+        assert rows_of_spark(one) == rows_of_spark(other), table
+    with pytest.raises(ValueError):
+        run_from_source(stores["history"], log, det, ben, mark="history", snapshots="each")

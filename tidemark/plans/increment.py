@@ -22,7 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.nulls import not_blank, null_safe_join
+from ..functions.nulls import keyed_filter, not_blank, null_safe_join
 from ..functions.time import ntz
 from ..operators.dims import (child_dim, child_summary_parts, finish_parent_summary, merge_child_parts,
                               merge_child_summary, merge_parent_summary, parent_dim, parent_summary_parts,
@@ -66,7 +66,7 @@ def high_water_mark(store: TableStore, source: str = "processed") -> dt.datetime
     ``processed``: the mark recorded with each committed run (Q1), which
     scheduled runs read.  ``history``: the newest timestamp in the parent
     history, as the original takes it; snapshots that change no parent come
-    after it, so it is for reports only.
+    after it, so a run from it reads them again (``run_from_source(mark="history")``).
     """
     if source == "history":
         ph = store.read(PARENT_HISTORY)
@@ -139,24 +139,33 @@ def _counted(df: DataFrame) -> tuple[DataFrame, Observation]:
     return df.observe(seen, F.count(F.lit(1)).alias("n")), seen
 
 
-def _level_rows_out(state: DataFrame | None, buckets: int | None, batch: DataFrame, level: Level, scope: str, snapshots: str) -> DataFrame:
+def _after_state(batch: DataFrame, state: DataFrame, level: Level, buckets: int | None) -> DataFrame:
+    """The rows of ``batch`` that come after their key's newest stored row: those up to it were applied before."""
+    keys = list(level.keys)
+    own = keyed_filter(state, batch.select(*keys).distinct(), keys, "left_semi", buckets)
+    known = null_safe_join(batch, own.select(*keys, F.col(TS).alias("_stored")), keys, "left")
+    return known.filter(F.col("_stored").isNull() | F.coalesce(F.col(TS) > F.col("_stored"), F.lit(False))).drop("_stored")
+
+
+def _level_rows_out(state: DataFrame | None, buckets: int | None, batch: DataFrame, level: Level, scope: str, snapshots: str, reread: bool) -> DataFrame:
     if snapshots == "each":
         return apply_snapshots(batch, state, level, scope, buckets=buckets)
-    out = detect_changes(batch, state, level, buckets=buckets)
+    fresh = _after_state(batch, state, level, buckets) if reread and state is not None else batch
+    out = detect_changes(fresh, state, level, buckets=buckets)
     if state is None:
         return out
     newest = latest_snapshot(level_rows(batch, level), scope)
     return out.unionByName(suppressed_incremental(state, newest, level, scope=scope, buckets=buckets))
 
 
-def _history_step(tx: Transaction, batch: DataFrame, level: Level, scope: str, snapshots: str) -> tuple[int, DataFrame]:
+def _history_step(tx: Transaction, batch: DataFrame, level: Level, scope: str, snapshots: str, reread: bool) -> tuple[int, DataFrame]:
     """Append the level's changes and markers to history, state and summary; returns them and their number."""
     history, state_table, summary_table, parts = (
         (PARENT_HISTORY, PARENT_STATE, PARENT_SUMMARY, parent_summary_parts) if level is PARENT else
         (CHILD_HISTORY, CHILD_STATE, CHILD_SUMMARY, child_summary_parts))
     keys = list(level.keys)
     state = latest_state(tx.read(state_table), level) if tx.exists(state_table) else None
-    out, seen = _counted(_level_rows_out(state, tx.buckets_of(state_table), batch, level, scope, snapshots).select(*level.columns, TIE))
+    out, seen = _counted(_level_rows_out(state, tx.buckets_of(state_table), batch, level, scope, snapshots, reread).select(*level.columns, TIE))
     written = tx.append(out, history)
     n = seen.get["n"]
     if n:
@@ -171,8 +180,10 @@ def _open(store: TableStore, run_id: str | None) -> Transaction | None:
     return None if run_id is not None and any(r["run_id"] == run_id for r in tx.state.runs) else tx
 
 
-def _fresh(tx: Transaction, rows: DataFrame, scope: str, into: str = "_fresh") -> DataFrame:
-    """``rows`` with a flag: after the mark (in tenant scope the tenant's own), so not yet processed (T4)."""
+def _fresh(tx: Transaction, rows: DataFrame, scope: str, into: str = "_fresh", since: dt.datetime | None = None) -> DataFrame:
+    """``rows`` with a flag: after the mark (in tenant scope the tenant's own; ``since``, if it is given), so not yet processed (T4)."""
+    if since is not None:
+        return rows.withColumn(into, F.coalesce(F.col(TS) > ntz(since), F.lit(False)))
     own = {None if k == "n" else k[1:]: _time(v) for k, v in tx.state.marks.items() if k}
     mark = _time(tx.state.marks.get(""))
     if scope == "tenant" and own:
@@ -181,7 +192,7 @@ def _fresh(tx: Transaction, rows: DataFrame, scope: str, into: str = "_fresh") -
 
 
 def run_increment(store: TableStore, batch: DataFrame, details: DataFrame | str, benefits: DataFrame | str,
-                  run_id: str | None = None, scope: str = "global", snapshots: str = "newest") -> RunResult:
+                  run_id: str | None = None, scope: str = "global", snapshots: str = "newest", since: dt.datetime | None = None) -> RunResult:
     """Apply one batch of raw rows.
 
     ``details`` and ``benefits`` are frames, or names of tables of the store (``keep_lookups``).
@@ -192,14 +203,18 @@ def run_increment(store: TableStore, batch: DataFrame, details: DataFrame | str,
     ``scope="tenant"``: marks and snapshots are each tenant's own.
     Rows at or before the mark are late (T4): never applied, but kept in the table
     ``late_rows`` with the run that brought them; a run of late rows only is recorded as well.
+    ``since``: a mark of the caller's in place of the processed one.  Rows applied before may then come again; those up
+    to their key's newest stored row make no change.  With ``scope="global"`` and ``snapshots="newest"`` only.
     """
+    if since is not None and (scope, snapshots) != ("global", "newest"):
+        raise ValueError("a mark of the caller's needs scope 'global' and snapshots 'newest'")
     tx = _open(store, run_id)
     if tx is None:
         return RunResult(run_id, skipped=True)
     require_columns(batch, CHILD.columns + PARENT.columns + (TIE,), "batch")
-    flagged = _fresh(tx, batch, scope).persist(StorageLevel.MEMORY_AND_DISK)
+    flagged = _fresh(tx, batch, scope, since=since).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _apply(store, tx, flagged, details, benefits, run_id, scope, snapshots)
+        return _apply(store, tx, flagged, details, benefits, run_id, scope, snapshots, reread=since is not None)
     finally:
         flagged.unpersist()
 
@@ -246,7 +261,7 @@ def run_assembled(store: TableStore, batch: DataFrame, markers: DataFrame, detai
 
 
 def _apply(store: TableStore, tx: Transaction, flagged: DataFrame, details: DataFrame | str, benefits: DataFrame | str, run_id: str | None,
-           scope: str, snapshots: str, held: int = 0) -> RunResult:
+           scope: str, snapshots: str, held: int = 0, reread: bool = False) -> RunResult:
     """Apply the fresh rows of ``flagged``, keep the others as late, commit."""
     cached: list[DataFrame] = []
     mark = _time(tx.state.marks.get(""))
@@ -266,7 +281,7 @@ def _apply(store: TableStore, tx: Transaction, flagged: DataFrame, details: Data
             marks[""] = max(marks[""], mark.isoformat(sep=" "))  # a tenant may trail the others
         result.mark = _time(marks.get(""))
         if rows:
-            _apply_rows(tx, flagged.filter(fresh).drop("_fresh"), details, benefits, scope, snapshots, result, cached)
+            _apply_rows(tx, flagged.filter(fresh).drop("_fresh"), details, benefits, scope, snapshots, result, cached, reread)
         record = {"run_id": run_id or f"run-{marks.get('')}", "mark": marks.get(""), "rows": rows, "late": late, "held": held}
         tx.commit(record, marks)
     finally:
@@ -280,13 +295,13 @@ def _apply(store: TableStore, tx: Transaction, flagged: DataFrame, details: Data
 
 
 def _apply_rows(tx: Transaction, batch: DataFrame, details: DataFrame | str, benefits: DataFrame | str, scope: str, snapshots: str,
-                result: RunResult, cached: list) -> None:
+                result: RunResult, cached: list, reread: bool) -> None:
     starts = tenant_start(batch)
     if tx.exists(TENANT_START):
         starts = tx.read(TENANT_START).unionByName(starts).groupBy(TENANT).agg(F.min("fecha_primer_registro").alias("fecha_primer_registro"))
     (n_p, parents), (n_c, children), starts, _, _ = together(
-        lambda: _history_step(tx, batch, PARENT, scope, snapshots),
-        lambda: _history_step(tx, batch, CHILD, scope, snapshots),
+        lambda: _history_step(tx, batch, PARENT, scope, snapshots, reread),
+        lambda: _history_step(tx, batch, CHILD, scope, snapshots, reread),
         lambda: tx.replace(starts, TENANT_START),
         lambda: tx.append(latest_parent_rows(batch), LATEST_PARENT, P_KEYS),
         lambda: tx.append(latest_child_rows(batch), LATEST_CHILD, C_KEYS))
@@ -342,10 +357,17 @@ def compact_state(store: TableStore, versions: int = 2) -> list[str]:
 
 
 def run_from_source(store: TableStore, raw: DataFrame, details: DataFrame | str, benefits: DataFrame | str,
-                    scope: str = "global", **kwargs) -> RunResult:
-    """Scheduled form: read the rows newer than the high-water mark, then run."""
-    mark = tenant_marks(store) if scope == "tenant" else high_water_mark(store)
-    return run_increment(store, incremental_scan(raw, mark), details, benefits, scope=scope, **kwargs)
+                    scope: str = "global", mark: str = "processed", **kwargs) -> RunResult:
+    """Scheduled form: read the rows newer than the high-water mark, then run.
+
+    ``mark="history"``: from the newest time in the parent history, as the original does (T1); snapshots since then that
+    changed no parent are read again and change nothing."""
+    if mark not in ("processed", "history"):
+        raise ValueError(f"unknown mark {mark!r}")
+    if mark == "history" and (since := high_water_mark(store, mark)) is not None:
+        return run_increment(store, incremental_scan(raw, since), details, benefits, scope=scope, since=since, **kwargs)
+    after = tenant_marks(store) if scope == "tenant" else high_water_mark(store)
+    return run_increment(store, incremental_scan(raw, after), details, benefits, scope=scope, **kwargs)
 
 
 def affected_keys(batch: DataFrame, markers: DataFrame, level: Level) -> DataFrame:
