@@ -11,7 +11,8 @@ border needs the past, so a hot key is one row a batch to the keyed operator, wh
 changes inside the batch pass it by.
 
 Batches of a key come in the order of their times.  A border that begins at or before the last row of its
-key is late: it comes out with ``late`` set and leaves the state alone (so does a border that was landed twice).
+key is late: it comes out with ``late`` set and leaves the state alone (so does a border that was landed twice; the
+changes inside such a batch come out twice, so a landing that may be repeated needs a folder of its own, moved in whole).
 Rows with a NULL key have no predecessor (N3): they are changes and need no state.  Absence needs whole
 snapshots and stays with ``run_stream``.
 """
