@@ -48,13 +48,16 @@ def not_contains_or_null(c, needle: str) -> Column:
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "left",
-                   right_keys=None) -> DataFrame:
+                   right_keys=None, few: bool = False) -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL.
 
     ``right_keys`` names the key columns on the right when they differ.  The
     output carries the left key columns once, like ``join(on=[...])``.  Spark
     plans ``<=>`` as an ordinary equi-join key, so the join stays a
-    hash/sort-merge join (and AQE may still turn it into a broadcast).
+    sort-merge join: a right side that grows with the cases would be collected
+    by the driver for a broadcast, once a join and run, as long as it is below
+    Spark's threshold.  ``few``: the right side has a row per tenant or
+    snapshot; Spark may broadcast it by its measured size.
     """
     keys = list(keys)
     right_keys = list(right_keys or keys)
@@ -62,6 +65,8 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys, how: str = "left",
     r = right
     for rk, t in zip(right_keys, tmp):
         r = r.withColumnRenamed(rk, t)
+    if not few:
+        r = r.hint("merge")
     cond = [left[k].eqNullSafe(r[t]) for k, t in zip(keys, tmp)]
     out = left.join(r, cond, how)
     if how in ("left_semi", "left_anti", "semi", "anti", "leftsemi", "leftanti"):
@@ -80,5 +85,5 @@ def keyed_filter(left: DataFrame, keys_df: DataFrame, keys, how: str, buckets: i
     if buckets is None:
         return null_safe_join(left, keys_df, keys, how)
     odd = any_null(keys)
-    known = left.filter(~odd).join(keys_df.filter(~odd).repartition(buckets, *keys), keys, how)
+    known = left.filter(~odd).join(keys_df.filter(~odd).repartition(buckets, *keys).hint("merge"), keys, how)
     return known.unionByName(null_safe_join(left.filter(odd), keys_df.filter(odd), keys, how))

@@ -117,7 +117,7 @@ def acceptance_legacy_batch(legacy: DataFrame, history: DataFrame, match_tenant:
         hist = null_safe_join(hist, ident, keys, "left_semi")
     else:
         tenants = ident.select("cliente").distinct()
-        hist = null_safe_join(hist, tenants, ["cliente"], "left_semi")
+        hist = null_safe_join(hist, tenants, ["cliente"], "left_semi", few=True)
         hist = null_safe_join(hist, ident.select("folio_padre").distinct(), ["folio_padre"], "left_semi")
     # Earliest (time, is-Asignado) pair: the flag is 0 when some row at the
     # earliest time is in another state.

@@ -139,7 +139,7 @@ def detect_changes(new: DataFrame, stored_state: DataFrame | None, level: Level
         wanted = batch.select(*keys).distinct()
         if buckets is not None:
             wanted = wanted.repartition(buckets, *keys)
-        old = stored_state.select(*cols).join(wanted, keys, "left_semi")
+        old = stored_state.select(*cols).join(wanted.hint("merge"), keys, "left_semi")
         batch = old.withColumn("_is_new", F.lit(False)).unionByName(batch)
     return changed_rows(batch, level.keys, level.state, TS, tie, pre=("_is_new",)).filter("_is_new").select(*cols)
 
@@ -227,7 +227,7 @@ def suppressed_incremental(latest: DataFrame, snapshot: DataFrame, level: Level
         gone = gone.withColumn(TS, newest).filter(F.col(TS).isNotNull())
     elif scope == "tenant":
         per_tenant = rows.groupBy(tenant).agg(F.max(TS).alias("_snap"))
-        gone = null_safe_join(gone, per_tenant, [tenant], "inner")
+        gone = null_safe_join(gone, per_tenant, [tenant], "inner", few=True)
         gone = gone.withColumn(TS, F.col("_snap")).drop("_snap")
     else:
         raise ValueError(f"unknown scope {scope!r}")
@@ -260,7 +260,7 @@ def apply_snapshots(batch: DataFrame, stored_state: DataFrame | None, level: Lev
     times = rows.select(*of, TS).distinct()
     order = Window.partitionBy(*of).orderBy(TS)  # one row per snapshot (and tenant)
     steps = times.withColumn("_next", F.lead(TS).over(order))
-    due = null_safe_join(seen.filter("NOT _gone"), steps, [*of, TS]).filter("_next IS NOT NULL")
+    due = null_safe_join(seen.filter("NOT _gone"), steps, [*of, TS], few=True).filter("_next IS NOT NULL")
     due = due.select(*keys, F.col("_next").alias(TS))
     missing = null_safe_join(due, seen.select(*keys, TS), [*keys, TS], "left_anti")
     if stored_state is not None:
@@ -268,8 +268,8 @@ def apply_snapshots(batch: DataFrame, stored_state: DataFrame | None, level: Lev
         active = stored_state.filter(ne_or_null(F.col(level.state), F.lit(SUPPRESSED))).select(*keys)
         if of:
             first = times.groupBy(*of).agg(F.min(TS).alias("_first"))
-            active = null_safe_join(active, first, of, "inner").select(*keys, F.col("_first").alias(TS))
-            there = null_safe_join(seen, first, of, "inner").filter(F.col(TS).eqNullSafe(F.col("_first")))
+            active = null_safe_join(active, first, of, "inner", few=True).select(*keys, F.col("_first").alias(TS))
+            there = null_safe_join(seen, first, of, "inner", few=True).filter(F.col(TS).eqNullSafe(F.col("_first")))
         else:
             first = times.agg(F.min(TS)).scalar()
             active = active.withColumn(TS, first).filter(F.col(TS).isNotNull())

@@ -99,7 +99,7 @@ def incremental_scan(raw: DataFrame, mark) -> DataFrame:
 def _with_mark(rows: DataFrame, mark: dict) -> DataFrame:
     kind = rows.schema[TENANT].dataType.simpleString()
     table = rows.sparkSession.createDataFrame(list(mark.items()), f"{TENANT} string, _mark timestamp_ntz")
-    return null_safe_join(rows, table.withColumn(TENANT, F.col(TENANT).cast(kind)), [TENANT], "left")
+    return null_safe_join(rows, table.withColumn(TENANT, F.col(TENANT).cast(kind)), [TENANT], "left", few=True)
 
 
 #: Lookup tables that a store can keep, and their keys.
@@ -242,11 +242,11 @@ def run_assembled(store: TableStore, batch: DataFrame, markers: DataFrame, detai
     try:
         landed = flagged.filter(F.col("_fresh") & F.col(TS).isNotNull()).groupBy(*of, TS).agg(F.count(F.lit(1)).alias("_have"))
         told = markers.groupBy(*of, TS).agg(F.max("n_rows").alias("_told"))
-        partial = null_safe_join(landed, told, [*of, TS], "left").filter(F.col("_told").isNull() | (F.col("_have") < F.col("_told")))
+        partial = null_safe_join(landed, told, [*of, TS], "left", few=True).filter(F.col("_told").isNull() | (F.col("_have") < F.col("_told")))
         first = partial.groupBy(*of).agg(F.min(TS).alias("_first"))  # a row, or one per tenant
         waits = F.col("_fresh") & F.coalesce(F.col(TS) >= F.col("_first"), F.lit(False))
         if of:
-            split = null_safe_join(flagged, first, of, "left")
+            split = null_safe_join(flagged, first, of, "left", few=True)
         else:
             split = flagged.withColumn("_first", first.select("_first").scalar())
         split = split.withColumn("_waits", waits).drop("_first").persist(StorageLevel.MEMORY_AND_DISK)

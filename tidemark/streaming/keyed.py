@@ -64,7 +64,7 @@ def land_changes(batch: DataFrame, level: Level, folder: str) -> StructType:
     rows = _ordered(batch, level)
     borders = _ends(rows, level)
     # a key's first change is its border; NULL keys have none and stay
-    inner = changed_rows(rows, keys, level.state, TS, TIE).join(borders.select(*keys, "_at", "_tie"), [*keys, "_at", "_tie"], "left_anti")
+    inner = changed_rows(rows, keys, level.state, TS, TIE).join(borders.select(*keys, "_at", "_tie").hint("merge"), [*keys, "_at", "_tie"], "left_anti")
     absent = {n: F.lit(None).cast(borders.schema[n].dataType) for n in LAST}
     landed = borders.withColumn("_border", F.lit(True)).unionByName(inner.withColumns({**absent, "_border": F.lit(False)}))
     landed = landed.select(*cols, "_at", "_tie", *LAST, "_border")
