@@ -1,4 +1,4 @@
-"""What a run moves: keys that grow with the cases don't pass the driver."""
+"""What a run moves: keys that grow with the cases don't pass the driver, and lookups are moved once a key."""
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,7 +7,10 @@ from conftest import raw_df, ts
 from tidemark.functions.nulls import keyed_filter, null_safe_join
 from tidemark.operators.history import apply_snapshots, detect_changes
 from tidemark.operators.latest import latest_state
+from tidemark.plans.increment import BENEFITS, DETAILS, keep_lookups
 from tidemark.schemas import CHILD, PARENT
+from tidemark.session import scratch
+from tidemark.sinks.store import TableStore
 
 
 def plan_of(df):
@@ -37,3 +40,17 @@ def test_a_run_does_not_broadcast_its_keys(spark, level):
     assert "BroadcastHashJoin" not in plan_of(detect_changes(later, state, level))
     out = apply_snapshots(later, state, level)
     assert out.filter(F.col(level.state) == "Folio suprimido").count() == 3 and out.count() == 7
+
+
+def test_lookups_keep_the_rows_that_can_be_the_last_loaded(spark):
+    details = spark.createDataFrame(
+        [("u/1", "old", 1), ("u/1", "new", 2), ("u/2", "tie", 5), ("u/2", "tie as well", 5), ("u/2", "old", 4),
+         (None, "old", 1), (None, "new", 3), ("u/3", "numbered", 9), ("u/3", "unnumbered", None)],
+        "url_ficha string, problema_salud string, load_seq bigint")
+    benefits = spark.createDataFrame([("1", "H1", "old", 1), ("1", "H1", "new", 2), ("2", "H1", "other tenant", 1), (None, None, "x", 1)],
+                                     "cliente string, folio string, descripcion string, load_seq bigint")
+    store = TableStore(spark, scratch(spark, "last-loaded"), buckets=2)
+    assert keep_lookups(store, details, benefits) == (DETAILS, BENEFITS)
+    held = {tuple(r) for r in store.read(DETAILS).select("url_ficha", "problema_salud").collect()}
+    assert held == {("u/1", "new"), ("u/2", "tie"), ("u/2", "tie as well"), (None, "new"), ("u/3", "unnumbered")}
+    assert {r["descripcion"] for r in store.read(BENEFITS).collect()} == {"new", "other tenant", "x"}

@@ -19,7 +19,7 @@ import logging
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..functions.nulls import keyed_filter, not_blank, null_safe_join
@@ -28,9 +28,9 @@ from ..operators.dims import (child_dim, child_summary_parts, finish_parent_summ
                               merge_child_summary, merge_parent_summary, parent_dim, parent_summary_parts,
                               tenant_start)
 from ..operators.history import apply_snapshots, detect_changes, level_rows, suppressed_incremental
-from ..operators.latest import latest_per_key, latest_snapshot, latest_state
+from ..operators.latest import latest_per_key, latest_snapshot, latest_state, load_order
 from ..schemas import CHILD, DAY, PARENT, RAW_COLUMNS, SUPPRESSED, TENANT, TIE, TS, Level, require_columns
-from ..sinks.store import TableStore, Transaction, together
+from ..sinks.store import TableStore, Touched, Transaction, together
 from .bootstrap import (C_KEYS, CHILD_DIM, CHILD_HISTORY, CHILD_STATE, CHILD_SUMMARY, LATEST_CHILD, LATEST_PARENT,
                         P_KEYS, PARENT_DIM, PARENT_HISTORY, PARENT_STATE, PARENT_SUMMARY, TENANT_START,
                         latest_child_rows, latest_parent_rows, marks_of)
@@ -109,18 +109,28 @@ LOOKUP_KEYS = {DETAILS: ["url_ficha"], BENEFITS: ["cliente", "folio"]}
 
 def keep_lookups(store: TableStore, details: DataFrame, benefits: DataFrame) -> tuple[str, str]:
     """Keep details and benefits as keyed tables of the store (S4): a run that is given their names reads the buckets of its
-    keys instead of the whole tables.  New rows are added with ``store.append(rows, name, LOOKUP_KEYS[name])``."""
+    keys instead of the whole tables.  New rows are added with ``store.append(rows, name, LOOKUP_KEYS[name])``.
+
+    A run takes the last loaded row of a key (C15, C18).  Rows of the frames that are loaded before another one of their key can't be
+    that any more and aren't kept, so a run doesn't move and sort them again; rows that tie for it all are."""
     tx = store.transaction()
-    together(lambda: tx.replace(details, DETAILS, LOOKUP_KEYS[DETAILS]), lambda: tx.replace(benefits, BENEFITS, LOOKUP_KEYS[BENEFITS]))
+    together(lambda: tx.replace(_last_loaded(details, LOOKUP_KEYS[DETAILS]), DETAILS, LOOKUP_KEYS[DETAILS]),
+             lambda: tx.replace(_last_loaded(benefits, LOOKUP_KEYS[BENEFITS]), BENEFITS, LOOKUP_KEYS[BENEFITS]))
     tx.commit()
     return DETAILS, BENEFITS
 
 
-def _looked_up(tx: Transaction, table: DataFrame | str, wanted: DataFrame, keys) -> DataFrame:
-    """The rows of a lookup table that the keys ``wanted`` (columns in the order of ``keys``) ask for."""
+def _last_loaded(rows: DataFrame, keys) -> DataFrame:
+    """Each key's last loaded row, or rows that tie for it."""
+    last = Window.partitionBy(*keys).orderBy(*load_order(last=True))
+    return rows.withColumn("_rank", F.rank().over(last)).filter("_rank = 1").drop("_rank")
+
+
+def _looked_up(tx: Transaction, table: DataFrame | str, wanted: DataFrame, keys, touched: Touched | None = None) -> DataFrame:
+    """The rows of a lookup table that the keys ``wanted`` (columns in the order of ``keys``) ask for; ``touched``: their buckets, if known."""
     wanted = wanted.toDF(*keys).distinct()
     if isinstance(table, str):
-        table = tx.read(table, buckets=tx.touched(wanted, keys).of(table))
+        table = tx.read(table, buckets=(touched or tx.touched(wanted, keys)).of(table))
     return _semi(table, wanted, keys)
 
 
@@ -321,6 +331,8 @@ def _affected(tx: Transaction, batch: DataFrame, markers: DataFrame, level: Leve
 def _refresh_parents(tx, batch, markers, details, starts, cached) -> int:
     affected, touched = _affected(tx, batch, markers, PARENT, cached)
     raw = latest_per_key(_semi(tx.read(LATEST_PARENT, buckets=touched.of(LATEST_PARENT)), affected, P_KEYS), P_KEYS)
+    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
+    cached.append(raw)
     parts = _semi(tx.read(PARENT_SUMMARY, buckets=touched.of(PARENT_SUMMARY)), affected, P_KEYS)
     summary = finish_parent_summary(merge_parent_summary(parts))
     own_details = _looked_up(tx, details, raw.select("url_ficha"), LOOKUP_KEYS[DETAILS])
@@ -335,7 +347,7 @@ def _refresh_children(tx, batch, markers, benefits, cached) -> int:
     raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     cached.append(raw)
     first_last = merge_child_summary(_semi(tx.read(CHILD_SUMMARY, buckets=touched.of(CHILD_SUMMARY)), affected, C_KEYS))
-    own_benefits = _looked_up(tx, benefits, affected.select(*C_KEYS), LOOKUP_KEYS[BENEFITS])
+    own_benefits = _looked_up(tx, benefits, affected.select(*C_KEYS), LOOKUP_KEYS[BENEFITS], touched)
     # the parents of these children only
     parent_keys = raw.select(*P_KEYS).distinct()
     own_parents = tx.touched(parent_keys, P_KEYS).of(PARENT_DIM)
