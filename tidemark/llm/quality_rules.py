@@ -29,6 +29,8 @@ MIN_TEXT_WORDS, MAX_REPEAT_PERCENT, SYMBOLS = 50, 50, "#*$%&|<>"
 #: A repeat counts from so many words on; limits on what repeats cover and on the longest one, both as shares of the text's words.
 #: Covered words lie in 3-word windows found twice as well, so limits at or above the base rule's would reject nothing more.
 MIN_REPEAT_WORDS, MAX_COVERED, MAX_LONGEST = 8, 0.3, 0.2
+#: Text bytes measured at once (a longer text whole): the ranks of all rounds, tens of times as much, are held till its end.
+_AT_ONCE = 1 << 20
 
 _COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "covered_words", "longest_repeat"]
 _TYPE = "struct<" + ",".join(f"{c}:bigint" for c in _COLUMNS) + ",spans:array<struct<first:int,words:int>>>"
@@ -150,7 +152,7 @@ def measure(words: Words, min_words: int) -> dict[str, np.ndarray]:
 def _measured(min_words: int, text: str, into: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, end, data, offsets in chunks(batch.column(batch.schema.get_field_index(text))):
+            for row, end, data, offsets in chunks(batch.column(batch.schema.get_field_index(text)), _AT_ONCE):
                 m = measure(words_of(data, offsets, SPACED), min_words)
                 ends = np.searchsorted(m["span_doc"], np.arange(end - row + 1)).astype(np.int32)
                 span = pa.StructArray.from_arrays(
