@@ -42,6 +42,19 @@ def test_a_run_does_not_broadcast_its_keys(spark, level):
     assert out.filter(F.col(level.state) == "Folio suprimido").count() == 3 and out.count() == 7
 
 
+@pytest.mark.parametrize("scope", ["global", "tenant"])
+@pytest.mark.parametrize("level", [PARENT, CHILD])
+def test_a_pass_over_snapshots_takes_the_state_once(spark, level, scope):
+    first = raw_df(spark, [dict(cliente=c, folio_padre=f"P{k}", folio_hijo=f"H{k}", fecha_registro=ts(1)) for k in range(6) for c in ("1", None)])
+    later = raw_df(spark, [dict(cliente=c, folio_padre=f"P{k}", folio_hijo=f"H{k}", fecha_registro=ts(d), estado_padre="a", estado_hijo="x")
+                           for d in (2, 3, 4) for k in range(d, 6) for c in ("1", None)])
+    path = scratch(spark, "state")
+    latest_state(first, level).write.parquet(path)
+    out = apply_snapshots(later, spark.read.parquet(path), level, scope)
+    assert out.filter(F.col(level.state) == "Folio suprimido").count() == 8
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Relation [") == 1
+
+
 def test_lookups_keep_the_rows_that_can_be_the_last_loaded(spark):
     details = spark.createDataFrame(
         [("u/1", "old", 1), ("u/1", "new", 2), ("u/2", "tie", 5), ("u/2", "tie as well", 5), ("u/2", "old", 4),

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import raw_df, ts
 from tidemark.operators.history import compress_history, changed_rows
@@ -45,6 +46,8 @@ def test_changes_do_not_depend_on_ranges_and_batches(spark, ranges, batch):
         rows = got.collect()
         assert len(rows) == len({r[TIE] for r in rows}) and {r[TIE] for r in rows} == expected(df.collect())
         assert changed_rows(df.limit(0), KEYS, "estado_padre").count() == 0
+        with_more = {r[TIE] for r in changed_rows(df, KEYS, "estado_padre", always=F.col(TIE) % 3 == 0).collect()}
+        assert with_more == expected(df.collect()) | {r[TIE] for r in df.collect() if r[TIE] % 3 == 0}
     finally:
         for c, v in old.items():
             spark.conf.set(c, v)

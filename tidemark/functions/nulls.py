@@ -87,3 +87,13 @@ def keyed_filter(left: DataFrame, keys_df: DataFrame, keys, how: str, buckets: i
     odd = any_null(keys)
     known = left.filter(~odd).join(keys_df.filter(~odd).repartition(buckets, *keys).hint("merge"), keys, how)
     return known.unionByName(null_safe_join(left.filter(odd), keys_df.filter(odd), keys, how))
+
+
+def keyed_left_join(left: DataFrame, right: DataFrame, keys, buckets: int | None = None) -> DataFrame:
+    """Left join of ``right`` on ``keys``, NULL matching NULL (N5); ``buckets``: as in ``keyed_filter``, ``left`` stays where it is."""
+    keys = list(keys)
+    if buckets is None:
+        return null_safe_join(left, right, keys, "left")
+    odd = any_null(keys)
+    known = left.filter(~odd).join(right.filter(~odd).repartition(buckets, *keys).hint("merge"), keys, "left")
+    return known.unionByName(null_safe_join(left.filter(odd), right.filter(odd), keys, "left"))

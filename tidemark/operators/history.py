@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from ..functions.nulls import any_null, keyed_filter, ne_or_null, not_blank, null_safe_join
+from ..functions.nulls import any_null, keyed_filter, keyed_left_join, ne_or_null, not_blank, null_safe_join
 from ..schemas import PARENT, SUPPRESSED, TENANT, TIE, TS, Level, require_columns
 from .latest import first_per_key
 
@@ -27,7 +27,7 @@ def _order(ts: str, tie: str, pre=()) -> list[Column]:
     return [F.col(ts).asc_nulls_last(), *[F.col(p).asc() for p in pre], F.col(tie).asc_nulls_first()]
 
 
-def changed_rows(df: DataFrame, keys, state: str, ts: str = TS, tie: str = TIE, pre=()) -> DataFrame:
+def changed_rows(df: DataFrame, keys, state: str, ts: str = TS, tie: str = TIE, pre=(), always: Column | None = None) -> DataFrame:
     """The rows whose state differs from the previous row of their key.
 
     Rows are ordered by (``ts`` NULLS LAST, ``pre``..., ``tie``) within
@@ -40,23 +40,29 @@ def changed_rows(df: DataFrame, keys, state: str, ts: str = TS, tie: str = TIE,
     compared row by row, a batch of columns at a time; unchanged rows go no further.  Only a range's
     first row has its predecessor elsewhere: the last row of an earlier range, if that is of its key.  So the
     first and last row of every range, and no others, meet by key in a window; the changes pass it spread by a hash.
+
+    ``always``: rows for which it holds come out whether they are changes or not.
     """
     keys = list(keys)
     order = [*keys, F.col(ts).isNull(), ts, *pre, tie]
     names = [f"_o{k}" for k in range(len(order))]
     x = df.withColumns({n: F.col(c) if isinstance(c, str) else c for n, c in zip(names, order)})
+    if always is not None:
+        x = x.withColumn("_always", F.coalesce(always, F.lit(False)))
     x = x.repartitionByRange(*names).sortWithinPartitions(*names)
     schema = StructType([*x.schema.fields, StructField("_changed", BooleanType()), StructField("_edge", BooleanType())])
-    x = x.mapInArrow(_compared(keys, state), schema)
+    x = x.mapInArrow(_compared(keys, state, None if always is None else "_always"), schema)
     x = x.withColumn("_deal", F.when(~F.col("_edge"), F.xxhash64(*names)))
     edges = Window.partitionBy(*keys, "_deal").orderBy(*names)
     x = x.withColumn("_prev", F.lag(F.struct(F.col(state).alias("s"))).over(edges))
     differs = any_null(keys) | F.col("_prev").isNull() | ne_or_null(F.col(state), F.col("_prev.s"))
+    if always is not None:
+        differs = differs | F.col("_always")
     return x.filter(F.coalesce(F.col("_changed"), differs)).select(*df.columns)
 
 
-def _compared(keys: list[str], state: str):
-    """The changes among the sorted rows of a range, and its first row (``_changed`` is NULL, as the row before isn't here) and last row."""
+def _compared(keys: list[str], state: str, always: str | None = None):
+    """The changes (and ``always`` rows) among the sorted rows of a range, and its first row (``_changed`` is NULL, as the row before isn't here) and last row."""
     def run(batches):
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -76,6 +82,8 @@ def _compared(keys: list[str], state: str):
                 before = pa.nulls(1, column.type) if last is None else last.column(last.schema.get_field_index(name))
                 # NULL on either side counts as different
                 parts.append(pc.fill_null(pc.not_equal(column, pa.concat_arrays([before, column.slice(0, n - 1)])), True))
+            if always is not None:
+                parts.append(batch.column(batch.schema.get_field_index(always)))
             changed = reduce(pc.or_, parts)
             start = 0
             if last is None:
@@ -241,8 +249,9 @@ def apply_snapshots(batch: DataFrame, stored_state: DataFrame | None, level: Lev
 
     All snapshots are applied in one pass.  A key that is active at one
     snapshot (or in the stored state, before the first) and absent from the
-    next one gets a marker there; absence is an anti join of (key, next
-    snapshot) with the keys' (key, snapshot) rows.  The markers then take part
+    next one gets a marker there; a key's snapshots are a row each, so its next one is
+    read beside it, and each stored row meets its key's presence at the first snapshot in one
+    join, which tells both its marker and whether the pass needs it.  The markers then take part
     in change detection, so a key that comes back is a change (T6).  Child
     markers carry the context of the key's newest history row before them.
     Snapshots of a level are the times of its own rows, per tenant in tenant
@@ -260,36 +269,46 @@ def apply_snapshots(batch: DataFrame, stored_state: DataFrame | None, level: Lev
     times = rows.select(*of, TS).distinct()
     order = Window.partitionBy(*of).orderBy(TS)  # one row per snapshot (and tenant)
     steps = times.withColumn("_next", F.lead(TS).over(order))
-    due = null_safe_join(seen.filter("NOT _gone"), steps, [*of, TS], few=True).filter("_next IS NOT NULL")
-    due = due.select(*keys, F.col("_next").alias(TS))
-    missing = null_safe_join(due, seen.select(*keys, TS), [*keys, TS], "left_anti")
-    if stored_state is not None:
-        # the stored keys are due at the first snapshot
-        active = stored_state.filter(ne_or_null(F.col(level.state), F.lit(SUPPRESSED))).select(*keys)
-        if of:
-            first = times.groupBy(*of).agg(F.min(TS).alias("_first"))
-            active = null_safe_join(active, first, of, "inner", few=True).select(*keys, F.col("_first").alias(TS))
-            there = null_safe_join(seen, first, of, "inner", few=True).filter(F.col(TS).eqNullSafe(F.col("_first")))
-        else:
-            first = times.agg(F.min(TS)).scalar()
-            active = active.withColumn(TS, first).filter(F.col(TS).isNotNull())
-            there = seen.filter(F.col(TS) == first)
-        missing = missing.unionByName(keyed_filter(active, there.select(*keys), keys, "left_anti", buckets))
+    then = F.lead(TS).over(Window.partitionBy(*keys).orderBy(TS))  # at most a row per snapshot
+    due = null_safe_join(seen.withColumn("_then", then).filter("NOT _gone"), steps, [*of, TS], few=True)
+    missing = due.filter(F.col("_next").isNotNull() & ~F.col("_then").eqNullSafe(F.col("_next"))).select(*keys, F.col("_next").alias(TS))
     markers = _pad(missing.withColumn(level.state, F.lit(SUPPRESSED)), level, tie).withColumn("_kind", F.lit(2))
     every = rows.withColumn("_kind", F.lit(1)).unionByName(markers)
-    old = None
     if stored_state is not None:
-        # stored rows of the keys at hand; NULL keys count for the markers' context only
-        old = keyed_filter(stored_state.select(*cols), every.select(*keys).distinct(), keys, "left_semi", buckets).withColumn("_kind", F.lit(0))
-        every = old.unionByName(every)
-    out = changed_rows(every, keys, level.state, TS, tie, pre=("_kind",)).filter("_kind > 0")
+        every = _stored_part(stored_state.select(*cols), seen, times, level, of, tie, buckets).unionByName(every)
+    # the stored rows come out too, as the context of the markers
+    always = F.col("_kind") == 0 if stored_state is not None and level.context else None
+    line = changed_rows(every, keys, level.state, TS, tie, pre=("_kind",), always=always)
     if not level.context:
-        return out.select(*cols)
+        return line.filter("_kind > 0").select(*cols)
     context = [c for c in level.context if c not in keys]
-    line = (old.unionByName(out) if old is not None else out)
     before = Window.partitionBy(*keys).orderBy(*_order(TS, tie, ("_kind",))).rowsBetween(Window.unboundedPreceding, -1)
-    kept = F.last(F.when(F.col("_kind") < 2, F.struct(*context)), ignorenulls=True).over(before)
-    line = line.withColumn("_context", kept)
+    newest = F.last(F.when(F.col("_kind") < 2, F.struct(*context)), ignorenulls=True).over(before)
+    line = line.withColumn("_context", newest)
     for c in context:
         line = line.withColumn(c, F.when(F.col("_kind") == 2, F.col(f"_context.{c}")).otherwise(F.col(c)))
     return line.filter("_kind > 0").select(*cols)
+
+
+def _stored_part(stored: DataFrame, seen: DataFrame, times: DataFrame, level: Level, of: list[str], tie: str, buckets: int | None) -> DataFrame:
+    """What the stored state adds to a pass: the stored rows of the keys at hand (``_kind`` 0; NULL keys count for the
+    markers' context only) and the markers of the active ones absent from the first snapshot (``_kind`` 2)."""
+    keys = list(level.keys)
+    if of:
+        first = times.groupBy(*of).agg(F.min(TS).alias("_first"))
+        seen = null_safe_join(seen, first, of, "inner", few=True)
+    else:
+        seen = seen.withColumn("_first", times.agg(F.min(TS)).scalar())
+    there = seen.groupBy(*keys).agg(F.max(F.col(TS).eqNullSafe(F.col("_first"))).alias("_there"))
+    known = keyed_left_join(stored, there, keys, buckets)
+    # stored keys are due at the first snapshot, in tenant scope at their tenant's if it has one
+    if of:
+        known = null_safe_join(known, first.withColumn("_due", F.lit(True)), of, "left", few=True).withColumn("_due", F.coalesce("_due", F.lit(False)))
+    else:
+        known = known.withColumn("_first", times.agg(F.min(TS)).scalar()).withColumn("_due", F.col("_first").isNotNull())
+    absent = F.col("_due") & ne_or_null(F.col(level.state), F.lit(SUPPRESSED)) & ~F.coalesce("_there", F.lit(False))
+    kinds = F.when(absent, F.array(F.lit(0), F.lit(2))).when(F.col("_there").isNotNull(), F.array(F.lit(0)))
+    known = known.withColumn("_kind", F.explode(kinds))
+    marks = {TS: F.col("_first"), level.state: F.lit(SUPPRESSED)}
+    own = [F.col(c) if c in keys else F.when(F.col("_kind") == 2, marks.get(c, F.lit(None))).otherwise(F.col(c)).alias(c) for c in [*level.columns, tie]]
+    return known.select(*own, "_kind")
