@@ -8,7 +8,7 @@ from test_oracle import rows_of_spark
 from tidemark.operators.history import compress_history
 from tidemark.schemas import CHILD, PARENT
 from tidemark.session import scratch
-from tidemark.streaming.keyed import land_changes, last_seen, run_keyed
+from tidemark.streaming.keyed import LANDED_FILES, land_changes, last_seen, run_keyed
 
 
 def _day(day, states, **more):
@@ -58,6 +58,23 @@ def test_a_hot_key_is_one_border_a_batch(spark):
     assert landed.filter("_border").count() == 2 and landed.filter("NOT _border").count() == 599
 
 
+def test_a_batch_is_few_files_whatever_its_partitions(spark):
+    new = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "9"}
+    old = {c: spark.conf.get(c) for c in new}
+    day = raw_df(spark, [dict(folio_padre=f"P{k}", estado_padre=s) for k in range(60) for s in "xyx"])
+    folder = scratch(spark, "few-files")
+    try:
+        for c, v in new.items():
+            spark.conf.set(c, v)
+        land_changes(day, PARENT, folder)
+        landed = spark.read.parquet(folder)
+        assert len(landed.inputFiles()) <= LANDED_FILES
+        assert landed.filter("_border").count() == 60 and landed.filter("NOT _border").count() == 120
+    finally:
+        for c, v in old.items():
+            spark.conf.set(c, v)
+
+
 def test_restart_and_late_batches(spark):
     days = [raw_df(spark, d).cache() for d in DAYS[:3]]
     folder, schema, into, checkpoint = _streamed(spark, days[:1], PARENT)

@@ -33,6 +33,8 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 #: What a border says of its key's last row.
 LAST = ("_last_at", "_last_tie", "_last_state")
+#: Files of a landed batch.
+LANDED_FILES = 3
 
 
 def _ordered(raw: DataFrame, level: Level) -> DataFrame:
@@ -58,8 +60,11 @@ def last_seen(raw: DataFrame, level: Level) -> DataFrame:
     return _ends(_ordered(raw, level), level).select(*level.keys, *LAST)
 
 
-def land_changes(batch: DataFrame, level: Level, folder: str) -> StructType:
-    """Land what a batch tells by itself in ``folder`` (parquet): the changes inside it and the border of each key; returns the schema."""
+def land_changes(batch: DataFrame, level: Level, folder: str, files: int = LANDED_FILES) -> StructType:
+    """Land what a batch tells by itself in ``folder`` (parquet): the changes inside it and the border of each key; returns the schema.
+
+    A batch is at most so many ``files``, whatever its size and the cluster's: a trigger takes a number of files, and asks the state of every
+    key in them, so batches in many files would ask it for each key as often as there are batches."""
     keys, cols = list(level.keys), [*level.columns, TIE]
     rows = _ordered(batch, level)
     borders = _ends(rows, level)
@@ -68,7 +73,7 @@ def land_changes(batch: DataFrame, level: Level, folder: str) -> StructType:
     absent = {n: F.lit(None).cast(borders.schema[n].dataType) for n in LAST}
     landed = borders.withColumn("_border", F.lit(True)).unionByName(inner.withColumns({**absent, "_border": F.lit(False)}))
     landed = landed.select(*cols, "_at", "_tie", *LAST, "_border")
-    landed.write.mode("append").parquet(folder)
+    landed.repartition(files).write.mode("append").parquet(folder)
     return StructType([StructField(f.name, f.dataType) for f in landed.schema])
 
 
@@ -84,7 +89,7 @@ def _follow(level: Level) -> StatefulProcessor:
             self.last.update((initialState["_last_at"], initialState["_last_tie"], initialState["_last_state"]))
 
         def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-            last = self.last.get() if self.last.exists() else None
+            last = self.last.get()  # None if there is none; every call is a round trip
             # one border for each batch that landed since the last trigger
             for r in sorted(rows, key=lambda r: (r["_at"], r["_tie"])):
                 late = last is not None and (r["_at"], r["_tie"]) <= (last[0], last[1])
